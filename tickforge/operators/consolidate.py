@@ -84,7 +84,6 @@ def daily_analysis(summary: DataFrame) -> DataFrame:
         "max_volume_date": record,
         "total_volume": F.col("max_volume"),
         "max_intraday_volatility": two_digits(F.col("high") - F.col("low")),
-        "liquidity_status": F.when(F.col("_weekday"), liquidity_class(F.col("volume"))),
         "max_intraday_drop": two_digits(F.col("max_drop")),
         "calc_date": F.col("trading_date"),
     })
@@ -95,10 +94,12 @@ def _with_market_totals(rows: DataFrame) -> DataFrame:
     """Rows plus one market row per day, from one pass over ``rows``.
 
     Each row is kept as it is and once more as a bare volume for its day; the
-    bare volumes are then summed per day with map-side partials.
+    bare volumes are then summed per day with map-side partials.  Only
+    fixed-width values are aggregated, so the aggregation hashes and does not
+    sort; the liquidity text is derived afterwards from the closing volume.
     """
-    values = [c for c in DAILY_VALUES if c != "total_volume"]
-    grouped = rows.select(*DAILY_KEY, *DAILY_VALUES, "volume").groupingSets(
+    values = [c for c in DAILY_VALUES if c not in ("total_volume", "liquidity_status")]
+    grouped = rows.select(*DAILY_KEY, "total_volume", *values, "volume").groupingSets(
         [["symbol", "calc_date"], ["calc_date"]], "symbol", "calc_date"
     ).agg(
         F.grouping("symbol").alias("_market"),
@@ -107,10 +108,12 @@ def _with_market_totals(rows: DataFrame) -> DataFrame:
         *[F.max(c).alias(f"_{c}") for c in values],
     )
     market = F.col("_market") == 1
+    classed = ~market & ~F.dayofweek("calc_date").isin(1, 7)
     return conform(grouped.select(
         F.when(market, MARKET_SYMBOL).otherwise(F.col("symbol")).alias("symbol"),
         "calc_date",
         F.when(market, F.col("_volume")).otherwise(F.col("_total")).alias("total_volume"),
+        F.when(classed, liquidity_class(F.col("_volume"))).alias("liquidity_status"),
         *[F.when(~market, F.col(f"_{c}")).alias(c) for c in values],
     ), DAILY_SCHEMA)
 

@@ -31,7 +31,7 @@ def slice_rows(
     """Rows at positions ``start`` (included) to ``stop`` (excluded) of a total order.
 
     ``levels`` names the leading sort expressions, each with True for descending;
-    ``order`` sorts inside the last level.  ``start`` and ``stop`` are numbers or
+    ``order`` sorts inside the last level; level values are never null.  ``start`` and ``stop`` are numbers or
     scalar columns.  The result has the 0-based ``position``.
     """
     names = [f"_l{i}" for i in range(len(levels))]
