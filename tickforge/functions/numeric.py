@@ -14,6 +14,14 @@ def exact_mean(value: Column, window: WindowSpec | None = None) -> Column:
     return F.try_divide(total.cast("double"), count.cast("double"))
 
 
+def rounded_mean(value: Column, digits: int = 2, window: WindowSpec | None = None) -> Column:
+    """Mean of a decimal column rounded half-up, computed in decimals throughout."""
+    total, count = F.sum(value), F.count(value)
+    if window is not None:
+        total, count = total.over(window), count.over(window)
+    return F.round(F.try_divide(total, count.cast("decimal(20,0)")), digits)
+
+
 def ratio(top: Column, bottom: Column) -> Column:
     """Double division; null where the divisor is zero."""
     return F.try_divide(top.cast("double"), bottom.cast("double"))

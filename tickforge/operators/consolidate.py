@@ -64,20 +64,20 @@ def daily_analysis(summary: DataFrame) -> DataFrame:
     weekday = ~F.dayofweek("trading_date").isin(1, 7)
     # The previous weekday's close, skipping weekend rows.
     seen = F.when(weekday, F.col("close"))
-    before = D.BY_DAY.rowsBetween(Window.unboundedPreceding, -1)
+    before = D.by_day().rowsBetween(Window.unboundedPreceding, -1)
     step = F.signum(F.col("close") - F.last(seen, ignorenulls=True).over(before)).cast("int")
     base = summary.withColumns({
         "_weekday": weekday,
         "_step": F.when(weekday, F.coalesce(step, F.lit(0))),
-        "_row": F.sum(F.when(weekday, 1).otherwise(0)).over(D.TO_DATE).cast("int"),
-        "max_close_price": two_digits(F.max("close").over(D.TO_DATE)),
-        "min_close_price": two_digits(F.min("close").over(D.TO_DATE)),
-        "sma_price": F.round(D.partial_sma(5), 2).cast("decimal(18,2)"),
-        "max_volume_value": F.max("max_volume").over(D.BY_SYMBOL),
+        "_row": F.sum(F.when(weekday, 1).otherwise(0)).over(D.to_date()).cast("int"),
+        "max_close_price": two_digits(F.max("close").over(D.to_date())),
+        "min_close_price": two_digits(F.min("close").over(D.to_date())),
+        "sma_price": D.rounded_partial_sma(5).cast("decimal(18,2)"),
+        "max_volume_value": F.max("max_volume").over(D.by_symbol()),
     })
-    not_up = F.coalesce(F.max(F.when(F.col("_step") <= 0, F.col("_row"))).over(D.TO_DATE), F.lit(0))
-    not_down = F.coalesce(F.max(F.when(F.col("_step") >= 0, F.col("_row"))).over(D.TO_DATE), F.lit(0))
-    record = F.min(F.when(F.col("max_volume") == F.col("max_volume_value"), F.col("trading_date"))).over(D.BY_SYMBOL)
+    not_up = F.coalesce(F.max(F.when(F.col("_step") <= 0, F.col("_row"))).over(D.to_date()), F.lit(0))
+    not_down = F.coalesce(F.max(F.when(F.col("_step") >= 0, F.col("_row"))).over(D.to_date()), F.lit(0))
+    record = F.min(F.when(F.col("max_volume") == F.col("max_volume_value"), F.col("trading_date"))).over(D.by_symbol())
     rows = base.withColumns({
         "up_days_count": F.when(F.col("_weekday"), F.col("_row") - not_up),
         "down_days_count": F.when(F.col("_weekday"), F.col("_row") - not_down),
@@ -87,11 +87,13 @@ def daily_analysis(summary: DataFrame) -> DataFrame:
         "max_intraday_drop": two_digits(F.col("max_drop")),
         "calc_date": F.col("trading_date"),
     })
-    return _with_market_totals(rows)
+    return add_market_rows(rows, weekdays_only=True)
 
 
-def _with_market_totals(rows: DataFrame) -> DataFrame:
-    """Rows plus one market row per day, from one pass over ``rows``.
+def add_market_rows(rows: DataFrame, weekdays_only: bool) -> DataFrame:
+    """Daily rows plus one market row per day, from one pass over ``rows``.
+
+    ``rows`` also carries ``volume``, the closing volume of the day.
 
     Each row is kept as it is and once more as a bare volume for its day; the
     bare volumes are then summed per day with map-side partials.  Only
@@ -108,7 +110,7 @@ def _with_market_totals(rows: DataFrame) -> DataFrame:
         *[F.max(c).alias(f"_{c}") for c in values],
     )
     market = F.col("_market") == 1
-    classed = ~market & ~F.dayofweek("calc_date").isin(1, 7)
+    classed = ~market & (~F.dayofweek("calc_date").isin(1, 7) if weekdays_only else F.lit(True))
     return conform(grouped.select(
         F.when(market, MARKET_SYMBOL).otherwise(F.col("symbol")).alias("symbol"),
         "calc_date",
@@ -118,18 +120,25 @@ def _with_market_totals(rows: DataFrame) -> DataFrame:
     ), DAILY_SCHEMA)
 
 
-def market_filler(market_rows: DataFrame) -> DataFrame:
-    """Market rows with constant filler and their own day as record day."""
+def market_filler(daily: DataFrame) -> DataFrame:
+    """Market rows with constant filler and their own day as record day; other rows unchanged."""
     zero_price = F.lit(0).cast("decimal(18,2)")
-    prices = ["max_intraday_drop", "max_close_price", "min_close_price", "max_intraday_volatility", "sma_price"]
-    return conform(market_rows.withColumns({
+    filler = {
         "max_volume_date": F.col("calc_date"),
         "max_volume_value": F.col("total_volume"),
         "up_days_count": F.lit(0),
         "down_days_count": F.lit(0),
         "liquidity_status": F.lit(MARKET_LIQUIDITY_FILLER),
-        **{c: zero_price for c in prices},
-    }), DAILY_SCHEMA)
+        **dict.fromkeys(
+            ["max_intraday_drop", "max_close_price", "min_close_price", "max_intraday_volatility", "sma_price"],
+            zero_price,
+        ),
+    }
+    padded = conform(daily, DAILY_SCHEMA)
+    market = F.col("symbol") == MARKET_SYMBOL
+    return conform(
+        padded.withColumns({c: F.when(market, v).otherwise(F.col(c)) for c, v in filler.items()}), DAILY_SCHEMA
+    )
 
 
 def monthly_table(closes: DataFrame) -> DataFrame:

@@ -8,17 +8,26 @@ symbol are therefore bounded by the calendar.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickforge.functions.labels import liquidity_class
-from tickforge.functions.numeric import clamp_at_zero, exact_mean, ratio, two_digits
+from tickforge.functions.numeric import clamp_at_zero, exact_mean, ratio, rounded_mean, two_digits
 from tickforge.operators.snapshots import DAY_KEY, closing_values
 from tickforge.schemas import MARKET_SYMBOL
 
-BY_SYMBOL = Window.partitionBy("symbol")
-BY_DAY = BY_SYMBOL.orderBy("trading_date")
-TO_DATE = BY_DAY.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+def by_symbol() -> WindowSpec:
+    return Window.partitionBy("symbol")
+
+
+def by_day() -> WindowSpec:
+    return by_symbol().orderBy("trading_date")
+
+
+def to_date() -> WindowSpec:
+    return by_day().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
 
 
 def weekdays(df: DataFrame, day: str = "trading_date") -> DataFrame:
@@ -26,7 +35,7 @@ def weekdays(df: DataFrame, day: str = "trading_date") -> DataFrame:
     return df.filter(~F.dayofweek(day).isin(1, 7))
 
 
-def _as_calc_date(df: DataFrame, *columns) -> DataFrame:
+def _as_calc_date(df: DataFrame, *columns: str | Column) -> DataFrame:
     return df.select("symbol", F.col("trading_date").alias("calc_date"), *columns)
 
 
@@ -55,7 +64,7 @@ def market_volume(history: DataFrame) -> DataFrame:
     return per_day.select(F.lit(MARKET_SYMBOL).alias("symbol"), "calc_date", "total_volume")
 
 
-def _monthly(closes: DataFrame, *aggregates) -> DataFrame:
+def _monthly(closes: DataFrame, *aggregates: Column) -> DataFrame:
     keys = ["symbol", F.year("trading_date").alias("calc_year"), F.month("trading_date").alias("calc_month")]
     return closes.groupBy(*keys).agg(*aggregates)
 
@@ -65,14 +74,14 @@ def monthly_volume(closes: DataFrame) -> DataFrame:
 
 
 def monthly_average_close(closes: DataFrame) -> DataFrame:
-    return _monthly(closes, F.round(exact_mean(F.col("close")), 2).alias("monthly_avg_close"))
+    return _monthly(closes, rounded_mean(F.col("close")).alias("monthly_avg_close"))
 
 
 def monthly_analysis(closes: DataFrame) -> DataFrame:
     """Average close and total volume per month in one aggregation."""
     return _monthly(
         closes,
-        F.round(exact_mean(F.col("close")), 2).alias("monthly_avg_close"),
+        rounded_mean(F.col("close")).alias("monthly_avg_close"),
         F.sum("volume").alias("monthly_total_volume"),
     )
 
@@ -101,32 +110,32 @@ def running_close_range(closes: DataFrame) -> DataFrame:
     """Highest and lowest close so far."""
     return _as_calc_date(
         closes,
-        two_digits(F.max("close").over(TO_DATE)).alias("max_close_price"),
-        two_digits(F.min("close").over(TO_DATE)).alias("min_close_price"),
+        two_digits(F.max("close").over(to_date())).alias("max_close_price"),
+        two_digits(F.min("close").over(to_date())).alias("min_close_price"),
     )
 
 
-def with_streaks(closes: DataFrame, step) -> DataFrame:
+def with_streaks(closes: DataFrame, step: Column) -> DataFrame:
     """Length of the current run of rising and of falling steps.
 
     ``step`` is the sign of each row; zero or null ends both runs.  A run is the
     distance to the last row whose sign differs, so one sorted pass is enough.
     """
-    stepped = closes.withColumn("_row", F.row_number().over(BY_DAY)).withColumn("_step", F.coalesce(step, F.lit(0)))
-    last_not_up = F.max(F.when(F.col("_step") <= 0, F.col("_row"))).over(TO_DATE)
-    last_not_down = F.max(F.when(F.col("_step") >= 0, F.col("_row"))).over(TO_DATE)
+    stepped = closes.withColumn("_row", F.row_number().over(by_day())).withColumn("_step", F.coalesce(step, F.lit(0)))
+    last_not_up = F.max(F.when(F.col("_step") <= 0, F.col("_row"))).over(to_date())
+    last_not_down = F.max(F.when(F.col("_step") >= 0, F.col("_row"))).over(to_date())
     return stepped.withColumns({
         "up_days_count": F.col("_row") - F.coalesce(last_not_up, F.lit(0)),
         "down_days_count": F.col("_row") - F.coalesce(last_not_down, F.lit(0)),
     }).drop("_row", "_step")
 
 
-def close_step():
+def close_step() -> Column:
     """Sign of the close against the previous day's close."""
-    return F.signum(F.col("close") - F.lag("close").over(BY_DAY)).cast("int")
+    return F.signum(F.col("close") - F.lag("close").over(by_day())).cast("int")
 
 
-def candle_step():
+def candle_step() -> Column:
     """Sign of the close against the same day's open."""
     return F.signum(F.col("close") - F.col("open")).cast("int")
 
@@ -151,22 +160,22 @@ def liquidity(closes: DataFrame) -> DataFrame:
     return _as_calc_date(weekdays(closes), liquidity_class(F.col("volume")).alias("liquidity_status"))
 
 
-def _last(n: int):
-    return BY_DAY.rowsBetween(1 - n, Window.currentRow)
+def _last(n: int) -> WindowSpec:
+    return by_day().rowsBetween(1 - n, Window.currentRow)
 
 
-def partial_sma(n: int = 5):
-    """Mean of the last ``n`` closes, or of as many as exist."""
-    return exact_mean(F.col("close"), _last(n))
-
-
-def strict_sma(n: int):
+def strict_sma(n: int) -> Column:
     """Mean of the last ``n`` closes, null until ``n`` closes exist."""
     return F.when(F.count("close").over(_last(n)) == n, exact_mean(F.col("close"), _last(n)))
 
 
+def rounded_partial_sma(n: int = 5) -> Column:
+    return rounded_mean(F.col("close"), 2, _last(n))
+
+
 def sma(closes: DataFrame, n: int = 5) -> DataFrame:
-    return _as_calc_date(closes, F.round(partial_sma(n), 2).alias("sma_price"))
+    """Mean of the last ``n`` closes, or of as many as exist."""
+    return _as_calc_date(closes, rounded_partial_sma(n).alias("sma_price"))
 
 
 def strict_smas(closes: DataFrame, windows: tuple[int, ...] = (20, 50, 200)) -> DataFrame:
@@ -177,7 +186,7 @@ def strict_smas(closes: DataFrame, windows: tuple[int, ...] = (20, 50, 200)) ->
 
 def with_changes(closes: DataFrame) -> DataFrame:
     """Previous close, difference and relative change."""
-    return closes.withColumn("prev_close", F.lag("close").over(BY_DAY)).withColumns({
+    return closes.withColumn("prev_close", F.lag("close").over(by_day())).withColumns({
         "change": F.col("close") - F.col("prev_close"),
         "pct_change": ratio(F.col("close"), F.col("prev_close")) - 1,
     })

@@ -36,24 +36,24 @@ def slice_rows(
     """
     names = [f"_l{i}" for i in range(len(levels))]
     keyed = df.withColumns({n: c for n, (c, _) in zip(names, levels.values())})
-    cells = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
     start, stop = (x if isinstance(x, Column) else F.lit(x) for x in (start, stop))
 
     found: DataFrame | None = None
     for depth, (name, (_, descending)) in enumerate(zip(names, levels.values())):
         upper, here = names[:depth], names[: depth + 1]
-        groups = cells.groupBy(*here).agg(F.sum("_n").alias("_n"))
         # At the top this window runs over the distinct leading values (calendar days);
         # below it is partitioned by the groups that touch the slice.
         window = Window.partitionBy(*upper) if upper else Window.partitionBy()
         window = window.orderBy(F.col(name).desc() if descending else F.col(name).asc())
         ahead = F.coalesce(F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         if found is None:
-            placed = groups.withColumn("_start", ahead)
+            counts = keyed.select(*here).groupBy(*here).agg(F.count(F.lit(1)).alias("_n"))
+            placed = counts.withColumn("_start", ahead)
         else:
-            above = found.select(*upper, F.col("_start").alias("_above"))
+            above = found.withColumnRenamed("_start", "_above")
             above = F.broadcast(above) if broadcast else above
-            placed = groups.join(above, upper).withColumn("_start", F.col("_above") + ahead)
+            counts = keyed.select(*here).join(above, upper).groupBy(*here, "_above").agg(F.count(F.lit(1)).alias("_n"))
+            placed = counts.withColumn("_start", F.col("_above") + ahead)
         touches = (F.col("_start") < stop) & (F.col("_start") + F.col("_n") > start)
         found = placed.filter(touches).select(*here, "_start")
 

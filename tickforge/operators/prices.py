@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickforge.functions.labels import direction_colour, signal_label
 from tickforge.functions.numeric import ratio
-from tickforge.operators.daily import BY_DAY, TO_DATE, strict_sma, strict_smas, with_changes
+from tickforge.operators.daily import by_day, strict_sma, strict_smas, to_date, with_changes
 from tickforge.operators.snapshots import DAY_KEY
 from tickforge.schemas import TRADING_DAYS
 
@@ -85,7 +85,7 @@ def snapshot_increments(history: DataFrame) -> DataFrame:
 
 def period_vwap(closes: DataFrame) -> DataFrame:
     """Cumulative VWAP over the days of each symbol; one row per symbol and day."""
-    return closes.withColumn("vwap", ratio(F.sum(_turnover()).over(TO_DATE), F.sum("volume").over(TO_DATE)))
+    return closes.withColumn("vwap", ratio(F.sum(_turnover()).over(to_date()), F.sum("volume").over(to_date())))
 
 
 def volume_direction(bars: DataFrame) -> DataFrame:
@@ -111,7 +111,7 @@ def moving_average_gap(closes: DataFrame, short: int = 10, long: int = 20) -> Da
 
 def moving_average_crosses(closes: DataFrame, short: int = 10, long: int = 20) -> DataFrame:
     """Days on which the short average passes the long one."""
-    gaps = moving_average_gap(closes, short, long).withColumn("prev_gap", F.lag("gap").over(BY_DAY))
+    gaps = moving_average_gap(closes, short, long).withColumn("prev_gap", F.lag("gap").over(by_day()))
     golden = (F.col("gap") > 0) & (F.col("prev_gap") <= 0)
     death = (F.col("gap") < 0) & (F.col("prev_gap") >= 0)
     cross = F.when(golden, "golden").when(death, "death")
@@ -134,7 +134,7 @@ def period_return(closes: DataFrame) -> DataFrame:
 
 def base_hundred(closes: DataFrame) -> DataFrame:
     """Close scaled so that the first day is 100; unscaled if that day is not positive."""
-    base = F.first("close").over(TO_DATE)
+    base = F.first("close").over(to_date())
     scaled = F.when(base > 0, ratio(F.col("close"), base) * 100).otherwise(F.col("close").cast("double"))
     return closes.withColumn("normalised", scaled)
 

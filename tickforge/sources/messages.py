@@ -25,8 +25,16 @@ TOPIC_SCHEMA = T.StructType([
 ])
 
 
+# Times keep their microseconds.
+JSON_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def row_json(df: DataFrame, keep_nulls: bool = False) -> Column:
-    options = {"ignoreNullFields": "false"} if keep_nulls else {}
+    """The whole row as one JSON object."""
+    options = {**JSON_OPTIONS, "ignoreNullFields": "false" if keep_nulls else "true"}
     return F.to_json(F.struct(*[F.col(c) for c in df.columns]), options)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tickforge.functions import parsing as P
 from tickforge.operators.filters import between_days, for_symbols
-from tickforge.schemas import DAILY_SCHEMA, HISTORY_SCHEMA, MONTHLY_SCHEMA, PRICE, RAW_SCHEMA
+from tickforge.schemas import DAILY_SCHEMA, HISTORY_COLUMNS, HISTORY_SCHEMA, MONTHLY_SCHEMA, PRICE, RAW_SCHEMA
 
 TEXT_FIELDS = 9
 
@@ -35,7 +35,7 @@ def is_missing_path(error: AnalysisException) -> bool:
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     """Cleaned history with its declared schema, so no file is opened to infer one."""
-    return spark.read.schema(HISTORY_SCHEMA).parquet(path)
+    return spark.read.schema(HISTORY_SCHEMA).parquet(path).select(*HISTORY_COLUMNS)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:

@@ -10,12 +10,15 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickforge.functions.labels import batch_label
 from tickforge.operators.snapshots import deduplicate
 from tickforge.schemas import SNAPSHOT_KEY
 from tickforge.sources.readers import is_missing_path
 
+MONTH = "p_month"
+
 
 def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
@@ -36,25 +39,29 @@ def new_rows(batch: DataFrame, history: DataFrame, keys: list[str] = SNAPSHOT_KE
 
 
 def append_history(batch: DataFrame, path: str) -> None:
-    """Plain append, without any test for rows already present."""
-    batch.write.mode("append").parquet(path)
+    """Plain append by month, without any test for rows already present."""
+    monthly = batch.withColumn(MONTH, F.date_format("trading_date", "yyyy-MM"))
+    rebalanced(monthly, MONTH).write.mode("append").partitionBy(MONTH).parquet(path)
 
 
 def append_new(batch: DataFrame, path: str) -> None:
     """Append what the history does not hold yet, so a repeated run adds nothing.
 
-    Only the days of the batch are read back; the day list is a set of calendar
-    days and joins as a semi join.
+    Only the span of days of the batch is read back: its two ends go into the
+    scan as literals and prune month folders and row groups.
     """
     spark = batch.sparkSession
     unique = deduplicate(batch)
-    history = read_if_exists(spark, path, batch.schema)
-    if history is None:
-        unique.write.mode("append").parquet(path)
-        return
-    days = batch.select("trading_date").distinct()
-    same_days = history.join(days, "trading_date", "left_semi")
-    new_rows(unique, same_days).write.mode("append").parquet(path)
+    stored = T.StructType([*batch.schema.fields, T.StructField(MONTH, T.StringType())])
+    history = read_if_exists(spark, path, stored)
+    if history is not None:
+        first, last = batch.agg(F.min("trading_date"), F.max("trading_date")).first()
+        if first is None:
+            return
+        months = F.col(MONTH).between(first.strftime("%Y-%m"), last.strftime("%Y-%m"))
+        near = history.filter(months & F.col("trading_date").between(F.lit(first), F.lit(last)))
+        unique = new_rows(unique, near)
+    append_history(unique, path)
 
 
 def export_text(history: DataFrame, path: str) -> None:

@@ -9,12 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.operators.clean import is_sane_bar
+from tickforge.operators.clean import sane_bars
+from tickforge.schemas import HISTORY_COLUMNS, PRICE
 
-PRICE = "decimal(18,4)"
 
-
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -22,24 +21,99 @@ def _code(prefix: str, number: str) -> Column:
     return F.concat(F.lit(prefix), F.lpad(F.col(number).cast("string"), 6, "0"))
 
 
-def bars_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshot history of several years: one row per line item."""
+def _decimal(text: str, kind: str) -> Column:
+    return F.lit(text).cast(kind)
+
+
+def _priced(lines: DataFrame, *extra: Column) -> DataFrame:
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     factor = F.lit(1) + F.col("l_discount").cast("decimal(4,2)") - F.col("l_tax").cast("decimal(4,2)")
-    millis = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    moment = F.expr("l_shipdate + make_dt_interval(0, 0, 0, cast((l_orderkey * 10 + l_linenumber) as decimal(18,6)) / 1000)")
-    shaped = _read(spark, sf_dir, "lineitem").select(
+    return lines.select(
         _code("S", "l_suppkey").alias("symbol"),
         F.to_date("l_shipdate").alias("trading_date"),
-        moment.alias("scrape_time"),
+        F.expr("timestampadd(MILLISECOND, l_orderkey * 10 + l_linenumber, l_shipdate)").alias("scrape_time"),
         F.col("l_returnflag").alias("source"),
         price.cast(PRICE).alias("close"),
         (F.col("l_quantity") * 250000).cast("bigint").alias("volume"),
         (price * factor).cast(PRICE).alias("open"),
-        (price * F.lit("0.03").cast("decimal(3,2)")).cast(PRICE).alias("slip"),
+        (price * _decimal("0.03", "decimal(3,2)")).cast(PRICE).alias("_slip"),
+        *extra,
+    ).withColumns({
+        "high": F.greatest("open", "close"),
+        "low": (F.col("open") - F.col("_slip")).cast(PRICE),
+    })
+
+
+def bars_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot history of several years: one row per line item."""
+    return _priced(read_table(spark, sf_dir, "lineitem")).select(*HISTORY_COLUMNS)
+
+
+def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bars_raw`` after the price sanity test: the cleaned history."""
+    return sane_bars(bars_raw(spark, sf_dir))
+
+
+def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense intraday snapshots of one month: one row per event."""
+    price = F.col("value").cast("decimal(12,2)") + 10
+    swing = ((F.col("event_id") % 11) - 5).cast("decimal(4,0)")
+    return read_table(spark, sf_dir, "events").select(
+        _code("U", "user_id").alias("symbol"),
+        F.to_date("ts").alias("trading_date"),
+        F.col("ts").alias("scrape_time"),
+        F.col("event_type").alias("source"),
+        price.cast(PRICE).alias("close"),
+        ((F.get_json_object("props", "$.k").cast("bigint") + 1) * 120000).alias("volume"),
+        (price + price * swing * _decimal("0.01", "decimal(3,2)")).cast(PRICE).alias("open"),
+    ).withColumns({"high": F.greatest("open", "close"), "low": F.least("open", "close")}).select(*HISTORY_COLUMNS)
+
+
+def symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The symbol catalogue: one row per supplier."""
+    nations = read_table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("source"))
+    return read_table(spark, sf_dir, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("id"),
+        _code("S", "s_suppkey").alias("symbol"),
+        F.col("s_name").alias("bank_name"),
+        "source",
+        F.when(F.col("s_acctbal") >= 0, 1).otherwise(0).alias("status"),
+    )
+
+
+def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw landing rows with the defects cleaning has to deal with.
+
+    Symbols in mixed spelling, four date notations, unreadable and missing
+    dates, price sentinels, and a second copy of every first line of an order
+    that differs in source and price.
+    """
+    millis = lambda c: f"cast(timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', {c}) as string)"
+    line, order, part = F.col("l_linenumber"), F.col("l_orderkey"), F.col("l_partkey")
+    rows = _priced(read_table(spark, sf_dir, "lineitem"), line, order, part, F.col("l_shipdate"))
+    copies = F.expr("explode(sequence(0, case when l_linenumber = 1 then 1 else 0 end))")
+    rows = rows.withColumn("copy", copies).withColumn("close", (F.col("close") + F.col("copy")).cast(PRICE))
+    day = (
+        F.when(order % 97 == 0, F.lit(None))
+        .when(order % 89 == 0, "junk")
+        .when(order % 4 == 0, F.expr(millis("l_shipdate")))
+        .when(order % 4 == 1, F.date_format("trading_date", "yyyy-MM-dd"))
+        .when(order % 4 == 2, F.date_format("trading_date", "dd/MM/yyyy"))
+        .otherwise(F.date_format("trading_date", "dd-MM-yyyy"))
+    )
+    price = (
+        F.when(part % 50 == 0, "").when(part % 50 == 1, "NULL").when(part % 50 == 2, "null")
+        .when(part % 50 == 3, "\\N").when(part % 50 == 4, "abc").when(part % 50 == 5, F.lit(None))
+        .otherwise(F.col("close").cast("string"))
     )
-    return shaped.select(
-        "symbol", "trading_date", "scrape_time", "source", "close", "volume", "open",
-        F.greatest("open", "close").alias("high"),
-        (F.col("open") - F.col("slip")).cast(PRICE).alias("low"),
+    return rows.select(
+        F.when(line % 3 == 0, F.concat(F.lit(" "), F.lower("symbol")))
+        .when(line % 3 == 1, F.concat("symbol", F.lit(" "))).otherwise(F.col("symbol")).alias("symbol"),
+        day.alias("trading_date"),
+        F.when(line % 2 == 0, F.expr(millis("scrape_time")))
+        .otherwise(F.date_format("scrape_time", "yyyy-MM-dd HH:mm:ss.SSS")).alias("scrape_time"),
+        F.when(F.col("copy") == 1, "Z").otherwise(F.col("source")).alias("source"),
+        price.alias("close_price"),
+        "volume",
+        *[F.col(c).cast("string").alias(f"{c}_price") for c in ("open", "high", "low")],
     )
