@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tickforge.schemas import PRICE, PRICE_SENTINELS, TEXT_NULL
 
-# Accepted day formats, tried in this order.
-DAY_FORMATS = ["yyyy-MM-dd", "dd/MM/yyyy", "dd-MM-yyyy"]
+# Accepted day formats, each with the place and kind of its first separator.
+DAY_FORMATS = [("yyyy-MM-dd", 5, "-"), ("dd/MM/yyyy", 3, "/"), ("dd-MM-yyyy", 3, "-")]
+DAY_LENGTH = 10
 
 
 def normalise_symbol(symbol: Column) -> Column:
@@ -20,8 +21,11 @@ FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
 
 
 def millis_to_timestamp(text: Column) -> Column:
-    """Epoch milliseconds as text, read in the session time zone."""
-    millis = text.try_cast("bigint")
+    """Epoch milliseconds as text, read in the session time zone.
+
+    Only digits reach the cast: a cast that fails costs about 20 times a good one.
+    """
+    millis = F.when(text.rlike("^-?[0-9]{1,18}$"), text.try_cast("bigint"))
     in_range = F.when(millis.between(FIRST_MILLIS, LAST_MILLIS), millis)
     return F.timestamp_millis(in_range).cast("timestamp_ntz")
 
@@ -31,9 +35,17 @@ def millis_to_date(text: Column) -> Column:
 
 
 def parse_day_text(text: Column) -> Column:
-    """First of the accepted day formats that fits."""
+    """The accepted day format that fits.
+
+    A failed parse costs far more than a good one, so the separator decides
+    which format is tried at all.
+    """
     trimmed = F.trim(text)
-    return F.coalesce(*[F.try_to_date(trimmed, fmt) for fmt in DAY_FORMATS])
+    complete = F.length(trimmed) == DAY_LENGTH
+    return F.coalesce(*[
+        F.when(complete & (F.substring(trimmed, place, 1) == mark), F.try_to_date(trimmed, fmt))
+        for fmt, place, mark in DAY_FORMATS
+    ])
 
 
 def parse_day(text: Column) -> Column:

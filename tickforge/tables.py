@@ -1,6 +1,6 @@
 """Market-shaped views over the given tables.
 
-Stored two-digit columns are cast to DECIMAL first and only combined with
+Stored two-digit columns become exact numbers first and are only combined with
 ``+``, ``-`` and ``*``, so every engine computes the same values.
 """
 
@@ -21,52 +21,62 @@ def _code(prefix: str, number: str) -> Column:
     return F.concat(F.lit(prefix), F.lpad(F.col(number).cast("string"), 6, "0"))
 
 
-def _decimal(text: str, kind: str) -> Column:
-    return F.lit(text).cast(kind)
+# Prices are first built as whole numbers of 1/10000, where arithmetic and
+# comparisons are cheap, and become DECIMAL(18,4) in the last projection.
+PRICES = ["close", "open", "high", "low"]
 
 
-def _priced(lines: DataFrame, *extra: Column) -> DataFrame:
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    factor = F.lit(1) + F.col("l_discount").cast("decimal(4,2)") - F.col("l_tax").cast("decimal(4,2)")
-    return lines.select(
+def _hundredths(number: str) -> Column:
+    """A stored two-digit number times 100, exactly."""
+    return F.floor(F.col(number) * 100 + 0.5)
+
+
+def _with_prices(units: DataFrame) -> DataFrame:
+    step = F.lit("0.0001").cast("decimal(4,4)")
+    return units.withColumns({c: (F.col(c).cast("decimal(18,0)") * step).cast(PRICE) for c in PRICES})
+
+
+def _line_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    price = _hundredths("l_extendedprice")
+    shaped = read_table(spark, sf_dir, "lineitem").select(
         _code("S", "l_suppkey").alias("symbol"),
         F.to_date("l_shipdate").alias("trading_date"),
         F.expr("timestampadd(MILLISECOND, l_orderkey * 10 + l_linenumber, l_shipdate)").alias("scrape_time"),
         F.col("l_returnflag").alias("source"),
-        price.cast(PRICE).alias("close"),
+        (price * 100).alias("close"),
         (F.col("l_quantity") * 250000).cast("bigint").alias("volume"),
-        (price * factor).cast(PRICE).alias("open"),
-        (price * _decimal("0.03", "decimal(3,2)")).cast(PRICE).alias("_slip"),
-        *extra,
-    ).withColumns({
-        "high": F.greatest("open", "close"),
-        "low": (F.col("open") - F.col("_slip")).cast(PRICE),
-    })
+        (price * (_hundredths("l_discount") - _hundredths("l_tax") + 100)).alias("open"),
+        (price * 3).alias("_slip"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate",
+    )
+    return shaped.withColumns({"high": F.greatest("open", "close"), "low": F.col("open") - F.col("_slip")})
 
 
 def bars_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot history of several years: one row per line item."""
-    return _priced(read_table(spark, sf_dir, "lineitem")).select(*HISTORY_COLUMNS)
+    return _with_prices(_line_units(spark, sf_dir).select(*HISTORY_COLUMNS))
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``bars_raw`` after the price sanity test: the cleaned history."""
-    return sane_bars(bars_raw(spark, sf_dir))
+    """``bars_raw`` after the price sanity test (which no unit changes): the cleaned history."""
+    return _with_prices(sane_bars(_line_units(spark, sf_dir).select(*HISTORY_COLUMNS)))
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense intraday snapshots of one month: one row per event."""
-    price = F.col("value").cast("decimal(12,2)") + 10
-    swing = ((F.col("event_id") % 11) - 5).cast("decimal(4,0)")
-    return read_table(spark, sf_dir, "events").select(
+    price = _hundredths("value") + 1000
+    swing = (F.col("event_id") % 11) - 5
+    shaped = read_table(spark, sf_dir, "events").select(
         _code("U", "user_id").alias("symbol"),
         F.to_date("ts").alias("trading_date"),
         F.col("ts").alias("scrape_time"),
         F.col("event_type").alias("source"),
-        price.cast(PRICE).alias("close"),
+        (price * 100).alias("close"),
         ((F.get_json_object("props", "$.k").cast("bigint") + 1) * 120000).alias("volume"),
-        (price + price * swing * _decimal("0.01", "decimal(3,2)")).cast(PRICE).alias("open"),
-    ).withColumns({"high": F.greatest("open", "close"), "low": F.least("open", "close")}).select(*HISTORY_COLUMNS)
+        (price * 100 + price * swing).alias("open"),
+    )
+    units = shaped.withColumns({"high": F.greatest("open", "close"), "low": F.least("open", "close")})
+    return _with_prices(units.select(*HISTORY_COLUMNS))
 
 
 def symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,9 +100,9 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     millis = lambda c: f"cast(timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', {c}) as string)"
     line, order, part = F.col("l_linenumber"), F.col("l_orderkey"), F.col("l_partkey")
-    rows = _priced(read_table(spark, sf_dir, "lineitem"), line, order, part, F.col("l_shipdate"))
     copies = F.expr("explode(sequence(0, case when l_linenumber = 1 then 1 else 0 end))")
-    rows = rows.withColumn("copy", copies).withColumn("close", (F.col("close") + F.col("copy")).cast(PRICE))
+    units = _line_units(spark, sf_dir).withColumn("copy", copies)
+    rows = _with_prices(units.withColumn("close", F.col("close") + F.col("copy") * 10_000))
     day = (
         F.when(order % 97 == 0, F.lit(None))
         .when(order % 89 == 0, "junk")
