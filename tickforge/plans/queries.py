@@ -56,11 +56,6 @@ def six(column: Column | str) -> Column:
     return F.round(F.col(column) if isinstance(column, str) else column, 6)
 
 
-def closes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newest snapshot per symbol and day of the cleaned history."""
-    return S.closing_values(T.bars(spark, sf_dir), "close", "volume", "open", "high", "low")
-
-
 _written: dict[tuple[str, str, str], str] = {}
 
 
@@ -74,21 +69,43 @@ def written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str],
     return _written[key]
 
 
+def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned history of several years, stored by month."""
+    write = lambda p: W.append_history(T.bars(spark, sf_dir), p)
+    return I.read_history(spark, written(spark, sf_dir, "bars", write))
+
+
+def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The intraday history of one month, stored."""
+    write = lambda p: W.append_history(T.ticks(spark, sf_dir), p)
+    return I.read_history(spark, written(spark, sf_dir, "ticks", write))
+
+
+def closes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest snapshot per symbol and day of the cleaned history."""
+    return S.closing_values(bars(spark, sf_dir), "close", "volume", "open", "high", "low")
+
+
+def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw landing table, stored as text columns the way cleaning meets it."""
+    return I.read_raw(spark, written(spark, sf_dir, "raw", lambda p: T.raw_text(spark, sf_dir).write.parquet(p)))
+
+
 # Sources -----------------------------------------------------------------------
 
 @query("s01_history_scan")
 def _(s, d):
-    return I.read_history(s, written(s, d, "history", lambda p: T.bars(s, d).write.parquet(p)))
+    return bars(s, d)
 
 
 @query("s02_raw_text_scan")
 def _(s, d):
-    return I.read_raw(s, written(s, d, "raw", lambda p: T.raw_text(s, d).write.parquet(p)))
+    return landing(s, d)
 
 
 def _partitioned(s, d) -> str:
     columns = ["p_year", "p_month", "p_day", "p_batch"]
-    return written(s, d, "partitioned", lambda p: W.replace_partitions(W.with_batch_partitions(T.ticks(s, d)), p, columns))
+    return written(s, d, "partitioned", lambda p: W.replace_partitions(W.with_batch_partitions(ticks(s, d)), p, columns))
 
 
 @query("s03_partitioned_scan")
@@ -98,7 +115,7 @@ def _(s, d):
 
 def _json_batches(s, d) -> str:
     def write(path: str) -> None:
-        raw = T.ticks(s, d).withColumnsRenamed({c: f"{c}_price" for c in ("close", "open", "high", "low")})
+        raw = ticks(s, d).withColumnsRenamed({c: f"{c}_price" for c in ("close", "open", "high", "low")})
         W.write_json_batches(raw, path)
 
     return written(s, d, "json-batches", write)
@@ -111,14 +128,14 @@ def _(s, d):
 
 @query("s05_json_or_empty")
 def _(s, d):
-    schema = D.daily_volume_max(T.bars(s, d)).schema
-    path = written(s, d, "volume-json", lambda p: W.write_result(D.daily_volume_max(T.bars(s, d)), p))
+    schema = D.daily_volume_max(bars(s, d)).schema
+    path = written(s, d, "volume-json", lambda p: W.write_result(D.daily_volume_max(bars(s, d)), p))
     present, absent = I.read_json_or_empty(s, path, schema), I.read_json_or_empty(s, f"{path}-absent", schema)
     return present.unionByName(absent)
 
 
 def _text_export(s, d) -> str:
-    return written(s, d, "text", lambda p: W.export_text(T.bars(s, d), p))
+    return written(s, d, "text", lambda p: W.export_text(bars(s, d), p))
 
 
 @query("s06_positional_scan")
@@ -129,7 +146,7 @@ def _(s, d):
 @query("s07_tolerant_scan")
 def _(s, d):
     def write(path: str) -> None:
-        rows = T.raw_text(s, d)
+        rows = landing(s, d)
         line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in rows.columns])
         short = F.concat_ws(",", "symbol", F.coalesce("trading_date", F.lit("")))
         header = F.lit(",".join(RAW_SCHEMA.fieldNames()))
@@ -143,20 +160,20 @@ def _(s, d):
 @query("s08_newest_rows_pushed")
 def _(s, d):
     listed = K.active_symbols(T.symbols(s, d)).select("symbol")
-    rows = T.bars(s, d).filter(F.col("trading_date") >= F.lit("1998-01-01").cast("date"))
+    rows = bars(s, d).filter(F.col("trading_date") >= F.lit("1998-01-01").cast("date"))
     return O.newest_rows(rows.join(listed, "symbol", "left_semi"))
 
 
 @query("s09_table_import")
 def _(s, d):
     path = scratch_path(s, "import")
-    W.import_table(T.bars(s, d), path)
+    W.import_table(bars(s, d), path)
     W.import_table(T.bars_raw(s, d), path)
     return s.read.schema(HISTORY_SCHEMA).parquet(path)
 
 
 def _daily_table(s, d) -> str:
-    return written(s, d, "daily", lambda p: V.daily_analysis(T.bars(s, d)).write.parquet(p))
+    return written(s, d, "daily", lambda p: V.daily_analysis(bars(s, d)).write.parquet(p))
 
 
 @query("s10_serving_scan")
@@ -166,8 +183,8 @@ def _(s, d):
 
 @query("s11_fallback_scan")
 def _(s, d):
-    missing = T.bars(s, d).filter(F.col("volume") < 0)
-    return D.daily_volume_max(I.first_non_empty(missing, T.bars(s, d)))
+    missing = bars(s, d).filter(F.col("volume") < 0)
+    return D.daily_volume_max(I.first_non_empty(missing, bars(s, d)))
 
 
 @query("s12_active_symbols")
@@ -177,8 +194,8 @@ def _(s, d):
 
 @query("s13_buffered_csv")
 def _(s, d):
-    path = written(s, d, "csv", lambda p: W.export_view(T.ticks(s, d).drop("scrape_time"), p))
-    return I.read_buffered_csv(s, path, T.ticks(s, d).drop("scrape_time").schema)
+    path = written(s, d, "csv", lambda p: W.export_view(ticks(s, d).drop("scrape_time"), p))
+    return I.read_buffered_csv(s, path, ticks(s, d).drop("scrape_time").schema)
 
 
 @query("s15_catalogue_scan")
@@ -190,7 +207,7 @@ def _(s, d):
 
 @query("k01_history_append")
 def _(s, d):
-    path, rows, cut = scratch_path(s, "append"), T.bars(s, d), F.lit("1998-07-01").cast("date")
+    path, rows, cut = scratch_path(s, "append"), bars(s, d), F.lit("1998-07-01").cast("date")
     W.append_history(rows.filter(F.col("trading_date") < cut), path)
     W.append_history(rows.filter(F.col("trading_date") >= cut), path)
     return I.read_history(s, path)
@@ -204,14 +221,14 @@ def _(s, d):
 
 @query("k03_json_result")
 def _(s, d):
-    drops = D.max_intraday_drop(T.bars(s, d))
+    drops = D.max_intraday_drop(bars(s, d))
     return I.read_json_or_empty(s, written(s, d, "drop-json", lambda p: W.write_result(drops, p)), drops.schema)
 
 
 @query("k04_partition_overwrite")
 def _(s, d):
     path, columns = scratch_path(s, "overwrite"), ["p_year", "p_month", "p_day"]
-    rows = W.with_batch_partitions(T.ticks(s, d)).drop("p_batch")
+    rows = W.with_batch_partitions(ticks(s, d)).drop("p_batch")
     W.replace_partitions(rows.withColumn("volume", F.lit(0).cast("bigint")), path, columns)
     W.replace_partitions(rows.filter(F.col("trading_date") >= F.lit("2024-01-15").cast("date")), path, columns)
     return s.read.parquet(path).select(*HISTORY_COLUMNS)
@@ -219,22 +236,22 @@ def _(s, d):
 
 @query("k05_daily_messages")
 def _(s, d):
-    return M.as_messages(C.with_market_rows(D.daily_volume_max(T.bars(s, d)), D.market_volume(T.bars(s, d))))
+    return M.as_messages(C.with_market_rows(D.daily_volume_max(bars(s, d)), D.market_volume(bars(s, d))))
 
 
 @query("k06_keyed_messages")
 def _(s, d):
-    return M.as_keyed_messages(D.max_intraday_drop(T.bars(s, d)))
+    return M.as_keyed_messages(D.max_intraday_drop(bars(s, d)))
 
 
 @query("k07_snapshot_messages")
 def _(s, d):
-    return M.as_messages(T.ticks(s, d))
+    return M.as_messages(ticks(s, d))
 
 
 @query("k11_raw_append")
 def _(s, d):
-    path, rows = scratch_path(s, "raw-append"), T.raw_text(s, d)
+    path, rows = scratch_path(s, "raw-append"), landing(s, d)
     rows.filter(F.col("source") != "Z").write.mode("append").parquet(path)
     rows.filter(F.col("source") == "Z").write.mode("append").parquet(path)
     return I.read_raw(s, path)
@@ -252,7 +269,7 @@ def _(s, d):
     path, rows = scratch_path(s, "landing"), T.bars_raw(s, d)
     rows.write.parquet(path)
     W.reset_table(s, path, rows.schema)
-    T.bars(s, d).write.mode("append").parquet(path)
+    bars(s, d).write.mode("append").parquet(path)
     kept = s.read.schema(rows.schema).parquet(path)
     return kept.groupBy("trading_date").agg(F.count(F.lit(1)).alias("n"), F.sum("volume").alias("volume"))
 
@@ -290,12 +307,12 @@ def _(s, d):
 
 @query("p01_symbol_normalised")
 def _(s, d):
-    return T.raw_text(s, d).groupBy(X.normalise_symbol(F.col("symbol")).alias("symbol")).agg(F.count(F.lit(1)).alias("n"))
+    return landing(s, d).groupBy(X.normalise_symbol(F.col("symbol")).alias("symbol")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("p02_epoch_millis")
 def _(s, d):
-    return T.raw_text(s, d).select(
+    return landing(s, d).select(
         "scrape_time",
         X.millis_to_timestamp(F.col("scrape_time")).alias("moment"),
         X.millis_to_date(F.col("trading_date")).alias("day"),
@@ -304,7 +321,7 @@ def _(s, d):
 
 @query("p03_typed_columns")
 def _(s, d):
-    return Q.type_raw(T.raw_text(s, d))
+    return Q.type_raw(landing(s, d))
 
 
 @query("p04_partition_date")
@@ -315,26 +332,26 @@ def _(s, d):
 
 @query("p05_market_key")
 def _(s, d):
-    per_day = T.bars(s, d).groupBy(F.col("trading_date").alias("calc_date")).agg(F.sum("volume").alias("total_volume"))
+    per_day = bars(s, d).groupBy(F.col("trading_date").alias("calc_date")).agg(F.sum("volume").alias("total_volume"))
     return per_day if "symbol" in per_day.columns else per_day.withColumn("symbol", F.lit(MARKET_SYMBOL))
 
 
 @query("p06_renamed_columns")
 def _(s, d):
-    return T.bars(s, d).withColumnsRenamed({"trading_date": "calc_date", "close": "close_price"}).select(
+    return bars(s, d).withColumnsRenamed({"trading_date": "calc_date", "close": "close_price"}).select(
         "symbol", "calc_date", "close_price", F.col("volume").alias("traded")
     )
 
 
 @query("p07_disjoint_join")
 def _(s, d):
-    records = D.record_volume_day(D.daily_volume_max(T.bars(s, d))).withColumn("calc_date", F.col("max_volume_date"))
-    return C.attach_record_day(D.daily_volume_max(T.bars(s, d)), records)
+    records = D.record_volume_day(D.daily_volume_max(bars(s, d))).withColumn("calc_date", F.col("max_volume_date"))
+    return C.attach_record_day(D.daily_volume_max(bars(s, d)), records)
 
 
 @query("p08_canonical_frame")
 def _(s, d):
-    raw = T.raw_text(s, d).drop("scrape_time").withColumnsRenamed({"symbol": "ticker", "trading_date": "date"})
+    raw = landing(s, d).drop("scrape_time").withColumnsRenamed({"symbol": "ticker", "trading_date": "date"})
     return Q.canonicalise(raw)
 
 
@@ -345,7 +362,7 @@ def _(s, d):
 
 @query("p10_optional_columns")
 def _(s, d):
-    return R.pick_columns(T.bars(s, d), ["symbol", "trading_date", "close", "not_there", "volume"])
+    return R.pick_columns(bars(s, d), ["symbol", "trading_date", "close", "not_there", "volume"])
 
 
 @query("p11_date_text")
@@ -360,14 +377,14 @@ def _(s, d):
 
 @query("p13_batch_label")
 def _(s, d):
-    return T.ticks(s, d).select("symbol", "scrape_time", L.batch_label(F.col("scrape_time")).alias("batch"))
+    return ticks(s, d).select("symbol", "scrape_time", L.batch_label(F.col("scrape_time")).alias("batch"))
 
 
 # Filters -----------------------------------------------------------------------
 
 @query("f01_missing_rejected")
 def _(s, d):
-    return Q.reject_missing(T.raw_text(s, d))
+    return Q.reject_missing(landing(s, d))
 
 
 @query("f02_sane_bars")
@@ -377,73 +394,73 @@ def _(s, d):
 
 @query("f03_clean_history")
 def _(s, d):
-    return Q.clean(T.raw_text(s, d))
+    return Q.clean(landing(s, d))
 
 
 @query("f04_clean_raw_keys")
 def _(s, d):
-    return Q.clean(T.raw_text(s, d), strict=False)
+    return Q.clean(landing(s, d), strict=False)
 
 
 @query("f05_weekdays")
 def _(s, d):
-    return D.weekdays(T.bars(s, d))
+    return D.weekdays(bars(s, d))
 
 
 @query("f06_parsable_dates")
 def _(s, d):
-    rows = T.raw_text(s, d).withColumn("day", X.parse_day(F.col("trading_date")))
+    rows = landing(s, d).withColumn("day", X.parse_day(F.col("trading_date")))
     return rows.filter(F.col("day").isNotNull()).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("f07_symbol_list")
 def _(s, d):
-    return R.for_symbols(T.bars(s, d), ["S000001", "S000003", "S000007"])
+    return R.for_symbols(bars(s, d), ["S000001", "S000003", "S000007"])
 
 
 @query("f08_date_range")
 def _(s, d):
-    return R.between_days(T.bars(s, d), "1996-03-01", "1998-02-28")
+    return R.between_days(bars(s, d), "1996-03-01", "1998-02-28")
 
 
 @query("f09_look_back")
 def _(s, d):
-    return R.look_back(T.bars(s, d), "2 years", "2000-06-30")
+    return R.look_back(bars(s, d), "2 years", "2000-06-30")
 
 
 @query("f10_day_formats")
 def _(s, d):
-    return T.raw_text(s, d).select("trading_date", X.parse_day_text(F.col("trading_date")).alias("day"))
+    return landing(s, d).select("trading_date", X.parse_day_text(F.col("trading_date")).alias("day"))
 
 
 @query("f11_intraday_slice")
 def _(s, d):
-    return R.one_day(T.ticks(s, d), "U000001", "2024-01-05").orderBy("scrape_time")
+    return R.one_day(ticks(s, d), "U000001", "2024-01-05").orderBy("scrape_time")
 
 
 @query("f12_search")
 def _(s, d):
-    return R.search(T.ticks(s, d), " ClicK ")
+    return R.search(ticks(s, d), " ClicK ")
 
 
 @query("f12_search_regex")
 def _(s, d):
-    return R.search(T.ticks(s, d), "^(click|VIEW)$", regex=True)
+    return R.search(ticks(s, d), "^(click|VIEW)$", regex=True)
 
 
 @query("f13_years")
 def _(s, d):
-    return R.in_years(T.bars(s, d), [1996, 1999])
+    return R.in_years(bars(s, d), [1996, 1999])
 
 
 @query("f14_month_range")
 def _(s, d):
-    return R.between_months(T.bars(s, d), (1996, 11), (1997, 2))
+    return R.between_months(bars(s, d), (1996, 11), (1997, 2))
 
 
 @query("f15_rank_one")
 def _(s, d):
-    return S.top_ranked(T.bars(s, d), ["source", "trading_date"], [F.col("volume").desc(), *S.snapshot_order(HISTORY_COLUMNS), F.col("symbol")])
+    return S.top_ranked(bars(s, d), ["source", "trading_date"], [F.col("volume").desc(), *S.snapshot_order(HISTORY_COLUMNS), F.col("symbol")])
 
 
 @query("f16_status")
@@ -453,13 +470,13 @@ def _(s, d):
 
 @query("f17_candle_split")
 def _(s, d):
-    return P.candle_direction(T.bars(s, d)).groupBy("symbol", "direction").agg(F.count(F.lit(1)).alias("n"))
+    return P.candle_direction(bars(s, d)).groupBy("symbol", "direction").agg(F.count(F.lit(1)).alias("n"))
 
 
 # Joins -------------------------------------------------------------------------
 
 def _indicator_frames(s, d) -> list[DataFrame]:
-    history, last = T.bars(s, d), closes(s, d)
+    history, last = bars(s, d), closes(s, d)
     volumes = C.with_market_rows(D.daily_volume_max(history), D.market_volume(history))
     return [
         volumes, D.running_close_range(last), D.close_streaks(last), D.intraday_volatility(last), D.liquidity(last),
@@ -474,8 +491,8 @@ def _(s, d):
 
 @query("j02_record_day_join")
 def _(s, d):
-    volumes = D.daily_volume_max(T.bars(s, d))
-    return C.attach_record_day(C.with_market_rows(volumes, D.market_volume(T.bars(s, d))), D.record_volume_day(volumes))
+    volumes = D.daily_volume_max(bars(s, d))
+    return C.attach_record_day(C.with_market_rows(volumes, D.market_volume(bars(s, d))), D.record_volume_day(volumes))
 
 
 @query("j03_monthly_outer_join")
@@ -488,11 +505,11 @@ def _(s, d):
 @query("j04_catalogue_lookup")
 def _(s, d):
     listed = T.symbols(s, d).filter(F.col("id") % 7 != 0)
-    return K.with_catalogue(D.daily_volume_max(T.bars(s, d)), listed)
+    return K.with_catalogue(D.daily_volume_max(bars(s, d)), listed)
 
 
 def _candidates(s, d) -> DataFrame:
-    return T.bars(s, d).select("symbol").distinct()
+    return bars(s, d).select("symbol").distinct()
 
 
 @query("j05_unlisted_symbols")
@@ -507,7 +524,7 @@ def _(s, d):
 
 @query("j06_rerun_guard")
 def _(s, d):
-    path, rows, cut = scratch_path(s, "rerun"), T.bars(s, d), F.lit("1999-01-01").cast("date")
+    path, rows, cut = scratch_path(s, "rerun"), bars(s, d), F.lit("1999-01-01").cast("date")
     W.append_new(rows.filter(F.col("trading_date") < cut), path)
     W.append_new(rows, path)
     W.append_new(rows, path)
@@ -518,32 +535,32 @@ def _(s, d):
 
 @query("a01_daily_volume_max")
 def _(s, d):
-    return D.daily_volume_max(T.bars(s, d))
+    return D.daily_volume_max(bars(s, d))
 
 
 @query("a02_daily_volume_sum")
 def _(s, d):
-    return D.daily_volume_sum(T.bars(s, d))
+    return D.daily_volume_sum(bars(s, d))
 
 
 @query("a03_max_intraday_drop")
 def _(s, d):
-    return D.max_intraday_drop(T.bars(s, d))
+    return D.max_intraday_drop(bars(s, d))
 
 
 @query("a04_market_volume")
 def _(s, d):
-    return D.market_volume(T.bars(s, d))
+    return D.market_volume(bars(s, d))
 
 
 @query("a05_monthly_volume")
 def _(s, d):
-    return D.monthly_volume(S.closing_values(T.bars(s, d), "volume"))
+    return D.monthly_volume(S.closing_values(bars(s, d), "volume"))
 
 
 @query("a06_monthly_average_close")
 def _(s, d):
-    return D.monthly_average_close(S.closing_values(T.bars(s, d), "close"))
+    return D.monthly_average_close(S.closing_values(bars(s, d), "close"))
 
 
 @query("a07_daily_close_range")
@@ -553,22 +570,22 @@ def _(s, d):
 
 @query("a08_record_volume_day")
 def _(s, d):
-    return D.record_volume_day(D.daily_volume_max(T.bars(s, d)))
+    return D.record_volume_day(D.daily_volume_max(bars(s, d)))
 
 
 @query("a09_ohlc_bars")
 def _(s, d):
-    return P.ohlc_bars(T.ticks(s, d))
+    return P.ohlc_bars(ticks(s, d))
 
 
 @query("a09_ohlc_bars_max_volume")
 def _(s, d):
-    return P.ohlc_bars(T.ticks(s, d), volume_mode="max")
+    return P.ohlc_bars(ticks(s, d), volume_mode="max")
 
 
 @query("a10_yearly_volume")
 def _(s, d):
-    return P.yearly_volume(T.bars(s, d))
+    return P.yearly_volume(bars(s, d))
 
 
 YEARS = list(range(1995, 2002))
@@ -576,17 +593,17 @@ YEARS = list(range(1995, 2002))
 
 @query("a10_yearly_volume_pivot")
 def _(s, d):
-    return P.pivot_volume(P.yearly_volume(T.bars(s, d), YEARS), "symbol", "year", YEARS)
+    return P.pivot_volume(P.yearly_volume(bars(s, d), YEARS), "symbol", "year", YEARS)
 
 
 @query("a10_yearly_volume_pivot_zero")
 def _(s, d):
-    return P.pivot_volume(P.yearly_volume(T.bars(s, d), YEARS), "symbol", "year", YEARS, fill_zero=True)
+    return P.pivot_volume(P.yearly_volume(bars(s, d), YEARS), "symbol", "year", YEARS, fill_zero=True)
 
 
 @query("a11_yearly_totals")
 def _(s, d):
-    return P.yearly_totals(P.yearly_volume(T.bars(s, d)))
+    return P.yearly_totals(P.yearly_volume(bars(s, d)))
 
 
 @query("a12_monthly_absolute_change")
@@ -642,27 +659,27 @@ def _(s, d):
 
 @query("a18_newest_days")
 def _(s, d):
-    return O.newest_days(T.ticks(s, d))
+    return O.newest_days(ticks(s, d))
 
 
 @query("a18_distinct_years")
 def _(s, d):
-    return O.distinct_years(T.bars(s, d))
+    return O.distinct_years(bars(s, d))
 
 
 @query("a19_distinct_months")
 def _(s, d):
-    return O.distinct_months(T.bars(s, d))
+    return O.distinct_months(bars(s, d))
 
 
 @query("a20_close_extremes")
 def _(s, d):
-    return P.close_extremes(R.between_days(T.bars(s, d), "1996-01-01", "1996-12-31"))
+    return P.close_extremes(R.between_days(bars(s, d), "1996-01-01", "1996-12-31"))
 
 
 @query("a21_row_counts")
 def _(s, d):
-    return D.weekdays(T.bars(s, d)).groupBy("trading_date").agg(F.count(F.lit(1)).alias("n"))
+    return D.weekdays(bars(s, d)).groupBy("trading_date").agg(F.count(F.lit(1)).alias("n"))
 
 
 # Windows -----------------------------------------------------------------------
@@ -707,7 +724,7 @@ def _(s, d):
 
 @query("w08_intraday_vwap")
 def _(s, d):
-    return P.running_vwap(T.ticks(s, d)).withColumn("vwap", six("vwap"))
+    return P.running_vwap(ticks(s, d)).withColumn("vwap", six("vwap"))
 
 
 @query("w08_period_vwap")
@@ -717,7 +734,7 @@ def _(s, d):
 
 @query("w08_snapshot_increments")
 def _(s, d):
-    return P.snapshot_increments(T.ticks(s, d)).select("symbol", "scrape_time", "volume", "added_volume")
+    return P.snapshot_increments(ticks(s, d)).select("symbol", "scrape_time", "volume", "added_volume")
 
 
 @query("w09_changes")
@@ -761,7 +778,7 @@ def _(s, d):
 
 @query("w16_last_quote")
 def _(s, d):
-    return S.latest_snapshot(T.ticks(s, d), ["symbol"])
+    return S.latest_snapshot(ticks(s, d), ["symbol"])
 
 
 @query("w17_intraday_volatility")
@@ -778,7 +795,7 @@ def _(s, d):
 
 @query("t02_newest_rows")
 def _(s, d):
-    return O.newest_rows(T.bars(s, d))
+    return O.newest_rows(bars(s, d))
 
 
 @query("t03_last_sessions")
@@ -793,12 +810,12 @@ def _(s, d):
 
 @query("t05_page")
 def _(s, d):
-    return O.history_page(T.bars(s, d), 40)
+    return O.history_page(bars(s, d), 40)
 
 
 @query("t05_last_page")
 def _(s, d):
-    return O.history_page(T.bars(s, d), 10**9)
+    return O.history_page(bars(s, d), 10**9)
 
 
 @query("t06_first_listed")
@@ -808,7 +825,7 @@ def _(s, d):
 
 @query("t07_limit")
 def _(s, d):
-    return T.bars(s, d).orderBy("symbol", "scrape_time", "close").limit(5)
+    return bars(s, d).orderBy("symbol", "scrape_time", "close").limit(5)
 
 
 # Set operations ----------------------------------------------------------------
@@ -816,7 +833,7 @@ def _(s, d):
 @query("u01_market_union")
 def _(s, d):
     return C.with_market_rows(
-        D.running_close_range(closes(s, d)), D.market_volume(T.bars(s, d))
+        D.running_close_range(closes(s, d)), D.market_volume(bars(s, d))
     )
 
 
@@ -833,37 +850,37 @@ def _typed(name: str, table: Query, *columns: Column | str):
     query(name)(lambda s, d: table(s, d).select(*[c() if callable(c) else c for c in columns]))
 
 
-_typed("x01_upper_trim", T.raw_text, lambda: X.normalise_symbol(F.col("symbol")).alias("symbol"),
+_typed("x01_upper_trim", landing, lambda: X.normalise_symbol(F.col("symbol")).alias("symbol"),
        lambda: F.length("symbol").alias("raw_length"))
-_typed("x02_casts", T.raw_text, lambda: X.to_price(F.col("close_price")).alias("price"),
+_typed("x02_casts", landing, lambda: X.to_price(F.col("close_price")).alias("price"),
        lambda: F.col("volume").cast("string").try_cast("bigint").alias("whole"),
        lambda: F.col("volume").cast("string").alias("volume_text"))
-_typed("x03_from_millis", T.raw_text, lambda: X.millis_to_timestamp(F.col("scrape_time")).alias("moment"))
-_typed("x04_day_formats", T.raw_text, lambda: X.parse_day(F.col("trading_date")).alias("day"))
-_typed("x05_weekday_number", T.bars, "symbol", "trading_date",
+_typed("x03_from_millis", landing, lambda: X.millis_to_timestamp(F.col("scrape_time")).alias("moment"))
+_typed("x04_day_formats", landing, lambda: X.parse_day(F.col("trading_date")).alias("day"))
+_typed("x05_weekday_number", bars, "symbol", "trading_date",
        lambda: F.dayofweek("trading_date").alias("dow"), lambda: F.weekday("trading_date").alias("wd"))
-_typed("x06_year_month", T.bars, "symbol", "scrape_time",
+_typed("x06_year_month", bars, "symbol", "scrape_time",
        lambda: F.year("trading_date").alias("y"), lambda: F.month("trading_date").alias("m"))
-_typed("x07_joined_text", T.bars, "scrape_time",
+_typed("x07_joined_text", bars, "scrape_time",
        lambda: F.concat_ws("-", F.year("trading_date"), F.month("trading_date"), F.dayofmonth("trading_date")).alias("ymd"))
-_typed("x08_round_half_up", T.bars, "symbol", "scrape_time", lambda: two_digits(F.col("open")).alias("open2"))
+_typed("x08_round_half_up", bars, "symbol", "scrape_time", lambda: two_digits(F.col("open")).alias("open2"))
 _typed("x09_clamped", T.bars_raw, "symbol", "scrape_time",
        lambda: clamp_at_zero(F.col("open") - F.col("close")).alias("fall"))
 
 
 @query("x10_liquidity")
 def _(s, d):
-    return D.liquidity(S.closing_values(T.bars(s, d), "volume"))
+    return D.liquidity(S.closing_values(bars(s, d), "volume"))
 
 
-_typed("x11_coalesce", T.raw_text, "symbol", "scrape_time",
+_typed("x11_coalesce", landing, "symbol", "scrape_time",
        lambda: F.coalesce(X.to_price(F.col("close_price")), X.to_price(F.col("open_price"))).alias("price"),
        lambda: F.coalesce(X.to_price(F.col("close_price")), F.lit(0)).alias("price_or_zero"))
-_typed("x12_date_text", T.bars, "scrape_time", lambda: F.date_format("trading_date", "MM/yyyy").alias("period"),
+_typed("x12_date_text", bars, "scrape_time", lambda: F.date_format("trading_date", "MM/yyyy").alias("period"),
        lambda: F.date_format("trading_date", "yyyy-MM").alias("sort_key"),
        lambda: F.date_format("trading_date", "dd/MM/yyyy").alias("day"))
-_typed("x13_month_end", T.bars, "scrape_time", lambda: F.last_day("trading_date").alias("month_end"))
-_typed("x14_month_label", T.bars, "scrape_time", lambda: L.month_label(F.month("trading_date")).alias("label"))
+_typed("x13_month_end", bars, "scrape_time", lambda: F.last_day("trading_date").alias("month_end"))
+_typed("x14_month_label", bars, "scrape_time", lambda: L.month_label(F.month("trading_date")).alias("label"))
 
 
 @query("x15_epoch_repair")
@@ -874,9 +891,9 @@ def _(s, d):
     return rows.withColumn("day", X.repair_epoch_day(F.col("raw_date")))
 
 
-_typed("x16_day_without_zone", T.ticks, "symbol", "scrape_time",
+_typed("x16_day_without_zone", ticks, "symbol", "scrape_time",
        lambda: F.col("scrape_time").cast("timestamp").cast("timestamp_ntz").cast("date").alias("day"))
-_typed("x17_display_text", T.ticks, "symbol", "scrape_time",
+_typed("x17_display_text", ticks, "symbol", "scrape_time",
        lambda: L.volume_text(F.col("volume")).alias("volume_text"),
        lambda: L.volume_text((F.col("volume") / 1000).cast("bigint")).alias("small_volume_text"),
        lambda: L.price_text(F.col("close") * 1000).alias("price_text"),
@@ -885,11 +902,11 @@ _typed("x17_display_text", T.ticks, "symbol", "scrape_time",
 
 @query("x18_text_match")
 def _(s, d):
-    rows = T.ticks(s, d).filter(F.col("source").rlike("(?i)^C") | F.contains("source", F.lit("err")))
+    rows = ticks(s, d).filter(F.col("source").rlike("(?i)^C") | F.contains("source", F.lit("err")))
     return rows.filter(F.startswith(F.col("trading_date").cast("string"), F.lit("2024-01")))
 
 
-_typed("x19_arithmetic", T.bars, "symbol", "scrape_time",
+_typed("x19_arithmetic", bars, "symbol", "scrape_time",
        lambda: F.abs(F.col("open") - F.col("close")).alias("gap"),
        lambda: six(F.sqrt(F.col("volume").cast("double"))).alias("root"),
        lambda: six(ratio(F.col("high") - F.col("close"), F.col("open") - F.col("close"))).alias("share"))
@@ -897,11 +914,11 @@ _typed("x19_arithmetic", T.bars, "symbol", "scrape_time",
 
 @query("x20_json_round_trip")
 def _(s, d):
-    encoded = M.as_messages(D.daily_volume_max(T.bars(s, d))).withColumn("topic", F.lit(M.DAILY_TOPIC))
+    encoded = M.as_messages(D.daily_volume_max(bars(s, d))).withColumn("topic", F.lit(M.DAILY_TOPIC))
     return M.daily_messages(encoded).select("symbol", "calc_date", "total_volume")
 
 
-_typed("x21_time_parts", T.ticks, "symbol", "scrape_time", lambda: F.hour("scrape_time").alias("h"),
+_typed("x21_time_parts", ticks, "symbol", "scrape_time", lambda: F.hour("scrape_time").alias("h"),
        lambda: F.minute("scrape_time").alias("mi"), lambda: F.date_format("scrape_time", "yyyyMMdd_HHmm").alias("label"),
        lambda: W.in_reset_window(F.col("scrape_time")).cast("int").alias("in_reset"))
 
@@ -924,10 +941,10 @@ def _topic(s, d) -> str:
     year or no average.
     """
     def write(path: str) -> None:
-        final = V.without_market(V.daily_analysis(T.bars(s, d)))
+        final = V.without_market(V.daily_analysis(bars(s, d)))
         morning = final.select("symbol", "calc_date", (F.col("total_volume") / 2).cast("bigint").alias("total_volume"),
                                "sma_price")
-        months = V.monthly_analysis(T.bars(s, d))
+        months = V.monthly_analysis(bars(s, d))
         month_number = F.col("calc_month")
         spoiled = months.withColumns({
             "calc_year": F.when(month_number != 3, F.col("calc_year")),
@@ -1006,7 +1023,7 @@ def _(s, d):
 @query("m04_same_day_refresh")
 def _(s, d):
     table = scratch_path(s, "refresh")
-    volumes = D.daily_volume_max(T.bars(s, d))
+    volumes = D.daily_volume_max(bars(s, d))
     half = volumes.withColumns({"total_volume": (F.col("total_volume") / 2).cast("bigint"), "seq": F.lit(1)})
     U.upsert_daily(half, f"{table}/daily", f"{table}/stage/1")
     afternoon = volumes.filter(F.year("calc_date") >= 1998).withColumn("seq", F.lit(2))
@@ -1018,7 +1035,7 @@ def _(s, d):
 @query("m05_snapshot_intake")
 def _(s, d):
     landing, path = scratch_path(s, "landing-stream"), scratch_path(s, "intake")
-    rows = T.ticks(s, d)
+    rows = ticks(s, d)
     rows.write.parquet(landing)
     for _ in range(2):
         stream = s.readStream.schema(rows.schema).parquet(landing)
@@ -1032,67 +1049,67 @@ def _(s, d):
 
 @query("v01_daily_analysis")
 def _(s, d):
-    return V.daily_analysis(T.bars(s, d))
+    return V.daily_analysis(bars(s, d))
 
 
 @query("v02_monthly_analysis")
 def _(s, d):
-    return V.monthly_analysis(T.bars(s, d))
+    return V.monthly_analysis(bars(s, d))
 
 
 @query("v03_increment_daily_analysis")
 def _(s, d):
-    return V.increment_daily_analysis(T.bars(s, d), market_filler=False)
+    return V.increment_daily_analysis(bars(s, d), market_filler=False)
 
 
 @query("v03_increment_daily_merged")
 def _(s, d):
-    rows = C.union_sparse(V.increment_daily_parts(T.bars(s, d)))
+    rows = C.union_sparse(V.increment_daily_parts(bars(s, d)))
     return C.conform(C.merge_sparse(rows, DAILY_KEY, "seq"), DAILY_SCHEMA)
 
 
 @query("v04_market_filler")
 def _(s, d):
-    return C.market_filler(D.market_volume(T.bars(s, d)))
+    return C.market_filler(D.market_volume(bars(s, d)))
 
 
 @query("v05_candlesticks")
 def _(s, d):
-    return V.candlesticks(T.bars(s, d))
+    return V.candlesticks(bars(s, d))
 
 
 @query("v06_intraday")
 def _(s, d):
-    return V.intraday(T.ticks(s, d)).withColumn("vwap", six("vwap"))
+    return V.intraday(ticks(s, d)).withColumn("vwap", six("vwap"))
 
 
 @query("v07_moving_averages")
 def _(s, d):
-    frame = V.moving_averages(T.bars(s, d)).select("symbol", "trading_date", "close", "ma_short", "ma_long", "cross")
+    frame = V.moving_averages(bars(s, d)).select("symbol", "trading_date", "close", "ma_short", "ma_long", "cross")
     return frame.withColumns({c: six(c) for c in ("ma_short", "ma_long")})
 
 
 @query("v08_volume_direction")
 def _(s, d):
-    return V.volume_direction(T.bars(s, d))
+    return V.volume_direction(bars(s, d))
 
 
 @query("v09_market_overview")
 def _(s, d):
-    overview = V.market_overview(T.bars(s, d), T.symbols(s, d))
+    overview = V.market_overview(bars(s, d), T.symbols(s, d))
     return overview.withColumns({c: six(c) for c in ("pct_change", "return_pct")})
 
 
 @query("v10_history_view")
 def _(s, d):
-    return V.history_view(T.ticks(s, d), 2, start="2024-01-05", end="2024-01-25", text="click", all_columns=True)
+    return V.history_view(ticks(s, d), 2, start="2024-01-05", end="2024-01-25", text="click", all_columns=True)
 
 
 @query("v10_daily_view")
 def _(s, d):
-    return V.daily_view(V.daily_analysis(T.bars(s, d)), 3, start="1996-01-01", end="1999-12-31")
+    return V.daily_view(V.daily_analysis(bars(s, d)), 3, start="1996-01-01", end="1999-12-31")
 
 
 @query("v10_monthly_view")
 def _(s, d):
-    return V.monthly_view(V.monthly_analysis(T.bars(s, d)), 2, year=1997)
+    return V.monthly_view(V.monthly_analysis(bars(s, d)), 2, year=1997)

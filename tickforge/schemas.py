@@ -65,6 +65,9 @@ CATALOGUE_SCHEMA = T.StructType([
     T.StructField("status", T.IntegerType()),
 ])
 
+# Partition column of stored histories and serving tables: the calendar month.
+MONTH = "p_month"
+
 SNAPSHOT_KEY = ["symbol", "trading_date", "scrape_time"]
 DAILY_KEY = ["symbol", "calc_date"]
 MONTHLY_KEY = ["symbol", "calc_year", "calc_month"]

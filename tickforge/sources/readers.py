@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tickforge.functions import parsing as P
 from tickforge.operators.filters import between_days, for_symbols
-from tickforge.schemas import DAILY_SCHEMA, HISTORY_COLUMNS, HISTORY_SCHEMA, MONTHLY_SCHEMA, PRICE, RAW_SCHEMA
+from tickforge.schemas import DAILY_SCHEMA, HISTORY_COLUMNS, HISTORY_SCHEMA, MONTH, MONTHLY_SCHEMA, PRICE, RAW_SCHEMA
 
 TEXT_FIELDS = 9
 
@@ -33,9 +33,20 @@ def is_missing_path(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """Cleaned history with its declared schema, so no file is opened to infer one."""
-    return spark.read.schema(HISTORY_SCHEMA).parquet(path).select(*HISTORY_COLUMNS)
+def read_history(
+    spark: SparkSession, path: str, start: date | str | None = None, end: date | str | None = None
+) -> DataFrame:
+    """Cleaned history with its declared schema, so no file is opened to infer one.
+
+    With both ends of a range given, a history stored by month lists only the
+    months of the range.
+    """
+    frame = spark.read.schema(HISTORY_SCHEMA).parquet(path)
+    if start is not None and end is not None:
+        frame = between_days(frame, start, end)
+        if MONTH in frame.columns:
+            frame = frame.filter(F.col(MONTH).between(str(start)[:7], str(end)[:7]))
+    return frame.select(*HISTORY_COLUMNS)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:

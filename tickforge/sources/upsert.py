@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 
 from tickforge.operators.consolidate import conform, merge_sparse
 from tickforge.operators.snapshots import top_ranked
-from tickforge.schemas import DAILY_KEY, DAILY_SCHEMA, MONTHLY_KEY, MONTHLY_SCHEMA
-from tickforge.sources.writers import MONTH, read_if_exists, replace_partitions
+from tickforge.schemas import DAILY_KEY, DAILY_SCHEMA, MONTH, MONTHLY_KEY, MONTHLY_SCHEMA
+from tickforge.sources.writers import read_if_exists, replace_partitions
 
 OLD_SEQUENCE = -1
 

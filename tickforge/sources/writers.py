@@ -14,11 +14,9 @@ from pyspark.sql import types as T
 
 from tickforge.functions.labels import batch_label
 from tickforge.operators.snapshots import deduplicate
-from tickforge.schemas import SNAPSHOT_KEY
+from tickforge.schemas import MONTH, SNAPSHOT_KEY
 from tickforge.sources.readers import is_missing_path
 
-MONTH = "p_month"
-
 
 def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
