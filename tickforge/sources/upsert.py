@@ -47,10 +47,22 @@ def merge_rows(
     raise ValueError(f"unknown merge mode: {mode}")
 
 
+def _located(spark: SparkSession, path: str):
+    """File system and path object of ``path``, wherever it is stored."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def _is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a write to ``path`` was committed."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    """Whether a write to ``path`` was committed, as its success marker tells."""
+    files, marker = _located(spark, f"{path}/_SUCCESS")
+    return files.exists(marker)
+
+
+def drop_stage(spark: SparkSession, stage: str) -> None:
+    """Remove the stage of a batch that cannot be repeated any more."""
+    files, place = _located(spark, stage)
+    files.delete(place, True)
 
 
 def upsert(

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickforge.schemas import SNAPSHOT_KEY
 from tickforge.sources import messages as M
-from tickforge.sources.upsert import upsert_daily, upsert_monthly
+from tickforge.sources.upsert import drop_stage, upsert_daily, upsert_monthly
 from tickforge.sources.writers import append_new
 
 
@@ -64,6 +64,9 @@ def consume(
                 monthly.filter(bad).select("topic", "offset", M.CORRUPT)
             )
             _quarantine(rejected, f"{root}/quarantine", batch_id)
+            # Only the last batch can be repeated, so the stage before it has served its purpose.
+            if batch_id > 0:
+                drop_stage(batch.sparkSession, f"{root}/stage/{batch_id - 1}")
         finally:
             cached.unpersist()
 
