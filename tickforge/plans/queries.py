@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge import tables as T
 from tickforge.functions import labels as L
 from tickforge.functions import parsing as X
-from tickforge.functions.numeric import clamp_at_zero, exact_mean, ratio, two_digits
+from tickforge.functions.numeric import clamp_at_zero, ratio, two_digits
 from tickforge.operators import catalogue as K
 from tickforge.operators import clean as Q
 from tickforge.operators import consolidate as C

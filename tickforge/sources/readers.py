@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tickforge.functions import parsing as P
 from tickforge.operators.filters import between_days, for_symbols
-from tickforge.schemas import DAILY_SCHEMA, HISTORY_COLUMNS, HISTORY_SCHEMA, MONTH, MONTHLY_SCHEMA, PRICE, RAW_SCHEMA
+from tickforge.schemas import DAILY_SCHEMA, HISTORY_COLUMNS, HISTORY_SCHEMA, MONTH, MONTHLY_SCHEMA, PRICE, RAW_SCHEMA, ROW_CAP
 
 TEXT_FIELDS = 9
 
@@ -146,6 +146,14 @@ def read_database(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
 
 
+def read_newest(
+    spark: SparkSession, options: dict[str, str], symbols: list[str] | None = None, start=None, end=None, n: int = ROW_CAP
+) -> DataFrame:
+    """Newest rows of a database table; the database filters, sorts and cuts."""
+    table = read_database(spark, options)
+    return between_days(for_symbols(table, symbols), start, end).orderBy(F.desc("trading_date")).limit(n)
+
+
 def read_daily(
     spark: SparkSession, path: str, symbols: list[str] | None = None, start=None, end=None
 ) -> DataFrame:
