@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge.llm.common import table
+from tickforge.llm.quality import quality_report
 from tickforge.llm.sharding import assign_shards
 from tickforge.llm.warc import archive_pages
 
@@ -33,5 +34,78 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_sharding": op2_sharding}
-ORACLE = {"op1_warc": OP1_SQL}
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+OP3_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+),
+windows AS (
+    SELECT rid, i, count(*) OVER (PARTITION BY rid, k) AS n
+    FROM (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS k
+          FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM d))
+),
+repeats AS (
+    SELECT rid, count(DISTINCT j) AS n_repeat_words
+    FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS j FROM windows WHERE n > 1) GROUP BY rid
+),
+lines AS (
+    SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+    FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid
+),
+stats AS (
+    SELECT rid, doc_id, lang, source, len(ws)::BIGINT AS n_words,
+           length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+           (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+           coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+           coalesce(n_lines, 0) AS n_lines
+    FROM d LEFT JOIN repeats USING (rid) LEFT JOIN lines USING (rid)
+),
+metrics AS (
+    SELECT rid, lang, source, unnest([
+        {'m': 'symbols', 'v': 1000 * n_symbols // n_words}, {'m': 'dup_lines', 'v': 1000 * n_dup_lines // n_lines},
+        {'m': 'repeats', 'v': 1000 * n_repeat_words // n_words}, {'m': 'word_length', 'v': 1000 * word_chars // n_words}]) AS e
+    FROM stats WHERE n_words > 0
+),
+bins AS (
+    SELECT lang, source, e.m AS m, (e.v >> greatest(length(bin(e.v)) - 5, 0)) << greatest(length(bin(e.v)) - 5, 0) AS b
+    FROM metrics
+),
+s AS (SELECT lang, source, m, count(*) AS n, list_sort(list(b)) AS l FROM bins GROUP BY ALL),
+l AS (SELECT lang, m, count(*) AS n, list_sort(list(b)) AS l FROM bins GROUP BY ALL),
+a AS (SELECT m, count(*) AS n, list_sort(list(b)) AS l FROM bins GROUP BY ALL),
+chosen AS (
+    SELECT s.lang, s.source, s.m, CASE WHEN s.n >= 100 THEN s.l WHEN l.n >= 100 THEN l.l ELSE a.l END AS v,
+           CASE s.m WHEN 'symbols' THEN 25 WHEN 'word_length' THEN 500 ELSE 125 END AS least
+    FROM s JOIN l ON s.lang IS NOT DISTINCT FROM l.lang AND s.m = l.m JOIN a ON s.m = a.m
+),
+q AS (
+    SELECT *, v[ceil(len(v) * 0.25)::INT] AS q1, v[ceil(len(v) * 0.5)::INT] AS q2, v[ceil(len(v) * 0.75)::INT] AS q3 FROM chosen
+),
+bounds AS (
+    SELECT lang, source, m,
+           q2 + 4 * greatest(least, q2 - q1, CASE WHEN m = 'word_length' THEN q3 - q2 ELSE 0 END) AS high,
+           CASE WHEN m = 'word_length' THEN q2 - 4 * greatest(least, q2 - q1, q3 - q2) ELSE -1 END AS low
+    FROM q
+),
+fine AS (
+    SELECT x.rid, bool_and(x.e.v BETWEEN b.low AND b.high) AS ok
+    FROM metrics x JOIN bounds b
+      ON x.lang IS NOT DISTINCT FROM b.lang AND x.source IS NOT DISTINCT FROM b.source AND x.e.m = b.m
+    GROUP BY x.rid
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND coalesce(ok, false) AS kept
+FROM stats LEFT JOIN fine USING (rid)
+"""
+
+
+QUERIES = {"op1_warc": op1_warc, "op2_sharding": op2_sharding, "op3_quality": op3_quality}
+ORACLE = {"op1_warc": OP1_SQL, "op3_quality": OP3_SQL}
