@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import table
+from tickforge.llm.common import in_fold, out_of_fold, table
+from tickforge.llm.language import identify, train_languages
 from tickforge.llm.quality import quality_report
 from tickforge.llm.sharding import assign_shards
+from tickforge.llm.simhash import near_copies
 from tickforge.llm.warc import archive_pages
 
 
@@ -107,5 +109,22 @@ FROM stats LEFT JOIN fine USING (rid)
 """
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_sharding": op2_sharding, "op3_quality": op3_quality}
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_languages(docs.filter(out_of_fold("doc_id", 4, 2)))
+    return identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", in_fold("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+QUERIES = {
+    "op1_warc": op1_warc,
+    "op2_sharding": op2_sharding,
+    "op3_quality": op3_quality,
+    "op5_language": op5_language,
+    "op6_simhash": op6_simhash,
+}
 ORACLE = {"op1_warc": OP1_SQL, "op3_quality": OP3_SQL}
