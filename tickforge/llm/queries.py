@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickforge.llm.bpe import encoding_digests
 from tickforge.llm.common import in_fold, out_of_fold, table
 from tickforge.llm.language import identify, train_languages
 from tickforge.llm.quality import quality_report
 from tickforge.llm.sharding import assign_shards
 from tickforge.llm.simhash import near_copies
+from tickforge.llm.token_files import token_files
 from tickforge.llm.warc import archive_pages
 
 
@@ -120,11 +123,21 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_sharding": op2_sharding,
     "op3_quality": op3_quality,
     "op5_language": op5_language,
     "op6_simhash": op6_simhash,
+    "op8_token_files": op8_token_files,
+    "op10_bpe": op10_bpe,
 }
 ORACLE = {"op1_warc": OP1_SQL, "op3_quality": OP3_SQL}
