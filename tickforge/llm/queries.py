@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from tickforge.llm.bpe import encoding_digests
 from tickforge.llm.common import in_fold, out_of_fold, table
+from tickforge.llm.decontaminate import find_passages
 from tickforge.llm.language import identify, train_languages
 from tickforge.llm.quality import quality_report
 from tickforge.llm.sharding import assign_shards
 from tickforge.llm.simhash import near_copies
 from tickforge.llm.token_files import token_files
+from tickforge.llm.toxicity import score_toxicity, train_toxicity
 from tickforge.llm.warc import archive_pages
 
 
@@ -112,6 +114,14 @@ FROM stats LEFT JOIN fine USING (rid)
 """
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(out_of_fold("doc_id", 5, 0))
+    model = train_toxicity(docs, labels)
+    return score_toxicity(docs.select("doc_id", "text"), model).select(
+        "doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train_languages(docs.filter(out_of_fold("doc_id", 4, 2)))
@@ -127,6 +137,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -135,9 +149,11 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_sharding": op2_sharding,
     "op3_quality": op3_quality,
+    "op4_toxicity": op4_toxicity,
     "op5_language": op5_language,
     "op6_simhash": op6_simhash,
     "op8_token_files": op8_token_files,
+    "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
 }
 ORACLE = {"op1_warc": OP1_SQL, "op3_quality": OP3_SQL}
