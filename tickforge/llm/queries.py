@@ -11,6 +11,7 @@ from tickforge.llm.common import in_fold, out_of_fold, table
 from tickforge.llm.decontaminate import find_passages
 from tickforge.llm.language import identify, train_languages
 from tickforge.llm.quality import quality_report
+from tickforge.llm.scoring import score_texts
 from tickforge.llm.sharding import assign_shards
 from tickforge.llm.simhash import near_copies
 from tickforge.llm.token_files import token_files
@@ -133,6 +134,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op7_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), out_of_fold("doc_id", 7, 2), in_fold("doc_id", 7, 2),
+                       public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -152,6 +158,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_language": op5_language,
     "op6_simhash": op6_simhash,
+    "op7_attention": op7_attention,
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
