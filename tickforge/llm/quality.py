@@ -19,10 +19,10 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 STATISTICS = [*BASE, "n_lines"]
 #: A metric is an integer in steps of 1/1000 so that sketches are exact about their bins.
 METRICS = {
-    "symbols": ("high", "1000 * n_symbols div n_words"),
-    "dup_lines": ("high", "1000 * n_dup_lines div n_lines"),
-    "repeats": ("high", "1000 * n_repeat_words div n_words"),
-    "word_length": ("both", "1000 * word_chars div n_words"),
+    "symbols": ("high", "1000 * n_symbols div nullif(n_words, 0)"),
+    "dup_lines": ("high", "1000 * n_dup_lines div nullif(n_lines, 0)"),
+    "repeats": ("high", "1000 * n_repeat_words div nullif(n_words, 0)"),
+    "word_length": ("both", "1000 * word_chars div nullif(n_words, 0)"),
 }
 SIGNIFICANT_BITS = 5
 #: Least spread per metric: a uniform group tolerates that much, times ``REACH``, around its median.
