@@ -107,7 +107,8 @@ def _store(fs, root: str, name: str, records: list[bytes]) -> dict:
     data = dictionary.as_bytes()
     packer = zstandard.ZstdCompressor(level=3, dict_data=dictionary, write_content_size=True)
     total = 8 + len(data)
-    with fs.open_output_stream(f"{root}/{name}") as out:
+    # The name's ending must not make the file system compress the stream once more.
+    with fs.open_output_stream(f"{root}/{name}", compression=None) as out:
         out.write(struct.pack("<II", SKIPPABLE_MAGIC, len(data)) + data)
         for record in records:
             frame = packer.compress(record)
@@ -117,7 +118,7 @@ def _store(fs, root: str, name: str, records: list[bytes]) -> dict:
 
 
 def build_dictionary(records: list[bytes], size: int = DICTIONARY_BYTES, training_bytes: int = TRAINING_BYTES):
-    """Dictionary from an archive's records, evenly spaced up to ``training_bytes``.
+    """Dictionary from an archive's records, evenly spaced up to ``training_bytes``; a small archive gets a small one.
 
     The bound only affects how well records compress.  Where the records are too few or too
     small for training, their own bytes serve as a raw dictionary.
@@ -125,6 +126,7 @@ def build_dictionary(records: list[bytes], size: int = DICTIONARY_BYTES, trainin
     import zstandard
 
     total = sum(map(len, records))
+    size = max(1 << 10, min(size, total // 32))
     samples = [r[:training_bytes] for r in records[:: max(1, -(-total // training_bytes))]]
     try:
         return zstandard.train_dictionary(size, samples, k=256, d=8)
@@ -198,7 +200,7 @@ def archive_records(path: str):
     import zstandard
 
     fs, inner = local_form(path)
-    with fs.open_input_stream(inner) as source:
+    with fs.open_input_stream(inner, compression=None) as source:
         magic, length = struct.unpack("<II", source.read(8))
         if magic != SKIPPABLE_MAGIC:
             raise ValueError(f"{path}: no dictionary frame")
