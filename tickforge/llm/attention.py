@@ -51,7 +51,8 @@ class Model:
 # Distance of key column j from query row i, and whether the key lies in the past.
 _I, _J = np.arange(BLOCK)[:, None], np.arange(2 * BLOCK)[None, :]
 DISTANCE = np.clip(BLOCK + _I - _J, 0, 2 * BLOCK - 1)
-FUTURE = (_J > BLOCK + _I)
+NEVER = np.float32(-1e9)
+HIDDEN = np.where(_J > BLOCK + _I, NEVER, np.float32(0))
 
 
 def blocks_of(sequences: list[np.ndarray], fill: int) -> tuple[np.ndarray, np.ndarray]:
@@ -66,27 +67,30 @@ def blocks_of(sequences: list[np.ndarray], fill: int) -> tuple[np.ndarray, np.nd
     return out.reshape(-1, BLOCK), follows
 
 
-def _with_past(x: np.ndarray, past: np.ndarray) -> np.ndarray:
-    return np.concatenate([past, x], axis=1)
-
-
 def _attend(w, x, past_x, follows):
     q = (x @ w["query"]) * np.float32(WIDTH ** -0.5)
-    both = _with_past(x, past_x)
+    both = np.concatenate([past_x, x], axis=1)
     k, v = both @ w["key"], both @ w["value"]
-    s = q @ k.transpose(0, 2, 1) + w["distance"][DISTANCE]
-    s[:, FUTURE] = -1e9
-    s[~follows, :, :BLOCK] = -1e9
-    s -= s.max(2, keepdims=True)
-    a = np.exp(s)
+    a = q @ k.transpose(0, 2, 1)
+    a += w["distance"][DISTANCE] + HIDDEN
+    a[~follows, :, :BLOCK] = NEVER
+    a -= a.max(2, keepdims=True)
+    np.exp(a, out=a)
     a /= a.sum(2, keepdims=True)
     o = a @ v
     return q, both, k, v, a, o, x + o @ w["out"]
 
 
-def _log_softmax(z):
-    z = z - z.max(-1, keepdims=True)
-    return z - np.log(np.exp(z).sum(-1, keepdims=True))
+def _exp_logits(w, h, targets):
+    """Exponentials of the logits less their maximum, their sums, and the log probability of each target."""
+    z = h.reshape(-1, WIDTH) @ w["classes"]
+    z += w["bias"]
+    z -= z.max(1, keepdims=True)
+    rows = np.arange(len(z))
+    picked = z[rows, np.maximum(targets.ravel(), 0)]
+    np.exp(z, out=z)
+    total = z.sum(1)
+    return z, total, picked - np.log(total), rows
 
 
 def _past(x: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -97,15 +101,14 @@ def class_log10(model: Model, ids: np.ndarray, follows: np.ndarray, targets: np.
     """log10 probability of the target class at every position; 0 where the target is negative."""
     w = model.weights
     out = np.zeros(targets.shape)
-    before = np.zeros((BLOCK, WIDTH), np.float32)
+    before = np.zeros((BLOCK, WIDTH), w["embed"].dtype)
     for i in range(0, len(ids), at_once):
         part = slice(i, i + at_once)
         x = w["embed"][ids[part]]
         h = _attend(w, x, _past(x, before), follows[part])[-1]
         before = x[-1]
         t = targets[part]
-        p = _log_softmax(h @ w["classes"] + w["bias"])
-        out[part] = np.where(t >= 0, np.take_along_axis(p, np.maximum(t, 0)[..., None], 2)[..., 0], 0)
+        out[part] = np.where(t >= 0, _exp_logits(w, h, t)[2].reshape(t.shape), 0)
     return out / LOG10
 
 
@@ -113,42 +116,51 @@ def gradients(model: Model, ids, follows, targets) -> tuple[float, int, dict[str
     """Summed negative log likelihood in nats, number of targets, gradient of their mean."""
     w = model.weights
     x = w["embed"][ids]
-    past = _past(x, np.zeros((BLOCK, WIDTH), np.float32))
+    past = _past(x, np.zeros((BLOCK, WIDTH), x.dtype))
     q, both, k, v, a, o, h = _attend(w, x, past, follows)
-    logp = _log_softmax(h @ w["classes"] + w["bias"])
-    known = targets >= 0
+    dz, total, logs, rows = _exp_logits(w, h, targets)
+    known = targets.ravel() >= 0
     n = int(known.sum())
-    picked = np.take_along_axis(logp, np.maximum(targets, 0)[..., None], 2)[..., 0]
-    loss = -float(picked[known].sum())
-    dz = np.exp(logp)
-    np.put_along_axis(dz, np.maximum(targets, 0)[..., None],
-                      np.take_along_axis(dz, np.maximum(targets, 0)[..., None], 2) - 1, 2)
-    dz *= known[..., None] / np.float32(max(n, 1))
+    loss = -float(logs[known].sum())
+    # From here on dz is the gradient of the mean loss by the logits.
+    scale = np.where(known, np.float32(1 / max(n, 1)), np.float32(0))
+    dz *= (scale / total)[:, None]
+    dz[rows, np.maximum(targets.ravel(), 0)] -= scale
     g = {}
 
     def outer(left, right):
         return left.reshape(-1, left.shape[-1]).T @ right.reshape(-1, right.shape[-1])
 
-    g["classes"], g["bias"] = outer(h, dz), dz.sum((0, 1))
-    dh = dz @ w["classes"].T
+    g["classes"], g["bias"] = outer(h, dz), dz.sum(0)
+    dh = (dz @ w["classes"].T).reshape(h.shape)
     g["out"] = outer(o, dh)
     do = dh @ w["out"].T
-    da = do @ v.transpose(0, 2, 1)
+    ds = do @ v.transpose(0, 2, 1)
     dv = a.transpose(0, 2, 1) @ do
-    ds = a * (da - (da * a).sum(2, keepdims=True))
-    g["distance"] = np.bincount(DISTANCE.ravel(), ds.sum(0).ravel(), 2 * BLOCK).astype(np.float32)
+    # The weighted mean of ds under the attention is do . o, row by row.
+    ds -= (do * o).sum(2, keepdims=True)
+    ds *= a
+    g["distance"] = np.bincount(DISTANCE.ravel(), ds.sum(0).ravel(), 2 * BLOCK).astype(x.dtype)
     dq = (ds @ k) * np.float32(WIDTH ** -0.5)
     dk = ds.transpose(0, 2, 1) @ q
     g["query"], g["key"], g["value"] = outer(x, dq), outer(both, dk), outer(both, dv)
     dboth = dk @ w["key"].T + dv @ w["value"].T
     dx = dh + dq @ w["query"].T + dboth[:, BLOCK:]
     dx[:-1] += dboth[1:, :BLOCK] * follows[1:, None, None]
-    flat = ids.ravel()
-    columns = dx.reshape(-1, WIDTH)
-    g["embed"] = np.stack([np.bincount(flat, columns[:, d], len(w["embed"])) for d in range(WIDTH)], 1).astype(np.float32)
+    g["embed"] = _rows_added(ids.ravel(), dx.reshape(-1, WIDTH), len(w["embed"]))
     return loss, n, g
 
 
+def _rows_added(ids: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """Rows summed by id."""
+    order = np.argsort(ids, kind="stable")
+    ordered = ids[order]
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    out = np.zeros((size, rows.shape[1]), rows.dtype)
+    out[ordered[first]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
 class Adam:
     """Adam with a rate that falls with the number of steps."""
 
