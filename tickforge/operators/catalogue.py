@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickforge.functions.parsing import normalise_symbol
-from tickforge.operators.snapshots import top_ranked
 from tickforge.schemas import CATALOGUE_SCHEMA, DEFAULT_SOURCE, FALLBACK_SYMBOLS
 
 
@@ -41,34 +40,52 @@ def listed_symbols(candidates: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 
 def apply_changes(catalogue: DataFrame, changes: DataFrame) -> DataFrame:
-    """The catalogue after a set of edits, one edit per symbol.
+    """The catalogue after edits, applied per symbol in the order of ``seq``.
 
-    ``changes`` has columns op, symbol, bank_name, source, status, id.
-    insert adds an unlisted symbol with status 1 and leaves a listed one as it
-    is; update sets the given values of a listed symbol; status sets only the
-    status; delete removes the symbol.  With several edits of one symbol the
-    one with the highest ``seq`` counts.
+    ``changes`` has columns op, symbol, bank_name, source, status, id and ``seq`` (without it
+    there is one edit per symbol).  insert adds an unlisted symbol with status 1 and leaves a listed one as it
+    is; update sets the given values of a listed symbol; status sets only the status; delete
+    removes the symbol, which a later insert lists anew.  Symbols are normalised on both sides.
+
+    The catalogue's own row counts as a first insert.  Of a symbol's rows only those after its last delete and from
+    the first insert on have an effect; each column then takes its last given value.
     """
-    edits = changes.withColumn("symbol", normalise_symbol(F.col("symbol")))
-    if "seq" in edits.columns:
-        edits = top_ranked(edits, ["symbol"], [F.col("seq").desc()])
-    old, new = catalogue.alias("old"), edits.alias("new")
-    listed, op = F.col("old.symbol").isNotNull(), F.col("new.op")
-    keep = F.when(listed, ~F.coalesce(op == "delete", F.lit(False))).otherwise(op == "insert")
-    edited = listed & op.isin("update", "status")
-
-    def value(name: str, ops: list[str]):
-        changed = F.coalesce(F.col(f"new.{name}"), F.col(f"old.{name}"))
-        return F.when(edited & op.isin(ops), changed).when(listed, F.col(f"old.{name}")).otherwise(F.col(f"new.{name}"))
-
-    joined = old.join(new, F.col("old.symbol") == F.col("new.symbol"), "full_outer").filter(keep)
-    return joined.select(
-        F.coalesce("old.id", "new.id").alias("id"),
-        F.coalesce("old.symbol", "new.symbol").alias("symbol"),
-        value("bank_name", ["update"]).alias("bank_name"),
-        value("source", ["update"]).alias("source"),
-        F.when(listed, value("status", ["update", "status"])).otherwise(F.lit(1)).cast("int").alias("status"),
-    )
+    changes = changes if "seq" in changes.columns else changes.withColumn("seq", F.lit(0))
+    columns = ["symbol", "op", "seq", "id", "bank_name", "source", "status"]
+    listed = catalogue.withColumns({
+        "symbol": normalise_symbol(F.col("symbol")), "op": F.lit("insert"), "seq": F.lit(None).cast("bigint")})
+    edits = changes.withColumns({
+        "symbol": normalise_symbol(F.col("symbol")), "seq": F.col("seq").cast("bigint"),
+        "status": F.when(F.col("op") == "insert", F.lit(1)).otherwise(F.col("status")).cast("int")})
+    by_symbol = Window.partitionBy("symbol")
+    # The catalogue's row has no number and comes first.
+    upto = by_symbol.orderBy(F.col("seq").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    deletes = F.count_if(F.col("op") == "delete")
+    rows = listed.select(*columns).unionByName(edits.select(*columns)).withColumns({
+        "_place": F.row_number().over(by_symbol.orderBy(F.col("seq").asc_nulls_first())),
+        "_gone": deletes.over(upto), "_deletes": deletes.over(by_symbol)})
+    live = rows.filter((F.col("_gone") == F.col("_deletes")) & (F.col("op") != "delete"))
+    base = F.min(F.when(F.col("op") == "insert", F.col("_place"))).over(by_symbol)
+    live = live.withColumn("_base", base).filter(
+        (F.col("_place") == F.col("_base")) | ((F.col("_place") > F.col("_base")) & (F.col("op") != "insert")))
+
+    def last(name: str, *ops: str):
+        given = F.col(name).isNotNull() & ((F.col("_place") == F.col("_base")) | F.col("op").isin(*ops))
+        return F.max_by(name, F.when(given, F.col("_place"))).alias(name)
+
+    return live.groupBy("symbol").agg(
+        F.min_by("id", "_place").alias("id"), last("bank_name", "update"), last("source", "update"), last("status", "update", "status"),
+    ).select("id", "symbol", "bank_name", "source", F.col("status").cast("int").alias("status"))
+
+
+def symbols_to_capture(catalogue: DataFrame) -> DataFrame:
+    """Active symbols, or the fixed capture list when the catalogue lists none."""
+    return first_non_empty(active_symbols(catalogue), fallback_symbols(catalogue.sparkSession))
+
+
+def first_non_empty(primary: DataFrame, fallback: DataFrame) -> DataFrame:
+    """``fallback`` when ``primary`` has no rows; probes for a single row."""
+    return fallback if primary.isEmpty() else primary
 
 
 def source_shares(catalogue: DataFrame) -> DataFrame:

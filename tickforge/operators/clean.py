@@ -71,6 +71,8 @@ def canonicalise(frame: DataFrame, price_type: str = PRICE) -> DataFrame:
     present = set(frame.columns)
     renamed = frame.withColumnsRenamed({old: new for old, new in CANONICAL_NAMES.items() if old in present and new not in present})
     typed = {"trading_date": P.parse_day(F.col("trading_date").cast("string"))}
+    if "scrape_time" in renamed.columns:
+        typed["scrape_time"] = P.parse_moment(F.col("scrape_time").cast("string"))
     for name in NUMERIC:
         if name in renamed.columns:
             target = "bigint" if name == "volume" else price_type

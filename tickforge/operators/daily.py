@@ -64,6 +64,11 @@ def market_volume(history: DataFrame) -> DataFrame:
     return per_day.select(F.lit(MARKET_SYMBOL).alias("symbol"), "calc_date", "total_volume")
 
 
+def with_market_key(per_day: DataFrame) -> DataFrame:
+    """Rows of the whole market, named as such."""
+    return per_day.withColumn("symbol", F.lit(MARKET_SYMBOL))
+
+
 def _monthly(closes: DataFrame, *aggregates: Column) -> DataFrame:
     keys = ["symbol", F.year("trading_date").alias("calc_year"), F.month("trading_date").alias("calc_month")]
     return closes.groupBy(*keys).agg(*aggregates)

@@ -185,12 +185,20 @@ def symbol_statistics(closes: DataFrame) -> DataFrame:
 
 
 def monthly_absolute_change(closes: DataFrame, months: int = 18) -> DataFrame:
-    """Mean absolute percent change per symbol and month, newest months of the table."""
-    changed = with_changes(closes).withColumn("month", F.date_format("trading_date", "yyyy-MM"))
+    """Mean absolute percent change per symbol and month, newest months of the table.
+
+    The first day of those months is found from the days alone; changes are then computed on
+    the rows from there on and the last row of each symbol before.
+    """
     # One row per calendar month at most, then at most ``months`` rows.
-    kept = changed.select("month").distinct().orderBy(F.desc("month")).limit(months)
-    means = changed.groupBy("symbol", "month").agg((F.avg(F.abs("pct_change")) * 100).alias("mean_abs_pct"))
-    return means.join(F.broadcast(kept), "month", "left_semi")
+    firsts = closes.select(F.trunc("trading_date", "month").alias("first")).distinct().orderBy(F.desc("first")).limit(months)
+    start = firsts.agg(F.min("first").alias("start")).scalar()
+    recent = closes.filter(F.col("trading_date") >= start).select("symbol", "trading_date", "close")
+    before = closes.filter(F.col("trading_date") < start).groupBy("symbol").agg(
+        F.max("trading_date").alias("trading_date"), F.max_by("close", "trading_date").alias("close"))
+    changed = with_changes(recent.unionByName(before)).filter(F.col("trading_date") >= start)
+    return changed.groupBy("symbol", F.date_format("trading_date", "yyyy-MM").alias("month")).agg(
+        (F.avg(F.abs("pct_change")) * 100).alias("mean_abs_pct")).select("month", "symbol", "mean_abs_pct")
 
 
 def monthly_distribution(closes: DataFrame, period: str = "yyyy-MM") -> DataFrame:
@@ -238,10 +246,21 @@ def yearly_volume(history: DataFrame, years: list[int] | int | None = None) -> D
 
 
 def pivot_volume(long: DataFrame, rows: str, columns: str, values: list, fill_zero: bool = False) -> DataFrame:
-    """Pivot of ``yearly_volume``; column values are given, so the schema is fixed."""
-    wide = long.groupBy(rows).pivot(columns, values).agg(F.sum("volume"))
+    """Pivot of ``yearly_volume``; column values are given, so the schema is fixed.
+
+    A value outside ``values`` raises when the pivot runs: none is left out silently.
+    """
+    outside = F.concat(F.lit(f"value outside the columns of {columns}: "), F.col(columns).cast("string"))
+    known = F.when(F.col(columns).isNull() | F.col(columns).isin(values), F.col(columns)).otherwise(F.raise_error(outside))
+    wide = long.withColumn(columns, known).groupBy(rows).pivot(columns, values).agg(F.sum("volume"))
     return wide.fillna(0, subset=[str(v) for v in values]) if fill_zero else wide
 
 
+def yearly_matrix(long: DataFrame, symbols: list[str]) -> DataFrame:
+    """Year by symbol with a ``total`` column; years without volume of a symbol show 0."""
+    wide = pivot_volume(long, "year", "symbol", symbols, fill_zero=True)
+    return wide.withColumn("total", sum((F.col(f"`{s}`") for s in symbols[1:]), F.col(f"`{symbols[0]}`")))
+
+
 def yearly_totals(long: DataFrame) -> DataFrame:
     return long.groupBy("year").agg(F.sum("volume").alias("total_volume"))

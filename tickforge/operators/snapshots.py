@@ -39,26 +39,41 @@ def deduplicate(history: DataFrame, keys: list[str] = SNAPSHOT_KEY) -> DataFrame
     return top_ranked(history, keys, snapshot_order(history.columns))
 
 
+def closing_row(history: DataFrame, columns: tuple[str, ...]) -> Column:
+    """Aggregate: values of the first row in ``snapshot_order``, all of the same row.
+
+    The order is written as one struct whose least value is kept, so equal times and even
+    equal keys give the same row whatever order rows come in.  Descending columns are negated
+    with nulls last, as in ``snapshot_order``.
+    """
+    time = -F.expr("unix_micros(cast(scrape_time as timestamp))")
+    down = [("time", time, "bigint"), *[(c, -F.col(c), t) for c, t in (("close", "decimal(18,4)"), ("volume", "bigint"),
+                                                                    ("open", "decimal(18,4)")) if c in history.columns]]
+    keys = [F.struct(v.isNull(), v.cast(t)).alias(f"by_{n}") for n, v, t in down]
+    ties = [F.col(c).alias(f"by_{c}") for c in ("source", "high", "low") if c in history.columns]
+    return F.min(F.struct(*keys, *ties, *[F.col(c).alias(c) for c in columns]))
+
+
 def closing_values(history: DataFrame, *columns: str) -> DataFrame:
-    """Values of the newest snapshot per symbol and day, by hash aggregation.
+    """Values of the newest snapshot per symbol and day, in one aggregation.
 
-    ``history`` must hold each (symbol, trading_date, scrape_time) once, which
-    ``clean`` and ``append_new`` guarantee.  All buffers are fixed-width, so
-    partial aggregates form on the map side without sorting.
+    A map task sends one row per symbol and day.
     """
-    picks = [F.max_by(c, "scrape_time").alias(c) for c in columns]
-    return history.groupBy(*DAY_KEY).agg(*picks)
+    picked = history.groupBy(*DAY_KEY).agg(closing_row(history, columns).alias("_last"))
+    return picked.select(*DAY_KEY, *[F.col(f"_last.{c}").alias(c) for c in columns])
 
 
 def daily_summary(history: DataFrame) -> DataFrame:
     """Everything the daily indicators need from the snapshots, in one aggregation.
 
-    Same contract as ``closing_values``.  Later steps work on one row per symbol
-    and day, so a symbol never holds more rows than there are calendar days.
+    Later steps work on one row per symbol and day, so a symbol never holds more rows than
+    there are calendar days.
     """
+    columns = ("close", "volume", "open", "high", "low")
+    figures = ["max_volume", "sum_volume", "max_drop"]
     return history.groupBy(*DAY_KEY).agg(
         F.max("volume").alias("max_volume"),
         F.sum("volume").alias("sum_volume"),
         F.max(clamp_at_zero(F.col("open") - F.col("low"))).alias("max_drop"),
-        *[F.max_by(c, "scrape_time").alias(c) for c in ("close", "volume", "open", "high", "low")],
-    )
+        closing_row(history, columns).alias("_last"),
+    ).select(*DAY_KEY, *figures, *[F.col(f"_last.{c}").alias(c) for c in columns])

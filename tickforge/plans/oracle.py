@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 ORACLE: dict[str, str] = {}
 
 # The same market-shaped views as in tickforge.tables, plus shared results.
@@ -29,7 +31,7 @@ WITH priced AS (
 ), eod AS (
   SELECT * FROM bars
   QUALIFY row_number() OVER (PARTITION BY symbol, trading_date
-    ORDER BY scrape_time DESC, close DESC, volume DESC, open DESC, source) = 1
+    ORDER BY scrape_time DESC, close DESC, volume DESC, open DESC, source, high, low) = 1
 ), ticked AS (
   SELECT 'U' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS symbol, CAST(ts AS DATE) AS trading_date,
          ts AS scrape_time, event_type AS source,
@@ -133,8 +135,8 @@ WITH priced AS (
 ), liquidity AS (
   SELECT * FROM classes WHERE dayofweek(calc_date) NOT IN (0, 6)
 ), records AS (
-  SELECT symbol, calc_date AS max_volume_date, total_volume AS max_volume_value FROM volumes
-  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY total_volume DESC, calc_date) = 1
+  SELECT symbol, trading_date AS max_volume_date, volume AS max_volume_value FROM bars
+  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY volume DESC, trading_date) = 1
 ), sma_sums AS (
   SELECT symbol, trading_date AS calc_date, CAST(sum(close) OVER w * 10000 AS HUGEINT) AS t, count(close) OVER w AS n
   FROM eod WINDOW w AS (PARTITION BY symbol ORDER BY trading_date ROWS 4 PRECEDING)
@@ -194,8 +196,35 @@ def _strict(n: int, source: str) -> str:
     )
 
 
+def _ctes(text: str) -> dict[str, str]:
+    """Common table expressions by name, from text of the form ``a AS (...), b AS (...)``."""
+    found, at = {}, 0
+    for head in re.finditer(r"(\w+) AS \(", text):
+        if head.start() < at:
+            continue
+        depth, at, quoted = 1, head.end(), False
+        while depth:
+            c = text[at]
+            quoted ^= c == "'"
+            depth += 0 if quoted else (c == "(") - (c == ")")
+            at += 1
+        found[head[1]] = text[head.end(): at - 1]
+    return found
+
+
+SHARED = _ctes(VIEWS)
+
+
 def add(name: str, body: str, ctes: str = "") -> None:
-    ORACLE[name] = f"{VIEWS}{', ' + ctes if ctes else ''}\n{body}"
+    """Registers a statement with only those common table expressions it needs."""
+    known = {**SHARED, **_ctes(ctes)}
+    needed, todo = set(), [body]
+    while todo:
+        words = set(re.findall(r"\w+", todo.pop()))
+        todo += [known[w] for w in words & known.keys() - needed]
+        needed |= words & known.keys()
+    listed = ", ".join(f"{n} AS ({sql})" for n, sql in known.items() if n in needed)
+    ORACLE[name] = f"WITH {listed}\n{body}" if listed else body
 
 
 PRICES = ("close", "open", "high", "low")
@@ -213,6 +242,7 @@ NO_TIME = H.replace("scrape_time, ", "")
 
 # Sources
 add("s01_history_scan", f"SELECT {H} FROM bars")
+add("s01_history_range", f"SELECT {H} FROM bars WHERE trading_date BETWEEN DATE '1996-03-05' AND DATE '1998-02-28'")
 add("s02_raw_text_scan", "SELECT * FROM raw_text")
 BATCH = "CASE WHEN hour(scrape_time) < 13 THEN 1145 ELSE 1515 END"
 add("s03_partitioned_scan", f"""SELECT {H}, CAST(year(trading_date) AS INT) AS p_year, CAST(month(trading_date) AS INT) AS p_month,
@@ -226,13 +256,16 @@ add("s07_tolerant_scan", f"""SELECT {H.replace('symbol,', 'trim(raw_symbol) AS s
   WHERE (source = 'Z' OR (volume % 13 <> 0 AND volume % 11 <> 0)) AND trading_date IS NOT NULL AND close IS NOT NULL""")
 add("s08_newest_rows_pushed", f"""SELECT {H} FROM bars WHERE trading_date >= DATE '1998-01-01'
   AND symbol IN (SELECT symbol FROM symbols WHERE status = 1)
-  ORDER BY bars.trading_date DESC, bars.symbol, bars.scrape_time DESC, bars.close DESC, bars.volume DESC, bars.source LIMIT 50000""")
+  ORDER BY bars.trading_date DESC, bars.symbol, bars.scrape_time DESC, bars.close DESC, bars.volume DESC, bars.source LIMIT 1000""")
 add("s09_table_import", f"SELECT {H} FROM bars_raw")
 add("s10_serving_scan", """SELECT *, max_close_price AS avg_close_price FROM daily
   WHERE calc_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'""")
 add("s11_fallback_scan", "SELECT * FROM volumes")
 add("s12_active_symbols", "SELECT symbol, source FROM symbols WHERE status = 1")
-add("s13_buffered_csv", f"SELECT {NO_TIME} FROM ticks")
+add("s12_fallback_symbols", "SELECT unnest(['VCB', 'BID', 'CTG', 'MBB', 'TCB', 'VPB', 'ACB', 'STB']) AS symbol, 'CafeF' AS source "
+    "UNION ALL SELECT unnest(['SHB', 'HDB', 'VIB', 'TPB', 'EIB', 'MSB', 'SSB', 'LPB']), 'TCBS' "
+    "UNION ALL SELECT unnest(['OCB', 'NAB', 'KLB', 'BVB']), 'FireAnt'")
+add("s13_buffered_csv", f"SELECT {H} FROM ticks")
 add("s15_catalogue_scan", "SELECT * FROM symbols ORDER BY id")
 
 # Sinks
@@ -261,10 +294,10 @@ RANGE = """symbol, calc_date, CAST(max_close_price AS DOUBLE) AS max_close_price
   CAST(min_close_price AS DOUBLE) AS min_close_price"""
 add("k15_preview", f"SELECT {RANGE} FROM ranges ORDER BY symbol, calc_date LIMIT 10")
 add("k16_catalogue_changes", """SELECT id, symbol,
-    CASE WHEN id % 5 = 0 THEN bank_name || ' new' ELSE bank_name END AS bank_name,
-    CASE WHEN id % 5 = 0 THEN 'Other' ELSE source END AS source,
-    CASE WHEN id % 5 IN (0, 1) THEN 1 - status ELSE status END AS status
-  FROM symbols WHERE id % 5 <> 2
+    CASE WHEN id % 5 = 0 THEN bank_name || ' new' WHEN id % 5 = 2 THEN bank_name || ' again' ELSE bank_name END AS bank_name,
+    CASE WHEN id % 5 = 0 THEN 'More' WHEN id % 5 = 2 THEN 'Again' ELSE source END AS source,
+    CASE WHEN id % 5 IN (0, 1) THEN 1 - status WHEN id % 5 = 2 THEN 1 ELSE status END AS status
+  FROM symbols WHERE id % 5 <> 2 OR id % 2 = 0
   UNION ALL
   SELECT c_custkey + 1000000000, 'C' || lpad(CAST(c_custkey AS VARCHAR), 6, '0'), c_name, c_mktsegment, 1 FROM customer""")
 
@@ -280,7 +313,7 @@ add("p05_market_key", """SELECT trading_date AS calc_date, CAST(sum(volume) AS B
 add("p06_renamed_columns", """SELECT symbol, trading_date AS calc_date, CAST(close AS DOUBLE) AS close_price,
   volume AS traded FROM bars""")
 add("p07_disjoint_join", "SELECT * FROM volumes LEFT JOIN records USING (symbol)")
-add("p08_canonical_frame", f"SELECT {NO_TIME.replace('symbol,', 'raw_symbol AS symbol,')} FROM typed WHERE trading_date IS NOT NULL")
+add("p08_canonical_frame", f"SELECT {H.replace('symbol,', 'raw_symbol AS symbol,')} FROM typed WHERE trading_date IS NOT NULL")
 add("p09_display_alias", f"SELECT {RANGE}, CAST(max_close_price AS DOUBLE) AS avg_close_price FROM ranges")
 add("p10_optional_columns", "SELECT symbol, trading_date, CAST(close AS DOUBLE) AS close, volume FROM bars")
 add("p11_date_text", """SELECT symbol, CAST(calc_date AS VARCHAR) AS calc_date,
@@ -329,7 +362,8 @@ add("j03_monthly_outer_join", """SELECT symbol, calc_year, calc_month, a.monthly
   FROM months a FULL JOIN raw_months b USING (symbol, calc_year, calc_month)""",
     """raw_months AS (SELECT symbol, CAST(year(trading_date) AS INT) AS calc_year, CAST(month(trading_date) AS INT) AS calc_month,
   CAST(sum(volume) AS BIGINT) AS monthly_total_volume FROM (SELECT * FROM bars_raw
-    QUALIFY row_number() OVER (PARTITION BY symbol, trading_date ORDER BY scrape_time DESC) = 1) GROUP BY ALL)""")
+    QUALIFY row_number() OVER (PARTITION BY symbol, trading_date
+      ORDER BY scrape_time DESC, close DESC, volume DESC, open DESC, source, high, low) = 1) GROUP BY ALL)""")
 add("j04_catalogue_lookup", """SELECT v.symbol, calc_date, total_volume, bank_name, coalesce(source, 'CafeF') AS listed_source
   FROM volumes v LEFT JOIN (SELECT * FROM symbols WHERE id % 7 <> 0) k ON v.symbol = k.symbol""")
 add("j05_unlisted_symbols", """SELECT DISTINCT symbol FROM bars
@@ -360,6 +394,10 @@ add("a10_yearly_volume_pivot", "SELECT symbol, " + ", ".join(
     f'CAST(sum(CASE WHEN year = {y} THEN volume END) AS BIGINT) AS "{y}"' for y in YEARS) + " FROM yearly GROUP BY symbol", YEARLY)
 add("a10_yearly_volume_pivot_zero", "SELECT symbol, " + ", ".join(
     f'CAST(sum(CASE WHEN year = {y} THEN volume ELSE 0 END) AS BIGINT) AS "{y}"' for y in YEARS) + " FROM yearly GROUP BY symbol", YEARLY)
+SHOWN = ("S000001", "S000002", "S000003")
+add("a10_yearly_matrix", "SELECT year, " + ", ".join(
+    f"CAST(sum(CASE WHEN symbol = '{x}' THEN volume ELSE 0 END) AS BIGINT) AS {x}" for x in SHOWN) +
+    f", CAST(sum(volume) AS BIGINT) AS total FROM yearly WHERE symbol IN {SHOWN} GROUP BY year", YEARLY)
 add("a11_yearly_totals", "SELECT year, CAST(sum(volume) AS BIGINT) AS total_volume FROM yearly GROUP BY year", YEARLY)
 add("a12_monthly_absolute_change", """SELECT symbol, strftime(trading_date, '%Y-%m') AS month,
   round(avg(abs(pct)) * 100, 6) AS mean_abs_pct FROM changes
@@ -382,6 +420,9 @@ def _box(pattern: str) -> tuple[str, str]:
 
 add("a13_monthly_distribution", *_box("%Y-%m"))
 add("a13_month_of_year_distribution", *_box("%m"))
+add("a13_approximate_distribution", "SELECT symbol, strftime(trading_date, '%Y-%m') AS period, "
+    "CAST(min(close) AS DOUBLE) AS min_close, CAST(max(close) AS DOUBLE) AS max_close, " + ", ".join(
+        f"quantile_disc(CAST(bars.close AS DOUBLE), {q}) AS q{i}" for i, q in enumerate((0.25, 0.5, 0.75), 1)) + " FROM bars GROUP BY ALL")
 add("a14_symbol_statistics", """SELECT symbol, CAST(price AS DOUBLE) AS price, round(sma20, 6) AS sma20, round(sma50, 6) AS sma50,
     round((CAST(price AS DOUBLE) / CAST(first_close AS DOUBLE) - 1) * 100, 6) AS return_pct, round(volatility, 6) AS volatility,
     CAST(max_close AS DOUBLE) AS max_close, CAST(min_close AS DOUBLE) AS min_close, max_volume, max_vol_date, max_var_date
@@ -462,7 +503,7 @@ add("w17_intraday_volatility", """SELECT symbol, calc_date, CAST(max_intraday_vo
 add("t01_sorted_output", """SELECT symbol, calc_year, calc_month, monthly_total_volume FROM months
   ORDER BY symbol, calc_year, calc_month""")
 NEWEST = "trading_date DESC, symbol, scrape_time DESC, close DESC, volume DESC, source"
-add("t02_newest_rows", f"SELECT {H} FROM (SELECT * FROM bars ORDER BY {NEWEST} LIMIT 50000)")
+add("t02_newest_rows", f"SELECT {H} FROM (SELECT * FROM bars ORDER BY {NEWEST} LIMIT 2500)")
 add("t03_last_sessions", f"""SELECT {BAR} FROM (SELECT * FROM eod
     QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY trading_date DESC) <= 20)""")
 add("t04_top_average_close", """SELECT symbol, round(CAST(sum(close) AS DOUBLE) / count(close), 6) AS avg_close FROM eod
@@ -544,9 +585,12 @@ add("k08_daily_upsert", f"SELECT * REPLACE (CAST(NULL AS DOUBLE) AS sma_price) F
 UPSERTED_MONTHS = """SELECT symbol, calc_year, calc_month, CASE WHEN calc_month = 5 THEN 0 ELSE monthly_avg_close END
   AS monthly_avg_close, CASE WHEN calc_month = 3 THEN 0 ELSE monthly_total_volume END AS monthly_total_volume FROM months"""
 add("k09_monthly_upsert", UPSERTED_MONTHS)
-add("k10_quarantine", "SELECT 'stock_daily_topic' AS topic, '{not json ' || symbol AS text FROM symbols")
+add("k10_quarantine", """SELECT 'stock_daily_topic' AS topic, '{not json ' || symbol AS text FROM symbols
+  UNION ALL SELECT 'stock_daily_topic', '{"symbol":"' || symbol || '"}' FROM symbols""")
 add("m01_daily_stream_coalesced", f"SELECT * FROM {DAILY_ROWS}")
-add("m02_monthly_stream_coalesced", UPSERTED_MONTHS)
+# A missing average keeps the one of the first run; a message without a year is skipped as before.
+add("m02_monthly_stream_coalesced", """SELECT symbol, calc_year, calc_month, monthly_avg_close,
+  CASE WHEN calc_month = 3 THEN 0 ELSE monthly_total_volume END AS monthly_total_volume FROM months""")
 add("m03_routed_counts", f"""SELECT 'daily' AS routed_to, count(*) AS n FROM {DAILY_ROWS}
   UNION ALL SELECT 'monthly', count(*) FROM months""")
 add("m04_same_day_refresh", """SELECT symbol, calc_date, CASE WHEN year(calc_date) >= 1998 THEN total_volume

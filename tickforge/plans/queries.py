@@ -21,7 +21,7 @@ from tickforge.operators import prices as P
 from tickforge.operators import snapshots as S
 from tickforge.plans import views as V
 from tickforge.schemas import (
-    DAILY_KEY, DAILY_SCHEMA, HISTORY_COLUMNS, HISTORY_SCHEMA, MARKET_SYMBOL, MONTHLY_SCHEMA, RAW_SCHEMA,
+    DAILY_KEY, DAILY_SCHEMA, HISTORY_COLUMNS, HISTORY_SCHEMA, MONTHLY_SCHEMA, RAW_SCHEMA,
 )
 from tickforge.session import scratch_path
 from tickforge.sources import messages as M
@@ -69,16 +69,13 @@ def written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str],
     return _written[key]
 
 
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned history of several years, stored by month."""
-    write = lambda p: W.append_history(T.bars(spark, sf_dir), p)
-    return I.read_history(spark, written(spark, sf_dir, "bars", write))
+# Only queries about sources, sinks and streams store anything; all others work on these views.
+bars, ticks, landing = T.bars, T.ticks, T.raw_text
 
 
-def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The intraday history of one month, stored."""
-    write = lambda p: W.append_history(T.ticks(spark, sf_dir), p)
-    return I.read_history(spark, written(spark, sf_dir, "ticks", write))
+def stored_bars(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the cleaned history of several years, stored by month."""
+    return written(spark, sf_dir, "bars", lambda p: W.append_history(T.bars(spark, sf_dir), p))
 
 
 def closes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,21 +83,21 @@ def closes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.closing_values(bars(spark, sf_dir), "close", "volume", "open", "high", "low")
 
 
-def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw landing table, stored as text columns the way cleaning meets it."""
-    return I.read_raw(spark, written(spark, sf_dir, "raw", lambda p: T.raw_text(spark, sf_dir).write.parquet(p)))
-
-
 # Sources -----------------------------------------------------------------------
 
 @query("s01_history_scan")
 def _(s, d):
-    return bars(s, d)
+    return I.read_history(s, stored_bars(s, d))
+
+
+@query("s01_history_range")
+def _(s, d):
+    return I.read_history(s, stored_bars(s, d), start="1996-3-5", end="1998-02-28 00:00:00")
 
 
 @query("s02_raw_text_scan")
 def _(s, d):
-    return landing(s, d)
+    return I.read_raw(s, written(s, d, "raw", lambda p: landing(s, d).write.parquet(p)))
 
 
 def _partitioned(s, d) -> str:
@@ -160,8 +157,8 @@ def _(s, d):
 @query("s08_newest_rows_pushed")
 def _(s, d):
     listed = K.active_symbols(T.symbols(s, d)).select("symbol")
-    rows = bars(s, d).filter(F.col("trading_date") >= F.lit("1998-01-01").cast("date"))
-    return O.newest_rows(rows.join(listed, "symbol", "left_semi"))
+    rows = I.read_history(s, stored_bars(s, d), start="1998-01-01")
+    return O.newest_rows(rows.join(listed, "symbol", "left_semi"), 1000)
 
 
 @query("s09_table_import")
@@ -173,7 +170,11 @@ def _(s, d):
 
 
 def _daily_table(s, d) -> str:
-    return written(s, d, "daily", lambda p: V.daily_analysis(bars(s, d)).write.parquet(p))
+    """A serving table as the upsert leaves it: stored by month."""
+    def write(path: str) -> None:
+        U.upsert_daily(V.daily_analysis(bars(s, d)).withColumn("seq", F.lit(1)), f"{path}/daily", f"{path}/stage")
+
+    return f"{written(s, d, 'daily', write)}/daily"
 
 
 @query("s10_serving_scan")
@@ -184,18 +185,23 @@ def _(s, d):
 @query("s11_fallback_scan")
 def _(s, d):
     missing = bars(s, d).filter(F.col("volume") < 0)
-    return D.daily_volume_max(I.first_non_empty(missing, bars(s, d)))
+    return D.daily_volume_max(K.first_non_empty(missing, bars(s, d)))
 
 
 @query("s12_active_symbols")
 def _(s, d):
-    return K.active_symbols(T.symbols(s, d))
+    return K.symbols_to_capture(T.symbols(s, d))
+
+
+@query("s12_fallback_symbols")
+def _(s, d):
+    return K.symbols_to_capture(R.with_status(T.symbols(s, d), -1))
 
 
 @query("s13_buffered_csv")
 def _(s, d):
-    path = written(s, d, "csv", lambda p: W.export_view(ticks(s, d).drop("scrape_time"), p))
-    return I.read_buffered_csv(s, path, ticks(s, d).drop("scrape_time").schema)
+    path = written(s, d, "csv", lambda p: W.export_view(ticks(s, d), p))
+    return I.read_buffered_csv(s, path, ticks(s, d).schema)
 
 
 @query("s15_catalogue_scan")
@@ -300,7 +306,15 @@ def _(s, d):
         F.col("c_mktsegment").alias("source"), F.lit(None).cast("int").alias("status"),
         (F.col("c_custkey") + 1_000_000_000).alias("id"),
     )
-    return K.apply_changes(listed, known.unionByName(fresh))
+    # Every other deleted symbol is listed anew, and updated ones get one value more.
+    again = listed.filter((F.col("id") % 5 == 2) & (F.col("id") % 2 == 0)).select(
+        F.lit("insert").alias("op"), "symbol", F.concat("bank_name", F.lit(" again")).alias("bank_name"),
+        F.lit("Again").alias("source"), F.lit(0).alias("status"), "id")
+    more = listed.filter(F.col("id") % 5 == 0).select(
+        F.lit("update").alias("op"), "symbol", F.lit(None).cast("string").alias("bank_name"), F.lit("More").alias("source"),
+        F.lit(None).cast("int").alias("status"), "id")
+    edits = known.unionByName(fresh).withColumn("seq", F.lit(1)).unionByName(again.unionByName(more).withColumn("seq", F.lit(2)))
+    return K.apply_changes(listed, edits)
 
 
 # Projections -------------------------------------------------------------------
@@ -333,7 +347,7 @@ def _(s, d):
 @query("p05_market_key")
 def _(s, d):
     per_day = bars(s, d).groupBy(F.col("trading_date").alias("calc_date")).agg(F.sum("volume").alias("total_volume"))
-    return per_day if "symbol" in per_day.columns else per_day.withColumn("symbol", F.lit(MARKET_SYMBOL))
+    return D.with_market_key(per_day)
 
 
 @query("p06_renamed_columns")
@@ -351,7 +365,7 @@ def _(s, d):
 
 @query("p08_canonical_frame")
 def _(s, d):
-    raw = landing(s, d).drop("scrape_time").withColumnsRenamed({"symbol": "ticker", "trading_date": "date"})
+    raw = landing(s, d).withColumnsRenamed({"symbol": "ticker", "trading_date": "date"})
     return Q.canonicalise(raw)
 
 
@@ -475,18 +489,9 @@ def _(s, d):
 
 # Joins -------------------------------------------------------------------------
 
-def _indicator_frames(s, d) -> list[DataFrame]:
-    history, last = bars(s, d), closes(s, d)
-    volumes = C.with_market_rows(D.daily_volume_max(history), D.market_volume(history))
-    return [
-        volumes, D.running_close_range(last), D.close_streaks(last), D.intraday_volatility(last), D.liquidity(last),
-        D.max_intraday_drop(history),
-    ]
-
-
 @query("j01_daily_outer_join")
 def _(s, d):
-    return C.outer_join_daily(_indicator_frames(s, d))
+    return C.outer_join_daily(V.indicator_frames(S.daily_summary(bars(s, d))))
 
 
 @query("j02_record_day_join")
@@ -593,12 +598,20 @@ YEARS = list(range(1995, 2002))
 
 @query("a10_yearly_volume_pivot")
 def _(s, d):
-    return P.pivot_volume(P.yearly_volume(bars(s, d), YEARS), "symbol", "year", YEARS)
+    return P.pivot_volume(P.yearly_volume(bars(s, d)), "symbol", "year", YEARS)
 
 
 @query("a10_yearly_volume_pivot_zero")
 def _(s, d):
-    return P.pivot_volume(P.yearly_volume(bars(s, d), YEARS), "symbol", "year", YEARS, fill_zero=True)
+    return P.pivot_volume(P.yearly_volume(bars(s, d)), "symbol", "year", YEARS, fill_zero=True)
+
+
+SHOWN = ["S000001", "S000002", "S000003"]
+
+
+@query("a10_yearly_matrix")
+def _(s, d):
+    return P.yearly_matrix(R.for_symbols(P.yearly_volume(bars(s, d)), SHOWN), SHOWN)
 
 
 @query("a11_yearly_totals")
@@ -630,6 +643,13 @@ def _(s, d):
     return _boxes(P.monthly_distribution(closes(s, d), "MM"))
 
 
+@query("a13_approximate_distribution")
+def _(s, d):
+    sketched = P.approximate_distribution(bars(s, d))
+    return sketched.select("symbol", "period", "min_close", "max_close", *[
+        F.col("quartiles")[i].alias(f"q{i + 1}") for i in range(3)])
+
+
 @query("a14_symbol_statistics")
 def _(s, d):
     stats = P.symbol_statistics(closes(s, d))
@@ -648,7 +668,8 @@ def _(s, d):
 
 @query("a16_sparse_rows_merged")
 def _(s, d):
-    rows = C.union_sparse([*_indicator_frames(s, d), D.sma(closes(s, d))])
+    summary = S.daily_summary(bars(s, d))
+    rows = C.union_sparse([*V.indicator_frames(summary), D.sma(summary)])
     return C.conform(C.merge_sparse(rows, DAILY_KEY, "seq"), DAILY_SCHEMA)
 
 
@@ -795,7 +816,7 @@ def _(s, d):
 
 @query("t02_newest_rows")
 def _(s, d):
-    return O.newest_rows(bars(s, d))
+    return O.newest_rows(bars(s, d), 2500)
 
 
 @query("t03_last_sessions")
@@ -815,7 +836,7 @@ def _(s, d):
 
 @query("t05_last_page")
 def _(s, d):
-    return O.history_page(bars(s, d), 10**9)
+    return O.history_page(bars(s, d), 10**9, deep=True)
 
 
 @query("t06_first_listed")
@@ -957,11 +978,16 @@ def _topic(s, d) -> str:
             (M.as_keyed_messages(spoiled, MONTHLY_SCHEMA), M.MONTHLY_TOPIC, 2),
             (T.symbols(s, d).select(F.col("symbol").alias("key"), F.concat(F.lit("{not json "), "symbol").alias("value")),
              M.DAILY_TOPIC, 3),
+            (T.symbols(s, d).select(
+                F.lit(None).cast("string").alias("key"), F.concat(F.lit('{"symbol":"'), "symbol", F.lit('"}')).alias("value")),
+             M.DAILY_TOPIC, 4),
         ]
         for messages, topic, run in sent:
+            # Two partitions: the later run has the lower offsets in the second one.
+            part = F.pmod(F.xxhash64("key"), F.lit(2)).cast("int")
             numbered = messages.withColumns({
-                "partition": F.lit(0), "offset": F.lit(run).cast("bigint"),
-                "timestamp": F.lit("2024-01-01 00:00:00").cast("timestamp"),
+                "partition": part, "offset": F.when(part == 0, run).otherwise(10 - run).cast("bigint"),
+                "timestamp": F.timestamp_seconds(F.lit(1_704_067_200 + 3600 * run)),
             })
             M.publish(numbered, topic, {"path": path})
 
@@ -983,7 +1009,7 @@ def _(s, d):
     M.daily_messages(stream).writeStream.format("parquet").option("path", out).option(
         "checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start().awaitTermination()
     good = s.read.parquet(out).filter(F.col(M.CORRUPT).isNull())
-    return good.groupBy("offset", "symbol").agg(F.count(F.lit(1)).alias("n"), F.sum("total_volume").alias("volume"))
+    return good.groupBy(F.when(F.col("partition") == 0, F.col("offset")).otherwise(10 - F.col("offset")).alias("offset"), "symbol").agg(F.count(F.lit(1)).alias("n"), F.sum("total_volume").alias("volume"))
 
 
 @query("k08_daily_upsert")
@@ -998,7 +1024,7 @@ def _(s, d):
 
 @query("k10_quarantine")
 def _(s, d):
-    return s.read.parquet(f"{_consumed(s, d)}/quarantine").select("topic", F.col(M.CORRUPT).alias("text"))
+    return Z.read_quarantine(s, _consumed(s, d)).select("topic", F.col(M.CORRUPT).alias("text"))
 
 
 @query("m01_daily_stream_coalesced")

@@ -47,17 +47,37 @@ def increment_daily_analysis(history: DataFrame, market_filler: bool = True) ->
     return C.market_filler(daily) if market_filler else daily
 
 
+def _market(summary: DataFrame) -> DataFrame:
+    """Market volume per day from closing volumes."""
+    per_day = summary.groupBy(F.col("trading_date").alias("calc_date")).agg(F.sum("volume").alias("total_volume"))
+    return per_day.select(F.lit(MARKET_SYMBOL).alias("symbol"), "calc_date", "total_volume")
+
+
+def indicator_frames(summary: DataFrame) -> list[DataFrame]:
+    """The daily indicators as separate frames, all from one ``daily_summary``.
+
+    They share its shuffle, so the history is read once however many frames are joined.
+    """
+    volumes = D._as_calc_date(summary, F.col("max_volume").alias("total_volume"))
+    return [
+        C.with_market_rows(volumes, _market(summary)), D.running_close_range(summary), D.close_streaks(summary),
+        D.intraday_volatility(summary), D.liquidity(summary),
+        D._as_calc_date(summary, D.two_digits(F.col("max_drop")).alias("max_intraday_drop")),
+    ]
+
+
 def increment_daily_parts(history: DataFrame) -> list[DataFrame]:
     """The same figures as separate partial frames, one per job that computes them."""
     summary = daily_summary(history)
     return [
-        D.daily_volume_sum(history).join(D.max_intraday_drop(history), DAILY_KEY),
+        D._as_calc_date(summary, F.col("sum_volume").alias("total_volume"),
+                        D.two_digits(F.col("max_drop")).alias("max_intraday_drop")),
         D.close_range_by_day(summary),
         D.candle_streaks(summary).join(
             D._as_calc_date(summary, D.liquidity_class(F.col("volume")).alias("liquidity_status")), DAILY_KEY
         ),
         D.intraday_volatility(summary).join(D.sma(summary), DAILY_KEY),
-        C.market_filler(D.market_volume(history)),
+        C.market_filler(_market(summary)),
     ]
 
 

@@ -66,7 +66,7 @@ CATALOGUE_SCHEMA = T.StructType([
 ])
 
 # Partition column of stored histories and serving tables: the calendar month.
-MONTH = "p_month"
+MONTH = "history_month"
 
 SNAPSHOT_KEY = ["symbol", "trading_date", "scrape_time"]
 DAILY_KEY = ["symbol", "calc_date"]
@@ -105,10 +105,9 @@ LOOK_BACK_DAYS = {
     "5 years": 1825,
 }
 
-# Trading days per year, page size, row cap, default source.
+# Trading days per year, page size, default source.
 TRADING_DAYS = 252
 PAGE_SIZE = 25
-ROW_CAP = 50_000
 DEFAULT_SOURCE = "CafeF"
 
 # Capture list used when no catalogue can be read.

@@ -63,19 +63,25 @@ def publish(messages: DataFrame, topic: str, target: dict[str, str]) -> None:
     messages.withColumn("topic", F.lit(topic)).write.format("kafka").options(**options).save()
 
 
-def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    """Fields of each message; what is not a JSON object of this shape keeps its text in ``_corrupt``."""
+def decode(messages: DataFrame, schema: T.StructType, required: tuple[str, ...] = ()) -> DataFrame:
+    """Fields of each message; what is not a JSON object of this shape keeps its text in ``_corrupt``.
+
+    So does a message without one of the ``required`` fields: it belongs to no row.
+    """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     columns = [c for c in messages.columns if c != "value"]
     fields = [F.col(f"_m.{f.name}").alias(f.name) for f in schema.fields]
     corrupt = F.when(F.col("_m").isNull(), F.coalesce("value", F.lit(""))).otherwise(F.col(f"_m.{CORRUPT}"))
+    for name in required:
+        corrupt = F.when(F.col(f"_m.{name}").isNull(), F.coalesce(corrupt, F.col("value"))).otherwise(corrupt)
     return messages.withColumn("_m", parsed).select(*columns, *fields, corrupt.alias(CORRUPT))
 
 
 def daily_messages(messages: DataFrame) -> DataFrame:
-    return decode(messages.filter(F.col("topic") == DAILY_TOPIC), DAILY_SCHEMA)
+    return decode(messages.filter(F.col("topic") == DAILY_TOPIC), DAILY_SCHEMA, ("symbol", "calc_date"))
 
 
 def monthly_messages(messages: DataFrame) -> DataFrame:
-    return decode(messages.filter(F.col("topic") == MONTHLY_TOPIC), MONTHLY_SCHEMA)
+    """Messages without a year are decoded like others; the upsert skips them."""
+    return decode(messages.filter(F.col("topic") == MONTHLY_TOPIC), MONTHLY_SCHEMA, ("symbol", "calc_month"))

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickforge.functions import parsing as P
-from tickforge.operators.filters import between_days, for_symbols
-from tickforge.schemas import DAILY_SCHEMA, HISTORY_COLUMNS, HISTORY_SCHEMA, MONTH, MONTHLY_SCHEMA, PRICE, RAW_SCHEMA, ROW_CAP
+from tickforge.operators.filters import between_days, for_symbols, within_days
+from tickforge.schemas import DAILY_SCHEMA, HISTORY_COLUMNS, HISTORY_SCHEMA, MONTH, MONTHLY_SCHEMA, PRICE, RAW_SCHEMA
 
 TEXT_FIELDS = 9
+# Times keep their microseconds.
+CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 # One raw batch as JSON lines: numbers are numbers, dates and times are text.
 JSON_BATCH_SCHEMA = T.StructType([
@@ -38,15 +40,20 @@ def read_history(
 ) -> DataFrame:
     """Cleaned history with its declared schema, so no file is opened to infer one.
 
-    With both ends of a range given, a history stored by month lists only the
+    Each end of a range counts on its own; a history stored by month lists only the
     months of the range.
     """
-    frame = spark.read.schema(HISTORY_SCHEMA).parquet(path)
-    if start is not None and end is not None:
-        frame = between_days(frame, start, end)
-        if MONTH in frame.columns:
-            frame = frame.filter(F.col(MONTH).between(str(start)[:7], str(end)[:7]))
-    return frame.select(*HISTORY_COLUMNS)
+    return within_days(read_by_month(spark, path, HISTORY_SCHEMA), start, end).select(*HISTORY_COLUMNS)
+
+
+def read_by_month(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table with the month it is stored under, which the range filters turn into folders.
+
+    A table that is not stored by month has its own columns only.
+    """
+    frame = spark.read.schema(schema).parquet(path)
+    kept = [*schema.fieldNames(), *([MONTH] if MONTH in frame.columns else [])]
+    return frame.select(*kept)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -133,7 +140,7 @@ def read_tolerant(spark: SparkSession, path: str, exact: bool = False) -> DataFr
 
 def read_buffered_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Captured rows buffered as CSV with a header line."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).options(header=True, timestampNTZFormat=CSV_TIME).csv(path)
 
 
 def read_database(spark: SparkSession, options: dict[str, str]) -> DataFrame:
@@ -147,19 +154,23 @@ def read_database(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 
 
 def read_newest(
-    spark: SparkSession, options: dict[str, str], symbols: list[str] | None = None, start=None, end=None, n: int = ROW_CAP
+    spark: SparkSession, options: dict[str, str], n: int, symbols: list[str] | None = None, start=None, end=None
 ) -> DataFrame:
-    """Newest rows of a database table; the database filters, sorts and cuts."""
-    table = read_database(spark, options)
-    return between_days(for_symbols(table, symbols), start, end).orderBy(F.desc("trading_date")).limit(n)
+    """The ``n`` newest rows of a database table; the database filters, sorts and cuts.
+
+    Each end of the range counts on its own, and ties of a day are put in a fixed order.
+    """
+    rows = within_days(for_symbols(read_database(spark, options), symbols), start, end)
+    ties = [F.col(c) for c in ("symbol", "scrape_time") if c in rows.columns]
+    return rows.orderBy(F.desc("trading_date"), *ties).limit(n)
 
 
 def read_daily(
     spark: SparkSession, path: str, symbols: list[str] | None = None, start=None, end=None
 ) -> DataFrame:
     """Serving table of daily figures, with the display alias of the highest close."""
-    table = spark.read.schema(DAILY_SCHEMA).parquet(path)
-    return with_display_alias(between_days(for_symbols(table, symbols), start, end, "calc_date"))
+    table = between_days(for_symbols(read_by_month(spark, path, DAILY_SCHEMA), symbols), start, end, "calc_date")
+    return with_display_alias(table.select(*DAILY_SCHEMA.fieldNames()))
 
 
 def with_display_alias(daily: DataFrame) -> DataFrame:
@@ -168,9 +179,4 @@ def with_display_alias(daily: DataFrame) -> DataFrame:
 
 
 def read_monthly(spark: SparkSession, path: str, symbols: list[str] | None = None) -> DataFrame:
-    return for_symbols(spark.read.schema(MONTHLY_SCHEMA).parquet(path), symbols)
-
-
-def first_non_empty(primary: DataFrame, fallback: DataFrame) -> DataFrame:
-    """``fallback`` when ``primary`` has no rows; probes for a single row."""
-    return fallback if primary.isEmpty() else primary
+    return for_symbols(read_by_month(spark, path, MONTHLY_SCHEMA).select(*MONTHLY_SCHEMA.fieldNames()), symbols)

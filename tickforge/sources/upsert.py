@@ -23,7 +23,9 @@ from tickforge.operators.snapshots import top_ranked
 from tickforge.schemas import DAILY_KEY, DAILY_SCHEMA, MONTH, MONTHLY_KEY, MONTHLY_SCHEMA
 from tickforge.sources.writers import read_if_exists, replace_partitions
 
+# What stored rows count as: older than any message, whether those are numbered or ordered by time and offset.
 OLD_SEQUENCE = -1
+OLD_TIME = "1900-01-01 00:00:00"
 
 
 def merge_rows(
@@ -35,9 +37,12 @@ def merge_rows(
     replace: the newest row of a key counts, its nulls included.
     coalesce: the newest non-null value of each column counts.
     """
-    rows = conform(incoming, T.StructType([*schema.fields, T.StructField(sequence, T.LongType())]))
+    ordered_by = incoming.schema[sequence].dataType
+    if not isinstance(ordered_by, T.StructType):
+        ordered_by = T.LongType()
+    rows = conform(incoming, T.StructType([*schema.fields, T.StructField(sequence, ordered_by)]))
     if existing is not None:
-        old = conform(existing, schema).withColumn(sequence, F.lit(OLD_SEQUENCE).cast("bigint"))
+        old = conform(existing, schema).withColumn(sequence, _oldest(ordered_by))
         rows = old.unionByName(rows)
     if mode == "coalesce":
         return conform(merge_sparse(rows, keys, sequence), schema)
@@ -47,6 +52,14 @@ def merge_rows(
     raise ValueError(f"unknown merge mode: {mode}")
 
 
+def _oldest(kind: T.DataType) -> Column:
+    if not isinstance(kind, T.StructType):
+        return F.lit(OLD_SEQUENCE).cast(kind)
+    values = [F.lit(OLD_TIME if isinstance(f.dataType, T.TimestampType) else OLD_SEQUENCE).cast(f.dataType).alias(f.name)
+              for f in kind.fields]
+    return F.struct(*values)
+
+
 def _located(spark: SparkSession, path: str):
     """File system and path object of ``path``, wherever it is stored."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -67,9 +80,12 @@ def drop_stage(spark: SparkSession, stage: str) -> None:
 
 def upsert(
     incoming: DataFrame, table: str, stage: str, keys: list[str], schema: T.StructType, month: Column,
-    mode: str = "replace",
+    mode: str = "replace", fill: dict[str, Column] | None = None,
 ) -> None:
-    """Apply ``incoming`` (with its ``seq``) to ``table``; ``stage`` is unique to this batch."""
+    """Apply ``incoming`` (with its ``seq``) to ``table``; ``stage`` is unique to this batch.
+
+    ``fill`` has values for what is missing in a column after the merge.
+    """
     spark = incoming.sparkSession
     merged_path = f"{stage}/merged"
     stored = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
@@ -82,6 +98,7 @@ def upsert(
         if existing is not None:
             existing = existing.filter(F.col(MONTH).isin(months)).drop(MONTH)
         merged = merge_rows(existing, staged, keys, schema, mode)
+        merged = merged.withColumns({c: F.coalesce(F.col(c), v) for c, v in (fill or {}).items()})
         merged.withColumn(MONTH, month).write.mode("overwrite").parquet(merged_path)
     replace_partitions(spark.read.schema(stored).parquet(merged_path), table, [MONTH])
 
@@ -97,16 +114,14 @@ def upsert_monthly(
 ) -> None:
     """Key (symbol, calc_year, calc_month); rows without a year are skipped.
 
-    ``zero_for_missing`` stores 0 for a missing average.
+    ``zero_for_missing`` stores 0 where no average is known; in coalesce mode a stored average stays.
     """
     keyed = incoming.filter(
         F.col("symbol").isNotNull() & F.col("calc_year").isNotNull() & F.col("calc_month").isNotNull()
     )
-    if zero_for_missing:
-        zero = F.lit(0).cast("decimal(18,2)")
-        keyed = keyed.withColumn("monthly_avg_close", F.coalesce("monthly_avg_close", zero))
+    fill = {"monthly_avg_close": F.lit(0).cast("decimal(18,2)")} if zero_for_missing else None
     month = F.format_string("%04d-%02d", F.col("calc_year"), F.col("calc_month"))
-    upsert(keyed, table, stage, MONTHLY_KEY, MONTHLY_SCHEMA, month, mode)
+    upsert(keyed, table, stage, MONTHLY_KEY, MONTHLY_SCHEMA, month, mode, fill)
 
 
 def read_serving(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:

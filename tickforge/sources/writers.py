@@ -7,6 +7,9 @@ hot day neither lands in a single task nor scatters into many small files.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +18,7 @@ from pyspark.sql import types as T
 from tickforge.functions.labels import batch_label
 from tickforge.operators.snapshots import deduplicate
 from tickforge.schemas import MONTH, SNAPSHOT_KEY
-from tickforge.sources.readers import is_missing_path
+from tickforge.sources.readers import CSV_TIME, is_missing_path
 
 
 def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
@@ -32,8 +35,10 @@ def read_if_exists(spark: SparkSession, path: str, schema) -> DataFrame | None:
 
 
 def new_rows(batch: DataFrame, history: DataFrame, keys: list[str] = SNAPSHOT_KEY) -> DataFrame:
-    """Rows of ``batch`` whose key the history does not hold yet."""
-    return batch.join(history.select(*keys), keys, "left_anti")
+    """Rows of ``batch`` whose key the history does not hold yet; null equals null."""
+    known = history.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys])
+    return batch.join(known, same, "left_anti")
 
 
 def append_history(batch: DataFrame, path: str) -> None:
@@ -45,20 +50,20 @@ def append_history(batch: DataFrame, path: str) -> None:
 def append_new(batch: DataFrame, path: str) -> None:
     """Append what the history does not hold yet, so a repeated run adds nothing.
 
-    Only the span of days of the batch is read back: its two ends go into the
-    scan as literals and prune month folders and row groups.
+    Only the months of the batch are read back: at most one number per calendar
+    month, which go into the scan as literals and prune its folders.  Keys with nulls are
+    compared like others; rows without a day have a month folder of their own.
     """
     spark = batch.sparkSession
     unique = deduplicate(batch)
     stored = T.StructType([*batch.schema.fields, T.StructField(MONTH, T.StringType())])
     history = read_if_exists(spark, path, stored)
     if history is not None:
-        first, last = batch.agg(F.min("trading_date"), F.max("trading_date")).first()
-        if first is None:
-            return
-        months = F.col(MONTH).between(first.strftime("%Y-%m"), last.strftime("%Y-%m"))
-        near = history.filter(months & F.col("trading_date").between(F.lit(first), F.lit(last)))
-        unique = new_rows(unique, near)
+        found = [r[0] for r in batch.select(F.date_format("trading_date", "yyyy-MM")).distinct().collect()]
+        months = F.col(MONTH).isin([m for m in found if m is not None])
+        if None in found:
+            months = months | F.col(MONTH).isNull()
+        unique = new_rows(unique, history.filter(months))
     append_history(unique, path)
 
 
@@ -73,7 +78,7 @@ def export_text(history: DataFrame, path: str) -> None:
 
 def export_view(view: DataFrame, path: str) -> None:
     """User export of a filtered view: CSV with a header line."""
-    view.write.mode("overwrite").option("header", True).csv(path)
+    view.write.mode("overwrite").options(header=True, timestampNTZFormat=CSV_TIME).csv(path)
 
 
 def write_result(df: DataFrame, path: str) -> None:

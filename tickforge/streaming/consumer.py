@@ -6,10 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pyspark.sql import types as T
+
 from tickforge.schemas import SNAPSHOT_KEY
 from tickforge.sources import messages as M
 from tickforge.sources.upsert import drop_stage, upsert_daily, upsert_monthly
-from tickforge.sources.writers import append_new
+from tickforge.sources.writers import append_new, read_if_exists
+
+QUARANTINE_SCHEMA = T.StructType([
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField(M.CORRUPT, T.StringType()),
+])
 
 
 def read_topics(spark: SparkSession, source: dict[str, str]) -> DataFrame:
@@ -30,27 +39,44 @@ def read_topics(spark: SparkSession, source: dict[str, str]) -> DataFrame:
 
 
 def _sequence(decoded: DataFrame) -> DataFrame:
-    return decoded.withColumn("seq", F.col("offset").cast("bigint"))
+    """Order of messages: by time, and within a partition by offset.
+
+    Offsets of different partitions say nothing about each other, so time comes first.
+    """
+    return decoded.withColumn("seq", F.struct("timestamp", "partition", F.col("offset").cast("bigint").alias("offset")))
 
 
 def _quarantine(bad: DataFrame, path: str, batch_id: int) -> None:
     """Bad messages of one batch; a repeated batch replaces its own folder."""
-    rows = bad.select("topic", "offset", M.CORRUPT).withColumn("batch_id", F.lit(batch_id))
+    rows = bad.select(*QUARANTINE_SCHEMA.fieldNames()).withColumn("batch_id", F.lit(batch_id))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
 
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """Rejected messages; empty when none was ever rejected."""
+    found = read_if_exists(spark, f"{root}/quarantine", QUARANTINE_SCHEMA)
+    return spark.createDataFrame([], QUARANTINE_SCHEMA) if found is None else found.select(*QUARANTINE_SCHEMA.fieldNames())
+
+
+def _run_identity(spark: SparkSession, checkpoint: str) -> str:
+    """Identity the checkpoint gave its query; a new checkpoint gives a new one."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
 def consume(
     stream: DataFrame, root: str, mode: str = "replace", zero_for_missing: bool = True, available_now: bool = True,
 ) -> StreamingQuery:
     """Route messages by topic and upsert them below ``root``.
 
     Tables: ``root/daily`` and ``root/monthly``; unreadable messages go to
-    ``root/quarantine``.  Batches are numbered by the checkpoint and staged under
-    their number, so a batch repeated after a failure gives the same tables.
+    ``root/quarantine``, as do messages without a key.  Batches are numbered by the checkpoint and
+    staged under its identity and their number: a batch repeated after a failure gives the
+    same tables, and a stream started with a new checkpoint never meets an old stage.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        stage = f"{root}/stage/{batch_id}"
+        stages = f"{root}/stage/{_run_identity(batch.sparkSession, f'{root}/checkpoint')}"
+        stage = f"{stages}/{batch_id}"
         # The decoded rows are used several times; an executor's lost blocks are recomputed.
         cached = batch.persist()
         try:
@@ -60,13 +86,12 @@ def consume(
             upsert_monthly(
                 monthly.filter(good).drop(M.CORRUPT), f"{root}/monthly", f"{stage}/monthly", mode, zero_for_missing
             )
-            rejected = daily.filter(bad).select("topic", "offset", M.CORRUPT).unionByName(
-                monthly.filter(bad).select("topic", "offset", M.CORRUPT)
-            )
+            names = QUARANTINE_SCHEMA.fieldNames()
+            rejected = daily.filter(bad).select(*names).unionByName(monthly.filter(bad).select(*names))
             _quarantine(rejected, f"{root}/quarantine", batch_id)
             # Only the last batch can be repeated, so the stage before it has served its purpose.
             if batch_id > 0:
-                drop_stage(batch.sparkSession, f"{root}/stage/{batch_id - 1}")
+                drop_stage(batch.sparkSession, f"{stages}/{batch_id - 1}")
         finally:
             cached.unpersist()
 
@@ -93,9 +118,15 @@ def intake_within(
 ) -> StreamingQuery:
     """Append with duplicates removed from stream state that lives for ``delay``.
 
-    For feeds that deliver in time order: cheaper than ``intake``, but rows older
-    than the watermark are not kept.
+    For feeds that deliver in time order: repeats are dropped from memory before the history is
+    asked, but rows older than the watermark are not kept.  The history is appended to as by
+    ``intake``, so a repeated batch adds nothing and other writers' rows stay visible.
     """
-    unique = stream.withWatermark("scrape_time", delay).dropDuplicatesWithinWatermark(SNAPSHOT_KEY)
-    writer = unique.writeStream.format("parquet").option("path", history).option("checkpointLocation", checkpoint)
+    timed = stream.withColumn("scrape_time", F.col("scrape_time").cast("timestamp"))
+    unique = timed.withWatermark("scrape_time", delay).dropDuplicatesWithinWatermark(SNAPSHOT_KEY)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        append_new(batch.withColumn("scrape_time", F.col("scrape_time").cast("timestamp_ntz")), history)
+
+    writer = unique.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
