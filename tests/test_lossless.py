@@ -203,7 +203,8 @@ def test_views_are_built_without_writing(spark, sf_dir):
 
     before = stored()
     for name, run in Q.QUERIES.items():
-        if name[0] in "awfvtupx" or (name[0] == "j" and name != "j06_rerun_guard"):
+        # The guard is about a store, and the partition date about its layout.
+        if name[0] in "awfvtupxj" and name not in ("j06_rerun_guard", "p04_partition_date"):
             run(spark, sf_dir)
     assert stored() == before
 
