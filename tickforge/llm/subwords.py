@@ -101,6 +101,8 @@ class ChunkedBPE:
     MEAN_CHUNK = 1024
     LEAST_CHUNK = 128
     LONG_PIECE = 20_000
+    #: About 8 MB of text with its ids, four times that in memory.
+    CACHED_CHUNKS = 8_000
     RARE = re.compile("[^\x00-ɏ]")
 
     def __init__(self, path: str, ranks_pattern: str):
@@ -121,7 +123,7 @@ class ChunkedBPE:
             "chunks", pat_str=ranks_pattern, special_tokens={},
             mergeable_ranks={self.bytes_of[i]: i for i in ordinary.values()})
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.chunks = Bounded(self._encode_piece, 50_000)
+        self.chunks = Bounded(self._encode_piece, self.CACHED_CHUNKS)
         self.hits = self.made = 0
         rng = np.random.default_rng(10)
         self.gear = rng.integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -130,11 +132,11 @@ class ChunkedBPE:
         """Ids of a stretch on its own, and the byte position after each token."""
         text = data.decode()
         if self.RARE.search(text) or (len(data) > self.LONG_PIECE and max(map(len, re.split(r"\s", text))) > self.LONG_PIECE):
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
         else:
-            ids = np.array(self.plain.encode_ordinary(text), np.int64)
+            ids = np.array(self.plain.encode_ordinary(text), np.int32)
         self.made += 1
-        return ids, np.cumsum(self.lengths[ids])
+        return ids, np.cumsum(self.lengths[ids], dtype=np.int64 if len(data) >> 31 else np.int32)
 
     def cuts(self, b: np.ndarray) -> list[int]:
         """Chunk starts after the first, where the rolling hash of 16 bytes says so."""
