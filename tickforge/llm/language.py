@@ -219,8 +219,11 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     return docs.mapInArrow(predict, schema)
 
 
-def keep_known(docs: DataFrame, model: LanguageModel, text: str = "text", least_share: float = 0.5) -> DataFrame:
-    """Documents with a language that makes up at least ``least_share`` of the text, all columns."""
+def keep_known(docs: DataFrame, model: LanguageModel, text: str = "text", least_share: float = 0.34) -> DataFrame:
+    """Documents with a language that makes up at least ``least_share`` of the text, all columns.
+
+    A text half in one language and half in another is kept; one in pieces of many is not.
+    """
     columns = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(columns))])
     found = identify(plain, model, f"c{columns.index(text)}")
