@@ -52,6 +52,7 @@ class Model:
 _I, _J = np.arange(BLOCK)[:, None], np.arange(2 * BLOCK)[None, :]
 DISTANCE = np.clip(BLOCK + _I - _J, 0, 2 * BLOCK - 1)
 NEVER = np.float32(-1e9)
+SAFE = 60.0
 HIDDEN = np.where(_J > BLOCK + _I, NEVER, np.float32(0))
 
 
@@ -67,29 +68,47 @@ def blocks_of(sequences: list[np.ndarray], fill: int) -> tuple[np.ndarray, np.nd
     return out.reshape(-1, BLOCK), follows
 
 
-def _attend(w, x, past_x, follows):
-    q = (x @ w["query"]) * np.float32(WIDTH ** -0.5)
-    both = np.concatenate([past_x, x], axis=1)
-    k, v = both @ w["key"], both @ w["value"]
+def _times(x, w):
+    """A matrix applied to the last axis as one product, not one per block."""
+    return (x.reshape(-1, x.shape[-1]) @ w).reshape(*x.shape[:-1], w.shape[1])
+
+
+def _bounded(z) -> None:
+    """Shifts rows by their maximum where an exponential could leave the range of numbers."""
+    if z.max(initial=0) > SAFE or z.min(initial=0) < -SAFE:
+        z -= z.max(-1, keepdims=True)
+
+
+def _sums(x):
+    """Sums over the last axis, kept as an axis, by a product with ones."""
+    return (x.reshape(-1, x.shape[-1]) @ np.ones((x.shape[-1], 1), x.dtype)).reshape(*x.shape[:-1], 1)
+
+
+def _attend(w, x, follows, before):
+    """Attention over a run of blocks; ``before`` holds keys and values of the block ahead of the run."""
+    q, own_k, own_v = (_times(x, w[n]) for n in ("query", "key", "value"))
+    q *= np.float32(WIDTH ** -0.5)
+    k, v = (np.concatenate([_past(own, b), own], axis=1) for own, b in zip((own_k, own_v), before))
     a = q @ k.transpose(0, 2, 1)
-    a += w["distance"][DISTANCE] + HIDDEN
+    a += w["distance"][DISTANCE]
+    _bounded(a)
+    a += HIDDEN
     a[~follows, :, :BLOCK] = NEVER
-    a -= a.max(2, keepdims=True)
     np.exp(a, out=a)
-    a /= a.sum(2, keepdims=True)
+    a /= _sums(a)
     o = a @ v
-    return q, both, k, v, a, o, x + o @ w["out"]
+    return q, k, v, a, o, x + _times(o, w["out"]), (own_k[-1], own_v[-1])
 
 
 def _exp_logits(w, h, targets):
-    """Exponentials of the logits less their maximum, their sums, and the log probability of each target."""
+    """Exponentials of the logits, their sums, and the log probability of each target."""
     z = h.reshape(-1, WIDTH) @ w["classes"]
     z += w["bias"]
-    z -= z.max(1, keepdims=True)
+    _bounded(z)
     rows = np.arange(len(z))
     picked = z[rows, np.maximum(targets.ravel(), 0)]
     np.exp(z, out=z)
-    total = z.sum(1)
+    total = _sums(z)[:, 0]
     return z, total, picked - np.log(total), rows
 
 
@@ -101,12 +120,10 @@ def class_log10(model: Model, ids: np.ndarray, follows: np.ndarray, targets: np.
     """log10 probability of the target class at every position; 0 where the target is negative."""
     w = model.weights
     out = np.zeros(targets.shape)
-    before = np.zeros((BLOCK, WIDTH), w["embed"].dtype)
+    before = (np.zeros((BLOCK, WIDTH), w["embed"].dtype),) * 2
     for i in range(0, len(ids), at_once):
         part = slice(i, i + at_once)
-        x = w["embed"][ids[part]]
-        h = _attend(w, x, _past(x, before), follows[part])[-1]
-        before = x[-1]
+        *_, h, before = _attend(w, w["embed"][ids[part]], follows[part], before)
         t = targets[part]
         out[part] = np.where(t >= 0, _exp_logits(w, h, t)[2].reshape(t.shape), 0)
     return out / LOG10
@@ -116,8 +133,7 @@ def gradients(model: Model, ids, follows, targets) -> tuple[float, int, dict[str
     """Summed negative log likelihood in nats, number of targets, gradient of their mean."""
     w = model.weights
     x = w["embed"][ids]
-    past = _past(x, np.zeros((BLOCK, WIDTH), x.dtype))
-    q, both, k, v, a, o, h = _attend(w, x, past, follows)
+    q, k, v, a, o, h, _ = _attend(w, x, follows, (np.zeros((BLOCK, WIDTH), x.dtype),) * 2)
     dz, total, logs, rows = _exp_logits(w, h, targets)
     known = targets.ravel() >= 0
     n = int(known.sum())
@@ -134,7 +150,7 @@ def gradients(model: Model, ids, follows, targets) -> tuple[float, int, dict[str
     g["classes"], g["bias"] = outer(h, dz), dz.sum(0)
     dh = (dz @ w["classes"].T).reshape(h.shape)
     g["out"] = outer(o, dh)
-    do = dh @ w["out"].T
+    do = _times(dh, w["out"].T)
     ds = do @ v.transpose(0, 2, 1)
     dv = a.transpose(0, 2, 1) @ do
     # The weighted mean of ds under the attention is do . o, row by row.
@@ -143,22 +159,29 @@ def gradients(model: Model, ids, follows, targets) -> tuple[float, int, dict[str
     g["distance"] = np.bincount(DISTANCE.ravel(), ds.sum(0).ravel(), 2 * BLOCK).astype(x.dtype)
     dq = (ds @ k) * np.float32(WIDTH ** -0.5)
     dk = ds.transpose(0, 2, 1) @ q
-    g["query"], g["key"], g["value"] = outer(x, dq), outer(both, dk), outer(both, dv)
-    dboth = dk @ w["key"].T + dv @ w["value"].T
-    dx = dh + dq @ w["query"].T + dboth[:, BLOCK:]
-    dx[:-1] += dboth[1:, :BLOCK] * follows[1:, None, None]
+    # A block's keys and values serve itself and the block after it.
+    own_k, own_v = (_own(d) for d in (dk, dv))
+    g["query"], g["key"], g["value"] = outer(x, dq), outer(x, own_k), outer(x, own_v)
+    dx = dh + _times(dq, w["query"].T)
+    dx += _times(own_k, w["key"].T)
+    dx += _times(own_v, w["value"].T)
     g["embed"] = _rows_added(ids.ravel(), dx.reshape(-1, WIDTH), len(w["embed"]))
     return loss, n, g
 
 
+def _own(d: np.ndarray) -> np.ndarray:
+    """Gradient of each block's own keys or values, from those of the pairs of blocks.
+
+    Attention to a block that does not precede is zero, and so is its gradient.
+    """
+    own = d[:, BLOCK:].copy()
+    own[:-1] += d[1:, :BLOCK]
+    return own
+
+
 def _rows_added(ids: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     """Rows summed by id."""
-    order = np.argsort(ids, kind="stable")
-    ordered = ids[order]
-    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    out = np.zeros((size, rows.shape[1]), rows.dtype)
-    out[ordered[first]] = np.add.reduceat(rows[order], first, axis=0)
-    return out
+    return np.stack([np.bincount(ids, rows[:, d], size) for d in range(rows.shape[1])], 1).astype(rows.dtype)
 
 
 class Adam:

@@ -108,7 +108,7 @@ def learn_vocabulary(counts: DataFrame, ends: int, path: str, frequent: int = FR
     rows = counts.mapInArrow(leads, "lead int, c long").groupBy("lead").agg(
         F.sum("c").alias("c"), F.count("*").alias("v")).collect()
     order = sorted(rows, key=lambda r: (-r["c"], r["lead"]))
-    top = counts.orderBy(F.desc("c"), "word").limit(frequent).collect()
+    top = most_frequent(counts, frequent)
     v = Vocabulary(
         path, sum(r["c"] for r in rows) + ends, sum(r["v"] for r in rows) + bool(ends), ends,
         {r["lead"]: i + 2 for i, r in enumerate(order[: INPUTS - 2])}, {r["lead"]: i for i, r in enumerate(order[:OWN_CLASSES])},
@@ -122,6 +122,23 @@ def learn_vocabulary(counts: DataFrame, ends: int, path: str, frequent: int = FR
     return v
 
 
+def most_frequent(counts: DataFrame, most: int) -> list:
+    """At most ``most`` of the most frequent words with their counts.
+
+    The least count comes from a histogram over steps of an eighth of a power of two, so tasks
+    send no more words than are kept.
+    """
+    step = F.floor(8 * F.log2(F.col("c")))
+    sizes = sorted(((r["s"], r["n"]) for r in counts.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    total, least = 0, None
+    for s, n in sizes:
+        total += n
+        if total > most:
+            break
+        least = s
+    return [] if least is None else counts.filter(step >= least).collect()
+
+
 class Coder:
     """Codes of words: the rank of a frequent word, else a negative number of input and class."""
 
