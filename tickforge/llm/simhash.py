@@ -198,7 +198,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: i
     Documents with equal fingerprints are one entry of the index, lists of over ``hot`` entries
     are replaced by lists of five bytes, and only a spanning set of links is kept.
 
-    Result: doc_id, fp (signed), fingerprint (hex), component_id.  Texts without a word, null ones
+    Result: doc_id, fp (signed), class, fingerprint (hex), component_id.  Texts without a word, null ones
     too, have fingerprint zero and link like others.  Null keys are ignored in the
     smallest key; a component without keys has a null id.  Other columns are dropped, repeated
     rows stay, an empty table gives no rows.
@@ -209,11 +209,11 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: i
 
 
 def component_ids(marked: DataFrame, hot: int = HOT) -> DataFrame:
-    """Adds fingerprint and component_id to stored rows with doc_id and fp."""
+    """Adds class, component_id and fingerprint to stored rows with doc_id and fp."""
     prints = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     found = stored(classes(prints.select("fp"), hot).join(prints, "fp"), "classes")
     ids = found.groupBy("class").agg(F.min("least").alias("component_id"))
-    by_print = found.join(ids, "class").select("fp", "component_id")
+    by_print = found.join(ids, "class").select("fp", "class", "component_id")
     return marked.join(by_print, "fp", "left").withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0")))
 
 
@@ -224,8 +224,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", hot: int
     at_text, at_key = f"c{columns.index(text)}", f"c{columns.index(key)}"
     rows = stored(with_fingerprints(plain, at_text, plain.columns, "fp", row="row"), "rows")
     found = component_ids(rows.select(F.col(at_key).alias("doc_id"), "fp", "row"), hot)
-    # A component without any key is told by its fingerprint's own class; keys are compared nulls last.
-    chosen = found.groupBy(F.coalesce(F.col("component_id").cast("string"), F.col("fingerprint")).alias("g")).agg(
+    # Keys are compared nulls last.
+    chosen = found.groupBy("class").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
     return rows.join(chosen.select(F.col("first.row").alias("row")), "row", "left_semi").select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
