@@ -56,6 +56,12 @@ def test_thresholds_adapt_to_the_group(spark):
     assert not [r["kept"] for r in quality.quality_report(dense).collect() if r["doc_id"] == 999][0]
 
 
+def test_many_groups_are_joined_without_a_broadcast(documents, monkeypatch):
+    want = sorted((r["doc_id"], r["kept"]) for r in quality.quality_report(documents).collect())
+    monkeypatch.setattr(quality, "BROADCAST_GROUPS", 0)
+    assert sorted((r["doc_id"], r["kept"]) for r in quality.quality_report(documents).collect()) == want
+
+
 def test_odd_rows(odd_docs, empty_docs, clashing_docs):
     rows = quality.quality_report(odd_docs).collect()
     assert len(rows) == 13

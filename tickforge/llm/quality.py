@@ -28,6 +28,9 @@ SIGNIFICANT_BITS = 5
 #: Least spread per metric: a uniform group tolerates that much, times ``REACH``, around its median.
 LEAST_SPREAD = {"symbols": 25, "dup_lines": 125, "repeats": 125, "word_length": 500}
 REACH = 4.0
+#: Rows of about 100 bytes.
+BROADCAST_GROUPS = 50_000
+SALTS = 32
 LEAST_GROUP = 100
 
 
@@ -173,9 +176,12 @@ def base_failed() -> Column:
 def assess(stats: DataFrame, bounds: DataFrame, lang: str, source: str, failed: str, kept: str) -> DataFrame:
     """Joins the bounds of a row's group and adds the two verdicts.
 
-    ``bounds`` has a row per (lang, source); adaptive execution broadcasts it when it is small
-    and splits a hot group's rows otherwise.  Null languages and sources are groups like others.
+    ``bounds`` has a row per (lang, source).  Up to ``BROADCAST_GROUPS`` rows it is broadcast, so texts
+    are not moved; beyond that every group is dealt to ``SALTS`` places.  Null
+    languages and sources are groups like others.
     """
+    bounds = stored(bounds, "bounds")
+    small = bounds.count() <= BROADCAST_GROUPS
     b = bounds.select(F.col("lang").alias("b_lang"), F.col("source").alias("b_source"),
                       F.struct(*[c for c in bounds.columns if c not in ("lang", "source")]).alias("b_bounds"))
     inside = F.lit(True)
@@ -183,7 +189,14 @@ def assess(stats: DataFrame, bounds: DataFrame, lang: str, source: str, failed:
         value = F.expr(e)
         inside = inside & (value >= F.col(f"b_bounds.{m}_low")) & (value <= F.col(f"b_bounds.{m}_high"))
     same = stats[lang].eqNullSafe(F.col("b_lang")) & stats[source].eqNullSafe(F.col("b_source"))
-    return stats.join(b, same, "left").withColumns({
+    if small:
+        joined = stats.join(F.broadcast(b), same, "left")
+    else:
+        atomic = [F.col(f.name) for f in stats.schema if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
+        salted = stats.withColumn("b_salt", F.pmod(F.xxhash64(*atomic), F.lit(SALTS)).cast("int"))
+        places = b.withColumn("b_place", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = salted.join(places, same & (F.col("b_salt") == F.col("b_place")), "left").drop("b_salt", "b_place")
+    return joined.withColumns({
         failed: base_failed(),
         kept: ~base_failed() & F.coalesce(inside, F.lit(False)),
     }).drop("b_lang", "b_source", "b_bounds")
