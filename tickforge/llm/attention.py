@@ -53,6 +53,7 @@ _I, _J = np.arange(BLOCK)[:, None], np.arange(2 * BLOCK)[None, :]
 DISTANCE = np.clip(BLOCK + _I - _J, 0, 2 * BLOCK - 1)
 NEVER = np.float32(-1e9)
 SAFE = 60.0
+RUN_BLOCKS = 64
 HIDDEN = np.where(_J > BLOCK + _I, NEVER, np.float32(0))
 
 
@@ -130,8 +131,13 @@ def class_log10(model: Model, ids: np.ndarray, follows: np.ndarray, targets: np.
 
 
 def gradients(model: Model, ids, follows, targets) -> tuple[float, int, dict[str, np.ndarray]]:
-    """Summed negative log likelihood in nats, number of targets, gradient of their mean."""
+    """Summed negative log likelihood in nats, number of targets, gradient of their mean.
+
+    The first block of the run has nothing before it.
+    """
     w = model.weights
+    follows = follows.copy()
+    follows[:1] = False
     x = w["embed"][ids]
     q, k, v, a, o, h, _ = _attend(w, x, follows, (np.zeros((BLOCK, WIDTH), x.dtype),) * 2)
     dz, total, logs, rows = _exp_logits(w, h, targets)
@@ -193,9 +199,19 @@ class Adam:
         self.v = {n: np.zeros_like(x) for n, x in model.weights.items()}
 
     def learn(self, ids, follows, targets) -> tuple[float, int]:
-        loss, n, g = gradients(self.model, ids, follows, targets)
+        """One step; its blocks are worked off in runs that stay in the processor's cache."""
+        loss, n, g = 0.0, 0, {}
+        for i in range(0, len(ids), RUN_BLOCKS):
+            run = slice(i, i + RUN_BLOCKS)
+            part, m, slope = gradients(self.model, ids[run], follows[run], targets[run])
+            loss, n = loss + part, n + m
+            for name, x in slope.items():
+                x *= m
+                g[name] = g[name] + x if name in g else x
         if not n:
             return loss, n
+        for x in g.values():
+            x /= n
         self.step += 1
         rate = self.rate / (1 + self.step / 200) ** 0.5
         for name, w in self.model.weights.items():

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 from itertools import compress
 
 import numpy as np
@@ -46,9 +47,15 @@ def lead_of(path: str):
         byte = {letter: b for b, letter in enumerate(byte_letters())}
         ids = {bytes(byte[c] for c in token): i for token, i in vocabulary.items() if all(c in byte for c in token)}
 
+        # Length of the longest entry with the same first bytes: where the search starts.
+        longest: dict[bytes, int] = {}
+        for entry in ids:
+            if len(entry) <= LONGEST_LEAD:
+                longest[entry[:4]] = max(len(entry), longest.get(entry[:4], 0))
+
         def lead(word: bytes) -> int:
             spaced = b" " + word
-            for n in range(min(len(spaced), LONGEST_LEAD), 0, -1):
+            for n in range(min(len(spaced), longest.get(spaced[:4], 4)), 0, -1):
                 found = ids.get(spaced[:n])
                 if found is not None:
                     return found
@@ -91,6 +98,7 @@ class Vocabulary:
     class_distinct: np.ndarray
     frequent: list[bytes]
     frequent_counts: np.ndarray
+    identity: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def coded(self, lead: int) -> tuple[int, int]:
         """Input and class of a leading id; rare ids share some classes."""
@@ -139,6 +147,17 @@ def most_frequent(counts: DataFrame, most: int) -> list:
     return [] if least is None else counts.filter(step >= least).collect()
 
 
+_coders: dict = {}
+
+
+def coder_of(vocabulary: Vocabulary) -> Coder:
+    """The worker's coder of a vocabulary; its cache serves all tasks of the worker."""
+    if vocabulary.identity not in _coders:
+        _coders.clear()
+        _coders[vocabulary.identity] = Coder(vocabulary)
+    return _coders[vocabulary.identity]
+
+
 class Coder:
     """Codes of words: the rank of a frequent word, else a negative number of input and class."""
 
@@ -184,7 +203,7 @@ def train_model(rows: DataFrame, vocabulary: Vocabulary) -> Model:
     start.weights["bias"] = np.log(share / share.sum()).astype(np.float32)
 
     def train(batches):
-        coder = Coder(shared.value)
+        coder = coder_of(shared.value)
         adam = Adam(Model({k: w.copy() for k, w in start.weights.items()}))
         ids, classes, held, tokens = [], [], 0, 0
         for batch in batches:
@@ -230,16 +249,14 @@ def first_scores(rows: DataFrame, vocabulary: Vocabulary, model: Model) -> DataF
     context = rows.sparkSession.sparkContext
     shared_vocabulary, shared_model = context.broadcast(vocabulary), context.broadcast(model)
     key = rows.schema["doc_id"].dataType.simpleString()
-    rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
-
     def score(batches):
-        coder = Coder(shared_vocabulary.value)
+        coder = coder_of(shared_vocabulary.value)
         task = TaskContext.get()
         number = (task.partitionId() if task else 0) << 40
         for batch in batches:
             keys, held_out = batch.column(0), batch.column(1)
             rest = []  # texts whose attention part is still to do
-            results = []
+            results, rare_sizes, rare_words, rare_counts = [], [], [], []
             held = 0
             for t in batch.column(2):
                 words = words_of(t.as_py())
@@ -248,7 +265,10 @@ def first_scores(rows: DataFrame, vocabulary: Vocabulary, model: Model) -> DataF
                 rare = Counter(compress(words, (~frequent).tolist()))
                 results.append([
                     len(words) + 1, float(coder.logs[codes[frequent]].sum()), int(frequent.sum()),
-                    float(coder.norms[classes[:-1]].sum()), 0.0, [{"word": w, "n": n} for w, n in rare.items()]])
+                    float(coder.norms[classes[:-1]].sum()), 0.0])
+                rare_sizes.append(len(rare))
+                rare_words.extend(rare)
+                rare_counts.extend(rare.values())
                 rest.append((ids, classes))
                 held += len(ids)
                 if held >= GROUP_TOKENS:
@@ -257,10 +277,13 @@ def first_scores(rows: DataFrame, vocabulary: Vocabulary, model: Model) -> DataF
             _attend(shared_model.value, rest, results)
             numbers = np.arange(number, number + len(results))
             number += len(results)
-            columns = list(zip(*results)) or [[]] * 6
-            kinds = [pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.float64(), rare_type]
+            columns = list(zip(*results)) or [[]] * 5
+            kinds = [pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.float64()]
+            flat = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_counts, pa.int32())], ["word", "n"])
+            offsets = pa.array(np.r_[0, np.cumsum(rare_sizes)].astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(numbers, pa.int64()), keys, held_out, *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                [pa.array(numbers, pa.int64()), keys, held_out, *(pa.array(c, k) for c, k in zip(columns, kinds)),
+                 pa.ListArray.from_arrays(offsets, flat)],
                 ["row", "doc_id", "held_out", "n_tokens", "log_counts", "known", "norms", "class_log10", "rare"])
 
     return rows.mapInArrow(score, SCORED.format(key=key))
