@@ -11,6 +11,7 @@ from tickforge.llm.common import in_fold, out_of_fold, table
 from tickforge.llm.decontaminate import find_passages
 from tickforge.llm.language import identify, train_languages
 from tickforge.llm.quality import quality_report
+from tickforge.llm.runs import mark_runs, strongest
 from tickforge.llm.scoring import score_texts
 from tickforge.llm.sharding import assign_shards
 from tickforge.llm.simhash import near_copies
@@ -151,6 +152,80 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth text by the crc32 of its doc_id repeats its own words from word ``a`` on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    cut = docs.select("doc_id", "text", (h / 10).cast("long").alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    cut = cut.select("doc_id", "text", "g", "w", F.size("w").cast("long").alias("n"))
+    cut = cut.select("*", F.when(F.col("n") > 0, F.col("g") % F.col("n")).alias("a"))
+    cut = cut.select("*", F.expr("1 + (n - a) div (3 + g % 8)").alias("p"))
+    planted = F.expr("array_join(transform(sequence(0L, n - 1), i -> w[int(IF(i < a, i, a + (i - a) % p))]), ' ')")
+    return cut.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = mark_runs(with_planted_runs(table(spark, sf_dir, "documents"))).withColumn("best", strongest("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return marked.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+OP13_SQL = r"""
+WITH bytes AS (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+           list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT) AS digits
+    FROM documents
+),
+hashed AS (
+    SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, digits), lambda r, b: list_reduce(
+                  list_prepend(xor(r, b), range(8)),
+                  lambda s, k: xor(s >> 1, 3988292384 * (s & 1)))), 4294967295) AS h, len(ws) AS n
+    FROM bytes
+),
+plan AS (SELECT *, h // 10 AS g, CASE WHEN n > 0 THEN (h // 10) % n END AS a FROM hashed),
+texts AS (
+    SELECT rid, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: ws[1 + CASE
+               WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE ws END AS ws
+    FROM plan
+),
+words AS (SELECT rid, n, unnest(ws) AS w, unnest(range(n)) AS i FROM texts WHERE n >= 24),
+equal AS (
+    SELECT x.rid, x.i, y.i - x.i AS q
+    FROM words x JOIN words y ON x.rid = y.rid AND x.w = y.w AND y.i > x.i AND 3 * (y.i - x.i) <= x.n
+),
+islands AS (SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM equal),
+stretches AS (
+    SELECT rid, q, min(i) AS s, count(*) + q AS m FROM islands GROUP BY rid, q, island
+    HAVING count(*) + q >= greatest(24, 3 * q)
+),
+runs AS (
+    SELECT * FROM stretches r WHERE NOT EXISTS (
+        FROM stretches x WHERE x.rid = r.rid AND x.q < r.q AND x.s <= r.s AND x.s + x.m >= r.s + r.m)
+),
+listed AS (
+    SELECT rid, count(*) AS n_runs, string_agg(concat(s, ',', m, ',', q, chr(10)), '' ORDER BY s, q) AS lines
+    FROM runs GROUP BY rid
+),
+best AS (
+    SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY rid ORDER BY m // q DESC, (m % q)::DOUBLE / q DESC, s, q) AS place FROM runs
+    ) WHERE place = 1
+),
+gone AS (SELECT DISTINCT rid, unnest(range(s + q, s + m)) AS i FROM runs),
+rest AS (
+    SELECT rid, string_agg(w, ' ' ORDER BY i) AS kept
+    FROM (SELECT rid, unnest(ws) AS w, unnest(range(n)) AS i FROM texts) ANTI JOIN gone USING (rid, i) GROUP BY rid
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, m AS length, q AS period, 1000 * m // q AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (rid) LEFT JOIN best USING (rid) LEFT JOIN rest USING (rid)
+"""
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_sharding": op2_sharding,
@@ -162,5 +237,6 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
+    "op13_runs": op13_runs,
 }
-ORACLE = {"op1_warc": OP1_SQL, "op3_quality": OP3_SQL}
+ORACLE = {"op1_warc": OP1_SQL, "op3_quality": OP3_SQL, "op13_runs": OP13_SQL}
