@@ -10,6 +10,7 @@ from tickforge.llm.bpe import encoding_digests
 from tickforge.llm.common import in_fold, out_of_fold, table
 from tickforge.llm.decontaminate import find_passages
 from tickforge.llm.language import identify, train_languages
+from tickforge.llm.phrases import collocations, top_collocations
 from tickforge.llm.quality import quality_report
 from tickforge.llm.runs import mark_runs, strongest
 from tickforge.llm.scoring import score_texts
@@ -152,6 +153,49 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_collocations(collocations(table(spark, sf_dir, "documents"))).select(
+        "lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+    SELECT row_number() OVER () AS pid, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+    FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    )
+),
+totals AS (SELECT lang, sum(len(ws)) AS n FROM pieces GROUP BY lang),
+spans AS (SELECT pid, lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM pieces, range(1, 6) t(k) WHERE len(ws) >= k),
+counts AS (
+    SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase, count(*) AS f FROM spans GROUP BY ALL HAVING count(*) >= 100
+),
+cuts AS (
+    SELECT c.lang, c.phrase, c.k AS size, c.f AS a, l.f AS l, r.f AS r, t.n, u.cut,
+           1000::HUGEINT * c.f * t.n // (l.f::HUGEINT * r.f) AS score
+    FROM (SELECT *, string_split(phrase, ' ') AS ws FROM counts WHERE k > 1) c
+    JOIN totals t ON c.lang = t.lang
+    JOIN range(1, 5) u(cut) ON u.cut < c.k
+    JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1 : u.cut], ' ')
+    JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[u.cut + 1 : c.k], ' ')
+),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_parts AS (
+    SELECT lang, f, array_to_string(ws[i : i + m - 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, k - m + 2)) AS i
+          FROM (SELECT *, string_split(phrase, ' ') AS ws FROM counts), range(2, 5) t(m) WHERE m < k)
+)
+SELECT * FROM (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+           n::BIGINT AS n, score::BIGINT AS score
+    FROM scored s
+    WHERE NOT EXISTS (FROM inner_parts p WHERE p.lang = s.lang AND p.phrase = s.phrase AND 100 * p.f >= 100 * s.a)
+) WHERE rank <= 2000
+"""
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """(doc_id, text): every tenth text by the crc32 of its doc_id repeats its own words from word ``a`` on."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -237,6 +281,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
+    "op12_phrases": op12_phrases,
     "op13_runs": op13_runs,
 }
-ORACLE = {"op1_warc": OP1_SQL, "op3_quality": OP3_SQL, "op13_runs": OP13_SQL}
+ORACLE = {"op1_warc": OP1_SQL, "op3_quality": OP3_SQL, "op12_phrases": OP12_SQL, "op13_runs": OP13_SQL}
