@@ -10,6 +10,7 @@ from tickforge.llm.bpe import encoding_digests
 from tickforge.llm.common import in_fold, out_of_fold, table
 from tickforge.llm.decontaminate import find_passages
 from tickforge.llm.language import identify, train_languages
+from tickforge.llm.personal import find_personal, listed
 from tickforge.llm.phrases import collocations, top_collocations
 from tickforge.llm.quality import quality_report
 from tickforge.llm.runs import mark_runs, strongest
@@ -153,6 +154,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(listed("base").cast("binary"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_collocations(collocations(table(spark, sf_dir, "documents"))).select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score")
@@ -281,6 +288,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
+    "op11_personal": op11_personal,
     "op12_phrases": op12_phrases,
     "op13_runs": op13_runs,
 }
