@@ -52,6 +52,7 @@ def test_joins_by_shuffle_give_the_same(spark, documents, monkeypatch):
     docs = documents.filter("doc_id < 40").withColumn("lang", F.lit("x"))
     few = rows_of(phrases.collocations(docs, 4))
     monkeypatch.setattr(phrases, "BROADCAST_GROUPS", 0)
+    monkeypatch.setattr(phrases, "FILTER_WORDS", 0)
     monkeypatch.setattr(phrases, "BUCKET_ROWS", 500)
     assert rows_of(phrases.collocations(docs, 4)) == few
 
@@ -73,10 +74,8 @@ def test_shared_numbers_are_drawn_anew(spark, monkeypatch):
 
 def test_join_by_piece_moves_no_rows(spark, documents):
     with phrases.Relations(spark, 4) as tables:
-        rows = phrases.occurrences(documents.select("text", "lang"), 0).withColumnRenamed("number", "id")
-        level = tables.keep(rows.repartition(4, "piece"))
-        pairs = level.alias("x").join(level.withColumn("before", F.col("at") - 1).alias("y"),
-                                      (F.col("x.piece") == F.col("y.piece")) & (F.col("x.at") == F.col("y.before")))
+        rows = phrases.pair_occurrences(documents.select("text", "lang"), 0, None).withColumnRenamed("left", "id")
+        pairs = phrases.at_next(tables.keep(rows.repartition(4, "piece")))
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         try:
             plan = pairs._jdf.queryExecution().executedPlan().toString()
@@ -86,6 +85,22 @@ def test_join_by_piece_moves_no_rows(spark, documents):
     assert not [d for d in spark.catalog.listDatabases() if d.name.startswith("occurrences_")]
 
 
+def test_groups_of_texts_give_the_same(spark, documents, monkeypatch):
+    docs = documents.filter("doc_id < 30").select("text", "lang").toPandas()
+    batch = phrases.pa.RecordBatch.from_pandas(docs, preserve_index=False)
+
+    def all_pairs():
+        found, base = [], 0
+        for pieces, piece, at, left, right, numbers in phrases.neighbours(batch, 0, None):
+            found += zip((piece + base).tolist(), at.tolist(), numbers[left].tolist(), numbers[right].tolist())
+            base += pieces
+        return found
+
+    whole = all_pairs()
+    monkeypatch.setattr(phrases, "GROUP_WORDS", 50)
+    assert whole and all_pairs() == whole
+
+
 def test_exact_beyond_64_bits(spark):
     """Scores by whole numbers also where a * n exceeds 64 bits."""
     big = spark.createDataFrame([(9 * 10**14, 10**15, 10**15, 10**17)], "a long, l long, r long, n long")
