@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tickforge.operators import consolidate as C
 from tickforge.operators.clean import clean
 from tickforge.operators.snapshots import daily_summary
+from tickforge.plans.incremental import DailyTable, staged
 from tickforge.schemas import DAILY_SCHEMA, HISTORY_COLUMNS, HISTORY_SCHEMA, MONTH, MONTHLY_SCHEMA
 from tickforge.session import scratch_path
 from tickforge.sources import messages as M
@@ -29,11 +30,13 @@ SUMMARY_SCHEMA = T.StructType([
 def run_batch(raw: DataFrame, root: str, number: int, target: dict[str, str] | None = None) -> list[str]:
     """Takes in a raw batch and refreshes what it changes below ``root``; returns the months it touched.
 
-    Tables: ``history`` and ``summary`` (by month), ``daily`` and ``monthly`` (serving).  Only the
-    months of the batch are read from the history and summarised again; the serving tables
-    are computed from the summaries and get the rows that differ, under the run's
-    ``number``.  With ``target`` these rows are also published as messages.  A repeated run
-    changes nothing.
+    Tables: ``history`` and ``summary`` (by month), ``daily`` and ``monthly`` (serving), ``states``
+    and ``records`` (what later days need of earlier ones, see ``incremental``).  Only the
+    months of the batch are read from the history and summarised again.  The daily table is
+    computed from the summaries of these months and the state before them, and of later months
+    for symbols whose state changed; the serving tables get the rows that differ, under the
+    run's ``number``.  With ``target`` these rows are also published as messages.  A repeated
+    run changes nothing.
     """
     spark = raw.sparkSession
     stage = scratch_path(spark, "cleaned")
@@ -49,23 +52,23 @@ def run_batch(raw: DataFrame, root: str, number: int, target: dict[str, str] | N
     replace_partitions(summaries, f"{root}/summary", [MONTH])
     summary = read_by_month(spark, f"{root}/summary", SUMMARY_SCHEMA)
     monthly = C.monthly_table(summary.filter(F.col(MONTH).isin(months)))
-    daily = C.daily_analysis(summary.drop(MONTH))
-    for table, rows, schema, upsert, topic in (
-        ("daily", daily, DAILY_SCHEMA, upsert_daily, M.DAILY_TOPIC), ("monthly", monthly, MONTHLY_SCHEMA, upsert_monthly, M.MONTHLY_TOPIC),
+    table = DailyTable(spark, root, SUMMARY_SCHEMA)
+    daily, states = table.refresh(months)
+    monthly = _changed(spark, monthly, f"{root}/monthly", MONTHLY_SCHEMA, months)
+    for changed, name, schema, upsert, topic in (
+        (daily, "daily", DAILY_SCHEMA, upsert_daily, M.DAILY_TOPIC), (monthly, "monthly", MONTHLY_SCHEMA, upsert_monthly, M.MONTHLY_TOPIC),
     ):
-        changed = _changed(spark, rows, f"{root}/{table}", schema)
         if target is not None:
             M.publish(M.as_keyed_messages(changed, schema), topic, target)
-        upsert(changed.withColumn("seq", F.lit(number).cast("bigint")), f"{root}/{table}", scratch_path(spark, f"stage-{table}"))
+        upsert(changed.withColumn("seq", F.lit(number).cast("bigint")), f"{root}/{name}", scratch_path(spark, f"stage-{name}"))
+    table.store(states)
     return sorted(months)
 
 
-def _changed(spark: SparkSession, rows: DataFrame, table: str, schema: T.StructType) -> DataFrame:
-    """Rows the stored table does not hold exactly so, written down before the table changes."""
-    old = read_if_exists(spark, table, schema)
+def _changed(spark: SparkSession, rows: DataFrame, table: str, schema: T.StructType, months: list[str]) -> DataFrame:
+    """Rows that these months of the stored table do not hold exactly so, written down before the table changes."""
+    old = read_if_exists(spark, table, T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())]))
     different = C.conform(rows, schema)
     if old is not None:
-        different = different.exceptAll(old.select(*schema.fieldNames()))
-    path = scratch_path(spark, "changed")
-    different.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+        different = different.exceptAll(old.filter(F.col(MONTH).isin(months)).select(*schema.fieldNames()))
+    return staged(different, "changed")

@@ -66,12 +66,19 @@ def _located(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
-def _is_complete(spark: SparkSession, path: str) -> bool:
+def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` was committed, as its success marker tells."""
     files, marker = _located(spark, f"{path}/_SUCCESS")
     return files.exists(marker)
 
 
+def stored_months(spark: SparkSession, table: str) -> list[str]:
+    """Months a table is stored under, in order, from the names of its folders: no file is opened."""
+    files, place = _located(spark, table)
+    names = [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{MONTH}=") and n[-1].isdigit())
+
+
 def drop_stage(spark: SparkSession, stage: str) -> None:
     """Remove the stage of a batch that cannot be repeated any more."""
     files, place = _located(spark, stage)
@@ -89,7 +96,7 @@ def upsert(
     spark = incoming.sparkSession
     merged_path = f"{stage}/merged"
     stored = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
-    if not _is_complete(spark, merged_path):
+    if not is_complete(spark, merged_path):
         incoming.withColumn(MONTH, month).write.mode("overwrite").parquet(f"{stage}/incoming")
         staged = spark.read.parquet(f"{stage}/incoming")
         # At most one row per calendar month; literal months prune the table's folders.
