@@ -183,3 +183,20 @@ def test_slices_equal_a_global_sort(bars):
 def test_display_text(spark):
     frame = spark.createDataFrame([(1_250_000,), (4_400,), (999,)], "v long")
     assert values(frame.select(L.volume_text(F.col("v")).alias("t")), "t") == [("1.3M",), ("4K",), ("999",)]
+
+
+def test_pivots_take_their_columns_from_the_data(spark, history):
+    rows = history([("B", "2025-12-30 10:00", 10, 5), ("A", "2026-01-02 10:00", 10, 7), ("A", "2026-01-05 10:00", 11, 1),
+                    (None, "2026-01-05 10:00", 11, 100)])
+    wide = P.yearly_matrix(P.yearly_volume(rows))
+    assert wide.columns == ["year", "A", "B", "total"]
+    assert sorted(tuple(r) for r in wide.collect()) == [(2025, 0, 5, 5), (2026, 8, 0, 108)]
+    chosen = P.yearly_matrix(P.yearly_volume(rows), ["B", "C"])
+    assert sorted(tuple(r) for r in chosen.collect()) == [(2025, 5, 0, 5), (2026, 0, 0, 108)]
+    changes = P.monthly_change_matrix(rows.filter("symbol IS NOT NULL").select("symbol", "trading_date", "close"), 1)
+    assert changes.columns == ["symbol", "2026-01"]
+    assert [(r[0], round(r[1], 6)) for r in changes.collect()] == [("A", 10.0)]
+    with pytest.raises(ValueError):
+        P.column_values(rows, "symbol", 1)
+    nothing = P.yearly_matrix(P.yearly_volume(rows.filter("false")))
+    assert nothing.columns == ["year", "total"] and nothing.count() == 0

@@ -2,6 +2,7 @@
 
 import json
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from conftest import values
@@ -165,6 +166,16 @@ def test_messages_without_a_key_are_quarantined(spark, tmp_path):
     assert sorted(r[M.CORRUPT] for r in Z.read_quarantine(spark, root).collect()) == sorted(keyless)
 
 
+def test_rejected_messages_survive_a_new_checkpoint(spark, tmp_path):
+    path, root = str(tmp_path / "topic"), str(tmp_path / "root")
+    topic(spark, path, (0, 1, 1, "{one"), (0, 2, 1, "{two"))
+    Z.consume(Z.read_topics(spark, {"path": path}), root).awaitTermination()
+    Path(root, "checkpoint").rename(Path(root, "old-checkpoint"))
+    topic(spark, f"{path}-new", (0, 3, 2, "{three"))
+    Z.consume(Z.read_topics(spark, {"path": f"{path}-new"}), root).awaitTermination()
+    assert sorted(r[M.CORRUPT] for r in Z.read_quarantine(spark, root).collect()) == ["{one", "{three", "{two"]
+
+
 def test_coalesced_months_keep_a_stored_average(spark, tmp_path):
     table = str(tmp_path / "m")
     for seq, average in ((1, 10.5), (2, None)):

@@ -11,6 +11,9 @@ from tickforge.operators.daily import by_day, strict_sma, strict_smas, to_date,
 from tickforge.operators.snapshots import DAY_KEY
 from tickforge.schemas import TRADING_DAYS
 
+#: Columns a pivot may have; wider ones are map columns.
+WIDEST = 5000
+
 
 def ohlc_bars(history: DataFrame, volume_mode: str = "sum") -> DataFrame:
     """Daily bars from snapshots: first open, extremes, last close, volume.
@@ -256,10 +259,53 @@ def pivot_volume(long: DataFrame, rows: str, columns: str, values: list, fill_ze
     return wide.fillna(0, subset=[str(v) for v in values]) if fill_zero else wide
 
 
-def yearly_matrix(long: DataFrame, symbols: list[str]) -> DataFrame:
-    """Year by symbol with a ``total`` column; years without volume of a symbol show 0."""
-    wide = pivot_volume(long, "year", "symbol", symbols, fill_zero=True)
-    return wide.withColumn("total", sum((F.col(f"`{s}`") for s in symbols[1:]), F.col(f"`{symbols[0]}`")))
+def column_values(rows: DataFrame, column: str, most: int = WIDEST) -> list:
+    """The different values of a column in order, to be the columns of a pivot; nulls are none.
+
+    Only that column is read, and no more than ``most`` + 1 values come to the driver; with more
+    there is no table that wide, and a map column serves instead.
+    """
+    values = [r[0] for r in rows.select(column).filter(F.col(column).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"{column} has more than {most} values; use the map form")
+    return sorted(values)
+
+
+def as_map(long: DataFrame, rows: str, columns: str, value: str, name: str) -> DataFrame:
+    """One row per ``rows`` with a map from ``columns`` to ``value``; for pivots of any width.
+
+    A map holds one entry per value of ``columns``: symbols of the catalogue, or months.
+    """
+    entry = F.when(F.col(columns).isNotNull(), F.struct(F.col(columns), F.col(value)))
+    return long.groupBy(rows).agg(F.map_from_entries(F.collect_list(entry)).alias(name))
+
+
+def yearly_map(long: DataFrame) -> DataFrame:
+    """Year, a map from symbol to its volume, and the total over all rows, those without a symbol included."""
+    single = long.groupBy("year", "symbol").agg(F.sum("volume").alias("volume"))
+    entry = F.when(F.col("symbol").isNotNull(), F.struct("symbol", "volume"))
+    return single.groupBy("year").agg(F.map_from_entries(F.collect_list(entry)).alias("by_symbol"), F.sum("volume").alias("total"))
+
+
+def yearly_matrix(long: DataFrame, symbols: list[str] | None = None) -> DataFrame:
+    """Year by symbol with a ``total`` over all rows; years without volume of a symbol show 0.
+
+    Columns are the symbols of the data (see ``column_values``), or those given.
+    """
+    names = column_values(long, "symbol") if symbols is None else symbols
+    volume = [F.coalesce(F.col("by_symbol")[n], F.lit(0)).alias(n) for n in names]
+    return yearly_map(long).select("year", *volume, "total")
+
+
+def monthly_change_matrix(closes: DataFrame, months: int = 18) -> DataFrame:
+    """Symbol by month: mean absolute percent change over the newest months of the table, as columns ``yyyy-MM``.
+
+    A symbol without a change in a month shows null there; one without any in these months has no row.
+    """
+    newest = closes.select(F.date_format("trading_date", "yyyy-MM").alias("month")).distinct().orderBy(F.desc("month")).limit(months)
+    names = column_values(newest, "month", months)
+    wide = as_map(monthly_absolute_change(closes, months), "symbol", "month", "mean_abs_pct", "by_month")
+    return wide.select("symbol", *[F.col("by_month")[n].alias(n) for n in names])
 
 
 def yearly_totals(long: DataFrame) -> DataFrame:

@@ -388,16 +388,21 @@ add("a09_ohlc_bars", f"SELECT {BAR} FROM bars_of_ticks", TICK_BARS.format("sum")
 add("a09_ohlc_bars_max_volume", f"SELECT {BAR} FROM bars_of_ticks", TICK_BARS.format("max"))
 YEARLY = """yearly AS (SELECT CAST(year(trading_date) AS INT) AS year, symbol, CAST(sum(volume) AS BIGINT) AS volume
   FROM bars GROUP BY ALL)"""
-YEARS = range(1995, 2002)
 add("a10_yearly_volume", "SELECT * FROM yearly", YEARLY)
-add("a10_yearly_volume_pivot", "SELECT symbol, " + ", ".join(
-    f'CAST(sum(CASE WHEN year = {y} THEN volume END) AS BIGINT) AS "{y}"' for y in YEARS) + " FROM yearly GROUP BY symbol", YEARLY)
-add("a10_yearly_volume_pivot_zero", "SELECT symbol, " + ", ".join(
-    f'CAST(sum(CASE WHEN year = {y} THEN volume ELSE 0 END) AS BIGINT) AS "{y}"' for y in YEARS) + " FROM yearly GROUP BY symbol", YEARLY)
-SHOWN = ("S000001", "S000002", "S000003")
-add("a10_yearly_matrix", "SELECT year, " + ", ".join(
-    f"CAST(sum(CASE WHEN symbol = '{x}' THEN volume ELSE 0 END) AS BIGINT) AS {x}" for x in SHOWN) +
-    f", CAST(sum(volume) AS BIGINT) AS total FROM yearly WHERE symbol IN {SHOWN} GROUP BY year", YEARLY)
+
+
+def _wide(source: str, column: str, value: str, key: str) -> str:
+    """A pivot whose columns come from the data; its source has to be a whole statement."""
+    return f"(PIVOT ({ORACLE[source]}) ON {column} USING {value} GROUP BY {key})"
+
+
+ORACLE["a10_yearly_volume_pivot"] = "SELECT * FROM " + _wide("a10_yearly_volume", "year", "CAST(sum(volume) AS BIGINT)", "symbol")
+ORACLE["a10_yearly_volume_pivot_zero"] = "SELECT * FROM " + _wide(
+    "a10_yearly_volume", "year", "CAST(coalesce(sum(volume), 0) AS BIGINT)", "symbol")
+ORACLE["a10_yearly_matrix"] = "SELECT * FROM " + _wide(
+    "a10_yearly_volume", "symbol", "CAST(coalesce(sum(volume), 0) AS BIGINT)", "year") + f""" JOIN (
+  SELECT year, CAST(sum(volume) AS BIGINT) AS total FROM ({ORACLE["a10_yearly_volume"]}) GROUP BY year) USING (year)"""
+add("a10_yearly_map", "SELECT year, symbol, volume, CAST(sum(volume) OVER (PARTITION BY year) AS BIGINT) AS total FROM yearly", YEARLY)
 add("a11_yearly_totals", "SELECT year, CAST(sum(volume) AS BIGINT) AS total_volume FROM yearly GROUP BY year", YEARLY)
 add("a12_monthly_absolute_change", """SELECT symbol, strftime(trading_date, '%Y-%m') AS month,
   round(avg(abs(pct)) * 100, 6) AS mean_abs_pct FROM changes
@@ -405,6 +410,9 @@ add("a12_monthly_absolute_change", """SELECT symbol, strftime(trading_date, '%Y-
   GROUP BY ALL""")
 
 
+ORACLE["a12_monthly_change_matrix"] = "SELECT * FROM " + _wide("a12_monthly_absolute_change", "month", "max(mean_abs_pct)", "symbol")
+
+
 def _box(pattern: str) -> tuple[str, str]:
     ctes = f"""grouped AS (SELECT symbol, strftime(trading_date, '{pattern}') AS period, list(CAST(close AS DOUBLE)) AS c,
     quantile_cont(CAST(close AS DOUBLE), [0.25, 0.5, 0.75]) AS q FROM eod GROUP BY ALL),
@@ -599,6 +607,7 @@ add("m05_snapshot_intake", f"SELECT {H} FROM ticks")
 
 # Composite views
 add("v01_daily_analysis", "SELECT * FROM daily")
+add("v01_daily_refreshed", "SELECT * FROM daily")
 add("v02_monthly_analysis", "SELECT * FROM months")
 add("v03_increment_daily_analysis", """SELECT * FROM increment_daily UNION ALL
   SELECT symbol, calc_date, total_volume, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM market""")

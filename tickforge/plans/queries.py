@@ -20,6 +20,7 @@ from tickforge.operators import ordering as O
 from tickforge.operators import prices as P
 from tickforge.operators import snapshots as S
 from tickforge.plans import views as V
+from tickforge.plans.run import run_cleaned
 from tickforge.schemas import (
     DAILY_KEY, DAILY_SCHEMA, HISTORY_COLUMNS, HISTORY_SCHEMA, MONTHLY_SCHEMA, RAW_SCHEMA,
 )
@@ -593,25 +594,30 @@ def _(s, d):
     return P.yearly_volume(bars(s, d))
 
 
-YEARS = list(range(1995, 2002))
+def _by_year(s, d, fill_zero: bool) -> DataFrame:
+    long = P.yearly_volume(bars(s, d))
+    return P.pivot_volume(long, "symbol", "year", P.column_values(long, "year"), fill_zero)
 
 
 @query("a10_yearly_volume_pivot")
 def _(s, d):
-    return P.pivot_volume(P.yearly_volume(bars(s, d)), "symbol", "year", YEARS)
+    return _by_year(s, d, False)
 
 
 @query("a10_yearly_volume_pivot_zero")
 def _(s, d):
-    return P.pivot_volume(P.yearly_volume(bars(s, d)), "symbol", "year", YEARS, fill_zero=True)
+    return _by_year(s, d, True)
 
 
-SHOWN = ["S000001", "S000002", "S000003"]
+@query("a10_yearly_matrix")
+def _(s, d):
+    return P.yearly_matrix(P.yearly_volume(bars(s, d)))
 
 
-@query("a10_yearly_matrix")
+@query("a10_yearly_map")
 def _(s, d):
-    return P.yearly_matrix(R.for_symbols(P.yearly_volume(bars(s, d)), SHOWN), SHOWN)
+    return P.yearly_map(P.yearly_volume(bars(s, d))).select(
+        "year", "total", F.explode("by_symbol").alias("symbol", "volume"))
 
 
 @query("a11_yearly_totals")
@@ -624,6 +630,12 @@ def _(s, d):
     return P.monthly_absolute_change(closes(s, d)).withColumn("mean_abs_pct", six("mean_abs_pct"))
 
 
+@query("a12_monthly_change_matrix")
+def _(s, d):
+    wide = P.monthly_change_matrix(closes(s, d))
+    return wide.select("symbol", *[six(F.col(f"`{c}`")).alias(c) for c in wide.columns[1:]])
+
+
 _BOX = ["min_close", "q1", "median", "q3", "max_close", "whisker_low", "whisker_high"]
 
 
@@ -1078,6 +1090,16 @@ def _(s, d):
     return V.daily_analysis(bars(s, d))
 
 
+@query("v01_daily_refreshed")
+def _(s, d):
+    """Two runs: all but a few months and late rows, then these."""
+    rows, root = bars(s, d), scratch_path(s, "refreshed")
+    late = (F.date_format("trading_date", "yyyy-MM") == "1996-05") | (F.expr("pmod(xxhash64(symbol, scrape_time), 50) = 0"))
+    run_cleaned(rows.filter(~late), root, 1)
+    run_cleaned(rows.filter(late), root, 2)
+    return U.read_serving(s, f"{root}/daily", DAILY_SCHEMA)
+
+
 @query("v02_monthly_analysis")
 def _(s, d):
     return V.monthly_analysis(bars(s, d))

@@ -28,7 +28,12 @@ SUMMARY_SCHEMA = T.StructType([
 
 
 def run_batch(raw: DataFrame, root: str, number: int, target: dict[str, str] | None = None) -> list[str]:
-    """Takes in a raw batch and refreshes what it changes below ``root``; returns the months it touched.
+    """Takes in a raw batch; see ``run_cleaned``."""
+    return run_cleaned(clean(raw), root, number, target)
+
+
+def run_cleaned(batch: DataFrame, root: str, number: int, target: dict[str, str] | None = None) -> list[str]:
+    """Takes in cleaned snapshots and refreshes what they change below ``root``; returns the months they touch.
 
     Tables: ``history`` and ``summary`` (by month), ``daily`` and ``monthly`` (serving), ``states``
     and ``records`` (what later days need of earlier ones, see ``incremental``).  Only the
@@ -38,10 +43,8 @@ def run_batch(raw: DataFrame, root: str, number: int, target: dict[str, str] | N
     run's ``number``.  With ``target`` these rows are also published as messages.  A repeated
     run changes nothing.
     """
-    spark = raw.sparkSession
-    stage = scratch_path(spark, "cleaned")
-    clean(raw).write.parquet(stage)
-    batch = spark.read.schema(HISTORY_SCHEMA).parquet(stage)
+    spark = batch.sparkSession
+    batch = staged(C.conform(batch, HISTORY_SCHEMA), "cleaned")
     # At most one value per calendar month.
     months = [r[0] for r in batch.select(F.date_format("trading_date", "yyyy-MM")).distinct().collect()]
     if not months:

@@ -46,10 +46,14 @@ def _sequence(decoded: DataFrame) -> DataFrame:
     return decoded.withColumn("seq", F.struct("timestamp", "partition", F.col("offset").cast("bigint").alias("offset")))
 
 
-def _quarantine(bad: DataFrame, path: str, batch_id: int) -> None:
-    """Bad messages of one batch; a repeated batch replaces its own folder."""
-    rows = bad.select(*QUARANTINE_SCHEMA.fieldNames()).withColumn("batch_id", F.lit(batch_id))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+def _quarantine(bad: DataFrame, path: str, run: str, batch_id: int) -> None:
+    """Bad messages of one batch; a repeated batch replaces its own folder.
+
+    Batches of a new checkpoint are numbered from 0 again, so the run's identity is part of the
+    folder: what earlier runs rejected stays.
+    """
+    rows = bad.select(*QUARANTINE_SCHEMA.fieldNames()).withColumns({"run_id": F.lit(run), "batch_id": F.lit(batch_id)})
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "batch_id").parquet(path)
 
 
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
@@ -75,7 +79,8 @@ def consume(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        stages = f"{root}/stage/{_run_identity(batch.sparkSession, f'{root}/checkpoint')}"
+        run = _run_identity(batch.sparkSession, f"{root}/checkpoint")
+        stages = f"{root}/stage/{run}"
         stage = f"{stages}/{batch_id}"
         # The decoded rows are used several times; an executor's lost blocks are recomputed.
         cached = batch.persist()
@@ -88,7 +93,7 @@ def consume(
             )
             names = QUARANTINE_SCHEMA.fieldNames()
             rejected = daily.filter(bad).select(*names).unionByName(monthly.filter(bad).select(*names))
-            _quarantine(rejected, f"{root}/quarantine", batch_id)
+            _quarantine(rejected, f"{root}/quarantine", run, batch_id)
             # Only the last batch can be repeated, so the stage before it has served its purpose.
             if batch_id > 0:
                 drop_stage(batch.sparkSession, f"{stages}/{batch_id - 1}")
