@@ -72,6 +72,16 @@ def _newest_first(day: str) -> dict[str, tuple[Column, bool]]:
     return {"day": (F.col(day), True), "symbol": (F.col("symbol"), False)}
 
 
+def newest_in_group() -> list[Column]:
+    """Order of the snapshots of one symbol and day; minutes are a coarser form of the time."""
+    return [F.col("scrape_time").desc(), F.col("close").desc(), F.col("volume").desc(), F.col("source").asc()]
+
+
+def newest_levels() -> dict[str, tuple[Column, bool]]:
+    """Levels of the newest-first order of a history: day, symbol, minute."""
+    return {**_newest_first("trading_date"), "minute": (F.expr(MINUTE_SLOT), True)}
+
+
 def newest_rows(history: DataFrame, n: int) -> DataFrame:
     """The ``n`` newest snapshots: day descending, then symbol, then time descending."""
     levels = {**_newest_first("trading_date"), "minute": (F.expr(MINUTE_SLOT), True)}

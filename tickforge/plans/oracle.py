@@ -527,6 +527,8 @@ def _page(source: str, number: int, order: str) -> str:
 
 add("t05_page", f"SELECT {H}, position, page, page_count FROM on_page", _page("bars", 40, NEWEST))
 add("t05_last_page", f"SELECT {H}, position, page, page_count FROM on_page", _page("bars", 10**9, NEWEST))
+for _name in ("page", "last_page"):
+    ORACLE[f"t05_indexed_{_name}"] = ORACLE[f"t05_{_name}"]
 add("t06_first_listed", "SELECT * FROM symbols ORDER BY id LIMIT 6")
 add("t07_limit", f"SELECT {H} FROM (SELECT * FROM bars ORDER BY symbol, scrape_time, close LIMIT 5)")
 

@@ -17,6 +17,7 @@ from tickforge.operators import consolidate as C
 from tickforge.operators import daily as D
 from tickforge.operators import filters as R
 from tickforge.operators import ordering as O
+from tickforge.operators import positions as N
 from tickforge.operators import prices as P
 from tickforge.operators import snapshots as S
 from tickforge.plans import views as V
@@ -851,6 +852,20 @@ def _(s, d):
     return O.history_page(bars(s, d), 10**9, deep=True)
 
 
+def _positions(s, d) -> str:
+    return written(s, d, "positions", lambda p: N.update_positions(s, stored_bars(s, d), p))
+
+
+@query("t05_indexed_page")
+def _(s, d):
+    return N.indexed_page(s, stored_bars(s, d), _positions(s, d), 40)
+
+
+@query("t05_indexed_last_page")
+def _(s, d):
+    return N.indexed_page(s, stored_bars(s, d), _positions(s, d), 10**9)
+
+
 @query("t06_first_listed")
 def _(s, d):
     return K.first_listed(T.symbols(s, d), 6)
