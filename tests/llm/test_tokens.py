@@ -118,3 +118,15 @@ def test_odd_rows_in_token_files(odd_docs, empty_docs, clashing_docs):
     assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(order, order[1:]))
     assert {r["n_tokens"] for r in rows if r["doc_id"] in (1, 2, 3)} == {1}
     assert token_files.token_files(empty_docs, WORDS).count() == 0
+
+
+def test_frequent_keys_outlive_the_others():
+    """A key that keeps coming is computed once, however many others pass."""
+    from tickforge.llm.subwords import Generations
+
+    asked = []
+    cache = Generations(lambda k: asked.append(k) or k * 2, 10)
+    for i in range(100):
+        assert cache[-1] == -2 and cache[i] == 2 * i
+        assert len(cache) + len(cache.old) <= 10
+    assert asked.count(-1) == 1 and len(asked) == 101

@@ -56,6 +56,27 @@ class Bounded(dict):
         return value
 
 
+class Generations(dict):
+    """A cache in two generations: when the young one is full it becomes the old one.
+
+    What is used again moves back to the young one, so frequent keys stay for good and the
+    rest goes; both together hold ``most`` entries at most.
+    """
+
+    def __init__(self, compute, most: int = CACHE_ENTRIES):
+        super().__init__()
+        self.compute, self.most = compute, most
+        self.old: dict = {}
+
+    def __missing__(self, key):
+        value = self.old[key] if key in self.old else self.compute(key)
+        if 2 * len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class WordBPE:
     """Ids of a lower-casing word vocabulary whose pre-tokens never span white space.
 
@@ -69,8 +90,8 @@ class WordBPE:
         self.model = self.tokenizer.model
         self.letters = dict(enumerate(byte_letters()))
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = Bounded(self._piece)
-        self.chunks = Bounded(self._chunk)
+        self.pieces = Generations(self._piece)
+        self.chunks = Generations(self._chunk)
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
 
