@@ -431,6 +431,22 @@ add("a13_month_of_year_distribution", *_box("%m"))
 add("a13_approximate_distribution", "SELECT symbol, strftime(trading_date, '%Y-%m') AS period, "
     "CAST(min(close) AS DOUBLE) AS min_close, CAST(max(close) AS DOUBLE) AS max_close, " + ", ".join(
         f"quantile_disc(CAST(bars.close AS DOUBLE), {q}) AS q{i}" for i, q in enumerate((0.25, 0.5, 0.75), 1)) + " FROM bars GROUP BY ALL")
+def _sketched(pattern: str) -> tuple[str, str]:
+    ctes = f"""grouped AS (SELECT symbol, strftime(trading_date, '{pattern}') AS period, list(CAST(bars.close AS DOUBLE)) AS c,
+    quantile_disc(CAST(bars.close AS DOUBLE), [0.25, 0.5, 0.75]) AS q FROM bars GROUP BY ALL),
+  fenced AS (SELECT symbol, period, c, q,
+    list_filter(c, lambda x: x >= q[1] - 1.5 * (q[3] - q[1]) AND x <= q[3] + 1.5 * (q[3] - q[1])) AS inside,
+    list_filter(c, lambda x: x < q[1] - 1.5 * (q[3] - q[1]) OR x > q[3] + 1.5 * (q[3] - q[1])) AS outside FROM grouped)"""
+    body = """SELECT symbol, period, round(list_min(c), 4) AS min_close, round(q[1], 4) AS q1, round(q[2], 4) AS median,
+    round(q[3], 4) AS q3, round(list_max(c), 4) AS max_close, round(list_min(inside), 4) AS whisker_low,
+    round(list_max(inside), 4) AS whisker_high, CAST(len(c) AS BIGINT) AS n, CAST(len(outside) AS BIGINT) AS n_outliers,
+    round(coalesce(list_sum(outside), 0), 4) AS outlier_sum FROM fenced"""
+    return body, ctes
+
+
+# Exact quartiles: groups of these data sets stay below the size from which a sketch approximates.
+add("a13_sketched_distribution", *_sketched("%Y-%m"))
+add("a13_sketched_month_of_year", *_sketched("%m"))
 add("a14_symbol_statistics", """SELECT symbol, CAST(price AS DOUBLE) AS price, round(sma20, 6) AS sma20, round(sma50, 6) AS sma50,
     round((CAST(price AS DOUBLE) / CAST(first_close AS DOUBLE) - 1) * 100, 6) AS return_pct, round(volatility, 6) AS volatility,
     CAST(max_close AS DOUBLE) AS max_close, CAST(min_close AS DOUBLE) AS min_close, max_volume, max_vol_date, max_var_date

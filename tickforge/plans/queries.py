@@ -19,6 +19,7 @@ from tickforge.operators import filters as R
 from tickforge.operators import ordering as O
 from tickforge.operators import positions as N
 from tickforge.operators import prices as P
+from tickforge.operators import sketches as H
 from tickforge.operators import snapshots as S
 from tickforge.plans import views as V
 from tickforge.plans.run import run_cleaned
@@ -663,6 +664,23 @@ def _(s, d):
         F.col("quartiles")[i].alias(f"q{i + 1}") for i in range(3)])
 
 
+def _sketched(s, d, pattern: str) -> DataFrame:
+    stored = stored_bars(s, d)
+    sketches = written(s, d, "sketches", lambda p: H.update_sketches(s, stored, p))
+    boxes = H.box_plots(s, stored, sketches, pattern)
+    return boxes.withColumns({c: F.round(c, 4) for c in [*_BOX, "outlier_sum"]})
+
+
+@query("a13_sketched_distribution")
+def _(s, d):
+    return _sketched(s, d, "yyyy-MM")
+
+
+@query("a13_sketched_month_of_year")
+def _(s, d):
+    return _sketched(s, d, "MM")
+
+
 @query("a14_symbol_statistics")
 def _(s, d):
     stats = P.symbol_statistics(closes(s, d))
