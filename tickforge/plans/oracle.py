@@ -624,6 +624,11 @@ add("m04_same_day_refresh", """SELECT symbol, calc_date, CASE WHEN year(calc_dat
 add("m05_snapshot_intake", f"SELECT {H} FROM ticks")
 
 # Composite views
+add("m05_streamed_vwap", """SELECT symbol, trading_date, minute, volume, n,
+  round(CAST(sum(value) OVER upto AS DOUBLE) / CAST(sum(volume) OVER upto AS DOUBLE), 6) AS vwap FROM (
+  SELECT symbol, trading_date, CAST(floor(epoch(scrape_time) / 60) AS BIGINT) AS minute, sum(close * volume) AS value,
+    CAST(sum(volume) AS BIGINT) AS volume, count(*) AS n FROM ticks GROUP BY ALL)
+  WINDOW upto AS (PARTITION BY symbol, trading_date ORDER BY minute)""")
 add("v01_daily_analysis", "SELECT * FROM daily")
 add("v01_daily_refreshed", "SELECT * FROM daily")
 add("v02_monthly_analysis", "SELECT * FROM months")

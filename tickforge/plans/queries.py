@@ -32,6 +32,7 @@ from tickforge.sources import readers as I
 from tickforge.sources import upsert as U
 from tickforge.sources import writers as W
 from tickforge.streaming import consumer as Z
+from tickforge.streaming import minutes as Y
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1116,6 +1117,19 @@ def _(s, d):
     return I.read_history(s, path)
 
 
+@query("m05_streamed_vwap")
+def _(s, d):
+    """Days arrive in three files, the middle one last; late rows are added to the totals."""
+    landing, root = scratch_path(s, "landing-minutes"), scratch_path(s, "minutes")
+    rows = ticks(s, d)
+    part = F.when(F.dayofmonth("trading_date") <= 10, 0).when(F.dayofmonth("trading_date") <= 20, 2).otherwise(1)
+    for turn in range(3):
+        rows.filter(part == turn).write.mode("append").parquet(landing)
+        Y.stream_minutes(s.readStream.schema(rows.schema).parquet(landing), root).awaitTermination()
+    return Y.day_vwap(Y.complete_totals(s, root)).select(
+        "symbol", "trading_date", "minute", "volume", "n", six("vwap").alias("vwap"))
+
+
 # Composite views -----------------------------------------------------------------
 
 @query("v01_daily_analysis")

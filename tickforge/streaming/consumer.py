@@ -62,7 +62,7 @@ def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame([], QUARANTINE_SCHEMA) if found is None else found.select(*QUARANTINE_SCHEMA.fieldNames())
 
 
-def _run_identity(spark: SparkSession, checkpoint: str) -> str:
+def run_identity(spark: SparkSession, checkpoint: str) -> str:
     """Identity the checkpoint gave its query; a new checkpoint gives a new one."""
     return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
 
@@ -79,7 +79,7 @@ def consume(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        run = _run_identity(batch.sparkSession, f"{root}/checkpoint")
+        run = run_identity(batch.sparkSession, f"{root}/checkpoint")
         stages = f"{root}/stage/{run}"
         stage = f"{stages}/{batch_id}"
         # The decoded rows are used several times; an executor's lost blocks are recomputed.
