@@ -445,8 +445,8 @@ def _sketched(pattern: str) -> tuple[str, str]:
 
 
 # Exact quartiles: groups of these data sets stay below the size from which a sketch approximates.
-add("a13_sketched_distribution", *_sketched("%Y-%m"))
-add("a13_sketched_month_of_year", *_sketched("%m"))
+add("s01_sketched_distribution", *_sketched("%Y-%m"))
+add("s01_sketched_month_of_year", *_sketched("%m"))
 add("a14_symbol_statistics", """SELECT symbol, CAST(price AS DOUBLE) AS price, round(sma20, 6) AS sma20, round(sma50, 6) AS sma50,
     round((CAST(price AS DOUBLE) / CAST(first_close AS DOUBLE) - 1) * 100, 6) AS return_pct, round(volatility, 6) AS volatility,
     CAST(max_close AS DOUBLE) AS max_close, CAST(min_close AS DOUBLE) AS min_close, max_volume, max_vol_date, max_var_date
@@ -544,7 +544,7 @@ def _page(source: str, number: int, order: str) -> str:
 add("t05_page", f"SELECT {H}, position, page, page_count FROM on_page", _page("bars", 40, NEWEST))
 add("t05_last_page", f"SELECT {H}, position, page, page_count FROM on_page", _page("bars", 10**9, NEWEST))
 for _name in ("page", "last_page"):
-    ORACLE[f"t05_indexed_{_name}"] = ORACLE[f"t05_{_name}"]
+    ORACLE[f"s01_indexed_{_name}"] = ORACLE[f"t05_{_name}"]
 add("t06_first_listed", "SELECT * FROM symbols ORDER BY id LIMIT 6")
 add("t07_limit", f"SELECT {H} FROM (SELECT * FROM bars ORDER BY symbol, scrape_time, close LIMIT 5)")
 
@@ -630,7 +630,7 @@ add("m05_streamed_vwap", """SELECT symbol, trading_date, minute, volume, n,
     CAST(sum(volume) AS BIGINT) AS volume, count(*) AS n FROM ticks GROUP BY ALL)
   WINDOW upto AS (PARTITION BY symbol, trading_date ORDER BY minute)""")
 add("v01_daily_analysis", "SELECT * FROM daily")
-add("v01_daily_refreshed", "SELECT * FROM daily")
+add("m04_daily_refreshed", "SELECT * FROM daily")
 add("v02_monthly_analysis", "SELECT * FROM months")
 add("v03_increment_daily_analysis", """SELECT * FROM increment_daily UNION ALL
   SELECT symbol, calc_date, total_volume, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM market""")

@@ -672,12 +672,12 @@ def _sketched(s, d, pattern: str) -> DataFrame:
     return boxes.withColumns({c: F.round(c, 4) for c in [*_BOX, "outlier_sum"]})
 
 
-@query("a13_sketched_distribution")
+@query("s01_sketched_distribution")
 def _(s, d):
     return _sketched(s, d, "yyyy-MM")
 
 
-@query("a13_sketched_month_of_year")
+@query("s01_sketched_month_of_year")
 def _(s, d):
     return _sketched(s, d, "MM")
 
@@ -875,12 +875,12 @@ def _positions(s, d) -> str:
     return written(s, d, "positions", lambda p: N.update_positions(s, stored_bars(s, d), p))
 
 
-@query("t05_indexed_page")
+@query("s01_indexed_page")
 def _(s, d):
     return N.indexed_page(s, stored_bars(s, d), _positions(s, d), 40)
 
 
-@query("t05_indexed_last_page")
+@query("s01_indexed_last_page")
 def _(s, d):
     return N.indexed_page(s, stored_bars(s, d), _positions(s, d), 10**9)
 
@@ -1137,7 +1137,7 @@ def _(s, d):
     return V.daily_analysis(bars(s, d))
 
 
-@query("v01_daily_refreshed")
+@query("m04_daily_refreshed")
 def _(s, d):
     """Two runs: all but a few months and late rows, then these."""
     rows, root = bars(s, d), scratch_path(s, "refreshed")
