@@ -100,6 +100,11 @@ def read_json_batch(spark: SparkSession, root: str, year: int, month: int, day:
     return read_json_or_empty(spark, batch_path(root, year, month, day, batch), JSON_BATCH_SCHEMA)
 
 
+def read_json_batches(spark: SparkSession, root: str) -> DataFrame:
+    """All capture batches below ``root``, without the columns of their folders; empty when there is none."""
+    return read_json_or_empty(spark, root, JSON_BATCH_SCHEMA).select(*JSON_BATCH_SCHEMA.fieldNames())
+
+
 def read_positional(spark: SparkSession, path: str) -> DataFrame:
     """Delimited text without header: nine columns by position, cast by name."""
     names = HISTORY_SCHEMA.fieldNames()
