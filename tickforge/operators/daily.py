@@ -57,9 +57,9 @@ def max_intraday_drop(history: DataFrame) -> DataFrame:
     return _as_calc_date(history.groupBy(*DAY_KEY).agg(two_digits(drop).alias("max_intraday_drop")), "max_intraday_drop")
 
 
-def market_volume(history: DataFrame) -> DataFrame:
+def market_volume(history: DataFrame, unique: bool = False) -> DataFrame:
     """Whole-market volume per day from the newest snapshot of each symbol."""
-    closes = closing_values(history, "volume")
+    closes = closing_values(history, "volume", unique=unique)
     per_day = closes.groupBy(F.col("trading_date").alias("calc_date")).agg(F.sum("volume").alias("total_volume"))
     return per_day.select(F.lit(MARKET_SYMBOL).alias("symbol"), "calc_date", "total_volume")
 

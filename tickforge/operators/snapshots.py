@@ -9,6 +9,8 @@ from tickforge.functions.numeric import clamp_at_zero
 from tickforge.schemas import SNAPSHOT_KEY
 
 DAY_KEY = ["symbol", "trading_date"]
+#: Stands for a missing time: earlier than any time a file can hold.
+BEFORE_ALL = "-100000-01-01 00:00:00"
 
 
 def snapshot_order(columns: list[str]) -> list[Column]:
@@ -54,26 +56,44 @@ def closing_row(history: DataFrame, columns: tuple[str, ...]) -> Column:
     return F.min(F.struct(*keys, *ties, *[F.col(c).alias(c) for c in columns]))
 
 
-def closing_values(history: DataFrame, *columns: str) -> DataFrame:
+def newest_value(history: DataFrame, column: str) -> Column:
+    """Aggregate: a value of the newest row; rows without a time come before all others.
+
+    All buffers have a fixed width, so Spark aggregates by hash and sorts nothing.  Rows of one
+    group must differ in their time; otherwise any row of the newest time may give the value.
+    """
+    earliest = F.lit(BEFORE_ALL).cast(history.schema["scrape_time"].dataType)
+    return F.max_by(column, F.coalesce(F.col("scrape_time"), earliest)).alias(column)
+
+
+def _newest(history: DataFrame, columns: tuple[str, ...], unique: bool, *figures: Column) -> DataFrame:
+    grouped = history.groupBy(*DAY_KEY)
+    if unique:
+        return grouped.agg(*figures, *[newest_value(history, c) for c in columns])
+    picked = grouped.agg(*figures, closing_row(history, columns).alias("_last"))
+    return picked.withColumns({c: F.col(f"_last.{c}") for c in columns}).drop("_last")
+
+
+def closing_values(history: DataFrame, *columns: str, unique: bool = False) -> DataFrame:
     """Values of the newest snapshot per symbol and day, in one aggregation.
 
-    A map task sends one row per symbol and day.
+    A map task sends one row per symbol and day.  With ``unique`` the caller states that the
+    snapshot key (symbol, day, time) occurs once, as in the output of ``deduplicate`` and in
+    histories kept by ``append_new``; then nothing is sorted.  Without it, equal keys are decided
+    by the total tie-break.
     """
-    picked = history.groupBy(*DAY_KEY).agg(closing_row(history, columns).alias("_last"))
-    return picked.select(*DAY_KEY, *[F.col(f"_last.{c}").alias(c) for c in columns])
+    return _newest(history, columns, unique)
 
 
-def daily_summary(history: DataFrame) -> DataFrame:
+def daily_summary(history: DataFrame, unique: bool = False) -> DataFrame:
     """Everything the daily indicators need from the snapshots, in one aggregation.
 
     Later steps work on one row per symbol and day, so a symbol never holds more rows than
-    there are calendar days.
+    there are calendar days.  ``unique`` is as in ``closing_values``.
     """
-    columns = ("close", "volume", "open", "high", "low")
-    figures = ["max_volume", "sum_volume", "max_drop"]
-    return history.groupBy(*DAY_KEY).agg(
+    return _newest(
+        history, ("close", "volume", "open", "high", "low"), unique,
         F.max("volume").alias("max_volume"),
         F.sum("volume").alias("sum_volume"),
         F.max(clamp_at_zero(F.col("open") - F.col("low"))).alias("max_drop"),
-        closing_row(history, columns).alias("_last"),
-    ).select(*DAY_KEY, *figures, *[F.col(f"_last.{c}").alias(c) for c in columns])
+    )

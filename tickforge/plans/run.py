@@ -51,7 +51,7 @@ def run_cleaned(batch: DataFrame, root: str, number: int, target: dict[str, str]
         return []
     append_new(batch, f"{root}/history")
     touched = read_by_month(spark, f"{root}/history", HISTORY_SCHEMA).filter(F.col(MONTH).isin(months)).select(*HISTORY_COLUMNS)
-    summaries = C.conform(daily_summary(touched), SUMMARY_SCHEMA).withColumn(MONTH, F.date_format("trading_date", "yyyy-MM"))
+    summaries = C.conform(daily_summary(touched, unique=True), SUMMARY_SCHEMA).withColumn(MONTH, F.date_format("trading_date", "yyyy-MM"))
     replace_partitions(summaries, f"{root}/summary", [MONTH])
     summary = read_by_month(spark, f"{root}/summary", SUMMARY_SCHEMA)
     monthly = C.monthly_table(summary.filter(F.col(MONTH).isin(months)))

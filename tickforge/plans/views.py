@@ -1,4 +1,7 @@
-"""Composite views: the named results a user of the package asks for."""
+"""Composite views: the named results a user of the package asks for.
+
+``unique`` states that the history holds each snapshot key once; see ``closing_values``.
+"""
 
 from __future__ import annotations
 
@@ -15,23 +18,23 @@ from tickforge.operators.snapshots import daily_summary, deduplicate
 from tickforge.schemas import DAILY_KEY, MARKET_SYMBOL
 
 
-def daily_analysis(history: DataFrame) -> DataFrame:
+def daily_analysis(history: DataFrame, unique: bool = False) -> DataFrame:
     """Wide daily table with all daily indicators and market rows."""
-    return C.daily_analysis(daily_summary(history))
+    return C.daily_analysis(daily_summary(history, unique))
 
 
-def monthly_analysis(history: DataFrame) -> DataFrame:
+def monthly_analysis(history: DataFrame, unique: bool = False) -> DataFrame:
     """Monthly averages and volumes."""
-    return C.monthly_table(daily_summary(history))
+    return C.monthly_table(daily_summary(history, unique))
 
 
-def increment_daily_analysis(history: DataFrame, market_filler: bool = True) -> DataFrame:
+def increment_daily_analysis(history: DataFrame, market_filler: bool = True, unique: bool = False) -> DataFrame:
     """Daily table in the variant for increment snapshots.
 
     Volumes are sums, the close range is that of the day, streaks compare the
     close with the open.  Market rows carry constant filler if asked.
     """
-    summary = daily_summary(history)
+    summary = daily_summary(history, unique)
     rows = D.with_streaks(summary, D.candle_step()).withColumns({
         "calc_date": F.col("trading_date"),
         "total_volume": F.col("sum_volume"),
@@ -66,9 +69,9 @@ def indicator_frames(summary: DataFrame) -> list[DataFrame]:
     ]
 
 
-def increment_daily_parts(history: DataFrame) -> list[DataFrame]:
+def increment_daily_parts(history: DataFrame, unique: bool = False) -> list[DataFrame]:
     """The same figures as separate partial frames, one per job that computes them."""
-    summary = daily_summary(history)
+    summary = daily_summary(history, unique)
     return [
         D._as_calc_date(summary, F.col("sum_volume").alias("total_volume"),
                         D.two_digits(F.col("max_drop")).alias("max_intraday_drop")),
@@ -105,9 +108,9 @@ def volume_direction(history: DataFrame) -> DataFrame:
     return P.volume_direction(P.ohlc_bars(history))
 
 
-def market_overview(history: DataFrame, catalogue: DataFrame) -> DataFrame:
+def market_overview(history: DataFrame, catalogue: DataFrame, unique: bool = False) -> DataFrame:
     """Price, change, range and volume per symbol with its name and source."""
-    summary = daily_summary(history)
+    summary = daily_summary(history, unique)
     first, last = F.min_by("close", "trading_date"), F.max_by("close", "trading_date")
     per_symbol = P.with_changes(summary).groupBy("symbol").agg(
         last.alias("price"),
