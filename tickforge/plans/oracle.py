@@ -339,6 +339,7 @@ add("f04_clean_raw_keys", f"""SELECT {H} FROM (SELECT * FROM typed
 add("f05_weekdays", f"SELECT {H} FROM bars WHERE dayofweek(trading_date) NOT IN (0, 6)")
 add("f06_parsable_dates", "SELECT trading_date AS day, count(*) AS n FROM typed WHERE trading_date IS NOT NULL GROUP BY ALL")
 add("f07_symbol_list", f"SELECT {H} FROM bars WHERE symbol IN ('S000001', 'S000003', 'S000007')")
+add("f07_stored_symbols", f"SELECT {H} FROM bars WHERE symbol IN ('S000001', 'S000003', 'S000007')")
 add("f08_date_range", f"SELECT {H} FROM bars WHERE trading_date BETWEEN DATE '1996-03-01' AND DATE '1998-02-28'")
 add("f09_look_back", f"""SELECT {H} FROM bars
   WHERE trading_date BETWEEN DATE '2000-06-30' - INTERVAL 730 DAY AND DATE '2000-06-30'""")
@@ -371,6 +372,7 @@ add("j05_unlisted_symbols", """SELECT DISTINCT symbol FROM bars
 add("j05_listed_symbols", """SELECT DISTINCT symbol FROM bars
   WHERE symbol IN (SELECT symbol FROM symbols WHERE status = 1)""")
 add("j06_rerun_guard", f"SELECT {H} FROM bars")
+add("j06_marked_append", f"SELECT {H} FROM bars")
 
 # Aggregations
 add("a01_daily_volume_max", "SELECT * FROM volumes")

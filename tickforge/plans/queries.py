@@ -31,6 +31,7 @@ from tickforge.sources import messages as M
 from tickforge.sources import readers as I
 from tickforge.sources import upsert as U
 from tickforge.sources import writers as W
+from tickforge.sources.marks import append_marked
 from tickforge.streaming import consumer as Z
 from tickforge.streaming import minutes as Y
 
@@ -436,6 +437,11 @@ def _(s, d):
     return R.for_symbols(bars(s, d), ["S000001", "S000003", "S000007"])
 
 
+@query("f07_stored_symbols")
+def _(s, d):
+    return R.for_symbols(I.read_history(s, stored_bars(s, d)), ["S000001", "S000003", "S000007"])
+
+
 @query("f08_date_range")
 def _(s, d):
     return R.between_days(bars(s, d), "1996-03-01", "1998-02-28")
@@ -540,6 +546,17 @@ def _(s, d):
     return I.read_history(s, path)
 
 
+@query("j06_marked_append")
+def _(s, d):
+    """Years in turn, then all of them again, and late rows among them."""
+    path, marks, rows = scratch_path(s, "marked-history"), scratch_path(s, "marks"), bars(s, d)
+    early = F.col("trading_date") < F.lit("1996-01-01").cast("date")
+    late = F.pmod(F.xxhash64("symbol", "scrape_time"), F.lit(3)) == 0
+    for part in (rows.filter(early & ~late), rows.filter(~early), rows):
+        append_marked(part, path, marks)
+    return I.read_history(s, path)
+
+
 # Aggregations ------------------------------------------------------------------
 
 @query("a01_daily_volume_max")

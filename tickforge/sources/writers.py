@@ -21,6 +21,10 @@ from tickforge.schemas import MONTH, SNAPSHOT_KEY
 from tickforge.sources.readers import CSV_TIME, is_missing_path
 
 
+#: Parquet settings of a history: a Bloom filter on symbols, as large as their number asks for.
+SYMBOL_FILTER = {"parquet.bloom.filter.enabled#symbol": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
+
 def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
@@ -41,10 +45,24 @@ def new_rows(batch: DataFrame, history: DataFrame, keys: list[str] = SNAPSHOT_KE
     return batch.join(known, same, "left_anti")
 
 
+def by_symbol(df: DataFrame) -> DataFrame:
+    """Rows of a file in the order of month, symbol and time.
+
+    The month comes first, which a write by month sorts by anyway.  Each row group then holds a
+    short range of symbols, so a filter on symbols skips the others by their statistics.
+    """
+    times = [c for c in ("trading_date", "scrape_time") if c in df.columns]
+    return df.sortWithinPartitions(MONTH, "symbol", *times)
+
+
 def append_history(batch: DataFrame, path: str) -> None:
-    """Plain append by month, without any test for rows already present."""
+    """Plain append by month, without any test for rows already present.
+
+    Files are sorted by symbol.  Where a row group holds too many symbols for a dictionary, a
+    Bloom filter of the size that fits them takes its place.
+    """
     monthly = batch.withColumn(MONTH, F.date_format("trading_date", "yyyy-MM"))
-    rebalanced(monthly, MONTH).write.mode("append").partitionBy(MONTH).parquet(path)
+    by_symbol(rebalanced(monthly, MONTH)).write.mode("append").options(**SYMBOL_FILTER).partitionBy(MONTH).parquet(path)
 
 
 def append_new(batch: DataFrame, path: str) -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tickforge.schemas import SNAPSHOT_KEY
 from tickforge.sources import messages as M
+from tickforge.sources.marks import append_marked
 from tickforge.sources.upsert import drop_stage, upsert_daily, upsert_monthly
 from tickforge.sources.writers import append_new, read_if_exists
 
@@ -104,15 +105,21 @@ def consume(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def intake(stream: DataFrame, history: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def intake(
+    stream: DataFrame, history: str, checkpoint: str, available_now: bool = True, marks: str | None = None
+) -> StreamingQuery:
     """Append new snapshots to the history, each key once.
 
     The test runs against the stored history of the batch's days, so nothing is
-    dropped for being late and a repeated batch adds nothing.
+    dropped for being late and a repeated batch adds nothing.  With ``marks``, the folder of
+    the history's high-water marks, only late rows are looked up.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        append_new(batch, history)
+        if marks is None:
+            append_new(batch, history)
+        else:
+            append_marked(batch, history, marks)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
