@@ -356,12 +356,14 @@ add("f17_candle_split", """SELECT symbol, CASE WHEN close >= open THEN 'up' ELSE
   FROM bars GROUP BY ALL""")
 
 # Joins
-add("j01_daily_outer_join", "SELECT * EXCLUDE (max_volume_date, max_volume_value, sma_price) FROM daily")
+for _name in ("j01_daily_outer_join", "j01_stored_outer_join"):
+    add(_name, "SELECT * EXCLUDE (max_volume_date, max_volume_value, sma_price) FROM daily")
 add("j02_record_day_join", """SELECT * FROM (SELECT * FROM volumes UNION ALL SELECT * FROM market)
   LEFT JOIN records USING (symbol)""")
-add("j03_monthly_outer_join", """SELECT symbol, calc_year, calc_month, a.monthly_avg_close, b.monthly_total_volume
+for _name in ("j03_monthly_outer_join", "j03_stored_outer_join"):
+    add(_name, """SELECT symbol, calc_year, calc_month, a.monthly_avg_close, b.monthly_total_volume
   FROM months a FULL JOIN raw_months b USING (symbol, calc_year, calc_month)""",
-    """raw_months AS (SELECT symbol, CAST(year(trading_date) AS INT) AS calc_year, CAST(month(trading_date) AS INT) AS calc_month,
+        """raw_months AS (SELECT symbol, CAST(year(trading_date) AS INT) AS calc_year, CAST(month(trading_date) AS INT) AS calc_month,
   CAST(sum(volume) AS BIGINT) AS monthly_total_volume FROM (SELECT * FROM bars_raw
     QUALIFY row_number() OVER (PARTITION BY symbol, trading_date
       ORDER BY scrape_time DESC, close DESC, volume DESC, open DESC, source, high, low) = 1) GROUP BY ALL)""")

@@ -24,9 +24,10 @@ from tickforge.operators import snapshots as S
 from tickforge.plans import views as V
 from tickforge.plans.run import run_cleaned
 from tickforge.schemas import (
-    DAILY_KEY, DAILY_SCHEMA, HISTORY_COLUMNS, HISTORY_SCHEMA, MONTHLY_SCHEMA, RAW_SCHEMA,
+    DAILY_KEY, DAILY_SCHEMA, HISTORY_COLUMNS, HISTORY_SCHEMA, MONTHLY_KEY, MONTHLY_SCHEMA, RAW_SCHEMA,
 )
 from tickforge.session import scratch_path
+from tickforge.sources import buckets as B
 from tickforge.sources import messages as M
 from tickforge.sources import readers as I
 from tickforge.sources import upsert as U
@@ -504,6 +505,18 @@ def _(s, d):
     return C.outer_join_daily(V.indicator_frames(S.daily_summary(bars(s, d))))
 
 
+def _together(s, d, name, frames, keys) -> str:
+    """Name of a set of bucketed tables, stored once."""
+    group = lambda path: f"{name}_{path.rsplit('-', 1)[1]}"
+    return group(written(s, d, name, lambda p: B.store_together(frames, group(p), p, keys, 8)))
+
+
+@query("j01_stored_outer_join")
+def _(s, d):
+    frames = {f"part{i}": f for i, f in enumerate(V.indicator_frames(S.daily_summary(bars(s, d))))}
+    return B.outer_join_stored(s, list(frames), _together(s, d, "indicators", frames, DAILY_KEY), DAILY_KEY)
+
+
 @query("j02_record_day_join")
 def _(s, d):
     volumes = D.daily_volume_max(bars(s, d))
@@ -517,6 +530,13 @@ def _(s, d):
     return C.outer_join_monthly(averages, volumes)
 
 
+@query("j03_stored_outer_join")
+def _(s, d):
+    volumes = D.monthly_volume(S.closing_values(T.bars_raw(s, d), "volume"))
+    frames = {"averages": D.monthly_average_close(closes(s, d)), "volumes": volumes}
+    return B.outer_join_stored(s, list(frames), _together(s, d, "months", frames, MONTHLY_KEY), MONTHLY_KEY)
+
+
 @query("j04_catalogue_lookup")
 def _(s, d):
     listed = T.symbols(s, d).filter(F.col("id") % 7 != 0)
