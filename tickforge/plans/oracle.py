@@ -347,6 +347,8 @@ add("f10_day_formats", "SELECT trading_date, text_day AS day FROM day_parsed")
 add("f11_intraday_slice", f"SELECT {H} FROM ticks WHERE symbol = 'U000001' AND trading_date = DATE '2024-01-05'")
 add("f12_search", f"SELECT {H} FROM ticks WHERE contains(lower(source), 'click')")
 add("f12_search_regex", f"SELECT {H} FROM ticks WHERE source IN ('click', 'view')")
+add("f12_stored_search", f"SELECT {H} FROM bars WHERE contains(lower(symbol), 's00000') OR contains(lower(source), 's00000')")
+add("f12_stored_search_regex", f"SELECT {H} FROM bars WHERE source = 'R' OR symbol = 'S000007'")
 add("f13_years", f"SELECT {H} FROM bars WHERE year(trading_date) IN (1996, 1999)")
 add("f14_month_range", f"SELECT {H} FROM bars WHERE trading_date BETWEEN DATE '1996-11-01' AND DATE '1997-02-28'")
 add("f15_rank_one", f"""SELECT {H} FROM (SELECT * FROM bars

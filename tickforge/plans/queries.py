@@ -15,6 +15,7 @@ from tickforge.operators import catalogue as K
 from tickforge.operators import clean as Q
 from tickforge.operators import consolidate as C
 from tickforge.operators import daily as D
+from tickforge.operators import dictionary as A
 from tickforge.operators import filters as R
 from tickforge.operators import ordering as O
 from tickforge.operators import positions as N
@@ -473,6 +474,20 @@ def _(s, d):
     return R.search(ticks(s, d), "^(click|VIEW)$", regex=True)
 
 
+def _values(s, d) -> str:
+    return written(s, d, "values", lambda p: A.update_values(s, stored_bars(s, d), p))
+
+
+@query("f12_stored_search")
+def _(s, d):
+    return A.search_stored(s, stored_bars(s, d), _values(s, d), " s00000")
+
+
+@query("f12_stored_search_regex")
+def _(s, d):
+    return A.search_stored(s, stored_bars(s, d), _values(s, d), "^(r|S0+7)$", regex=True)
+
+
 @query("f13_years")
 def _(s, d):
     return R.in_years(bars(s, d), [1996, 1999])
