@@ -60,7 +60,7 @@ def _oldest(kind: T.DataType) -> Column:
     return F.struct(*values)
 
 
-def _located(spark: SparkSession, path: str):
+def located(spark: SparkSession, path: str):
     """File system and path object of ``path``, wherever it is stored."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
@@ -68,20 +68,20 @@ def _located(spark: SparkSession, path: str):
 
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` was committed, as its success marker tells."""
-    files, marker = _located(spark, f"{path}/_SUCCESS")
+    files, marker = located(spark, f"{path}/_SUCCESS")
     return files.exists(marker)
 
 
 def stored_months(spark: SparkSession, table: str) -> list[str]:
     """Months a table is stored under, in order, from the names of its folders: no file is opened."""
-    files, place = _located(spark, table)
+    files, place = located(spark, table)
     names = [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{MONTH}=") and n[-1].isdigit())
 
 
 def drop_stage(spark: SparkSession, stage: str) -> None:
     """Remove the stage of a batch that cannot be repeated any more."""
-    files, place = _located(spark, stage)
+    files, place = located(spark, stage)
     files.delete(place, True)
 
 
