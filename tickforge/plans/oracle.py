@@ -276,6 +276,7 @@ add("k02_text_export", """SELECT symbol, CAST(trading_date AS VARCHAR) AS tradin
 add("k03_json_result", "SELECT symbol, calc_date, CAST(max_intraday_drop AS DOUBLE) AS max_intraday_drop FROM drops")
 add("k04_partition_overwrite", f"""SELECT {H.replace('volume', "CASE WHEN trading_date >= DATE '2024-01-15' THEN volume ELSE 0 END AS volume")} FROM ticks""")
 VOLUME_JSON = """'{"symbol":"' || symbol || '","calc_date":"' || calc_date || '","total_volume":' || total_volume || '}'"""
+add("k04_compacted_history", f"SELECT {H} FROM bars")
 add("k05_daily_messages", f"SELECT {VOLUME_JSON} AS value FROM (SELECT * FROM volumes UNION ALL SELECT * FROM market)")
 add("k06_keyed_messages", """SELECT symbol AS key, '{"symbol":"' || symbol || '","calc_date":"' || calc_date ||
   '","total_volume":null,"max_close_price":null,"min_close_price":null,"up_days_count":null,"down_days_count":null,' ||

@@ -29,6 +29,7 @@ from tickforge.schemas import (
 )
 from tickforge.session import scratch_path
 from tickforge.sources import buckets as B
+from tickforge.sources import compaction as G
 from tickforge.sources import messages as M
 from tickforge.sources import readers as I
 from tickforge.sources import upsert as U
@@ -247,6 +248,18 @@ def _(s, d):
     return s.read.parquet(path).select(*HISTORY_COLUMNS)
 
 
+@query("k04_compacted_history")
+def _(s, d):
+    """Three appends a month; early years swept, later ones committed only, the last as appended."""
+    path, rows = scratch_path(s, "compacted"), bars(s, d)
+    for i in range(3):
+        W.append_history(rows.filter(F.pmod(F.xxhash64("symbol", "scrape_time"), F.lit(3)) == i), path)
+    G.compact(s, path, G.closed_months(s, path, "1995-01"))
+    G.sweep(s, path)
+    G.compact(s, path, G.closed_months(s, path, "1998-01"))
+    return G.read_compacted(s, path)
+
+
 @query("k05_daily_messages")
 def _(s, d):
     return M.as_messages(C.with_market_rows(D.daily_volume_max(bars(s, d)), D.market_volume(bars(s, d))))
