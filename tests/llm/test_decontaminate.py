@@ -37,8 +37,32 @@ def test_query_finds_what_brute_force_finds(spark, sf_dir, documents, benchmark)
         assert 0 < edits <= dec.MOST_EDITS * len(items[item]) and slow_edits(items[item], dec.plain(text)) <= edits
 
 
-@pytest.mark.parametrize("rate, least", [(0.0, 1.0), (0.02, 0.98), (0.05, 0.97), (0.1, 0.88)])
-def test_recall_on_edited_passages(documents, benchmark, rate, least):
+def random_edits(rng, text, rate):
+    p = list(text)
+    for _ in range(int(rate * len(p))):
+        i, kind = rng.randrange(len(p)), rng.random()
+        if kind < 0.34:
+            p[i] = rng.choice("abcdefgh ")
+        elif kind < 0.67:
+            del p[i]
+        else:
+            p.insert(i, rng.choice("abcdefgh "))
+    return "".join(p)
+
+
+def every_third_word(rng, text, rate):
+    words = text.split(" ")
+    for n in range(0, len(words), 3):
+        if words[n]:
+            i = rng.randrange(len(words[n]))
+            words[n] = words[n][:i] + "q" + words[n][i + 1:]
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("edit, rate, least", [
+    (random_edits, 0.0, 1.0), (random_edits, 0.02, 0.99), (random_edits, 0.05, 0.99), (random_edits, 0.1, 0.97),
+    (random_edits, 0.15, 0.95), (random_edits, 0.2, 0.95), (every_third_word, None, 0.95)])
+def test_recall_on_edited_passages(documents, benchmark, edit, rate, least):
     rng = random.Random(6)
     items = [(r["item_id"], r["text"]) for r in benchmark.collect()]
     search = dec.Items(items)
@@ -47,20 +71,20 @@ def test_recall_on_edited_passages(documents, benchmark, rate, least):
     tried = found = 0
     for n in range(150):
         key, text = items[n % len(items)]
-        p = list(text)
-        for _ in range(int(rate * len(p))):
-            i, kind = rng.randrange(len(p)), rng.random()
-            if kind < 0.34:
-                p[i] = rng.choice("abcdefgh ")
-            elif kind < 0.67:
-                del p[i]
-            else:
-                p.insert(i, rng.choice("abcdefgh "))
         host = clean[n % len(clean)]
         cut = rng.randrange(len(host))
+        passage = edit(rng, text, rate)
+        if slow_edits(dec.plain(text), dec.plain(passage)) > dec.MOST_EDITS * len(dec.plain(text)):
+            continue
         tried += 1
-        found += key in [k for k, _ in search.matches([host[:cut] + " " + "".join(p) + " " + host[cut:]])[0]]
-    assert found / tried >= least
+        found += key in [k for k, _ in search.matches([host[:cut] + " " + passage + " " + host[cut:]])[0]]
+    assert tried > 100 and found / tried >= least
+
+
+def test_short_items_stand_unchanged():
+    search = dec.Items([(1, "two words"), (2, "Mississippi"), (3, ""), (4, "a"), (5, "two  WORDS")])
+    found = search.matches(["these Two\nwords", "mississippian", "the MISSISSIPPI a", None, "", "two words more"])
+    assert found == [[(1, 0), (5, 0)], [], [(4, 0), (2, 0)], [], [], [(1, 0), (5, 0)]]
 
 
 def test_tables_reach_the_target():

@@ -12,21 +12,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-GATE_WORDS = 3
-SIZES = (16, 24, 32, 48, 64, 96, 128)
-WINDOW_SHARE = 0.3
+#: Bytes that must agree at the start of a window, the window's length, and the stride of an item's windows.
+GRAM = 8
+WINDOW = 24
+STRIDE = 4
 MOST_EDITS = 0.2
 COORDINATES = 4
 EMBEDDINGS = 2
 TARGET_RECALL = 0.95
 #: Share of coordinates in which two embeddings of a window may differ and still be found.
 DIFFERENCE = 0.4
+#: Bytes of an item around a window that are compared before the whole item is, and the edits they may have.
+AROUND = 64
+MOST_AROUND = 0.33
 PIECE_BYTES = 1 << 20
-BLOCK_ITEMS = 20_000
+HITS = 1 << 16
+BLOCK_ITEMS = 5_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SEED = 9
-#: A word of its own that no item holds stands between texts searched together.
-BETWEEN = b" \n "
+#: Stands between texts searched together: a word no item holds, longer than any window's walk.
+BETWEEN = b" " + b"\n" * (2 * WINDOW) + b" "
 
 
 def plain(text: str | None) -> bytes:
@@ -44,37 +49,38 @@ class Walk:
     """A CGK embedding: at step j the pointer moves on if the bit of (j, character) is set."""
 
     moves: np.ndarray
-    samples: dict  # size -> (tables, COORDINATES) steps
+    samples: np.ndarray  # (tables, COORDINATES) steps
 
     @staticmethod
-    def make(seed: int, tables: int, sizes: list[int]) -> Walk:
+    def make(seed: int, tables: int) -> Walk:
         rng = np.random.default_rng(seed)
-        moves = rng.integers(0, 2, (2 * max(sizes, default=0), 256), dtype=np.int64)
-        # The first steps repeat the gate's words; after 2 * size steps the walk is at the window's end.
-        samples = {size: np.stack([
-            rng.choice(np.arange(size // 2, 2 * size), COORDINATES, replace=False) for _ in range(tables)]) for size in sizes}
+        moves = rng.integers(0, 2, (2 * WINDOW, 256), dtype=np.int64)
+        # The first steps repeat the gram; after 2 * WINDOW steps the walk is at the window's end.
+        samples = np.stack([rng.choice(np.arange(2 * GRAM, 2 * WINDOW), COORDINATES, replace=False) for _ in range(tables)])
         return Walk(moves, samples)
 
-    def keys(self, data: np.ndarray, starts: np.ndarray, gates: np.ndarray) -> dict[int, np.ndarray]:
-        """Per size one key for each window and table; one walk serves all sizes.
-
-        A key holds the window's gate and the characters at the sampled steps; past the end of the data the last
-        character repeats.
-        """
-        wanted: dict[int, list] = {}
-        keys = {}
-        for size, steps in self.samples.items():
-            keys[size] = np.repeat((gates ^ np.uint64(size))[:, None], len(steps), 1)
-            for t, row in enumerate(steps.tolist()):
-                for j in row:
-                    wanted.setdefault(j, []).append((size, t))
+    def keys(self, data: np.ndarray, starts: np.ndarray, grams: np.ndarray, salt: int) -> np.ndarray:
+        """(tables, windows): a key holds the table, the window's gram and the characters at the sampled steps."""
+        wanted: dict[int, list[int]] = {}
+        for t, row in enumerate(self.samples.tolist()):
+            for j in row:
+                wanted.setdefault(j, []).append(t)
+        places = np.arange(salt, salt + len(self.samples), dtype=np.uint64)
+        keys = (grams[None, :] ^ places[:, None]) * MULTIPLIER
         at, end = starts.copy(), len(data) - 1
         for j, moves in enumerate(self.moves):
             c = data[np.minimum(at, end)]
-            for size, t in wanted.get(j, ()):
-                keys[size][:, t] = (keys[size][:, t] ^ (c + np.uint64(1))) * MULTIPLIER
+            for t in wanted.get(j, ()):
+                keys[t] = (keys[t] ^ (keys[t] >> np.uint64(31)) ^ (c + np.uint64(1))) * MULTIPLIER
             at += moves[c]
-        return {size: k ^ (k >> np.uint64(29)) for size, k in keys.items()}
+        return keys ^ (keys >> np.uint64(29))
+
+
+def gram_at(data: np.ndarray) -> np.ndarray:
+    """The GRAM bytes from every place on as one number."""
+    if len(data) < GRAM:
+        return np.zeros(0, np.uint64)
+    return np.ndarray((len(data) - GRAM + 1,), "<u8", buffer=data, strides=(1,)) * MULTIPLIER
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,41 +112,50 @@ class Spans:
 
 
 class Items:
-    """Search structure over a block of benchmark items."""
+    """Search structure over a block of benchmark items; equal texts are one entry."""
 
     def __init__(self, items: list[tuple[object, str]], seed: int = SEED):
-        self.ids, self.texts = [], []
+        same: dict[bytes, list] = {}
         for key, text in items:
             data = plain(text)
-            if data.count(b" ") + 1 >= GATE_WORDS and len(data) >= SIZES[0]:
-                self.ids.append(key)
-                self.texts.append(data)
-        self.reach = max([len(t) for t in self.texts], default=0)
-        sizes = [max([s for s in SIZES if s <= WINDOW_SHARE * len(t)], default=SIZES[0]) for t in self.texts]
+            if data:
+                same.setdefault(data, []).append(key)
+        self.texts = sorted(same)
+        self.ids = [same[t] for t in self.texts]
+        self.reach = max(map(len, self.texts), default=0)
+        self.lengths = np.array([len(t) for t in self.texts], np.int64)
+        self.first = np.cumsum(self.lengths) - self.lengths
+        self.joined = np.frombuffer(b"".join(self.texts) + b"\n" * AROUND, np.uint8)
+        self._short()
+        long = np.flatnonzero(self.lengths >= WINDOW)
+        per = (self.lengths[long] - WINDOW) // STRIDE + 1
+        item = np.repeat(long, per)
+        offset = (np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)) * STRIDE
+        starts = self.first[item] + offset
+        grams = gram_at(self.joined)[starts] if len(starts) else np.zeros(0, np.uint64)
         tables = -(-tables_needed() // EMBEDDINGS)
-        self.walks = [Walk.make(seed + e, tables, sorted(set(sizes))) for e in range(EMBEDDINGS)]
-        all_gates, found = [], {size: ([], [], []) for size in set(sizes)}
-        for i, (text, size) in enumerate(zip(self.texts, sizes)):
-            data = np.frombuffer(text, np.uint8)
-            starts, gates = Spans(data, self.power).runs(GATE_WORDS)
-            all_gates.append(gates)
-            keys = np.concatenate([w.keys(data, starts, gates)[size] for w in self.walks], axis=1)
-            found[size][0].append(keys)
-            found[size][1].append(np.full(len(starts), i))
-            found[size][2].append(starts)
-        self.gates = np.unique(np.concatenate(all_gates)) if all_gates else np.zeros(0, np.uint64)
-        self.shift = np.uint64(64 - max(16, len(self.gates).bit_length() + 6))
-        self.bitmap = np.zeros(1 << (64 - int(self.shift)), bool)
-        self.bitmap[self.gates >> self.shift] = True
-        self.tables = {}
-        for size, (keys, item, start) in found.items():
-            keys, item, start = np.concatenate(keys), np.concatenate(item), np.concatenate(start)
-            orders = [np.argsort(keys[:, t], kind="stable") for t in range(keys.shape[1])]
-            self.tables[size] = [(keys[o, t], item[o], start[o]) for t, o in enumerate(orders)]
+        self.walks = [Walk.make(seed + e, tables) for e in range(EMBEDDINGS)]
+        keys = np.concatenate([w.keys(self.joined, starts, grams, e * tables) for e, w in enumerate(self.walks)])
+        keys = keys.ravel()
+        order = np.argsort(keys, kind="stable")
+        self.known = keys[order]
+        self.entry = (order % max(1, len(starts))).astype(np.int32)
+        self.item, self.offset = item.astype(np.int32), offset.astype(np.int32)
+        self.gates, self.seen = Bitmap(grams), Bitmap(self.known)
+
+    def _short(self) -> None:
+        """Items shorter than a window are known by the hash of their words, per number of words."""
+        self.short: dict[int, dict[int, list[int]]] = {}
+        power = powers(WINDOW)
+        for i, text in enumerate(self.texts):
+            if len(text) < WINDOW:
+                words = text.count(b" ") + 1
+                _, h = Spans(np.frombuffer(text, np.uint8), power).runs(words)
+                self.short.setdefault(words, {}).setdefault(int(h[0]), []).append(i)
 
     @cached_property
     def power(self) -> tuple[np.ndarray, np.ndarray]:
-        return powers(2 * PIECE_BYTES + 4 * self.reach)
+        return powers(2 * PIECE_BYTES + 4 * self.reach + 1024)
 
     def __getstate__(self) -> dict:
         """Powers are computed where they are used and not shipped."""
@@ -150,11 +165,11 @@ class Items:
         """Per text (item, edits) for every item it holds within the edits allowed.
 
         Texts are searched together, about ``PIECE_BYTES`` at a time; longer ones are cut into
-        pieces that overlap by the longest item and its edits.
+        pieces that overlap by the longest item and its edits on either side.
         """
         best: list[dict[int, int]] = [{} for _ in texts]
         pieces, owners, size = [], [], 0
-        overlap = int(self.reach * (1 + MOST_EDITS)) + 2
+        overlap = int(self.reach * (1 + 2 * MOST_EDITS)) + 2 * WINDOW
         for i, text in enumerate(texts if self.texts else ()):
             data = plain(text)
             for a in range(0, len(data), PIECE_BYTES):
@@ -166,44 +181,102 @@ class Items:
                     pieces, owners, size = [], [], 0
         if pieces:
             self._search(pieces, owners, best)
-        return [[(self.ids[i], d) for i, d in sorted(b.items())] for b in best]
+        return [[(key, d) for i, d in sorted(b.items()) for key in self.ids[i]] for b in best]
 
     def _search(self, pieces: list[bytes], owners: list[int], best: list[dict[int, int]]) -> None:
-        data = np.frombuffer(BETWEEN.join(pieces), np.uint8)
-        starts, gates = Spans(data, self.power).runs(GATE_WORDS)
-        hit = np.flatnonzero(self.bitmap[gates >> self.shift])
-        place = np.minimum(np.searchsorted(self.gates, gates[hit]), len(self.gates) - 1)
-        hit = hit[self.gates[place] == gates[hit]]
-        starts, gates = starts[hit], gates[hit]
-        if not len(starts):
-            return
+        data = np.frombuffer(BETWEEN + BETWEEN.join([*pieces, b""]), np.uint8)
         lengths = np.array([len(p) + len(BETWEEN) for p in pieces])
-        first = np.cumsum(lengths) - lengths
-        keys = [w.keys(data, starts, gates) for w in self.walks]
-        pairs = set()
-        for size, tables in self.tables.items():
-            seen = np.concatenate([k[size] for k in keys], axis=1)
-            for t, (known, item, offset) in enumerate(tables):
-                lo = np.searchsorted(known, seen[:, t], "left")
-                hi = np.searchsorted(known, seen[:, t], "right")
-                for w in np.flatnonzero(hi > lo).tolist():
-                    for k in range(lo[w], hi[w]):
-                        pairs.add((int(item[k]), int(starts[w]) - int(offset[k]), int(starts[w])))
-        for item, begin, at in sorted(pairs):
-            p = int(np.searchsorted(first, at, "right")) - 1
-            found = best[owners[p]]
-            if found.get(item) != 0:
-                self._verify(pieces[p], item, begin - int(first[p]), found)
+        first = np.cumsum(lengths) - lengths + len(BETWEEN)
+        if self.short:
+            self._search_short(data, pieces, first, owners, best)
+        grams = gram_at(data)
+        hits = self.gates.holds(grams)
+        for part in np.split(hits, range(HITS, len(hits), HITS)):
+            item, begin, at = self._candidates(data, part, grams[part])
+            close = self._close(data, item, begin, at)
+            for i, b, a in zip(item[close].tolist(), begin[close].tolist(), at[close].tolist()):
+                p = int(np.searchsorted(first, a, "right")) - 1
+                found = best[owners[p]]
+                if found.get(i) != 0:
+                    self._verify(pieces[p], i, b - int(first[p]), found)
+
+    def _search_short(self, data, pieces, first, owners, best) -> None:
+        spans = Spans(data, self.power)
+        for words, known in self.short.items():
+            starts, h = spans.runs(words)
+            for w in np.flatnonzero(np.isin(h, np.fromiter(known, np.uint64, len(known)))).tolist():
+                p = int(np.searchsorted(first, starts[w], "right")) - 1
+                a = int(starts[w] - first[p])
+                for i in known[int(h[w])]:
+                    if pieces[p][a: a + len(self.texts[i])] == self.texts[i]:
+                        best[owners[p]][i] = 0
+
+    def _candidates(self, data: np.ndarray, starts: np.ndarray, grams: np.ndarray):
+        """(item, where the item would begin, a window's place) of windows that share a key, one for each begin."""
+        entries, places = [], []
+        tables = len(self.walks[0].samples)
+        for e, walk in enumerate(self.walks):
+            keys = walk.keys(data, starts, grams, e * tables).ravel()
+            some = self.seen.holds(keys)
+            lo, hi = (np.searchsorted(self.known, keys[some], side) for side in ("left", "right"))
+            n = hi - lo
+            entries.append(self.entry[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)])
+            places.append(starts[np.repeat(some % max(1, len(starts)), n)])
+        entry, at = np.concatenate(entries), np.concatenate(places)
+        item = self.item[entry].astype(np.int64)
+        begin = at - self.offset[entry]
+        _, one = np.unique(item * (1 << 40) + begin + (1 << 39), return_index=True)
+        return item[one], begin[one], at[one]
+
+    def _close(self, data: np.ndarray, item: np.ndarray, begin: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Candidates whose surroundings of the window agree but for ``MOST_AROUND`` of ``AROUND`` bytes.
+
+        The same bit-parallel columns as in ``least_edits``, for all candidates at once.
+        """
+        kept = []
+        for rows in np.split(np.arange(len(item)), range(1 << 14, len(item), 1 << 14)):
+            size = np.minimum(self.lengths[item[rows]], AROUND)
+            a = np.clip(at[rows] - begin[rows] - (AROUND - WINDOW) // 2, 0, self.lengths[item[rows]] - size)
+            pattern = self.joined[(self.first[item[rows]] + a)[:, None] + np.arange(AROUND)]
+            top = np.uint64(1) << (size - 1).astype(np.uint64)
+            up, down = np.full(len(rows), ~np.uint64(0)), np.zeros(len(rows), np.uint64)
+            score = size.copy()
+            least = size.copy()
+            slack = AROUND // 4
+            for j in range(-slack, AROUND + slack):
+                c = data[np.clip(begin[rows] + a + j, 0, len(data) - 1)]
+                eq = np.packbits(pattern == c[:, None], axis=1, bitorder="little").view("<u8").ravel()
+                xv = eq | down
+                xh = (((eq & up) + up) ^ up) | eq
+                ph, mh = down | ~(xh | up), up & xh
+                score += (ph & top != 0).astype(np.int64) - (mh & top != 0)
+                ph, mh = ph << np.uint64(1), mh << np.uint64(1)
+                up, down = mh | ~(xv | ph), ph & xv
+                np.minimum(least, score, out=least)
+            kept.append(rows[least <= MOST_AROUND * size])
+        return np.concatenate(kept)
 
     def _verify(self, piece: bytes, item: int, begin: int, best: dict[int, int]) -> None:
         pattern = self.texts[item]
         most = int(MOST_EDITS * len(pattern))
-        region = piece[max(0, begin - most): max(0, begin) + len(pattern) + most]
+        region = piece[max(0, begin - most): max(0, begin + len(pattern) + most)]
         edits = 0 if pattern in region else least_edits(pattern, region)
         if edits <= most and edits < best.get(item, most + 1):
             best[item] = edits
 
 
+class Bitmap:
+    """A first look at a set of hashes: never misses one, lets at most one in 32 others through."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.shift = np.uint64(64 - max(16, len(hashes).bit_length() + 5))
+        self.bits = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.bits[hashes >> self.shift] = True
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(self.bits[hashes >> self.shift])
+
+
 def least_edits(pattern: bytes, text: bytes) -> int:
     """Fewest edits between the pattern and any stretch of the text, by bit-parallel columns."""
     m = len(pattern)
@@ -240,12 +313,12 @@ def find_passages(
     about ``block_items``, so what a task holds is bounded whatever the benchmark's size;
     each block passes over all documents once and nothing is shuffled.
 
-    Windows start at words: an item gives one window per word start, a document one where three
-    words in a row occur in an item.  Each window is embedded by two CGK walks, which turn a few edits into
-    a few differing coordinates; ``tables_needed`` samples of four coordinates are looked up, and
-    candidates are verified by their exact edit distance.  Items of under three words or 16
-    bytes say too little and are never found.  Null and empty texts hold no item; a repeated row
-    gives its rows again; a null key passes as it is; null item texts are skipped.
+    An item gives a window of ``WINDOW`` bytes at every fourth byte, a document one wherever ``GRAM`` bytes occur
+    in an item.  Each window is embedded by two CGK walks, which turn a few edits into a few differing
+    coordinates; ``tables_needed`` samples of four coordinates are looked up.  Candidates are compared around
+    the window first and then verified by their exact edit distance.  Items shorter than a window are
+    found where their words stand unchanged; empty ones never.  Null and empty texts hold no item; a
+    repeated row gives its rows again; a null key passes as it is; null item texts are skipped.
     """
     items = benchmark.select(F.col(item_key).alias("item_id"), F.col(item_text).cast("string").alias("text")) \
         .filter(F.col("text").isNotNull())
