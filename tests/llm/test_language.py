@@ -32,6 +32,28 @@ def test_mixture_shares(documents):
     assert len(single) == 1
 
 
+def test_four_languages_and_unknown_text(spark, documents):
+    from tickforge.llm.common import stored
+
+    model = language.train_languages(documents)
+    by_lang = {}
+    for r in documents.filter("length(text) > 1500 AND lang IS NOT NULL").orderBy("doc_id").collect():
+        by_lang.setdefault(r["lang"], r["text"][:1500])
+    assert len(by_lang) >= 4
+    rng = np.random.default_rng(3)
+    noise = " ".join("".join(rng.choice(list("qwxzjkvpfgybm"), 7)) for _ in range(200))
+    greek = "Ολοι οι ανθρωποι γεννιουνται ελευθεροι και ισοι στην αξιοπρεπεια και τα δικαιωματα. " * 12
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, są oni obdarzeni rozumem. " * 12
+    texts = ["\n".join(by_lang.values()), noise, greek, polish, *by_lang.values()]
+    found = model.predict(texts)
+    assert len(found[0][2]) == len(by_lang) and abs(found[0][1] - 1 / len(by_lang)) < 0.05
+    assert all(name in model.langs and score < 0.34 for name, score, _ in found[1:4]), found[1:4]
+    assert all(score > 0.95 for _, score, _ in found[4:])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = stored(language.keep_known(docs, model), "kept")
+    assert {r["doc_id"] for r in kept.collect()} == set(range(4, 4 + len(by_lang)))
+
+
 def test_choice_equals_plain_em():
     """Block likelihoods of one document, chosen by a direct search over all language sets."""
     from itertools import combinations

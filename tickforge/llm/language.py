@@ -16,7 +16,6 @@ BUCKETS = 1 << 15
 SMOOTHING = 0.5
 BLOCK = 64
 ROUNDS = 10
-LARGEST_SET = 3
 PENALTY = 2.0
 PIECE_BYTES = 1 << 20
 NO_LANGUAGE = "und"
@@ -85,16 +84,22 @@ def pieces(text: str):
 
 
 class LanguageModel:
-    """Log probabilities of n-gram buckets per language."""
+    """Log probabilities of n-gram buckets per language, and in the last row those of the background.
+
+    The background gives all buckets the same probability; it takes what no learned language explains better.
+    """
 
     def __init__(self, langs: list[str], counts: np.ndarray):
         self.langs = langs
-        smooth = counts + SMOOTHING
+        smooth = np.vstack([counts + SMOOTHING, np.ones((1, BUCKETS))])
         self.logs = np.log(smooth / smooth.sum(1, keepdims=True)).astype(np.float32)
         self.logs[:, 0] = 0
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, list[tuple[str, float]]]]:
-        """Per text the main language, its share, and the chosen set with shares."""
+        """Per text the main language, its share, and the chosen set with shares.
+
+        Shares leave out what the background holds; if it holds all, the likeliest language has the share 0.
+        """
         out = [(NO_LANGUAGE, 0.0, [])] * len(texts)
         if not self.langs:
             return out
@@ -114,11 +119,13 @@ class LanguageModel:
             return out
         ll, doc = np.concatenate(blocks), np.concatenate(docs)
         starts = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
-        shares = choose_languages(ll, starts)
-        for i, share in zip(doc[starts].tolist(), shares):
+        shares = choose_languages(ll, starts)[:, :-1]
+        likeliest = np.add.reduceat(ll[:, :-1], starts).argmax(1)
+        for i, share, main in zip(doc[starts].tolist(), shares, likeliest.tolist()):
             order = np.argsort(-share, kind="stable")
             named = [(self.langs[l], float(share[l])) for l in order if share[l] > 0]
-            out[i] = (named[0][0], min(1.0, named[0][1]), named)
+            name, score = named[0] if named else (self.langs[main], 0.0)
+            out[i] = (name, min(1.0, score), named)
         return out
 
     def _score(self, segments, owners, blocks, docs) -> None:
@@ -141,40 +148,49 @@ def choose_languages(ll: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Language shares per document from block log likelihoods ``ll`` (blocks x languages).
 
     Shares maximise the likelihood of a mixture in which each block is of one language.  For
-    each set size the most likely languages are refitted; a larger set is taken only if it
-    raises the log likelihood by more than the penalty, which grows with the document.
+    each set size, up to all languages, the most likely ones are refitted; a larger set is taken only if it
+    raises the log likelihood by more than the penalty, which grows with the document.  A size is
+    tried while the language it adds holds half a block or more of the mixture of all.
     """
     n_langs = ll.shape[1]
     sizes = np.diff(np.r_[starts, len(ll)])
-    owner = np.repeat(np.arange(len(starts)), sizes)
     top = ll.max(1, keepdims=True)
     like = np.exp(np.maximum(ll - top, -60))
     base = np.add.reduceat(top[:, 0], starts)
+    owner = np.repeat(np.arange(len(starts)), sizes)
 
-    def fit(shares):
+    def fit(shares, some):
+        """Shares and log likelihood of the documents ``some``."""
+        n = sizes[some]
+        rows = np.flatnonzero(np.isin(owner, some)) if len(some) < len(starts) else slice(None)
+        part_of, first, held = np.repeat(np.arange(len(some)), n), np.cumsum(n) - n, like[rows]
         for _ in range(ROUNDS):
-            part = like * shares[owner]
+            part = held * shares[part_of]
             part /= part.sum(1, keepdims=True)
-            shares = np.add.reduceat(part, starts) / sizes[:, None]
-        fitted = (like * shares[owner]).sum(1)
-        return shares, np.add.reduceat(np.log(fitted), starts) + base
+            shares = np.add.reduceat(part, first) / n[:, None]
+        fitted = (held * shares[part_of]).sum(1)
+        return shares, np.add.reduceat(np.log(np.maximum(fitted, 1e-300)), first) + base[some]
 
-    every, _ = fit(np.full((len(starts), n_langs), 1 / n_langs))
+    rows = np.arange(len(starts))
+    every, _ = fit(np.full((len(starts), n_langs), 1 / n_langs), rows)
+    mass = -np.sort(-every * sizes[:, None], axis=1)
     # The single best language maximises the plain sum; it heads the order of candidates.
     single = np.add.reduceat(ll, starts)
-    rows = np.arange(len(starts))
     every[rows, single.argmax(1)] += 2
     order = np.argsort(-every, axis=1, kind="stable")
     best = np.zeros_like(every)
     best[rows, order[:, 0]] = 1
     score = single.max(1)
-    for k in range(2, min(LARGEST_SET, n_langs) + 1):
-        mask = np.zeros_like(every)
-        np.put_along_axis(mask, order[:, :k], 1.0, axis=1)
-        shares, value = fit(mask / k)
-        value = value - PENALTY * (k - 1) * np.log(1 + sizes * BLOCK)
-        better = value > score
-        best[better], score = shares[better], np.where(better, value, score)
+    for k in range(2, n_langs + 1):
+        some = np.flatnonzero(mass[:, k - 1] >= 0.5)
+        if not len(some):
+            break
+        mask = np.zeros((len(some), n_langs))
+        np.put_along_axis(mask, order[some, :k], 1.0, axis=1)
+        shares, value = fit(mask / k, some)
+        value = value - PENALTY * (k - 1) * np.log(1 + sizes[some] * BLOCK)
+        better = value > score[some]
+        best[some[better]], score[some[better]] = shares[better], value[better]
     best[best < 1e-6] = 0
     return best / best.sum(1, keepdims=True)
 
@@ -193,7 +209,8 @@ def train_languages(docs: DataFrame, text: str = "text", lang: str = "lang") ->
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """Adds ``lang_pred``, ``score`` and ``langs`` (array of lang and share) to all columns.
 
-    ``lang_pred`` is the language with the largest share of the text, ``score`` that share.
+    ``lang_pred`` is the learned language with the largest share of the text, ``score`` that share; text
+    that a background of equally likely n-grams explains better counts for no language.
     Null texts and texts without a letter get ``und``, score 0 and an empty set, and so does
     everything when the model knows no language.  If a column of such a name exists already,
     the new one gets underscores at its end.
@@ -222,7 +239,8 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
 def keep_known(docs: DataFrame, model: LanguageModel, text: str = "text", least_share: float = 0.34) -> DataFrame:
     """Documents with a language that makes up at least ``least_share`` of the text, all columns.
 
-    A text half in one language and half in another is kept; one in pieces of many is not.
+    A text half in one language and half in another is kept; one in equal pieces of three or more
+    is not, nor one of which the background holds more than ``1 - least_share``.
     """
     columns = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(columns))])
