@@ -71,6 +71,57 @@ def test_misspelled_terms_count():
     assert model.score(None) == model.score("") < 0.5
 
 
+def test_words_end_at_marks_but_hold_some():
+    lex = lexicon()
+    for text in ("clown/clown", "clown,you", "(clown)", "a|clown|b", "clown.clown"):
+        assert tox.features(lex, text)[0] > 0, text
+    assert tox.features(lex, "cl*wn cl-own")[1] == 2 * tox.MISSPELLED
+    wide = tox.Lexicon(["\u611a\u304b\u3082\u306e"])
+    assert tox.features(wide, "a \u611a\u304b\u3082\u306e b")[0] > 0
+
+
+def one_edit(rng, word):
+    i, letter = rng.randrange(1, len(word)), rng.choice("bcdfghjkmpqvwxz")
+    return rng.choice([word[:i] + word[i + 1:], word[:i] + letter + word[i:], word[:i] + letter + word[i + 1:]])
+
+
+def test_misspelled_terms_of_the_trained_model(spark):
+    """One misspelled term turns a clean text; ordinary words and unrelated ones do not."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = tox.train_toxicity(docs, labels.filter(out_of_fold("doc_id", 5, 0)))
+    rng = random.Random(5)
+    clean = [r["text"] for r in docs.join(labels.filter("toxic = 0"), "doc_id").filter("length(text) BETWEEN 300 AND 2000")
+             .orderBy("doc_id").limit(60).collect()]
+    clean = [t for t in clean if model.score(t) < 0.5]
+
+    def with_word(word):
+        text = rng.choice(clean)
+        cut = text.index(" ", rng.randrange(len(text) // 2))
+        return model.score(text[:cut] + " " + word + text[cut:]) >= 0.5
+
+    terms = sorted(model.lexicon.clear)
+    assert len(terms) >= 8 and all(len(t) >= 5 for t in terms)
+    tries = [with_word(one_edit(rng, t)) for t in terms for _ in range(10)]
+    assert sum(tries) >= 0.9 * len(tries)
+    assert all(with_word(t + mark) for t in terms for mark in ("/" + t, ",you", ""))
+    assert not any(with_word(w) for w in sorted(model.lexicon.ordinary)) and not any(with_word(w) for w in ("ordinary", "weather"))
+    quoted = [with_word(f'"{t}"') for t in terms]
+    assert not any(quoted)
+
+
+def test_rare_words_near_a_term_lower_its_misspellings(spark):
+    """Clean documents with ever new words near one term, none near the other."""
+    letters = "bcdfghjkmpqvwxz"
+    rows = [(i, "such a zarkel here", 1) for i in range(40)] + [(40 + i, "such a plimond here", 1) for i in range(40)] \
+        + [(100 + i, f"kind words zark{letters[i]}el and more {i}", 0) for i in range(15)] + [(200 + i, f"kind words {i}", 0) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    docs = docs.withColumn("text", tox.F.concat("text", tox.F.lit(" "), tox.F.col("doc_id").cast("string")))
+    model = tox.train_toxicity(docs.drop("toxic"), docs.select("doc_id", "toxic"))
+    weights = dict(zip(model.lexicon.terms, model.lexicon.weights.tolist()))
+    assert weights["plimond"][1] == weights["plimond"][0] > 3 and weights["zarkel"][1] < 0.5 < weights["zarkel"][0]
+
+
 def test_held_out_quality(spark):
     sf = "/root/testdata/sf0.01"
     rows = QUERIES["op4_toxicity"](spark, sf).join(table(spark, sf, "labels"), "doc_id").collect()

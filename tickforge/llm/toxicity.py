@@ -23,17 +23,22 @@ STEM = (4, 8)
 LONGEST_TERM = 24
 LEAST_SUPPORT = 3
 LEAST_RATIO = 20.0
-ORDINARY = 5_000
 # Matching.
 FUZZY_FROM = 5
-#: Share of toxic documents from which a term no clean document holds is matched with an edit.
+#: Share of toxic documents from which a term is matched with an edit.
 CLEAR_SHARE = 0.03
-#: Weight of a misspelled term before any was seen: one alone does not make a text toxic.
+#: Share of a term's toxic documents taken to hold it misspelled, until misspellings were seen.
+MISSPELLED_SHARE = 0.05
+#: Weight of a misspelled term in a lexicon given without weights: one alone does not make a text toxic.
 MISSPELLED = 2.5
+#: Largest weight of a term; a term in a tenth of the toxic and in no clean document of a full sample reaches 7.6.
+HEAVIEST = 8.0
 WINDOW = 6
 LETTERS = re.compile(r"[^\W\d_]+")
-CODES = 0x3000
+CODES = 0x110000
 QUOTES = "\"“”„«»‹›"
+# These end a word like white space; other marks inside a word belong to its spelling.
+BREAKS = " \t\n\x0b\x0c\r/|,;:.!?()[]{}<>" + QUOTES
 PIECE_CHARS = 1 << 20
 
 EXACT, FUZZY = 0, 1
@@ -168,10 +173,22 @@ def alnum_table() -> np.ndarray:
     return _alnum
 
 
+_breaks = None
+
+
+def break_table() -> np.ndarray:
+    global _breaks
+    if _breaks is None:
+        _breaks = np.zeros(CODES + 1, bool)
+        _breaks[[ord(c) for c in BREAKS]] = True
+    return _breaks
+
+
 def find_terms(lexicon: Lexicon, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, list[str]]:
     """Word numbers, outputs and quotation flags of matches, the number of words, and fuzzy surfaces.
 
-    A word is what stands between white space without punctuation at its ends.
+    A word is what stands between ``BREAKS`` without other punctuation at its ends, so ``a/b`` and
+    ``a,b`` are two words and ``a*b`` is one.
     """
     none = np.zeros(0, np.int64)
     low = text.lower()
@@ -180,7 +197,7 @@ def find_terms(lexicon: Lexicon, text: str) -> tuple[np.ndarray, np.ndarray, np.
     solid = np.flatnonzero(alnum_table()[codes])
     if not len(solid):
         return none, none, none.astype(bool), 0, []
-    space = np.cumsum((raw == 32) | ((raw >= 9) & (raw <= 13)))
+    space = np.cumsum(break_table()[codes])
     piece = space[solid]
     edge = np.flatnonzero(piece[1:] != piece[:-1])
     starts = solid[np.r_[0, edge + 1]]
@@ -340,7 +357,12 @@ def train_toxicity(
         return ToxicityModel(Lexicon([]), PRIOR.copy())
     # At most 2 * sample keys: a proven bound for the broadcast.
     rows = docs.join(F.broadcast(chosen), docs[key] == chosen["key"]).select(F.col(text).cast("string").alias("text"), "y")
-    rows = stored(rows, "labelled")
+    # Copies of a text say the same once; otherwise chance words of a large group would look like terms.
+    rows = stored(rows.dropDuplicates(["text", "y"]), "labelled")
+    sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    t1, t0 = sizes.get(1, 0), sizes.get(0, 0)
+    if not t1 or not t0:
+        return ToxicityModel(Lexicon([]), PRIOR.copy())
     a, b = F.col("n1"), F.col("n0")
     share = (a + b) / (t1 + t0)
     g2 = 2 * (a * F.log(a / (share * t1)) + F.when(b > 0, b * F.log(b / (share * t0))).otherwise(0))
@@ -351,8 +373,7 @@ def train_toxicity(
         .orderBy(F.desc("g2"), "term").limit(100 * LEXICON)
     evidence = [tuple(r) for r in counts.select("term", "n1", "n0", "g2").collect()]
     terms = choose_terms(evidence)
-    clear = {t for t, n1, n0, _ in evidence
-             if not n0 and n1 >= CLEAR_SHARE * t1 and len(t) >= FUZZY_FROM and not t.endswith("*")}
+    clear = {t for t, n1, _, _ in evidence if n1 >= CLEAR_SHARE * t1 and len(t) >= FUZZY_FROM and not t.endswith("*")}
     lexicon = Lexicon(terms, frozenset(clear & set(terms)))
     lexicon = calibrate(rows, lexicon, t1, t0)
     found = _featured(rows, lexicon).collect()
@@ -364,7 +385,12 @@ def train_toxicity(
 
 
 def calibrate(rows: DataFrame, lexicon: Lexicon, t1: int, t0: int) -> Lexicon:
-    """Weights by term and kind, after words that clean documents use are taken from the misspellings."""
+    """Weights by term and kind, after words that clean documents use are taken from the misspellings.
+
+    A misspelling not seen yet weighs as much as its term, but no more than the log ratio of two rates: toxic documents
+    that misspell the term, and clean ones that hold a word near it which the sample lacks.  The number of near
+    words held by one clean document estimates the latter, so a term amid many rare words counts for little.
+    """
     def surfaces(batches):
         n = (Counter(), Counter())
         for batch in batches:
@@ -377,17 +403,23 @@ def calibrate(rows: DataFrame, lexicon: Lexicon, t1: int, t0: int) -> Lexicon:
             pa.array([n[1][k] for k in keys], pa.int64()), pa.array([n[0][k] for k in keys], pa.int64())],
             ["out", "surface", "n1", "n0"])
 
-    found = rows.mapInArrow(surfaces, "out int, surface string, n1 long, n0 long").groupBy("out", "surface").agg(
-        F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).orderBy(F.desc("n0"), "out", "surface")
-    counts = found.limit(ORDINARY).collect()
-    ordinary = {r["surface"] for r in counts if r["surface"] and r["n0"] * t1 >= r["n1"] * t0 / LEAST_RATIO and r["n0"]}
+    found = stored(rows.mapInArrow(surfaces, "out int, surface string, n1 long, n0 long").groupBy("out", "surface").agg(
+        F.sum("n1").alias("n1"), F.sum("n0").alias("n0")), "surfaces")
+    usual = (F.col("surface") != "") & (F.col("n0") > 0) & (F.col("n0") * t1 >= F.col("n1") * t0 / LEAST_RATIO)
+    # Spellings seen in the labelled sample, whose size bounds them.
+    ordinary = {r[0] for r in found.filter(usual).select("surface").distinct().collect()}
     total = np.zeros((2 * len(lexicon.terms), 2))
-    for r in counts:
-        if r["surface"] not in ordinary:
-            total[r["out"]] += [r["n1"], r["n0"]]
+    for r in found.filter(~usual).groupBy("out").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).collect():
+        total[r["out"]] = [r["n1"], r["n0"]]
     seen = np.log((total[:, 0] + 0.5) / (t1 + 1)) - np.log((total[:, 1] + 0.5) / (t0 + 1))
-    weights = np.clip(seen, 0, 6).reshape(-1, 2)
-    weights[:, FUZZY] = np.where(total.sum(1)[1::2] > 0, weights[:, FUZZY], MISSPELLED)
+    weights = np.clip(seen, 0, HEAVIEST).reshape(-1, 2)
+    rare = np.zeros(len(lexicon.terms))
+    for r in found.filter(usual & (F.col("n0") == 1)).groupBy("out").agg(F.count("*").alias("n")).collect():
+        rare[r["out"] // 2] = r["n"]
+    with np.errstate(divide="ignore"):
+        unseen = np.log(MISSPELLED_SHARE * (total[::2, 0] + 0.5) / (t1 + 1)) - np.log(rare / t0)
+    expected = np.clip(np.minimum(unseen, weights[:, EXACT]), 0, None)
+    weights[:, FUZZY] = np.maximum(np.where(total.sum(1)[1::2] > 0, weights[:, FUZZY], 0), expected)
     lexicon.weights, lexicon.ordinary = weights, frozenset(ordinary)
     return lexicon
 
