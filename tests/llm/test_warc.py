@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 from compare import compare, connect
+from pyspark.sql import functions as F
 
 from tickforge.llm import warc
 from tickforge.llm.queries import ORACLE, QUERIES
@@ -76,3 +77,19 @@ def test_clashing_columns(spark, pages):
 
     more = pages.withColumns({"payload": F.lit("x"), "salt": F.lit(1), "keeper": F.lit(2)})
     assert warc.archive_pages(more).count() == 12
+
+
+def test_a_small_payload_of_many_pages_is_spread(spark):
+    """Empty pages, a third of all, are dealt evenly and stay responses."""
+    pages = spark.range(6000).selectExpr(
+        "id page_id", "concat('u', id) url", "if(id % 3 = 0, null, if(id % 3 = 1, repeat('x', 1200), concat(id, 'y'))) html")
+    plan = warc.plan_records(pages)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    dealt = plan.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.count_if(F.col("payload_bytes") == 0).alias("small"))
+    sizes = [r["small"] for r in dealt.collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) >= 4
+    assert sum(sizes) == 2000 and max(sizes) < 3 * 2000 / len(sizes) + 50
+    kinds = {(r["payload_bytes"] >= 1000, r["record_type"]): r["n"] for r in plan.groupBy("payload_bytes", "record_type").agg(
+        F.count("*").alias("n")).filter("payload_bytes IN (0, 1200)").collect()}
+    assert kinds == {(False, "response"): 2000, (True, "response"): 1, (True, "revisit"): 1999}

@@ -30,6 +30,8 @@ ARCHIVE_BYTES = 32 << 20
 DICTIONARY_BYTES = 64 << 10
 TRAINING_BYTES = 4 << 20
 SALTS = 16
+#: Places of payloads that are never referred to, so that a small one shared by many pages is spread over all tasks.
+SMALL_PLACES = 1 << 20
 READ_BYTES = 64 << 10
 WRITTEN = "path string, records long, payload_bytes long, stored_bytes long"
 RECORDS = (
@@ -48,13 +50,16 @@ def plan_records(
     smaller than any other; copies without any key are all responses.  Of rows that repeat the
     largest key one is the response, the others revisit it.  Other columns are dropped.
     Hot payloads: copies are counted per task before the shuffle, and the join deals each
-    payload to ``SALTS`` places.
+    payload to ``SALTS`` places; smaller ones meet nothing in the join and are dealt to as many places as
+    there are pages, up to ``SMALL_PLACES``.
     """
     rows = pages.select(
         F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
         F.coalesce(F.col(payload).cast("binary"), F.lit(b"")).alias("payload"),
     ).withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha1("payload")})
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    small = -1 - F.pmod(F.xxhash64("page_id", "url"), F.lit(SMALL_PLACES))
+    salted = rows.withColumn("salt", F.when(F.col("payload_bytes") < min_bytes, small).otherwise(
+        F.pmod(F.xxhash64("page_id"), F.lit(SALTS))).cast("int"))
     copies = (
         rows.filter(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest", "payload_bytes")
         .agg(F.max("page_id").alias("keeper"), F.count("*").alias("n"))
