@@ -166,6 +166,28 @@ def test_messages_without_a_key_are_quarantined(spark, tmp_path):
     assert sorted(r[M.CORRUPT] for r in Z.read_quarantine(spark, root).collect()) == sorted(keyless)
 
 
+def test_a_batch_is_parsed_once(spark, tmp_path, monkeypatch):
+    """What is upserted and rejected reads written rows: no JSON is parsed again, and nothing is held in memory."""
+    path, root, seen = str(tmp_path / "topic"), str(tmp_path / "root"), []
+    for name in ("upsert_daily", "upsert_monthly", "_quarantine"):
+        plain = getattr(Z, name)
+        monkeypatch.setattr(Z, name, lambda rows, *a, plain=plain, **k: (seen.append(plan_of(rows)), plain(rows, *a, **k)))
+    month = json.dumps({"symbol": "A", "calc_year": 2026, "calc_month": 6, "monthly_total_volume": 3})
+    topic(spark, path, (0, 1, 1, message(5)), (0, 2, 1, "{oops"), (0, 3, 1, ""), (0, 4, 1, None))
+    spark.createDataFrame([(None, v, M.MONTHLY_TOPIC, 1, i, datetime(2026, 6, 12)) for i, v in enumerate((month, "[]", "{}"))],
+                          M.TOPIC_SCHEMA).write.mode("append").parquet(path)
+    Z.consume(Z.read_topics(spark, {"path": path}), root).awaitTermination()
+    assert len(seen) == 3
+    assert not any(word in plan for plan in seen for word in ("from_json", "JsonToStructs", "InMemoryTableScan"))
+    assert volumes(spark, root) == [("A", 5)]
+    assert values(U.read_serving(spark, f"{root}/monthly", MONTHLY_SCHEMA), "monthly_total_volume") == [(3,)]
+    both = spark.read.schema(M.TOPIC_SCHEMA).parquet(path)
+    want = M.daily_messages(both).select("topic", "offset", M.CORRUPT).unionByName(
+        M.monthly_messages(both).select("topic", "offset", M.CORRUPT)).filter(F.col(M.CORRUPT).isNotNull())
+    got = Z.read_quarantine(spark, root).select("topic", "offset", M.CORRUPT)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 5
+
+
 def test_rejected_messages_survive_a_new_checkpoint(spark, tmp_path):
     path, root = str(tmp_path / "topic"), str(tmp_path / "root")
     topic(spark, path, (0, 1, 1, "{one"), (0, 2, 1, "{two"))

@@ -1072,11 +1072,18 @@ def _topic(s, d) -> str:
     in two runs as well; some messages are not JSON, some monthly ones have no
     year or no average.
     """
+    def kept(name: str, rows: DataFrame) -> DataFrame:
+        """Figures that several messages are made of, computed once."""
+        path = scratch_path(s, f"topic-{name}")
+        rows.write.parquet(path)
+        return s.read.schema(rows.schema).parquet(path)
+
     def write(path: str) -> None:
-        final = V.without_market(V.daily_analysis(bars(s, d)))
+        summary = kept("summary", S.daily_summary(bars(s, d)))
+        final = kept("daily", V.without_market(C.daily_analysis(summary)))
         morning = final.select("symbol", "calc_date", (F.col("total_volume") / 2).cast("bigint").alias("total_volume"),
                                "sma_price")
-        months = V.monthly_analysis(bars(s, d))
+        months = kept("months", C.monthly_table(summary))
         month_number = F.col("calc_month")
         spoiled = months.withColumns({
             "calc_year": F.when(month_number != 3, F.col("calc_year")),

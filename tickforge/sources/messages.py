@@ -63,25 +63,63 @@ def publish(messages: DataFrame, topic: str, target: dict[str, str]) -> None:
     messages.withColumn("topic", F.lit(topic)).write.format("kafka").options(**options).save()
 
 
+def _parsed(schema: T.StructType) -> Column:
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
+
+def _rejected(parsed: str, required: tuple[str, ...]) -> Column:
+    """Text of a message that is none of its topic; null for a good one."""
+    corrupt = F.when(F.col(parsed).isNull(), F.coalesce("value", F.lit(""))).otherwise(F.col(f"{parsed}.{CORRUPT}"))
+    for name in required:
+        corrupt = F.when(F.col(f"{parsed}.{name}").isNull(), F.coalesce(corrupt, F.col("value"))).otherwise(corrupt)
+    return corrupt.alias(CORRUPT)
+
+
+def _opened(messages: DataFrame, columns: list[str], parsed: str, schema: T.StructType, corrupt: Column | str) -> DataFrame:
+    return messages.select(*columns, *[F.col(f"{parsed}.{f.name}").alias(f.name) for f in schema.fields], corrupt)
+
+
 def decode(messages: DataFrame, schema: T.StructType, required: tuple[str, ...] = ()) -> DataFrame:
     """Fields of each message; what is not a JSON object of this shape keeps its text in ``_corrupt``.
 
     So does a message without one of the ``required`` fields: it belongs to no row.
     """
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     columns = [c for c in messages.columns if c != "value"]
-    fields = [F.col(f"_m.{f.name}").alias(f.name) for f in schema.fields]
-    corrupt = F.when(F.col("_m").isNull(), F.coalesce("value", F.lit(""))).otherwise(F.col(f"_m.{CORRUPT}"))
-    for name in required:
-        corrupt = F.when(F.col(f"_m.{name}").isNull(), F.coalesce(corrupt, F.col("value"))).otherwise(corrupt)
-    return messages.withColumn("_m", parsed).select(*columns, *fields, corrupt.alias(CORRUPT))
+    return _opened(messages.withColumn("_m", _parsed(schema)), columns, "_m", schema, _rejected("_m", required))
+
+
+#: What a message of each topic holds, and the fields it must have.  Messages without a year are
+#: decoded like others; the upsert skips them.
+TOPICS = {
+    DAILY_TOPIC: (DAILY_SCHEMA, ("symbol", "calc_date")),
+    MONTHLY_TOPIC: (MONTHLY_SCHEMA, ("symbol", "calc_month")),
+}
+
+
+def decode_topics(messages: DataFrame) -> DataFrame:
+    """All topics in one pass: per topic a struct column of its name, and one ``_corrupt`` as ``decode`` gives it.
+
+    Written down, no message is parsed again; ``of_topic`` reads one topic from it.
+    """
+    columns = [c for c in messages.columns if c != "value"]
+    known = messages.filter(F.col("topic").isin(list(TOPICS)))
+    parsed = known.withColumns({t: F.when(F.col("topic") == t, _parsed(schema)) for t, (schema, _) in TOPICS.items()})
+    corrupt = F.lit(None).cast("string")
+    for topic, (_, required) in TOPICS.items():
+        corrupt = F.when(F.col("topic") == topic, _rejected(topic, required)).otherwise(corrupt)
+    return parsed.select(*columns, *TOPICS, corrupt.alias(CORRUPT))
+
+
+def of_topic(decoded: DataFrame, topic: str) -> DataFrame:
+    """Messages of a topic from ``decode_topics``, as ``decode`` gives them."""
+    columns = [c for c in decoded.columns if c not in TOPICS and c != CORRUPT]
+    return _opened(decoded.filter(F.col("topic") == topic), columns, topic, TOPICS[topic][0], CORRUPT)
 
 
 def daily_messages(messages: DataFrame) -> DataFrame:
-    return decode(messages.filter(F.col("topic") == DAILY_TOPIC), DAILY_SCHEMA, ("symbol", "calc_date"))
+    return decode(messages.filter(F.col("topic") == DAILY_TOPIC), *TOPICS[DAILY_TOPIC])
 
 
 def monthly_messages(messages: DataFrame) -> DataFrame:
-    """Messages without a year are decoded like others; the upsert skips them."""
-    return decode(messages.filter(F.col("topic") == MONTHLY_TOPIC), MONTHLY_SCHEMA, ("symbol", "calc_month"))
+    return decode(messages.filter(F.col("topic") == MONTHLY_TOPIC), *TOPICS[MONTHLY_TOPIC])

@@ -4,7 +4,7 @@ A table is partitioned by a calendar month.  An upsert touches only the months
 of its rows:
 
 1. the incoming rows are written to a stage folder and read back, so the rest
-   works on durable data;
+   works on durable data (unless the caller has written them already);
 2. old and new rows of these months are merged and written to a second stage;
 3. the merged months replace the old ones by dynamic partition overwrite.
 
@@ -87,18 +87,21 @@ def drop_stage(spark: SparkSession, stage: str) -> None:
 
 def upsert(
     incoming: DataFrame, table: str, stage: str, keys: list[str], schema: T.StructType, month: Column,
-    mode: str = "replace", fill: dict[str, Column] | None = None,
+    mode: str = "replace", fill: dict[str, Column] | None = None, durable: bool = False,
 ) -> None:
     """Apply ``incoming`` (with its ``seq``) to ``table``; ``stage`` is unique to this batch.
 
-    ``fill`` has values for what is missing in a column after the merge.
+    ``fill`` has values for what is missing in a column after the merge.  With ``durable`` the
+    caller states that ``incoming`` only reads files of its own, which need not be staged again.
     """
     spark = incoming.sparkSession
     merged_path = f"{stage}/merged"
     stored = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
     if not is_complete(spark, merged_path):
-        incoming.withColumn(MONTH, month).write.mode("overwrite").parquet(f"{stage}/incoming")
-        staged = spark.read.parquet(f"{stage}/incoming")
+        staged = incoming.withColumn(MONTH, month)
+        if not durable:
+            staged.write.mode("overwrite").parquet(f"{stage}/incoming")
+            staged = spark.read.parquet(f"{stage}/incoming")
         # At most one row per calendar month; literal months prune the table's folders.
         months = [r[0] for r in staged.select(MONTH).distinct().collect()]
         existing = read_if_exists(spark, table, stored)
@@ -110,14 +113,14 @@ def upsert(
     replace_partitions(spark.read.schema(stored).parquet(merged_path), table, [MONTH])
 
 
-def upsert_daily(incoming: DataFrame, table: str, stage: str, mode: str = "replace") -> None:
+def upsert_daily(incoming: DataFrame, table: str, stage: str, mode: str = "replace", durable: bool = False) -> None:
     """Key (symbol, calc_date); rows without a key are no rows of this table."""
     keyed = incoming.filter(F.col("symbol").isNotNull() & F.col("calc_date").isNotNull())
-    upsert(keyed, table, stage, DAILY_KEY, DAILY_SCHEMA, F.date_format("calc_date", "yyyy-MM"), mode)
+    upsert(keyed, table, stage, DAILY_KEY, DAILY_SCHEMA, F.date_format("calc_date", "yyyy-MM"), mode, durable=durable)
 
 
 def upsert_monthly(
-    incoming: DataFrame, table: str, stage: str, mode: str = "replace", zero_for_missing: bool = True
+    incoming: DataFrame, table: str, stage: str, mode: str = "replace", zero_for_missing: bool = True, durable: bool = False,
 ) -> None:
     """Key (symbol, calc_year, calc_month); rows without a year are skipped.
 
@@ -128,7 +131,7 @@ def upsert_monthly(
     )
     fill = {"monthly_avg_close": F.lit(0).cast("decimal(18,2)")} if zero_for_missing else None
     month = F.format_string("%04d-%02d", F.col("calc_year"), F.col("calc_month"))
-    upsert(keyed, table, stage, MONTHLY_KEY, MONTHLY_SCHEMA, month, mode, fill)
+    upsert(keyed, table, stage, MONTHLY_KEY, MONTHLY_SCHEMA, month, mode, fill, durable)
 
 
 def read_serving(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:

@@ -68,6 +68,12 @@ def run_identity(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
 
 
+def evaluated(rows: DataFrame, path: str) -> DataFrame:
+    """The rows of a batch as written to ``path``: one evaluation, whose columns every later step reads from files."""
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def consume(
     stream: DataFrame, root: str, mode: str = "replace", zero_for_missing: bool = True, available_now: bool = True,
 ) -> StreamingQuery:
@@ -83,23 +89,20 @@ def consume(
         run = run_identity(batch.sparkSession, f"{root}/checkpoint")
         stages = f"{root}/stage/{run}"
         stage = f"{stages}/{batch_id}"
-        # The decoded rows are used several times; an executor's lost blocks are recomputed.
-        cached = batch.persist()
-        try:
-            daily, monthly = _sequence(M.daily_messages(cached)), _sequence(M.monthly_messages(cached))
-            good, bad = F.col(M.CORRUPT).isNull(), F.col(M.CORRUPT).isNotNull()
-            upsert_daily(daily.filter(good).drop(M.CORRUPT), f"{root}/daily", f"{stage}/daily", mode)
-            upsert_monthly(
-                monthly.filter(good).drop(M.CORRUPT), f"{root}/monthly", f"{stage}/monthly", mode, zero_for_missing
-            )
-            names = QUARANTINE_SCHEMA.fieldNames()
-            rejected = daily.filter(bad).select(*names).unionByName(monthly.filter(bad).select(*names))
-            _quarantine(rejected, f"{root}/quarantine", run, batch_id)
-            # Only the last batch can be repeated, so the stage before it has served its purpose.
-            if batch_id > 0:
-                drop_stage(batch.sparkSession, f"{stages}/{batch_id - 1}")
-        finally:
-            cached.unpersist()
+        # Every message is parsed once.
+        decoded = evaluated(M.decode_topics(batch), f"{stage}/decoded")
+        daily, monthly = (_sequence(M.of_topic(decoded, topic)) for topic in (M.DAILY_TOPIC, M.MONTHLY_TOPIC))
+        good, bad = F.col(M.CORRUPT).isNull(), F.col(M.CORRUPT).isNotNull()
+        upsert_daily(daily.filter(good).drop(M.CORRUPT), f"{root}/daily", f"{stage}/daily", mode, durable=True)
+        upsert_monthly(
+            monthly.filter(good).drop(M.CORRUPT), f"{root}/monthly", f"{stage}/monthly", mode, zero_for_missing, durable=True
+        )
+        names = QUARANTINE_SCHEMA.fieldNames()
+        rejected = daily.filter(bad).select(*names).unionByName(monthly.filter(bad).select(*names))
+        _quarantine(rejected, f"{root}/quarantine", run, batch_id)
+        # Only the last batch can be repeated, so the stage before it has served its purpose.
+        if batch_id > 0:
+            drop_stage(batch.sparkSession, f"{stages}/{batch_id - 1}")
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", f"{root}/checkpoint")
     return (writer.trigger(availableNow=True) if available_now else writer).start()
