@@ -62,3 +62,12 @@ def test_rows_without_a_minute(spark, history, tmp_path):
     Y.stream_minutes(spark.readStream.schema(odd.schema).parquet(f"{tmp_path}/landing"), f"{tmp_path}/root").awaitTermination()
     assert [(r["symbol"], float(r["value"]), r["volume"], r["n"]) for r in Y.read_totals(spark, f"{tmp_path}/root").collect()] == [("A", 10.0, 1, 2)]
     assert Y.read_late(spark, f"{tmp_path}/root").count() == 0
+
+
+def test_python_is_called_per_slot_not_per_symbol(spark, history, tmp_path, monkeypatch):
+    monkeypatch.setattr(Y, "SLOTS", 4)
+    files = [[(f"S{i}", f"2026-03-02 09:{m:02}:{i:02}", 10 + i, i) for i in range(50)] for m in (1, 2)]
+    root = run(spark, history, files, tmp_path)
+    whole = history([r for f in files for r in f])
+    assert lists(Y.complete_totals(spark, root)) == lists(Y.minute_totals(whole))
+    assert 0 < spark.read.format("statestore").load(f"{root}/checkpoint").count() <= 4

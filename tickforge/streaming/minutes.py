@@ -7,10 +7,12 @@ totals and side table together hold every snapshot, whatever order files come in
 
 from __future__ import annotations
 
-import json
 from decimal import Decimal
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +22,7 @@ from tickforge.functions.numeric import ratio
 from tickforge.schemas import HISTORY_COLUMNS, HISTORY_SCHEMA, MONTH
 from tickforge.sources.upsert import drop_stage, read_serving, upsert
 from tickforge.sources.writers import read_if_exists
-from tickforge.streaming.consumer import run_identity
+from tickforge.streaming.consumer import evaluated, run_identity
 
 VALUE = T.DecimalType(38, 4)
 TOTAL_KEY = ["symbol", "trading_date", "minute"]
@@ -28,13 +30,17 @@ TOTAL_SCHEMA = T.StructType([
     T.StructField("symbol", T.StringType()), T.StructField("trading_date", T.DateType()), T.StructField("minute", T.LongType()),
     T.StructField("value", VALUE), T.StructField("volume", T.LongType()), T.StructField("n", T.LongType()),
 ])
-#: Parts a symbol's day is dealt out to, so that one busy symbol is not one task.
-SLOTS = 16
+#: Parts that minutes are dealt out to.  Python is called once per part and batch, whatever the number of
+#: symbols and days, and a busy symbol's minutes lie in many parts.
+SLOTS = 1024
 RESULT_SCHEMA = T.StructType([
     *TOTAL_SCHEMA.fields, T.StructField("late", T.BooleanType()),
     T.StructField("moment", T.TimestampType()), T.StructField("source", T.StringType()),
     *[T.StructField(c, HISTORY_SCHEMA[c].dataType) for c in ("close", "open", "high", "low")],
 ])
+#: Open minutes as a task holds them; ``changed`` ones have got rows in this batch.
+OPEN = pa.schema([("symbol", pa.string()), ("trading_date", pa.date32()), ("minute", pa.int64()), ("value", pa.decimal128(38, 4)),
+                  ("volume", pa.int64()), ("n", pa.int64()), ("changed", pa.bool_())])
 LATE = ["moment", "source", "close", "open", "high", "low"]
 
 
@@ -49,32 +55,45 @@ def minute_totals(history: DataFrame) -> DataFrame:
         F.sum((F.col("close") * F.col("volume")).cast(VALUE)).cast(VALUE).alias("value"), F.sum("volume").alias("volume"), F.count("*").alias("n"))
 
 
+def _summed(totals: pa.Table) -> pa.Table:
+    """One row per minute; a missing value or volume adds nothing."""
+    figures = [c for c in totals.column_names if c not in TOTAL_KEY]
+    summed = totals.group_by(TOTAL_KEY).aggregate([(c, "max" if c == "changed" else "sum") for c in figures])
+    return summed.rename_columns([*TOTAL_KEY, *figures]).cast(OPEN)
+
+
+def _arrived(rows: pd.DataFrame) -> pa.Table:
+    rows = rows[[*TOTAL_KEY, "value", "volume"]].assign(n=1, changed=True)
+    rows = rows.fillna({"value": Decimal(0), "volume": 0})
+    return _summed(pa.Table.from_pandas(rows, OPEN, preserve_index=False))
+
+
 def _update(key, frames, state):
     """Adds the rows of a slot to its open minutes; yields changed totals, and rows of closed minutes as late.
 
-    A minute is closed once its end is not after the watermark, and leaves the state then.
+    A minute is closed once its end is not after the watermark, and leaves the state then.  The
+    state is an Arrow stream of the slot's open minutes.
     """
-    symbol, day, _ = key
     watermark = state.getCurrentWatermarkMs()
-    still_open = json.loads(state.get[0]) if state.exists else {}
-    changed = set()
+    held = [pa.ipc.open_stream(state.get[0]).read_all()] if state.exists else []
     for rows in frames:
         closed = (rows["minute"] + 1) * 60_000 <= watermark
         if closed.any():
-            late = rows[closed].assign(late=True, n=1)
-            yield late[RESULT_SCHEMA.fieldNames()]
-        for minute, group in rows[~closed].groupby("minute"):
-            value, volume, n = still_open.get(str(minute), ("0", 0, 0))
-            value = Decimal(value) + sum(group["value"].dropna(), Decimal(0))
-            still_open[str(minute)] = (str(value), volume + int(group["volume"].fillna(0).sum()), n + len(group))
-            changed.add(str(minute))
-    if changed:
-        yield pd.DataFrame([
-            (symbol, day, int(m), Decimal(still_open[m][0]), *still_open[m][1:], False, None, None, None, None, None, None) for m in sorted(changed)
-        ], columns=RESULT_SCHEMA.fieldNames()).astype({"moment": "datetime64[ns]"})
-    still_open = {m: t for m, t in still_open.items() if (int(m) + 1) * 60_000 > watermark}
-    if still_open:
-        state.update((json.dumps(still_open),))
+            yield rows[closed].assign(late=True, n=1)[RESULT_SCHEMA.fieldNames()]
+        if not closed.all():
+            held.append(_arrived(rows[~closed]))
+    totals = _summed(pa.concat_tables(held)) if held else OPEN.empty_table()
+    changed = totals.filter(totals["changed"]).drop_columns("changed").to_pandas()
+    if len(changed):
+        changed = changed.assign(late=False, moment=pd.NaT, **dict.fromkeys(LATE[1:]))
+        yield changed[RESULT_SCHEMA.fieldNames()].astype({"moment": "datetime64[ns]"})
+    still_open = totals.filter((pc.field("minute") + 1) * 60_000 > watermark)
+    if len(still_open):
+        unchanged = still_open.set_column(len(OPEN) - 1, OPEN.field("changed"), pa.array(np.zeros(len(still_open), bool)))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, OPEN) as writer:
+            writer.write_table(unchanged)
+        state.update((sink.getvalue().to_pybytes(),))
     elif state.exists:
         state.remove()
 
@@ -89,25 +108,23 @@ def stream_minutes(stream: DataFrame, root: str, delay: str = "10 minutes", avai
     timed = stream.dropna(subset=["symbol", "trading_date", "scrape_time"]).select(
         "symbol", "trading_date", minute_of("scrape_time").alias("minute"), (F.col("close") * F.col("volume")).cast(VALUE).alias("value"),
         "volume", F.col("scrape_time").cast("timestamp").alias("moment"), "source", "close", "open", "high", "low")
-    keyed = timed.withWatermark("moment", delay).withColumn("slot", F.pmod("minute", F.lit(SLOTS)))
-    results = keyed.groupBy("symbol", "trading_date", "slot").applyInPandasWithState(
-        _update, RESULT_SCHEMA, "payload string", "update", "NoTimeout")
+    keyed = timed.withWatermark("moment", delay).withColumn(
+        "slot", F.pmod(F.xxhash64(*TOTAL_KEY), F.lit(SLOTS)))
+    results = keyed.groupBy("slot").applyInPandasWithState(_update, RESULT_SCHEMA, "open binary", "update", "NoTimeout")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         run = run_identity(spark, f"{root}/checkpoint")
+        stage = f"{root}/stage/{run}/{batch_id}"
         # Totals and late rows come from one evaluation of the state.
-        cached = batch.persist()
-        try:
-            late = cached.filter("late").select("symbol", "trading_date", "volume", *LATE)
-            late.withColumns({"run_id": F.lit(run), "batch_id": F.lit(batch_id)}).write.mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic").partitionBy("run_id", "batch_id").parquet(f"{root}/late")
-            totals = cached.filter("NOT late").select(*TOTAL_SCHEMA.fieldNames()).withColumn("seq", F.lit(batch_id).cast("bigint"))
-            upsert(totals, f"{root}/minutes", f"{root}/stage/{run}/{batch_id}", TOTAL_KEY, TOTAL_SCHEMA, F.date_format("trading_date", "yyyy-MM"))
-            if batch_id > 0:
-                drop_stage(spark, f"{root}/stage/{run}/{batch_id - 1}")
-        finally:
-            cached.unpersist()
+        found = evaluated(batch, f"{stage}/found")
+        late = found.filter("late").select("symbol", "trading_date", "volume", *LATE)
+        late.withColumns({"run_id": F.lit(run), "batch_id": F.lit(batch_id)}).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("run_id", "batch_id").parquet(f"{root}/late")
+        totals = found.filter("NOT late").select(*TOTAL_SCHEMA.fieldNames()).withColumn("seq", F.lit(batch_id).cast("bigint"))
+        upsert(totals, f"{root}/minutes", stage, TOTAL_KEY, TOTAL_SCHEMA, F.date_format("trading_date", "yyyy-MM"), durable=True)
+        if batch_id > 0:
+            drop_stage(spark, f"{root}/stage/{run}/{batch_id - 1}")
 
     writer = results.writeStream.outputMode("update").foreachBatch(apply).option("checkpointLocation", f"{root}/checkpoint")
     return (writer.trigger(availableNow=True) if available_now else writer).start()
