@@ -200,3 +200,17 @@ def test_pivots_take_their_columns_from_the_data(spark, history):
         P.column_values(rows, "symbol", 1)
     nothing = P.yearly_matrix(P.yearly_volume(rows.filter("false")))
     assert nothing.columns == ["year", "total"] and nothing.count() == 0
+
+
+def test_a_matrix_has_as_many_columns_as_symbols(spark):
+    n = 5200
+    long = spark.range(2 * n).select(
+        F.when(F.col("id") < n, 2025).cast("int").alias("year"), F.format_string("S.%d", F.col("id") % n).alias("symbol"),
+        F.when(F.col("id") % 7 > 0, F.col("id")).alias("volume")).filter("id % 11 > 0")
+    wide = P.yearly_matrix(long)
+    assert wide.columns == ["year", *sorted({f"S.{i % n}" for i in range(2 * n) if i % 11}), "total"]
+    rows = {r[0]: dict(zip(wide.columns, r)) for r in wide.collect()}
+    for year, first in ((2025, 0), (None, n)):
+        want = {f"S.{i % n}": i for i in range(first, first + n) if i % 11 and i % 7}
+        assert {k: v for k, v in rows.pop(year).items() if k != "year" and v} == {**want, "total": sum(want.values())}
+    assert not rows

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickforge.functions.labels import direction_colour, signal_label
 from tickforge.functions.numeric import ratio
@@ -11,9 +13,6 @@ from tickforge.operators.daily import by_day, strict_sma, strict_smas, to_date,
 from tickforge.operators.snapshots import DAY_KEY
 from tickforge.schemas import TRADING_DAYS
 
-#: Columns a pivot may have; wider ones are map columns.
-WIDEST = 5000
-
 
 def ohlc_bars(history: DataFrame, volume_mode: str = "sum") -> DataFrame:
     """Daily bars from snapshots: first open, extremes, last close, volume.
@@ -259,14 +258,15 @@ def pivot_volume(long: DataFrame, rows: str, columns: str, values: list, fill_ze
     return wide.fillna(0, subset=[str(v) for v in values]) if fill_zero else wide
 
 
-def column_values(rows: DataFrame, column: str, most: int = WIDEST) -> list:
+def column_values(rows: DataFrame, column: str, most: int | None = None) -> list:
     """The different values of a column in order, to be the columns of a pivot; nulls are none.
 
-    Only that column is read, and no more than ``most`` + 1 values come to the driver; with more
-    there is no table that wide, and a map column serves instead.
+    Only that column is read; its values are the names of a schema, which the driver holds in any
+    case.  With ``most``, no more than one further value comes to the driver, and more raise.
     """
-    values = [r[0] for r in rows.select(column).filter(F.col(column).isNotNull()).distinct().limit(most + 1).collect()]
-    if len(values) > most:
+    different = rows.select(column).filter(F.col(column).isNotNull()).distinct()
+    values = [r[0] for r in (different if most is None else different.limit(most + 1)).collect()]
+    if most is not None and len(values) > most:
         raise ValueError(f"{column} has more than {most} values; use the map form")
     return sorted(values)
 
@@ -293,8 +293,33 @@ def yearly_matrix(long: DataFrame, symbols: list[str] | None = None) -> DataFram
     Columns are the symbols of the data (see ``column_values``), or those given.
     """
     names = column_values(long, "symbol") if symbols is None else symbols
-    volume = [F.coalesce(F.col("by_symbol")[n], F.lit(0)).alias(n) for n in names]
-    return yearly_map(long).select("year", *volume, "total")
+    totals = long.groupBy("year").agg(F.sum("volume").alias("total"))
+    if not names:
+        return totals.select("year", "total")
+    # Every year gets an entry per name, so a column is a place in the year's list: no look-up, however wide.
+    places = long.sparkSession.createDataFrame(list(enumerate(names)), "_place int, symbol string")
+    entries = totals.select("year").crossJoin(places.select("_place")).withColumn("volume", F.lit(0)).unionByName(
+        long.join(F.broadcast(places), "symbol").select("year", "_place", "volume"))
+    summed = entries.groupBy("year", "_place").agg(F.coalesce(F.sum("volume"), F.lit(0)).alias("volume"))
+    listed = summed.groupBy(F.col("year").alias("_year")).agg(
+        F.array_sort(F.collect_list(F.struct("_place", "volume"))).alias("_entries"))
+    years = totals.join(listed, F.col("year").eqNullSafe(F.col("_year"))).select(
+        "year", F.col("_entries.volume").alias("volumes"), "total")
+    return years.mapInArrow(_spread, T.StructType([
+        years.schema["year"], *[T.StructField(n, T.LongType()) for n in names], T.StructField("total", T.LongType())]))
+
+
+def _spread(batches):
+    """(year, list, total) rows with a column per entry of the lists, which are equally long.
+
+    As Spark expressions, thousands of columns take minutes to plan.
+    """
+    for batch in batches:
+        for year, volumes, total in zip(*batch.columns):
+            row = [year.as_py(), *volumes.as_py(), total.as_py()]
+            kinds = [batch.schema.field(0).type, *[pa.int64()] * (len(row) - 1)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], kind) for v, kind in zip(row, kinds)], [f"c{i}" for i in range(len(row))])
 
 
 def monthly_change_matrix(closes: DataFrame, months: int = 18) -> DataFrame:
