@@ -96,3 +96,18 @@ def test_canonical_names(spark):
     frame = spark.createDataFrame([("A", "12/06/2026", "1.5", "x")], "ticker string, date string, close string, volume string")
     row = Q.canonicalise(frame).first()
     assert (row.symbol, row.trading_date, row.close, row.volume) == ("A", date(2026, 6, 12), Decimal("1.5000"), None)
+
+
+def test_days_are_parsed_once(spark):
+    """No filter builds and parses the text of the day a second time."""
+    raw = spark.range(3).select(F.lit("A").alias("symbol"), F.concat(F.lit("2024-01-0"), F.col("id") + 1).alias("trading_date"),
+                                F.lit("2024-01-02 10:00:00").alias("scrape_time"), F.lit("1").alias("close"))
+    plan = Q.canonicalise(raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("yyyy-M-d") == 1
+
+
+def test_prices_without_digits_are_null(spark):
+    frame = spark.createDataFrame([("A", "2024-01-02", p) for p in ("abc", "", "\\N", None, " 1.5 ", "1e2", "-.5", "\u0661", "1x")],
+                                  "symbol string, trading_date string, close string")
+    kept = [r["close"] for r in Q.canonicalise(frame).collect()]
+    assert kept == [None, None, None, None, Decimal("1.5"), Decimal(100), Decimal("-0.5"), Decimal(1), None]

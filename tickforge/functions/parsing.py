@@ -58,8 +58,13 @@ def parse_moment(text: Column) -> Column:
     return F.coalesce(millis_to_timestamp(trimmed), trimmed.try_cast("timestamp_ntz"))
 
 
+def to_number(text: Column, kind: str) -> Column:
+    """A number of this type; text without any digit never reaches the cast, whose failure is dear."""
+    return F.when(text.rlike(r"\p{Nd}"), text.try_cast(kind))
+
+
 def to_price(text: Column, price_type: str = PRICE) -> Column:
-    return F.trim(text).try_cast(price_type)
+    return to_number(F.trim(text), price_type)
 
 
 def has_price_text(text: Column) -> Column:

@@ -46,6 +46,15 @@ def _typed_columns(price_type: str) -> list[Column]:
     ]
 
 
+def with_usable_day(frame: DataFrame, day: Column) -> DataFrame:
+    """Rows with a usable ``day``, which stands beside them as ``_usable_day``.
+
+    The day comes out of a generator.  A filter on a plain computed column would be moved below the
+    column, where every text is parsed and built a second time.
+    """
+    return frame.select("*", F.explode(F.array(day)).alias("_usable_day")).filter(F.col("_usable_day").isNotNull())
+
+
 def type_raw(raw: DataFrame, price_type: str = PRICE) -> DataFrame:
     """Raw text columns to canonical typed columns."""
     return raw.select(*_typed_columns(price_type))
@@ -59,8 +68,9 @@ def clean(raw: DataFrame, strict: bool = True, price_type: str = PRICE) -> DataF
     key as written in the raw text and test nothing.
     """
     if strict:
-        typed = type_raw(reject_missing(raw), price_type).filter(F.col("trading_date").isNotNull())
-        return sane_bars(deduplicate(typed))
+        rows = with_usable_day(reject_missing(raw), P.parse_day(F.col("trading_date")))
+        columns = [F.col("_usable_day").alias(n) if n == "trading_date" else c for n, c in zip(HISTORY_COLUMNS, _typed_columns(price_type))]
+        return sane_bars(deduplicate(rows.select(*columns)))
     keys = [f"_raw_{c}" for c in SNAPSHOT_KEY]
     typed = raw.select(*[F.col(c).alias(k) for c, k in zip(SNAPSHOT_KEY, keys)], *_typed_columns(price_type))
     return top_ranked(typed, keys, snapshot_order(typed.columns)).select(*HISTORY_COLUMNS)
@@ -70,11 +80,14 @@ def canonicalise(frame: DataFrame, price_type: str = PRICE) -> DataFrame:
     """Rename to canonical names, coerce values, drop rows without a usable day."""
     present = set(frame.columns)
     renamed = frame.withColumnsRenamed({old: new for old, new in CANONICAL_NAMES.items() if old in present and new not in present})
-    typed = {"trading_date": P.parse_day(F.col("trading_date").cast("string"))}
+    kinds = dict(renamed.dtypes)
+    typed = {"trading_date": F.col("_usable_day")}
     if "scrape_time" in renamed.columns:
         typed["scrape_time"] = P.parse_moment(F.col("scrape_time").cast("string"))
     for name in NUMERIC:
         if name in renamed.columns:
             target = "bigint" if name == "volume" else price_type
-            typed[name] = F.col(name).cast("string").try_cast(target)
-    return renamed.withColumns(typed).dropna(subset=["trading_date"])
+            if kinds[name] != target:
+                typed[name] = P.to_number(F.col(name).cast("string"), target)
+    rows = with_usable_day(renamed, P.parse_day(F.col("trading_date").cast("string")))
+    return rows.withColumns(typed).drop("_usable_day")
