@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickforge.operators import consolidate as C
+from tickforge.plans import queries as Q
 from tickforge.schemas import DAILY_KEY
 from tickforge.sources import buckets as B
 
@@ -73,3 +74,12 @@ def test_replaced_and_opened_again(spark, frames, stored):
     again = lambda: B.outer_join_stored(spark, PARTS, "trial", DAILY_KEY)
     assert same(again(), C.outer_join_daily([fewer[p] for p in PARTS]))
     assert "Exchange" not in plan_without_broadcast(spark, again)
+
+
+def test_indicators_are_stored_from_one_summary(spark, sf_dir, monkeypatch):
+    """No stored table computes the summary of the snapshots again."""
+    seen = []
+    monkeypatch.setattr(Q.B, "store_together", lambda frames, *rest: seen.extend(frames.values()))
+    monkeypatch.setattr(Q.B, "outer_join_stored", lambda s, *rest: s.range(1))
+    Q.QUERIES["j01_stored_outer_join"](spark, f"{sf_dir}/.")
+    assert len(seen) == 6 and not any("l_orderkey" in f._jdf.queryExecution().executedPlan().toString() for f in seen)

@@ -77,6 +77,13 @@ def written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str],
     return _written[key]
 
 
+def staged_once(spark: SparkSession, sf_dir: str, name: str, frame: Callable[[], DataFrame]) -> DataFrame:
+    """Rows written once per application and source folder, and read from there."""
+    rows = frame()
+    path = written(spark, sf_dir, name, lambda p: rows.write.parquet(p))
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 # Only queries about sources, sinks and streams store anything; all others work on these views.
 bars, ticks, landing = T.bars, T.ticks, T.raw_text
 
@@ -541,7 +548,9 @@ def _together(s, d, name, frames, keys) -> str:
 
 @query("j01_stored_outer_join")
 def _(s, d):
-    frames = {f"part{i}": f for i, f in enumerate(V.indicator_frames(S.daily_summary(bars(s, d))))}
+    # Each table is a job of its own, so the figures they share are written down first.
+    summary = staged_once(s, d, "daily-summary", lambda: S.daily_summary(bars(s, d)))
+    frames = {f"part{i}": f for i, f in enumerate(V.indicator_frames(summary))}
     return B.outer_join_stored(s, list(frames), _together(s, d, "indicators", frames, DAILY_KEY), DAILY_KEY)
 
 
