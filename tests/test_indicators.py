@@ -214,3 +214,23 @@ def test_a_matrix_has_as_many_columns_as_symbols(spark):
         want = {f"S.{i % n}": i for i in range(first, first + n) if i % 11 and i % 7}
         assert {k: v for k, v in rows.pop(year).items() if k != "year" and v} == {**want, "total": sum(want.values())}
     assert not rows
+
+
+@pytest.mark.parametrize("name", ["a16_sparse_rows_merged", "v03_increment_daily_merged"])
+def test_merged_frames_share_one_scan(spark, sf_dir, name):
+    """The frames come from one aggregation of the snapshots; before, each had a scan of its own."""
+    from tickforge.plans.queries import QUERIES
+
+    df = QUERIES[name](spark, sf_dir)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+
+
+def test_frames_of_one_row_drop_rows_without_a_key(spark, history):
+    rows = history([("A", "2024-01-02 10:00", 5), (None, "2024-01-02 11:00", 7)])
+    streaks, spread = V.increment_daily_parts(rows)[2:4]
+    assert [r["symbol"] for r in streaks.collect()] == [r["symbol"] for r in spread.collect()] == ["A"]
+    merged = C.union_sparse(V.increment_daily_parts(rows))
+    few, many = (C.merge_sparse(merged, DAILY_KEY, "seq", few=x) for x in (True, False))
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))

@@ -41,8 +41,14 @@ def with_market_rows(symbol_rows: DataFrame, market_rows: DataFrame) -> DataFram
     return symbol_rows.unionByName(market_rows, allowMissingColumns=True)
 
 
-def merge_sparse(rows: DataFrame, keys: list[str], sequence: str) -> DataFrame:
-    """One row per key from partial rows: for each column the newest non-null value."""
+def merge_sparse(rows: DataFrame, keys: list[str], sequence: str, few: bool = False) -> DataFrame:
+    """One row per key from partial rows: for each column the newest non-null value.
+
+    With ``few`` the caller states that a key has a handful of rows, as where each of some frames holds it once.
+    Rows then move as they are: tasks would sort them beforehand and merge none.
+    """
+    if few:
+        rows = rows.repartition(*keys)
     values = [c for c in rows.columns if c not in keys and c != sequence]
     newest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(sequence))).alias(c) for c in values]
     return rows.groupBy(*keys).agg(*newest)

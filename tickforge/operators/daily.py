@@ -150,14 +150,18 @@ def close_streaks(closes: DataFrame) -> DataFrame:
     return _as_calc_date(with_streaks(weekdays(closes), close_step()), "up_days_count", "down_days_count")
 
 
-def candle_streaks(closes: DataFrame) -> DataFrame:
-    """Runs of days closing above or below their own open; weekends stay in."""
-    return _as_calc_date(with_streaks(closes, candle_step()), "up_days_count", "down_days_count")
+def candle_streaks(closes: DataFrame, *more: Column) -> DataFrame:
+    """Runs of days closing above or below their own open; weekends stay in.
+
+    ``more`` are further figures of the same rows.
+    """
+    return _as_calc_date(with_streaks(closes, candle_step()), "up_days_count", "down_days_count", *more)
 
 
-def intraday_volatility(closes: DataFrame) -> DataFrame:
+def intraday_volatility(closes: DataFrame, *more: Column) -> DataFrame:
+    """Spread of the day; ``more`` are further figures of the same rows."""
     spread = two_digits(F.col("high") - F.col("low"))
-    return _as_calc_date(closes, spread.alias("max_intraday_volatility"))
+    return _as_calc_date(closes, spread.alias("max_intraday_volatility"), *more)
 
 
 def liquidity(closes: DataFrame) -> DataFrame:

@@ -85,6 +85,18 @@ def closing_values(history: DataFrame, *columns: str, unique: bool = False) -> D
     return _newest(history, columns, unique)
 
 
+def shared(summary: DataFrame) -> DataFrame:
+    """The same rows, dealt out by symbol once for all frames that are taken from them.
+
+    All columns go through one generator, so each frame asks for the same shuffle, which Spark then
+    makes once; columns a frame does not need would otherwise be left out of it, and every frame had a scan, an
+    aggregation and a shuffle of its own.  Windows by symbol need no further one.  ``summary`` has one row per
+    symbol and day.
+    """
+    rest = [c for c in summary.columns if c != "symbol"]
+    return summary.repartition("symbol").select("symbol", F.inline(F.array(F.struct(*rest))))
+
+
 def daily_summary(history: DataFrame, unique: bool = False) -> DataFrame:
     """Everything the daily indicators need from the snapshots, in one aggregation.
 

@@ -774,9 +774,9 @@ def _(s, d):
 
 @query("a16_sparse_rows_merged")
 def _(s, d):
-    summary = S.daily_summary(bars(s, d))
+    summary = S.shared(S.daily_summary(bars(s, d)))
     rows = C.union_sparse([*V.indicator_frames(summary), D.sma(summary)])
-    return C.conform(C.merge_sparse(rows, DAILY_KEY, "seq"), DAILY_SCHEMA)
+    return C.conform(C.merge_sparse(rows, DAILY_KEY, "seq", few=True), DAILY_SCHEMA)
 
 
 @query("a17_catalogue_kpis")
@@ -1241,7 +1241,7 @@ def _(s, d):
 @query("v03_increment_daily_merged")
 def _(s, d):
     rows = C.union_sparse(V.increment_daily_parts(bars(s, d)))
-    return C.conform(C.merge_sparse(rows, DAILY_KEY, "seq"), DAILY_SCHEMA)
+    return C.conform(C.merge_sparse(rows, DAILY_KEY, "seq", few=True), DAILY_SCHEMA)
 
 
 @query("v04_market_filler")

@@ -14,7 +14,7 @@ from tickforge.operators import daily as D
 from tickforge.operators import filters as R
 from tickforge.operators import ordering as O
 from tickforge.operators import prices as P
-from tickforge.operators.snapshots import daily_summary, deduplicate
+from tickforge.operators.snapshots import daily_summary, deduplicate, shared
 from tickforge.schemas import DAILY_KEY, MARKET_SYMBOL
 
 
@@ -71,15 +71,14 @@ def indicator_frames(summary: DataFrame) -> list[DataFrame]:
 
 def increment_daily_parts(history: DataFrame, unique: bool = False) -> list[DataFrame]:
     """The same figures as separate partial frames, one per job that computes them."""
-    summary = daily_summary(history, unique)
+    summary = shared(daily_summary(history, unique))
     return [
         D._as_calc_date(summary, F.col("sum_volume").alias("total_volume"),
                         D.two_digits(F.col("max_drop")).alias("max_intraday_drop")),
         D.close_range_by_day(summary),
-        D.candle_streaks(summary).join(
-            D._as_calc_date(summary, D.liquidity_class(F.col("volume")).alias("liquidity_status")), DAILY_KEY
-        ),
-        D.intraday_volatility(summary).join(D.sma(summary), DAILY_KEY),
+        # Figures of one and the same row need no join; rows without a full key are left out, as a join would.
+        D.candle_streaks(summary, D.liquidity_class(F.col("volume")).alias("liquidity_status")).dropna(subset=DAILY_KEY),
+        D.intraday_volatility(summary, D.rounded_partial_sma(5).alias("sma_price")).dropna(subset=DAILY_KEY),
         C.market_filler(_market(summary)),
     ]
 
