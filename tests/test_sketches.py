@@ -80,3 +80,13 @@ def test_no_rows_and_nulls(spark, one_symbol, history, tmp_path):
     path = str(tmp_path / "history")
     append_history(rows.filter("false"), path)
     assert H.box_plots(spark, path, str(tmp_path / "none")).count() == 0
+
+
+def test_sketches_are_merged_once(spark, history, tmp_path):
+    """What is joined to the boxes reads them as written down."""
+    path, sketches = str(tmp_path / "history"), str(tmp_path / "sketches")
+    append_history(history([("A", f"2024-01-0{i} 10:00", i) for i in range(1, 9)]), path)
+    H.update_sketches(spark, path, sketches)
+    boxes = H.box_plots(spark, path, sketches)
+    assert "kll_merge" not in boxes._jdf.queryExecution().executedPlan().toString()
+    assert boxes.count() == 1

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickforge.schemas import HISTORY_SCHEMA, MONTH
+from tickforge.session import scratch_path
 from tickforge.sources.writers import read_if_exists, replace_partitions
 
 #: Size of a sketch; up to so many values its quantiles are exact.
@@ -78,7 +79,10 @@ def box_plots(spark: SparkSession, history: str, sketches: str, period: str = "y
     again, in the months that hold extremes beyond the fences or that such a group spans.
     """
     stored = read_sketches(spark, sketches)
-    boxes = quartiles(stored, period)
+    # Sketches are merged once; what follows reads the boxes four times.
+    merged, place = quartiles(stored, period), scratch_path(spark, "boxes")
+    merged.write.parquet(place)
+    boxes = spark.read.schema(merged.schema).parquet(place)
     wide = boxes.filter((F.col("min_close") < F.col("low_fence")) | (F.col("max_close") > F.col("high_fence")))
     fenced = wide.select("symbol", "period", "low_fence", "high_fence")
     spans = stored.select("symbol", MONTH, "min_close", "max_close", _period(F.col(MONTH), period).alias("period"))
