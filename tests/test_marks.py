@@ -149,3 +149,11 @@ def test_a_stream_keeps_marks(spark, some, folder, tmp_path):
         intake(stream, folder[0], checkpoint, marks=folder[1]).awaitTermination()
     append_new(some.filter(days.isNotNull()), str(tmp_path / "plain"))
     assert same(read_history(spark, folder[0]), read_history(spark, str(tmp_path / "plain")))
+
+
+def test_the_stage_is_stored_compactly(spark, history, tmp_path, monkeypatch):
+    kept = []
+    monkeypatch.setattr(H, "drop_stage", lambda s, path: kept.append(path))
+    H.append_marked(history([("A", "2024-01-02 10:00", 1)]), str(tmp_path / "history"), str(tmp_path / "marks"))
+    names = [f.name for f in Path(kept[0]).glob("*.parquet")]
+    assert names and all(n.endswith(".zstd.parquet") for n in names)

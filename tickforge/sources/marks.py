@@ -70,7 +70,7 @@ def append_marked(batch: DataFrame, history: str, marks: str) -> list[str | None
     known = read_marks(spark, marks, dated).select(F.col("symbol").alias("_symbol"), F.col(MONTH).alias("_month"), "newest")
     joined = unique.join(known, F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col(MONTH) == F.col("_month")), "left")
     late = F.col(MONTH).isNull() | F.col("scrape_time").isNull() | (F.col("scrape_time") <= F.col("newest"))
-    joined.select(*batch.columns, MONTH, F.coalesce(late, F.lit(False)).alias("late")).write.parquet(stage)
+    joined.select(*batch.columns, MONTH, F.coalesce(late, F.lit(False)).alias("late")).write.option("compression", "zstd").parquet(stage)
     split = spark.read.schema(staged).parquet(stage)
 
     fresh = split.filter("NOT late")
