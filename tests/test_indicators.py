@@ -234,3 +234,14 @@ def test_frames_of_one_row_drop_rows_without_a_key(spark, history):
     merged = C.union_sparse(V.increment_daily_parts(rows))
     few, many = (C.merge_sparse(merged, DAILY_KEY, "seq", few=x) for x in (True, False))
     assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+
+
+def test_market_rows_beside_stored_rows(spark, history):
+    """As by grouping sets, but rows keep their place: only day and volume are aggregated."""
+    rows = S.daily_summary(history([("A", "2024-01-05 10:00", 5, 9), (None, "2024-01-05 11:00", 7, 2), ("B", "2024-01-06 10:00", 3, 4)]))
+    rows = rows.withColumn("calc_date", F.col("trading_date")).withColumn("total_volume", F.col("max_volume"))
+    values_of = {c: F.lit(None).cast(DAILY_SCHEMA[c].dataType) for c in DAILY_SCHEMA.fieldNames() if c not in rows.columns}
+    rows = rows.withColumns(values_of)
+    want = C.add_market_rows(rows, weekdays_only=True)
+    got = C.beside_market_rows(rows, rows, weekdays_only=True)
+    assert got.schema == want.schema and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -126,6 +126,17 @@ def add_market_rows(rows: DataFrame, weekdays_only: bool) -> DataFrame:
     ), DAILY_SCHEMA)
 
 
+def beside_market_rows(rows: DataFrame, stored: DataFrame, weekdays_only: bool) -> DataFrame:
+    """As ``add_market_rows``, for one row per symbol and day in files: only day and volume are read again, no row moves.
+
+    ``stored`` holds the rows' ``calc_date`` and ``volume``.
+    """
+    classed = ~F.dayofweek("calc_date").isin(1, 7) if weekdays_only else F.lit(True)
+    market = stored.groupBy("calc_date").agg(F.sum("volume").alias("total_volume")).withColumn("symbol", F.lit(MARKET_SYMBOL))
+    kept = rows.withColumn("liquidity_status", F.when(classed, liquidity_class(F.col("volume"))))
+    return conform(kept, DAILY_SCHEMA).unionByName(conform(market, DAILY_SCHEMA))
+
+
 def market_filler(daily: DataFrame) -> DataFrame:
     """Market rows with constant filler and their own day as record day; other rows unchanged."""
     zero_price = F.lit(0).cast("decimal(18,2)")

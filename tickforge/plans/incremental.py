@@ -221,7 +221,7 @@ class DailyTable:
         # The state goes through the windows once; rows and month ends are read from what they gave.
         computed = staged(with_indicators(rows, before), "indicators")
         states = month_end_states(computed, before, months)
-        daily = C.add_market_rows(C.attach_record_day(computed, records), weekdays_only=True)
+        daily = C.beside_market_rows(C.attach_record_day(computed, records), computed, weekdays_only=True)
         if symbols is not None:
             daily = daily.filter(F.col("symbol") != MARKET_SYMBOL)
             others = self.stored_states(months)

@@ -63,7 +63,8 @@ def run_cleaned(batch: DataFrame, root: str, number: int, target: dict[str, str]
     ):
         if target is not None:
             M.publish(M.as_keyed_messages(changed, schema), topic, target)
-        upsert(changed.withColumn("seq", F.lit(number).cast("bigint")), f"{root}/{name}", scratch_path(spark, f"stage-{name}"))
+        # The rows are in files of their own already.
+        upsert(changed.withColumn("seq", F.lit(number).cast("bigint")), f"{root}/{name}", scratch_path(spark, f"stage-{name}"), durable=True)
     table.store(states)
     return sorted(months)
 
