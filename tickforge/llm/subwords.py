@@ -15,8 +15,6 @@ CACHE_ENTRIES = 400_000
 PLAIN_CHUNK = re.compile("[!-~À-ÖØ-öø-ÿ]*")
 # The split pattern of the vocabulary on lower-cased plain chunks.
 PLAIN_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
-#: White space ends every pre-token, so texts can be encoded chunk by chunk.
-CHUNK = re.compile("[^ \t\n\x0b\x0c\r]+")
 
 _loaded: dict = {}
 
@@ -99,13 +97,15 @@ class WordBPE:
         mapped = piece.encode().decode("latin-1").translate(self.letters)
         return np.array([t.id for t in self.model.tokenize(mapped)], self.dtype).tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
+    def _chunk(self, data: bytes) -> bytes:
+        chunk = data.decode()
         if PLAIN_CHUNK.fullmatch(chunk) and not any(s in chunk for s in self.specials):
             return b"".join(map(self.pieces.__getitem__, PLAIN_PIECE.findall(chunk.lower())))
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.chunks.__getitem__, CHUNK.findall(text))), self.dtype)
+        # White space ends every pre-token, so texts can be encoded chunk by chunk.  Bytes are split at ASCII white space only.
+        return np.frombuffer(b"".join(map(self.chunks.__getitem__, text.encode().split())), self.dtype)
 
 
 class ChunkedBPE:
