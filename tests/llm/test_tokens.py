@@ -130,3 +130,33 @@ def test_frequent_keys_outlive_the_others():
         assert cache[-1] == -2 and cache[i] == 2 * i
         assert len(cache) + len(cache.old) <= 10
     assert asked.count(-1) == 1 and len(asked) == 101
+
+
+def test_spellings_of_a_word_are_tokenized_once(library):
+    """Case and punctuation around a word cost no further call of the merges."""
+    class Counted:
+        def __init__(self, model):
+            self.model, self.asked = model, []
+
+        def tokenize(self, piece):
+            self.asked.append(piece)
+            return self.model.tokenize(piece)
+
+    coder = WordBPE(WORDS)
+    coder.model = Counted(coder.model)
+    text = "Unwonted, unwonted.\tUNWONTED! (unwonted)\n'unwonted' unwonted's unwonted7 Dürftig, DÜRFTIG"
+    assert coder.encode(text).tolist() == library[WORDS].encode(text, add_special_tokens=False).ids
+    assert len(coder.model.asked) == len(set(coder.model.asked)) and not coder.chunks
+    odd = text + " 語 <|endoftext|> unwonted"
+    assert coder.encode(odd).tolist() == library[WORDS].encode(odd, add_special_tokens=False).ids
+    assert coder.model.asked.count("unwonted") == 1
+
+
+def test_plain_texts_equal_library(library):
+    """Texts that take the way for plain characters, with all white space and contractions."""
+    parts = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "a", "B", "Zz", "é", "É", "ß", "ÿ", "'", "'s", "'LL", "'re", "1", "23", ",", "..", "<", "|", "the"]
+    coder, rng = WordBPE(WORDS), random.Random(8)
+    for _ in range(1500):
+        t = "".join(rng.choice(parts) for _ in range(rng.randint(0, 60)))
+        assert coder.encode(t).tolist() == library[WORDS].encode(t, add_special_tokens=False).ids, t
+    assert not coder.chunks

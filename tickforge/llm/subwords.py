@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -13,8 +14,10 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 CACHE_ENTRIES = 400_000
 #: Characters on which all pattern engines agree: printable ASCII and Latin-1 letters.
 PLAIN_CHUNK = re.compile("[!-~À-ÖØ-öø-ÿ]*")
-# The split pattern of the vocabulary on lower-cased plain chunks.
-PLAIN_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
+# The same and the white space that ends chunks.
+PLAIN_TEXT = re.compile("[!-~À-ÖØ-öø-ÿ\t-\r ]*")
+# The split pattern of the vocabulary on lower-cased plain texts.
+PLAIN_PIECE = re.compile("[a-zß-öø-ÿ]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^\\sa-z0-9ß-öø-ÿ]+")
 
 _loaded: dict = {}
 
@@ -79,8 +82,8 @@ class WordBPE:
     """Ids of a lower-casing word vocabulary whose pre-tokens never span white space.
 
     ``encode`` equals the library's encoding of the whole text: each chunk between white space
-    is encoded once, from its pieces where it consists of plain characters, by the library
-    as a whole otherwise.
+    is encoded once, from its lower-case pieces where it consists of plain characters, by the library
+    as a whole otherwise.  Texts of plain characters are lower-cased as a whole and need no other check.
     """
 
     def __init__(self, path: str):
@@ -88,24 +91,33 @@ class WordBPE:
         self.model = self.tokenizer.model
         self.letters = dict(enumerate(byte_letters()))
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = Generations(self._piece)
+        self.plain = Generations(self._plain)
         self.chunks = Generations(self._chunk)
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if self.wide else "<u2")
 
-    def _piece(self, piece: str) -> bytes:
-        mapped = piece.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(mapped)], self.dtype).tobytes()
+    def _plain(self, chunk: str) -> bytes:
+        """Ids of a plain chunk or piece in lower case; a word and the same word before a comma share the word's."""
+        if not chunk.isalpha():
+            pieces = PLAIN_PIECE.findall(chunk)
+            if len(pieces) > 1:
+                return b"".join(map(self.plain.__getitem__, pieces))
+        mapped = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.letters)
+        return array(self.dtype.char, [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
     def _chunk(self, data: bytes) -> bytes:
         chunk = data.decode()
         if PLAIN_CHUNK.fullmatch(chunk) and not any(s in chunk for s in self.specials):
-            return b"".join(map(self.pieces.__getitem__, PLAIN_PIECE.findall(chunk.lower())))
+            return self.plain[chunk.lower()]
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         # White space ends every pre-token, so texts can be encoded chunk by chunk.  Bytes are split at ASCII white space only.
-        return np.frombuffer(b"".join(map(self.chunks.__getitem__, text.encode().split())), self.dtype)
+        if PLAIN_TEXT.fullmatch(text) and not any(s in text for s in self.specials):
+            found = map(self.plain.__getitem__, text.lower().split())
+        else:
+            found = map(self.chunks.__getitem__, text.encode().split())
+        return np.frombuffer(b"".join(found), self.dtype)
 
 
 class ChunkedBPE:
