@@ -1,13 +1,15 @@
 import math
+import random
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tickforge.llm import attention, scoring
-from tickforge.llm.common import in_fold, out_of_fold
+from tickforge.llm.common import in_fold, out_of_fold, stored
 from tickforge.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -101,3 +103,44 @@ def test_odd_rows(odd_docs, empty_docs, clashing_docs):
     none = run(odd_docs, F.lit(False))
     assert {(r["n_known"], r["train_tokens"], r["base_score"]) for r in none} == {(0, 0, 0.0)}
     assert run(empty_docs) == [] and len(run(clashing_docs)) == 13
+
+
+def test_words_are_split_as_bytes_are():
+    rng = random.Random(4)
+    parts = [" ", "  ", "\n", "\t", "\x0b", "\x0c", "\r", "\x1c", "\x1f", "\x85", "\xa0", "　", "\x00", "a", "AB", "É", "İ", "語", "x."]
+    texts = [None, "", " ", *("".join(rng.choice(parts) for _ in range(rng.randint(0, 20))) for _ in range(2000))]
+    words, lengths = scoring.split_words(pa.array(texts))
+    assert lengths.tolist() == [len(plain_words(t)) for t in texts]
+    assert words.to_pylist() == [w for t in texts for w in plain_words(t)]
+
+
+def test_slices_hold_all_rows(monkeypatch):
+    monkeypatch.setattr(scoring, "GROUP_BYTES", 10)
+    batch = pa.RecordBatch.from_arrays([pa.array([None, "abc", "x" * 30, "", "abcdef", "abcdef", None])], ["text"])
+    slices = list(scoring.groups_of(batch, 0))
+    assert [len(s) for s in slices] == [2, 1, 2, 2] and pa.Table.from_batches(slices).equals(pa.Table.from_batches([batch]))
+
+
+def test_texts_are_coded_once_and_parts_train_alike(spark, documents):
+    """The stored pairs are those of every word, and the model is the same however tasks read the parts."""
+    rows = documents.select("doc_id", F.lit(False).alias("held_out"), F.lit(True).alias("trains"), "text").repartition(5)
+    v = scoring.learn_vocabulary(scoring.word_counts(rows.select("text")), rows.count(), PATH, frequent=50)
+    coded = stored(scoring.code_texts(rows, v), "coded-test")
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    lead = scoring.lead_of(PATH)
+    for r in coded.collect():
+        want = [scoring.pair(*v.coded(lead(w))) for w in plain_words(texts[r["doc_id"]])]
+        assert np.frombuffer(r["pairs"], scoring.PAIR).tolist() == want and r["n_tokens"] == len(want) + 1
+    assert coded.select("part").distinct().count() == 5
+    one = scoring.train_model(coded.coalesce(1), v).flat()
+    assert np.allclose(one, scoring.train_model(coded.repartition(5, "part").sortWithinPartitions("row"), v).flat(), rtol=1e-5, atol=1e-6)
+
+
+def test_blocks_of_pairs():
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(0, scoring.INPUTS * scoring.CLASSES, n) for n in (0, 1, 15, 16, 17, 40, 0)]
+    ids, follows, classes, counts = scoring.coded_blocks(texts)
+    want, before = attention.blocks_of([np.r_[scoring.BEGIN, t // scoring.CLASSES] for t in texts], scoring.OTHER)
+    ends, _ = attention.blocks_of([np.r_[t % scoring.CLASSES, scoring.END_CLASS] for t in texts], -1)
+    assert np.array_equal(ids, want) and np.array_equal(follows, before) and np.array_equal(classes, ends)
+    assert counts.tolist() == [1, 1, 1, 2, 2, 3, 1]

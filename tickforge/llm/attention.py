@@ -36,6 +36,9 @@ class Model:
               "bias": np.zeros(classes, np.float32)}
         return Model(w)
 
+    def copy(self) -> Model:
+        return Model({n: w.copy() for n, w in self.weights.items()})
+
     def flat(self) -> np.ndarray:
         return np.concatenate([self.weights[n].ravel() for n in NAMES])
 
@@ -117,7 +120,7 @@ def _past(x: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.concatenate([first[None], x[:-1]])
 
 
-def class_log10(model: Model, ids: np.ndarray, follows: np.ndarray, targets: np.ndarray, at_once: int = 256) -> np.ndarray:
+def class_log10(model: Model, ids: np.ndarray, follows: np.ndarray, targets: np.ndarray, at_once: int = RUN_BLOCKS) -> np.ndarray:
     """log10 probability of the target class at every position; 0 where the target is negative."""
     w = model.weights
     out = np.zeros(targets.shape)
@@ -187,36 +190,48 @@ def _own(d: np.ndarray) -> np.ndarray:
 
 def _rows_added(ids: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     """Rows summed by id."""
-    return np.stack([np.bincount(ids, rows[:, d], size) for d in range(rows.shape[1])], 1).astype(rows.dtype)
+    width = rows.shape[1]
+    cells = (ids * width)[:, None] + np.arange(width)
+    return np.bincount(cells.ravel(), rows.ravel(), size * width).astype(rows.dtype).reshape(size, width)
 
 
 class Adam:
     """Adam with a rate that falls with the number of steps."""
 
     def __init__(self, model: Model, rate: float = 0.01):
-        self.model, self.rate, self.step = model, rate, 0
-        self.m = {n: np.zeros_like(x) for n, x in model.weights.items()}
-        self.v = {n: np.zeros_like(x) for n, x in model.weights.items()}
+        # All weights lie in one array, of which the model's are views.
+        self.flat, self.rate, self.step = model.flat(), rate, 0
+        self.model, at = Model({}), 0
+        for n in NAMES:
+            w = model.weights[n]
+            self.model.weights[n] = self.flat[at: at + w.size].reshape(w.shape)
+            at += w.size
+        self.m, self.v = np.zeros_like(self.flat), np.zeros_like(self.flat)
 
     def learn(self, ids, follows, targets) -> tuple[float, int]:
         """One step; its blocks are worked off in runs that stay in the processor's cache."""
-        loss, n, g = 0.0, 0, {}
+        loss, n, g = 0.0, 0, 0
         for i in range(0, len(ids), RUN_BLOCKS):
             run = slice(i, i + RUN_BLOCKS)
-            part, m, slope = gradients(self.model, ids[run], follows[run], targets[run])
-            loss, n = loss + part, n + m
-            for name, x in slope.items():
-                x *= m
-                g[name] = g[name] + x if name in g else x
+            part, k, slope = gradients(self.model, ids[run], follows[run], targets[run])
+            loss, n = loss + part, n + k
+            flat = Model(slope).flat()
+            flat *= k
+            g = g + flat
         if not n:
             return loss, n
-        for x in g.values():
-            x /= n
+        g /= n
         self.step += 1
         rate = self.rate / (1 + self.step / 200) ** 0.5
-        for name, w in self.model.weights.items():
-            m, v = self.m[name], self.v[name]
-            m += 0.1 * (g[name] - m)
-            v += 0.01 * (g[name] ** 2 - v)
-            w -= rate * (m / (1 - 0.9 ** self.step)) / (np.sqrt(v / (1 - 0.99 ** self.step)) + 1e-8)
+        self.m += 0.1 * (g - self.m)
+        g *= g
+        g -= self.v
+        g *= 0.01
+        self.v += g
+        scale = np.sqrt(self.v / (1 - 0.99 ** self.step))
+        scale += 1e-8
+        move = self.m / (1 - 0.9 ** self.step)
+        move *= rate
+        move /= scale
+        self.flat -= move
         return loss, n

@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections import Counter
 import uuid
 from dataclasses import dataclass, field
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickforge.llm.attention import BLOCK, Adam, Model, blocks_of, class_log10
+from tickforge.llm.attention import BLOCK, Adam, Model, class_log10
 from tickforge.llm.common import stored
 from tickforge.llm.subwords import Bounded, byte_letters
 
@@ -26,6 +27,7 @@ BEGIN, OTHER = 0, 1
 FREQUENT = 100_000
 BATCH_BLOCKS = 128
 GROUP_TOKENS = 1 << 15
+GROUP_BYTES = 1 << 23
 COUNTER_WORDS = 300_000
 LONGEST_LEAD = 16
 SHIP = 1024
@@ -151,155 +153,208 @@ _coders: dict = {}
 
 
 def coder_of(vocabulary: Vocabulary) -> Coder:
-    """The worker's coder of a vocabulary; its cache serves all tasks of the worker."""
+    """The worker's coder of a vocabulary, which serves all tasks of the worker."""
     if vocabulary.identity not in _coders:
         _coders.clear()
         _coders[vocabulary.identity] = Coder(vocabulary)
     return _coders[vocabulary.identity]
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in one array, as ``words_of`` gives them, and their number per text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, lengths = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    # White space at the ends of a text leaves an empty word there.
+    some = pc.greater(pc.binary_length(words), 0)
+    text = np.repeat(np.arange(len(lengths)), lengths)[some.to_numpy(zero_copy_only=False)]
+    return words.filter(some).cast(pa.binary()), np.bincount(text, minlength=len(lengths))
+
+
+def groups_of(batch: pa.RecordBatch, column: int):
+    """Slices of a batch with ``GROUP_BYTES`` of text or a single longer one."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    start = held = 0
+    for i, n in enumerate(sizes.tolist()):
+        if held and held + n > GROUP_BYTES:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    yield batch.slice(start)
+
+
+def pair(i, k):
+    """A model input and a target class as one number."""
+    return i * CLASSES + k
+
+
 class Coder:
-    """Codes of words: the rank of a frequent word, else a negative number of input and class."""
+    """Ranks of frequent words, and the model's input and class of every word."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.v = vocabulary
-        lead = lead_of(vocabulary.path)
-        pairs = np.array([vocabulary.coded(lead(w)) for w in vocabulary.frequent], np.int64).reshape(-1, 2)
-        self.inputs, self.classes = pairs[:, 0], pairs[:, 1]
-        self.logs = np.log10(vocabulary.frequent_counts + 1.0)
+        self.lead = lead_of(vocabulary.path)
+        self.of_lead = Bounded(lambda lead: pair(*vocabulary.coded(lead)))
+        self.frequent = pa.array(vocabulary.frequent, pa.binary())
+        self.pairs = np.array(self._pairs(vocabulary.frequent) or [0], np.int64)
+        self.logs = np.r_[np.log10(vocabulary.frequent_counts + 1.0), 0]
         self.norms = np.log10(vocabulary.class_words + vocabulary.class_distinct + 1.0)
-        self.ranks = {w: i for i, w in enumerate(vocabulary.frequent)}
-        self.codes = Bounded(self._code)
-        self.lead = lead
-
-    def _code(self, word: bytes) -> int:
-        rank = self.ranks.get(word)
-        if rank is not None:
-            return rank
-        i, k = self.v.coded(self.lead(word))
-        return -1 - (i * CLASSES + k)
-
-    def text(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Codes, model inputs and target classes of a text (begin first, end last)."""
-        codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
-        rare = -1 - codes
-        rank = np.maximum(codes, 0)
-        if len(self.inputs):
-            ids = np.where(codes >= 0, self.inputs[rank], rare // CLASSES)
-            classes = np.where(codes >= 0, self.classes[rank], rare % CLASSES)
-        else:
-            ids, classes = rare // CLASSES, rare % CLASSES
-        return codes, np.r_[BEGIN, ids], np.r_[classes, END_CLASS]
-
-
-def train_model(rows: DataFrame, vocabulary: Vocabulary) -> Model:
-    """Trains on all rows: every task trains from the same start, the weights are averaged by tokens.
-
-    Spark sums the weights, so the driver gets one number per weight however many tasks there were.
+
+    def _pairs(self, words: list[bytes]) -> list[int]:
+        return [self.of_lead[lead] for lead in map(self.lead, words)]
+
+    def code(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Ranks of words, -1 for rare ones, their pairs of input and class, and the rare ones."""
+        ranks = pc.fill_null(pc.index_in(words, value_set=self.frequent), -1).to_numpy()
+        pairs = self.pairs[np.maximum(ranks, 0)]
+        none = ranks < 0
+        rare = words.filter(pa.array(none)).to_pylist()
+        pairs[none] = self._pairs(rare)
+        return ranks, pairs, rare
+
+
+def coded_blocks(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs (begin first) and target classes (end last) of texts in pairs, dealt into blocks.
+
+    Also per block whether a block of the same text precedes it, and the blocks of each text.
+    """
+    lengths = np.array([len(t) for t in texts])
+    counts = lengths // BLOCK + 1
+    ends = np.cumsum(counts)
+    firsts = ends - counts
+    pairs = np.concatenate(texts)
+    places = np.arange(len(pairs)) + np.repeat(firsts * BLOCK - (np.cumsum(lengths) - lengths), lengths)
+    ids, classes = np.full(int(ends[-1]) * BLOCK, OTHER, np.int64), np.full(int(ends[-1]) * BLOCK, -1, np.int64)
+    ids[firsts * BLOCK] = BEGIN
+    ids[places + 1] = pairs // CLASSES
+    classes[places] = pairs % CLASSES
+    classes[firsts * BLOCK + lengths] = END_CLASS
+    follows = np.ones(int(ends[-1]), bool)
+    follows[firsts] = False
+    return ids.reshape(-1, BLOCK), follows, classes.reshape(-1, BLOCK), counts
+
+
+CODED = (
+    "row long, part int, doc_id {key}, held_out boolean, trains boolean, n_tokens long, log_counts double, known long, norms double, "
+    "rare array<struct<word: binary, n: int>>, pairs binary"
+)
+PAIR = np.dtype("<i4")
+
+
+def code_texts(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Texts as the model reads them, with what frequent words tell of them and their rare words with counts.
+
+    ``part`` is the task that read the text; within a part rows keep their order.
     """
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+    schema = CODED.format(key=rows.schema["doc_id"].dataType.simpleString())
+    names = ["row", "part", "doc_id", "held_out", "trains", "n_tokens", "log_counts", "known", "norms", "rare", "pairs"]
+
+    def code(batches):
+        coder = coder_of(shared.value)
+        task = TaskContext.get()
+        part = task.partitionId() if task else 0
+        number = part << 40
+        for batch in (g for b in batches for g in groups_of(b, 3)):
+            n = len(batch)
+            words, lengths = split_words(batch.column(3))
+            ranks, pairs, rare = coder.code(words)
+            text = np.repeat(np.arange(n), lengths)
+            sizes, found, at = np.bincount(text[ranks < 0], minlength=n), [], 0
+            for m in sizes.tolist():
+                found.append(Counter(rare[at: at + m]))
+                at += m
+            flat = pa.StructArray.from_arrays([
+                pa.array([w for c in found for w in c], pa.binary()),
+                pa.array([m for c in found for m in c.values()], pa.int32())], ["word", "n"])
+            starts = pa.array(np.r_[0, np.cumsum([len(c) for c in found])].astype(np.int32))
+            places = np.r_[0, np.cumsum(lengths * PAIR.itemsize)].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.arange(number, number + n), pa.int64()), pa.array(np.full(n, part, np.int32)), *batch.columns[:3],
+                pa.array(lengths + 1, pa.int64()), pa.array(np.bincount(text, coder.logs[ranks], n), pa.float64()),
+                pa.array(lengths - sizes, pa.int64()), pa.array(np.bincount(text, coder.norms[pairs % CLASSES], n), pa.float64()),
+                pa.ListArray.from_arrays(starts, flat),
+                pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(places), pa.py_buffer(pairs.astype(PAIR))])], names)
+            number += n
+
+    return rows.mapInArrow(code, schema)
+
+
+def train_model(coded: DataFrame, vocabulary: Vocabulary) -> Model:
+    """Trains on all rows: every part trains from the same start, the weights are averaged by tokens.
+
+    A task may read several parts, one after the other.  Spark sums the weights, so the driver gets
+    one number per weight however many parts there were.
+    """
     start = Model.start(INPUTS, CLASSES)
     share = vocabulary.class_words + 1.0
     start.weights["bias"] = np.log(share / share.sum()).astype(np.float32)
 
     def train(batches):
-        coder = coder_of(shared.value)
-        adam = Adam(Model({k: w.copy() for k, w in start.weights.items()}))
-        ids, classes, held, tokens = [], [], 0, 0
+        adam, now, texts, held, tokens = None, None, [], 0, 0
         for batch in batches:
-            for t in batch.column(0):
-                _, i, k = coder.text(words_of(t.as_py()))
-                ids.append(i)
-                classes.append(k)
-                held += len(i)
+            for part, pairs in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if part != now:
+                    if adam:
+                        yield _weights(adam.model, tokens + _learn(adam, texts))
+                    adam, now, texts, held, tokens = Adam(start.copy()), part, [], 0, 0
+                texts.append(np.frombuffer(pairs.as_buffer(), PAIR))
+                held += len(texts[-1]) + 1
                 if held >= GROUP_TOKENS:
-                    tokens += _learn(adam, ids, classes)
-                    ids, classes, held = [], [], 0
-        tokens += _learn(adam, ids, classes)
-        if tokens:
-            flat = adam.model.flat().astype(np.float64) * tokens
-            parts = [flat[i: i + SHIP] for i in range(0, len(flat), SHIP)]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.list_(pa.float64())),
-                pa.array([tokens] * len(parts), pa.int64())], ["part", "weights", "tokens"])
+                    tokens += _learn(adam, texts)
+                    texts, held = [], 0
+        if adam:
+            yield _weights(adam.model, tokens + _learn(adam, texts))
 
-    sums = rows.mapInArrow(train, "part int, weights array<double>, tokens long") \
-        .select("part", "tokens", F.posexplode("weights").alias("place", "w")).groupBy("part", "place") \
+    sums = coded.select("part", "pairs").mapInArrow(train, "place int, weights array<double>, tokens long") \
+        .select(F.col("place").alias("part"), "tokens", F.posexplode("weights").alias("place", "w")).groupBy("part", "place") \
         .agg(F.sum("w").alias("w"), F.sum("tokens").alias("n")).orderBy("part", "place").collect()
     return start.with_flat(np.array([r["w"] / r["n"] for r in sums])) if sums else start
 
 
-def _learn(adam: Adam, ids: list[np.ndarray], classes: list[np.ndarray]) -> int:
-    if not ids:
+def _weights(model: Model, tokens: int) -> pa.RecordBatch:
+    """The weights times tokens, in pieces."""
+    flat = model.flat().astype(np.float64) * tokens
+    pieces = [flat[i: i + SHIP] for i in range(0, len(flat), SHIP)]
+    return pa.RecordBatch.from_arrays([
+        pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.list_(pa.float64())),
+        pa.array([tokens] * len(pieces), pa.int64())], ["place", "weights", "tokens"])
+
+
+def _learn(adam: Adam, texts: list[np.ndarray]) -> int:
+    if not texts:
         return 0
-    blocks, follows = blocks_of(ids, OTHER)
-    targets, _ = blocks_of(classes, -1)
+    blocks, follows, targets, _ = coded_blocks(texts)
     return sum(adam.learn(blocks[i: i + BATCH_BLOCKS], follows[i: i + BATCH_BLOCKS], targets[i: i + BATCH_BLOCKS])[1]
                for i in range(0, len(blocks), BATCH_BLOCKS))
 
 
-SCORED = (
-    "row long, doc_id {key}, held_out boolean, n_tokens long, log_counts double, known long, norms double, class_log10 double, "
-    "rare array<struct<word: binary, n: int>>"
-)
-
+def attend_texts(coded: DataFrame, model: Model) -> DataFrame:
+    """Replaces the pairs of a text by the model's log10 probability of its classes."""
+    shared = coded.sparkSession.sparkContext.broadcast(model)
+    kept = [c for c in coded.columns if c != "pairs"]
+    coded = coded.select(*kept, "pairs")
 
-def first_scores(rows: DataFrame, vocabulary: Vocabulary, model: Model) -> DataFrame:
-    """Everything about a text that frequent words and the model tell, and its rare words with counts."""
-    context = rows.sparkSession.sparkContext
-    shared_vocabulary, shared_model = context.broadcast(vocabulary), context.broadcast(model)
-    key = rows.schema["doc_id"].dataType.simpleString()
     def score(batches):
-        coder = coder_of(shared_vocabulary.value)
-        task = TaskContext.get()
-        number = (task.partitionId() if task else 0) << 40
         for batch in batches:
-            keys, held_out = batch.column(0), batch.column(1)
-            rest = []  # texts whose attention part is still to do
-            results, rare_sizes, rare_words, rare_counts = [], [], [], []
-            held = 0
-            for t in batch.column(2):
-                words = words_of(t.as_py())
-                codes, ids, classes = coder.text(words)
-                frequent = codes >= 0
-                rare = Counter(compress(words, (~frequent).tolist()))
-                results.append([
-                    len(words) + 1, float(coder.logs[codes[frequent]].sum()), int(frequent.sum()),
-                    float(coder.norms[classes[:-1]].sum()), 0.0])
-                rare_sizes.append(len(rare))
-                rare_words.extend(rare)
-                rare_counts.extend(rare.values())
-                rest.append((ids, classes))
-                held += len(ids)
+            found, texts, held = [], [], 0
+            for pairs in batch.column(len(kept)):
+                texts.append(np.frombuffer(pairs.as_buffer(), PAIR))
+                held += len(texts[-1]) + 1
                 if held >= GROUP_TOKENS:
-                    _attend(shared_model.value, rest, results)
-                    rest, held = [], 0
-            _attend(shared_model.value, rest, results)
-            numbers = np.arange(number, number + len(results))
-            number += len(results)
-            columns = list(zip(*results)) or [[]] * 5
-            kinds = [pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.float64()]
-            flat = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_counts, pa.int32())], ["word", "n"])
-            offsets = pa.array(np.r_[0, np.cumsum(rare_sizes)].astype(np.int32))
+                    found.append(_attend(shared.value, texts))
+                    texts, held = [], 0
+            if texts:
+                found.append(_attend(shared.value, texts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(numbers, pa.int64()), keys, held_out, *(pa.array(c, k) for c, k in zip(columns, kinds)),
-                 pa.ListArray.from_arrays(offsets, flat)],
-                ["row", "doc_id", "held_out", "n_tokens", "log_counts", "known", "norms", "class_log10", "rare"])
+                [*batch.columns[:-1], pa.array(np.concatenate([np.zeros(0), *found]), pa.float64())], [*kept, "class_log10"])
 
-    return rows.mapInArrow(score, SCORED.format(key=key))
+    return coded.mapInArrow(score, T.StructType([*(coded.schema[c] for c in kept), T.StructField("class_log10", T.DoubleType())]))
 
 
-def _attend(model: Model, rest: list, results: list) -> None:
-    """Fills in the model's part for the last texts of ``results``."""
-    if not rest:
-        return
-    blocks, follows = blocks_of([i for i, _ in rest], OTHER)
-    targets, _ = blocks_of([k for _, k in rest], -1)
+def _attend(model: Model, texts: list[np.ndarray]) -> np.ndarray:
+    """The model's part of each text's score."""
+    blocks, follows, targets, counts = coded_blocks(texts)
     found = class_log10(model, blocks, follows, targets).sum(1)
-    counts = np.array([-(-len(i) // BLOCK) for i, _ in rest])
-    sums = np.add.reduceat(found, np.cumsum(counts) - counts)
-    for result, value in zip(results[-len(rest):], sums.tolist()):
-        result[4] = value
+    return np.add.reduceat(found, np.cumsum(counts) - counts)
 
 
 def score_texts(
@@ -314,23 +369,26 @@ def score_texts(
     unknown word.  Both scores are log10 probabilities with the end of the text included.
 
     The ``frequent`` words are broadcast with their counts, a bounded table that takes the skew out of what
-    follows: counts of the other words are joined by word, where no key is hot.  A null text is empty
+    follows: counts of the other words are joined by word, where no key is hot.  Texts are coded once, into a
+    shared table of numbers from which the model is trained and scores are computed.  A null text is empty
     and has one token, its end.  Null and repeated keys pass as they are, each row is scored on its own, other
     columns are dropped.  Without training texts counts are zero and the model is as it starts.
     """
-    rows = docs.select(F.col(key).alias("doc_id"), held_out.alias("held_out"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(key).alias("doc_id"), held_out.alias("held_out"), F.coalesce(trains, F.lit(False)).alias("trains"),
+                       F.col(text).cast("string").alias("text"))
     train = docs.filter(trains).select(F.col(text).cast("string").alias("text"))
     counts = stored(word_counts(train), "word-counts")
     learned = learn_vocabulary(counts, train.count(), vocabulary, frequent)
-    model = train_model(train, learned)
-    scored = stored(first_scores(rows, learned, model), "first-scores")
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n") \
+    coded = stored(code_texts(rows, learned), "coded-texts")
+    model = train_model(coded.filter("trains"), learned)
+    scored = stored(attend_texts(coded.drop("part", "trains", "rare"), model), "first-scores")
+    rare = coded.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n") \
         .join(counts, "word").groupBy("row").agg(
             F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("rare_logs"), F.sum("n").alias("rare_known"))
     logs = F.col("log_counts") + F.coalesce("rare_logs", F.lit(0.0))
     end = float(np.log10(learned.ends + 1.0))
     each = float(np.log10(learned.tokens + learned.distinct + 1.0))
-    return scored.drop("rare").join(rare, "row", "left").select(
+    return scored.join(rare, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("known") + F.coalesce("rare_known", F.lit(0)) + int(learned.ends > 0)).cast("long").alias("n_known"),
         F.lit(learned.tokens).cast("long").alias("train_tokens"),
