@@ -63,10 +63,14 @@ def union_sparse(frames: list[DataFrame], schema=DAILY_SCHEMA, sequence: str = "
 def daily_analysis(summary: DataFrame) -> DataFrame:
     """Wide daily table with market rows from ``daily_summary`` output.
 
-    The history is read once.  All windows share one distribution and order by
-    symbol and day; market totals come out of the same frame through grouping
+    The history is read once.  Market totals come out of the same frame through grouping
     sets, so no second scan is needed.
     """
+    return add_market_rows(daily_figures(summary), weekdays_only=True)
+
+
+def daily_figures(summary: DataFrame) -> DataFrame:
+    """The daily figures next to each row of ``daily_summary``; all windows share one distribution and order by symbol and day."""
     weekday = ~F.dayofweek("trading_date").isin(1, 7)
     # The previous weekday's close, skipping weekend rows.
     seen = F.when(weekday, F.col("close"))
@@ -84,7 +88,7 @@ def daily_analysis(summary: DataFrame) -> DataFrame:
     not_up = F.coalesce(F.max(F.when(F.col("_step") <= 0, F.col("_row"))).over(D.to_date()), F.lit(0))
     not_down = F.coalesce(F.max(F.when(F.col("_step") >= 0, F.col("_row"))).over(D.to_date()), F.lit(0))
     record = F.min(F.when(F.col("max_volume") == F.col("max_volume_value"), F.col("trading_date"))).over(D.by_symbol())
-    rows = base.withColumns({
+    return base.withColumns({
         "up_days_count": F.when(F.col("_weekday"), F.col("_row") - not_up),
         "down_days_count": F.when(F.col("_weekday"), F.col("_row") - not_down),
         "max_volume_date": record,
@@ -93,7 +97,6 @@ def daily_analysis(summary: DataFrame) -> DataFrame:
         "max_intraday_drop": two_digits(F.col("max_drop")),
         "calc_date": F.col("trading_date"),
     })
-    return add_market_rows(rows, weekdays_only=True)
 
 
 def add_market_rows(rows: DataFrame, weekdays_only: bool) -> DataFrame:
@@ -131,10 +134,14 @@ def beside_market_rows(rows: DataFrame, stored: DataFrame, weekdays_only: bool)
 
     ``stored`` holds the rows' ``calc_date`` and ``volume``.
     """
-    classed = ~F.dayofweek("calc_date").isin(1, 7) if weekdays_only else F.lit(True)
     market = stored.groupBy("calc_date").agg(F.sum("volume").alias("total_volume")).withColumn("symbol", F.lit(MARKET_SYMBOL))
-    kept = rows.withColumn("liquidity_status", F.when(classed, liquidity_class(F.col("volume"))))
-    return conform(kept, DAILY_SCHEMA).unionByName(conform(market, DAILY_SCHEMA))
+    return without_market_rows(rows, weekdays_only).unionByName(conform(market, DAILY_SCHEMA))
+
+
+def without_market_rows(rows: DataFrame, weekdays_only: bool) -> DataFrame:
+    """The rows of ``add_market_rows`` that are no market rows, for one row per symbol and day: none moves."""
+    classed = ~F.dayofweek("calc_date").isin(1, 7) if weekdays_only else F.lit(True)
+    return conform(rows.withColumn("liquidity_status", F.when(classed, liquidity_class(F.col("volume")))), DAILY_SCHEMA)
 
 
 def market_filler(daily: DataFrame) -> DataFrame:

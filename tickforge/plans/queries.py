@@ -27,7 +27,7 @@ from tickforge.plans.run import run_cleaned
 from tickforge.schemas import (
     DAILY_KEY, DAILY_SCHEMA, HISTORY_COLUMNS, HISTORY_SCHEMA, MONTHLY_KEY, MONTHLY_SCHEMA, RAW_SCHEMA,
 )
-from tickforge.session import scratch_path
+from tickforge.session import scratch_path, sparing
 from tickforge.sources import buckets as B
 from tickforge.sources import compaction as G
 from tickforge.sources import messages as M
@@ -1081,18 +1081,25 @@ def _topic(s, d) -> str:
     in two runs as well; some messages are not JSON, some monthly ones have no
     year or no average.
     """
-    def kept(name: str, rows: DataFrame) -> DataFrame:
+    def kept(path: str, rows: DataFrame) -> DataFrame:
         """Figures that several messages are made of, computed once."""
-        path = scratch_path(s, f"topic-{name}")
         rows.write.parquet(path)
         return s.read.schema(rows.schema).parquet(path)
 
     def write(path: str) -> None:
-        summary = kept("summary", S.daily_summary(bars(s, d)))
-        final = kept("daily", V.without_market(C.daily_analysis(summary)))
+        parts = {name: scratch_path(s, f"topic-{name}") for name in ("summary", "daily", "months")}
+        with sparing(s):
+            summary = kept(parts["summary"], S.daily_summary(bars(s, d)))
+            final = kept(parts["daily"], V.without_market(C.without_market_rows(C.daily_figures(summary), weekdays_only=True)))
+            months = kept(parts["months"], C.monthly_table(summary))
+            U.drop_stage(s, parts["summary"])
+            publish(path, final, months)
+        for name in ("daily", "months"):
+            U.drop_stage(s, parts[name])
+
+    def publish(path: str, final: DataFrame, months: DataFrame) -> None:
         morning = final.select("symbol", "calc_date", (F.col("total_volume") / 2).cast("bigint").alias("total_volume"),
                                "sma_price")
-        months = kept("months", C.monthly_table(summary))
         month_number = F.col("calc_month")
         spoiled = months.withColumns({
             "calc_year": F.when(month_number != 3, F.col("calc_year")),

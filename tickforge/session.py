@@ -5,9 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+#: Shuffle files go when the query that made them ends, and files are written smaller.
+SPARING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.parquet.compression.codec": "zstd"}
+
 
 def build_session(app_name: str = "tickforge", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings this package is tested with.
@@ -47,6 +52,26 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def sparing(spark: SparkSession) -> Iterator[None]:
+    """Keeps the disk small for what is executed within.
+
+    Spark drops shuffle files only when the driver has collected their plan as garbage, so the steps of a job
+    would add up.  A frame executed twice within makes its shuffle files twice.
+    """
+    before = {key: spark.conf.get(key, None) for key in SPARING}
+    for key, value in SPARING.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

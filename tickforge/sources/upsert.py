@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from tickforge.operators.consolidate import conform, merge_sparse
 from tickforge.operators.snapshots import top_ranked
 from tickforge.schemas import DAILY_KEY, DAILY_SCHEMA, MONTH, MONTHLY_KEY, MONTHLY_SCHEMA
+from tickforge.session import sparing
 from tickforge.sources.writers import read_if_exists, replace_partitions
 
 # What stored rows count as: older than any message, whether those are numbered or ordered by time and offset.
@@ -85,6 +86,17 @@ def drop_stage(spark: SparkSession, stage: str) -> None:
     files.delete(place, True)
 
 
+def drop_applied(spark: SparkSession, stage: str) -> None:
+    """Remove the stage of an upsert whose rows are all in the table.
+
+    Its success marker goes first: a repetition that meets a half removed stage merges anew, into a table
+    that holds the rows already, and changes nothing.
+    """
+    files, marker = located(spark, f"{stage}/merged/_SUCCESS")
+    files.delete(marker, False)
+    drop_stage(spark, stage)
+
+
 def upsert(
     incoming: DataFrame, table: str, stage: str, keys: list[str], schema: T.StructType, month: Column,
     mode: str = "replace", fill: dict[str, Column] | None = None, durable: bool = False,
@@ -95,22 +107,23 @@ def upsert(
     caller states that ``incoming`` only reads files of its own, which need not be staged again.
     """
     spark = incoming.sparkSession
-    merged_path = f"{stage}/merged"
-    stored = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
-    if not is_complete(spark, merged_path):
-        staged = incoming.withColumn(MONTH, month)
-        if not durable:
-            staged.write.mode("overwrite").parquet(f"{stage}/incoming")
-            staged = spark.read.parquet(f"{stage}/incoming")
-        # At most one row per calendar month; literal months prune the table's folders.
-        months = [r[0] for r in staged.select(MONTH).distinct().collect()]
-        existing = read_if_exists(spark, table, stored)
-        if existing is not None:
-            existing = existing.filter(F.col(MONTH).isin(months)).drop(MONTH)
-        merged = merge_rows(existing, staged, keys, schema, mode)
-        merged = merged.withColumns({c: F.coalesce(F.col(c), v) for c, v in (fill or {}).items()})
-        merged.withColumn(MONTH, month).write.mode("overwrite").parquet(merged_path)
-    replace_partitions(spark.read.schema(stored).parquet(merged_path), table, [MONTH])
+    with sparing(spark):
+        merged_path = f"{stage}/merged"
+        stored = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
+        if not is_complete(spark, merged_path):
+            staged = incoming.withColumn(MONTH, month)
+            if not durable:
+                staged.write.mode("overwrite").parquet(f"{stage}/incoming")
+                staged = spark.read.parquet(f"{stage}/incoming")
+            # At most one row per calendar month; literal months prune the table's folders.
+            months = [r[0] for r in staged.select(MONTH).distinct().collect()]
+            existing = read_if_exists(spark, table, stored)
+            if existing is not None:
+                existing = existing.filter(F.col(MONTH).isin(months)).drop(MONTH)
+            merged = merge_rows(existing, staged, keys, schema, mode)
+            merged = merged.withColumns({c: F.coalesce(F.col(c), v) for c, v in (fill or {}).items()})
+            merged.withColumn(MONTH, month).write.mode("overwrite").parquet(merged_path)
+        replace_partitions(spark.read.schema(stored).parquet(merged_path), table, [MONTH])
 
 
 def upsert_daily(incoming: DataFrame, table: str, stage: str, mode: str = "replace", durable: bool = False) -> None:

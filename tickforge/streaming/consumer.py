@@ -9,9 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
 
 from tickforge.schemas import SNAPSHOT_KEY
+from tickforge.session import sparing
 from tickforge.sources import messages as M
 from tickforge.sources.marks import append_marked
-from tickforge.sources.upsert import drop_stage, upsert_daily, upsert_monthly
+from tickforge.sources.upsert import drop_applied, drop_stage, upsert_daily, upsert_monthly
 from tickforge.sources.writers import append_new, read_if_exists
 
 QUARANTINE_SCHEMA = T.StructType([
@@ -82,27 +83,28 @@ def consume(
     Tables: ``root/daily`` and ``root/monthly``; unreadable messages go to
     ``root/quarantine``, as do messages without a key.  Batches are numbered by the checkpoint and
     staged under its identity and their number: a batch repeated after a failure gives the
-    same tables, and a stream started with a new checkpoint never meets an old stage.
+    same tables, and a stream started with a new checkpoint never meets an old stage.  A stage goes as soon as
+    its rows are in the tables: to apply them again changes nothing.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         run = run_identity(batch.sparkSession, f"{root}/checkpoint")
-        stages = f"{root}/stage/{run}"
-        stage = f"{stages}/{batch_id}"
+        stage = f"{root}/stage/{run}/{batch_id}"
         # Every message is parsed once.
-        decoded = evaluated(M.decode_topics(batch), f"{stage}/decoded")
+        with sparing(batch.sparkSession):
+            decoded = evaluated(M.decode_topics(batch), f"{stage}/decoded")
         daily, monthly = (_sequence(M.of_topic(decoded, topic)) for topic in (M.DAILY_TOPIC, M.MONTHLY_TOPIC))
         good, bad = F.col(M.CORRUPT).isNull(), F.col(M.CORRUPT).isNotNull()
         upsert_daily(daily.filter(good).drop(M.CORRUPT), f"{root}/daily", f"{stage}/daily", mode, durable=True)
+        drop_applied(batch.sparkSession, f"{stage}/daily")
         upsert_monthly(
             monthly.filter(good).drop(M.CORRUPT), f"{root}/monthly", f"{stage}/monthly", mode, zero_for_missing, durable=True
         )
+        drop_applied(batch.sparkSession, f"{stage}/monthly")
         names = QUARANTINE_SCHEMA.fieldNames()
         rejected = daily.filter(bad).select(*names).unionByName(monthly.filter(bad).select(*names))
         _quarantine(rejected, f"{root}/quarantine", run, batch_id)
-        # Only the last batch can be repeated, so the stage before it has served its purpose.
-        if batch_id > 0:
-            drop_stage(batch.sparkSession, f"{stages}/{batch_id - 1}")
+        drop_stage(batch.sparkSession, stage)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", f"{root}/checkpoint")
     return (writer.trigger(availableNow=True) if available_now else writer).start()
