@@ -43,11 +43,24 @@ STORED_DAILY = T.StructType([*DAILY_SCHEMA.fields, T.StructField(MONTH, T.String
 REMEMBERED = 4
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Rows written to the shared folder, so that later steps neither recompute nor change them."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Scratch:
+    """Rows one run writes to the shared folder, so that later steps neither recompute nor change them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def staged(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        self.paths.append((name, path))
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Removes rows of these names that no later step reads; all without a name."""
+        for name, path in self.paths:
+            if name in names or not names:
+                drop_stage(self.spark, path)
+        self.paths = [x for x in self.paths if names and x[0] not in names]
 
 
 def month_of(day: str) -> Column:
@@ -142,8 +155,8 @@ def different(new: DataFrame, old: DataFrame | None) -> DataFrame:
 class DailyTable:
     """State, records and serving rows below ``root``, and the summaries they come from."""
 
-    def __init__(self, spark: SparkSession, root: str, summary_schema: T.StructType):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, summary_schema: T.StructType, scratch: Scratch):
+        self.spark, self.root, self.scratch = spark, root, scratch
         self.summary = read_by_month(spark, f"{root}/summary", summary_schema)
         self.daily = read_if_exists(spark, f"{root}/daily", STORED_DAILY)
         self.states = read_if_exists(spark, f"{root}/states", STORED_STATE)
@@ -184,7 +197,7 @@ class DailyTable:
             touched = months
         touched = sorted({*touched, *self.noted()})
         volumes = self.summary.filter(F.col(MONTH).isin(touched))
-        records = staged(newest_records(volumes, self.records), "records")
+        records = self.scratch.staged(newest_records(volumes, self.records), "records")
         results, kept, place, active, width = [], [], 0, None, 1
         while place < len(months):
             if months[place] in touched:
@@ -204,7 +217,7 @@ class DailyTable:
             place += len(chosen)
             if place < len(months):
                 old = self.state_until(chosen[-1])
-                changed = staged(different(self.state_at(chosen[-1]), old), "changed-states")
+                changed = self.scratch.staged(different(self.state_at(chosen[-1]), old), "changed-states")
                 active = changed if changed.head(1) else None
         self.new_records = records
         daily = results[0]
@@ -219,7 +232,7 @@ class DailyTable:
         if symbols is not None:
             rows, before = rows.join(symbols, "symbol", "left_semi"), before.join(symbols, "symbol", "left_semi")
         # The state goes through the windows once; rows and month ends are read from what they gave.
-        computed = staged(with_indicators(rows, before), "indicators")
+        computed = self.scratch.staged(with_indicators(rows, before), "indicators")
         states = month_end_states(computed, before, months)
         daily = C.beside_market_rows(C.attach_record_day(computed, records), computed, weekdays_only=True)
         if symbols is not None:
@@ -227,7 +240,9 @@ class DailyTable:
             others = self.stored_states(months)
             if others is not None:
                 states = states.unionByName(others.join(symbols, "symbol", "left_anti"))
-        return staged(daily, "daily-rows"), staged(states, "states")
+        written = self.scratch.staged(daily, "daily-rows"), self.scratch.staged(states, "states")
+        self.scratch.drop("indicators")
+        return written
 
     def only_changed(self, daily: DataFrame, months: list[str]) -> DataFrame:
         """Rows the serving table does not hold exactly so, with those of other months whose record day changed."""
@@ -236,12 +251,14 @@ class DailyTable:
         stored = self.daily.filter(F.col(MONTH).isin(months)).select(*DAILY_SCHEMA.fieldNames())
         changed = daily.exceptAll(stored)
         if self.records is not None:
-            broken = staged(self.new_records.join(self.records, self.new_records.columns, "left_anti"), "broken-records")
+            broken = self.scratch.staged(self.new_records.join(self.records, self.new_records.columns, "left_anti"), "broken-records")
             if broken.head(1):
                 names = DAILY_SCHEMA.fieldNames()
                 elsewhere = self.daily.drop("max_volume_date", "max_volume_value").join(broken, "symbol").select(*names)
                 changed = changed.unionByName(elsewhere.join(daily.select(*DAILY_KEY), DAILY_KEY, "left_anti"))
-        return staged(changed, "changed")
+        written = self.scratch.staged(changed, "changed-daily")
+        self.scratch.drop("daily-rows")
+        return written
 
     def store(self, states: list[DataFrame]) -> None:
         """States and records of a refresh; the note says which months to take again if this fails halfway."""

@@ -9,12 +9,12 @@ from pyspark.sql import types as T
 from tickforge.operators import consolidate as C
 from tickforge.operators.clean import clean
 from tickforge.operators.snapshots import daily_summary
-from tickforge.plans.incremental import DailyTable, staged
+from tickforge.plans.incremental import DailyTable, Scratch
 from tickforge.schemas import DAILY_SCHEMA, HISTORY_COLUMNS, HISTORY_SCHEMA, MONTH, MONTHLY_SCHEMA
-from tickforge.session import scratch_path
+from tickforge.session import scratch_path, sparing
 from tickforge.sources import messages as M
 from tickforge.sources.readers import read_by_month
-from tickforge.sources.upsert import upsert_daily, upsert_monthly
+from tickforge.sources.upsert import drop_applied, upsert_daily, upsert_monthly
 from tickforge.sources.writers import append_new, read_if_exists, replace_partitions
 
 PRICE = T.DecimalType(18, 4)
@@ -44,35 +44,47 @@ def run_cleaned(batch: DataFrame, root: str, number: int, target: dict[str, str]
     run changes nothing.
     """
     spark = batch.sparkSession
-    batch = staged(C.conform(batch, HISTORY_SCHEMA), "cleaned")
-    # At most one value per calendar month.
-    months = [r[0] for r in batch.select(F.date_format("trading_date", "yyyy-MM")).distinct().collect()]
-    if not months:
-        return []
-    append_new(batch, f"{root}/history")
+    with sparing(spark):
+        scratch = Scratch(spark)
+        batch = scratch.staged(C.conform(batch, HISTORY_SCHEMA), "cleaned")
+        # At most one value per calendar month.
+        months = [r[0] for r in batch.select(F.date_format("trading_date", "yyyy-MM")).distinct().collect()]
+        if months:
+            append_new(batch, f"{root}/history")
+            scratch.drop("cleaned")
+            _refresh(spark, scratch, root, months, number, target)
+        scratch.drop()
+        return sorted(months)
+
+
+def _refresh(spark: SparkSession, scratch: Scratch, root: str, months: list[str], number: int, target: dict[str, str] | None) -> None:
+    """Summaries of these months of the history, and the serving tables that follow from them."""
     touched = read_by_month(spark, f"{root}/history", HISTORY_SCHEMA).filter(F.col(MONTH).isin(months)).select(*HISTORY_COLUMNS)
     summaries = C.conform(daily_summary(touched, unique=True), SUMMARY_SCHEMA).withColumn(MONTH, F.date_format("trading_date", "yyyy-MM"))
     replace_partitions(summaries, f"{root}/summary", [MONTH])
     summary = read_by_month(spark, f"{root}/summary", SUMMARY_SCHEMA)
     monthly = C.monthly_table(summary.filter(F.col(MONTH).isin(months)))
-    table = DailyTable(spark, root, SUMMARY_SCHEMA)
+    table = DailyTable(spark, root, SUMMARY_SCHEMA, scratch)
     daily, states = table.refresh(months)
-    monthly = _changed(spark, monthly, f"{root}/monthly", MONTHLY_SCHEMA, months)
+    monthly = _changed(scratch, monthly, f"{root}/monthly", MONTHLY_SCHEMA, months)
     for changed, name, schema, upsert, topic in (
         (daily, "daily", DAILY_SCHEMA, upsert_daily, M.DAILY_TOPIC), (monthly, "monthly", MONTHLY_SCHEMA, upsert_monthly, M.MONTHLY_TOPIC),
     ):
         if target is not None:
             M.publish(M.as_keyed_messages(changed, schema), topic, target)
         # The rows are in files of their own already.
-        upsert(changed.withColumn("seq", F.lit(number).cast("bigint")), f"{root}/{name}", scratch_path(spark, f"stage-{name}"), durable=True)
+        stage = scratch_path(spark, f"stage-{name}")
+        upsert(changed.withColumn("seq", F.lit(number).cast("bigint")), f"{root}/{name}", stage, durable=True)
+        drop_applied(spark, stage)
+        # A first run gives the daily rows as its steps wrote them.
+        scratch.drop(f"changed-{name}", f"{name}-rows")
     table.store(states)
-    return sorted(months)
 
 
-def _changed(spark: SparkSession, rows: DataFrame, table: str, schema: T.StructType, months: list[str]) -> DataFrame:
+def _changed(scratch: Scratch, rows: DataFrame, table: str, schema: T.StructType, months: list[str]) -> DataFrame:
     """Rows that these months of the stored table do not hold exactly so, written down before the table changes."""
-    old = read_if_exists(spark, table, T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())]))
+    old = read_if_exists(scratch.spark, table, T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())]))
     different = C.conform(rows, schema)
     if old is not None:
         different = different.exceptAll(old.filter(F.col(MONTH).isin(months)).select(*schema.fieldNames()))
-    return staged(different, "changed")
+    return scratch.staged(different, "changed-monthly")
